@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .literals import MESSAGES, ROLES
+from .text import let, occurrences
 
 IMAGE_TAG = "<image>"
 VIDEO_TAG = "<video>"
@@ -22,16 +23,21 @@ def json_messages(parsed: Column) -> Column:
     Contents other than text print the Python way, so such cells are left to
     the Arrow helper.
     """
-    entries = F.try_variant_get(parsed, "$", "array<struct<role:string,content:variant>>")
-    known = lambda e: e["role"].isin(*ROLES) & e["content"].isNotNull()
     kind = lambda e: F.schema_of_variant(e["content"])
-    printable = ~F.exists(entries, lambda e: known(e) & ~kind(e).isin("STRING", "VOID"))
-    texts = F.transform(
-        F.filter(entries, lambda e: known(e) & (kind(e) == "STRING")),
-        lambda e: F.struct(e["role"].alias("role"),
-                           F.try_variant_get(e["content"], "$", "string").alias("content")))
-    return F.when(entries.isNotNull() & printable, F.filter(texts, lambda m: m["content"] != "")) \
-        .cast(MESSAGES)
+    known = lambda e: e["role"].isin(*ROLES) & e["content"].isNotNull()
+
+    def texts(entries: Column) -> Column:
+        kept = F.filter(entries, known)
+        return F.when(entries.isNotNull(), let(kept, lambda k: F.when(
+            ~F.exists(k, lambda e: ~kind(e).isin("STRING", "VOID")),
+            F.filter(
+                F.transform(k, lambda e: F.struct(
+                    e["role"].alias("role"),
+                    F.try_variant_get(e["content"], "$", "string").alias("content"))),
+                lambda m: m["content"] != ""))))
+
+    entries = F.try_variant_get(parsed, "$", "array<struct<role:string,content:variant>>")
+    return let(entries, texts).cast(MESSAGES)
 
 
 def training_turns(messages: Column, image_tag: bool = True) -> Column:
@@ -83,8 +89,6 @@ def render_messages(messages: Column, role: str = "role", text: str = "content",
 
 def tag_count(turns: Column, speaker: str, tag: str) -> Column:
     """Occurrences of a tag in all turns of one speaker."""
-    from .text import occurrences
-
     return F.aggregate(
         F.filter(turns, lambda m: m["from"] == speaker), F.lit(0).cast("bigint"),
         lambda acc, m: acc + F.coalesce(occurrences(m["value"], tag), F.lit(0)))

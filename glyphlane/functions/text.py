@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -11,10 +13,11 @@ WHITESPACE = (
     "           "
     "    　"
 )
-WHITESPACE_CLASS = (
-    r"\t\n\x0B\f\r\x1C-\x1F \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
+RARE_SPACES = (
+    r"\t\n\x0B\f\r\x1C-\x1F\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
     r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
 )
+WHITESPACE_CLASS = " " + RARE_SPACES
 
 
 def strip(text: Column) -> Column:
@@ -25,13 +28,23 @@ def strip_right(text: Column) -> Column:
     return F.rtrim(text, F.lit(WHITESPACE))
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` evaluated once per row."""
+    return F.transform(F.array(value), body)[0]
+
+
 def words(text: Column) -> Column:
     """Array of the whitespace-separated words."""
     return F.filter(F.split(text, f"[{WHITESPACE_CLASS}]+"), lambda w: w != "")
 
 
 def word_count(text: Column) -> Column:
-    return F.regexp_count(text, F.lit(f"[^{WHITESPACE_CLASS}]+")).cast("bigint")
+    """Number of whitespace-separated words, counted without building them."""
+    spaced = F.btrim(F.regexp_replace(text, f"[{RARE_SPACES}]", " "))
+    single = let(spaced, lambda s: F.when(s.contains("  "), F.regexp_replace(s, " {2,}", " ")).otherwise(s))
+    count = let(single, lambda s: F.when(s == "", F.lit(0)).otherwise(
+        F.length(s) - F.length(F.replace(s, F.lit(" "), F.lit(""))) + 1))
+    return count.cast("bigint")
 
 
 def occurrences(text: Column, needle: str) -> Column:

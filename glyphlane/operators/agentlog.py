@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..functions import literals as L
 from ..functions import messages as M
 from ..functions.json import strict_json
-from ..functions.text import WHITESPACE, word_count
+from ..functions.text import WHITESPACE, let, word_count
 from ..functions.uris import base_name
 
 # Fixed values of the log conversion.
@@ -63,18 +63,22 @@ def convert_logs(
     """
     trimmed = F.btrim(F.col("image_payload_id"), F.lit(WHITESPACE))
     wanted = F.when(trimmed != "", trimmed)
-    parsed = parse_messages(rows).withColumn(
-        "image_id", F.coalesce(wanted, F.concat(F.lit("\x00"), F.col(row_id).cast("string")))
-    ).withColumn("_has_id", wanted.isNotNull())
-    found = parsed.join(images, "image_id", "left")
-    turns = found.withColumn(
-        "conversations", M.training_turns(F.col("parsed"))
-    ).withColumn(
-        "num_tokens",
-        F.coalesce(F.expr("try_cast(total_tokens AS double)").cast("bigint"),
-                   counter(F.col("parsed"))) + IMAGE_TOKENS)
+    given = F.expr("try_cast(total_tokens AS double)").cast("bigint")
+    # The turns are built below the join: each record once, whatever is asked above.
+    built = let(F.col("parsed"), lambda m: F.struct(
+        (F.size(m) > 0).alias("any"),
+        F.when(wanted.isNotNull(), M.training_turns(m)).alias("turns"),
+        (F.when(given.isNull(), counter(m)).otherwise(given) + IMAGE_TOKENS).alias("num_tokens")))
+    parsed = parse_messages(rows).select(
+        row_id,
+        F.coalesce(wanted, F.concat(F.lit("\x00"), F.col(row_id).cast("string"))).alias("image_id"),
+        wanted.isNotNull().alias("_has_id"),
+        built.alias("built"))
+    turns = parsed.join(images, "image_id", "left").select(
+        row_id, "_has_id", "image_path", F.col("built.any").alias("_any"),
+        F.col("built.turns").alias("conversations"), F.col("built.num_tokens").alias("num_tokens"))
     status = (
-        F.when(F.size("parsed") == 0, "no_messages")
+        F.when(~F.col("_any"), "no_messages")
         .when(~F.col("_has_id"), "no_image_id")
         .when(F.col("image_path").isNull(), "image_not_found")
         .when(F.col("conversations").isNull(), "no_user")
