@@ -54,3 +54,9 @@ def occurrences(text: Column, needle: str) -> Column:
     """How often ``needle`` occurs without overlap."""
     removed = F.replace(text, F.lit(needle), F.lit(""))
     return ((F.length(text) - F.length(removed)) / len(needle)).cast("bigint")
+
+
+def ordered_text(text: str, separator: str, order: str) -> Column:
+    """Aggregate: the group's texts joined in order; arguments are column names."""
+    shown = separator.replace("\\", "\\\\").replace("\n", "\\n").replace("'", "\\'")
+    return F.expr(f"listagg(`{text}`, '{shown}') WITHIN GROUP (ORDER BY `{order}`)")
