@@ -48,6 +48,26 @@ def messages_from_text(cells: pd.Series) -> pd.Series:
     return cells.map(_messages)
 
 
+def _written(cell):
+    """Every message as it stands; None when the cell is no readable list."""
+    if cell is None:
+        return None
+    try:
+        value = ast.literal_eval(cell)
+        found = [{"role": m.get("role", ""), "content": m.get("content", "")} for m in value]
+    except Exception:  # noqa: BLE001  unreadable cells stay as they are
+        return None
+    if any(not isinstance(v, str) for m in found for v in m.values()):
+        return None
+    return found
+
+
+@F.pandas_udf(MESSAGES)
+def messages_as_written(cells: pd.Series) -> pd.Series:
+    """All role/content pairs of a Python-literal cell, NULL when unreadable."""
+    return cells.map(_written)
+
+
 def _strings(cell):
     if cell is None:
         return None

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from ..functions import literals as L
 from ..functions.prompts import system_prompt, user_text
-from .agentlog import parse_messages
 
 
 def convert_messages(parsed: Column, answers: Column, catalog: Column | None) -> Column:
@@ -16,7 +15,8 @@ def convert_messages(parsed: Column, answers: Column, catalog: Column | None) ->
         content = (
             F.when(m["role"] == "system", system_prompt(m["content"], catalog))
             .when(m["role"] == "user", user_text(m["content"]))
-            .otherwise(F.get(answers, i)))
+            .when(m["role"] == "assistant", F.get(answers, i))
+            .otherwise(m["content"]))
         return F.struct(m["role"].alias("role"), content.alias("content"))
 
     return F.transform(parsed, rewritten)
@@ -27,11 +27,11 @@ def convert_cells(rows: DataFrame, catalog: Column | None = None, cell: str = "m
 
     ``status`` tells converted cells from kept ones.
     """
-    parsed = parse_messages(rows, cell, "_parsed")
+    parsed = rows.withColumn("_parsed", L.messages_as_written(F.col(cell)))
     told = parsed.withColumn("_answers", L.tagged_answers(F.transform(
         "_parsed", lambda m: F.when(m["role"] == "assistant", m["content"]))))
     built = told.withColumn("_out", L.messages_to_literal(F.when(
-        F.size("_parsed") > 0, convert_messages(F.col("_parsed"), F.col("_answers"), catalog))))
+        F.col("_parsed").isNotNull(), convert_messages(F.col("_parsed"), F.col("_answers"), catalog))))
     return built.select(
         *[c for c in rows.columns if c != cell],
         F.coalesce("_out", cell, F.lit("[]")).alias(cell),
