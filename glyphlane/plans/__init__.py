@@ -6,7 +6,9 @@ from importlib import import_module
 
 from .registry import QUERIES, Query
 
-MODULES = ["media_queries", "log_queries", "chat_queries", "prompt_queries", "sample_queries"]
+MODULES = [
+    "media_queries", "log_queries", "chat_queries", "prompt_queries", "sample_queries", "training_queries",
+]
 
 
 def load_queries() -> dict[str, Query]:
