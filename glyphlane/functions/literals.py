@@ -97,7 +97,9 @@ def _literal_boxes(cell):
             if len(box) != 4:
                 continue
             label = entry["label"]
-            found.append({"bbox": [float(v) for v in box], "label": label.lower() and label})
+            if not isinstance(label, str):
+                raise TypeError("label")
+            found.append({"bbox": [float(v) for v in box], "label": label})
         return found
     except Exception:  # noqa: BLE001  any fault empties the answer
         return []
@@ -160,6 +162,7 @@ def messages_to_literal(rows: pd.Series) -> pd.Series:
         [{"role": m["role"], "content": m["content"]} for m in row]))
 
 
+VALUE_TOLERANCE = 1e-6
 ALLOWED = (ast.Expression, ast.BinOp, ast.UnaryOp, ast.Constant, ast.Add, ast.Sub, ast.Mult,
            ast.Div, ast.Pow, ast.Mod, ast.FloorDiv, ast.UAdd, ast.USub)
 
@@ -184,6 +187,15 @@ def _arithmetic(text):
         return None
 
 
-@F.pandas_udf(T.DoubleType())
-def arithmetic_value(texts: pd.Series) -> pd.Series:
-    return texts.map(_arithmetic).astype("float64")
+@F.pandas_udf(T.BooleanType())
+def same_value(left: pd.Series, right: pd.Series) -> pd.Series:
+    """Whether two arithmetic texts have the same value; NULL where either is none."""
+    def same(a, b):
+        a, b = _arithmetic(a), _arithmetic(b)
+        return None if a is None or b is None else abs(a - b) < VALUE_TOLERANCE
+
+    return pd.Series([same(a, b) for a, b in zip(left, right)], dtype="object")
+
+
+# Kept in its projection: filters on the outcome must not pull the call down.
+same_value = same_value.asNondeterministic()

@@ -35,8 +35,13 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 
 def words(text: Column) -> Column:
-    """Array of the whitespace-separated words."""
-    return F.filter(F.split(text, f"[{WHITESPACE_CLASS}]+"), lambda w: w != "")
+    """Array of the whitespace-separated words.
+
+    By matching words, not by splitting: a split compiles its pattern per row.
+    """
+    plain = F.regexp_extract_all(text, F.lit(f"[^ {ASCII_BLANKS}]+"), F.lit(0))
+    wide = F.regexp_extract_all(text, F.lit(f"[^{WHITESPACE_CLASS}]+"), F.lit(0))
+    return F.when(text.rlike(MAY_HOLD_WIDE_SPACE), wide).otherwise(plain)
 
 
 def word_count(text: Column) -> Column:
