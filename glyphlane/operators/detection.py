@@ -18,6 +18,7 @@ from ..functions import geometry as G
 from ..functions import literals as L
 from ..functions.json import kind, strict_json
 from ..functions.text import let
+from ..session import cut_lineage
 from .ordinal import running_sums, with_ordinal
 
 # --- Fixed values of the evaluation -------------------------------------------------
@@ -33,6 +34,7 @@ MAX_DETECTIONS = 1000
 MEAN_DETECTIONS = 100  # the mean over all thresholds looks at these only
 RECALL_STEPS = 100
 IMAGE_BLOCK = 1024
+CELL_GROUP = 64  # truth boxes of one image and class from which cells pay
 
 # ---------------------------------------------------------------------------------------
 
@@ -138,25 +140,31 @@ def candidate_pairs(ranked: DataFrame, truth: DataFrame) -> DataFrame:
 
     Half overlap bounds both the ratio of the widths (2) and the shift (half the
     wider one), so truth is keyed by the power of two of its width and a cell of
-    that size, and a detection looks into the few cells it can reach. Crowd
-    regions know no such bound and join on image and class.
+    four times that size, and a detection looks into the few cells it can reach.
+    Only images with many boxes of a class need this; in the others the key is
+    the group itself. Crowd regions know no such bound and join on the group.
     """
+    busy = truth.groupBy(*GROUP).count().where(F.col("count") > CELL_GROUP).select(*GROUP, F.lit(True).alias("busy"))
     det = ranked.where((F.col("w") > 0) & (F.col("h") > 0)).select(*GROUP, "rank", *[F.col(c).alias(f"d{c}") for c in "xywh"])
     gt = truth.select(*GROUP, "gt_id", "area", F.col("iscrowd").cast("boolean").alias("crowd"),
                       *[F.col(c).alias(f"g{c}") for c in "xywh"])
     half = overlap(*[F.col(f"d{c}") for c in "xywh"], *[F.col(f"g{c}") for c in "xywh"], F.col("crowd"))
+    place = lambda level, cell: F.struct(level.cast("int").alias("level"), cell.cast("bigint").alias("cell"))
 
     def reach(level: Column) -> Column:
-        size = F.pow(F.lit(2.0), level + 1)
-        shift = F.greatest(size, F.col("dw")) * 0.51
+        size = F.pow(F.lit(2.0), level + 2)
+        shift = F.greatest(size / 2, F.col("dw")) * 0.51
         cells = F.sequence(F.floor((F.col("dx") - shift) / size), F.floor((F.col("dx") + shift) / size))
-        return F.transform(cells, lambda c: F.struct(level.cast("int").alias("level"), c.alias("cell")))
+        return F.transform(cells, lambda c: place(level, c))
 
     probes = F.flatten(F.transform(F.array(*[F.lit(d) for d in (-1, 0, 1)]), lambda d: reach(_level(F.col("dw")) + d)))
-    keyed_det = det.select("*", F.inline(probes))
-    keyed_gt = gt.where(~F.col("crowd") & (F.col("gw") > 0) & (F.col("gh") > 0)).withColumn(
-        "level", _level(F.col("gw"))).withColumn(
-        "cell", F.floor(F.col("gx") / F.pow(F.lit(2.0), F.col("level") + 1)))
+    whole = place(F.lit(0), F.lit(0))
+    keyed_det = det.join(busy, GROUP, "left").select(
+        *det.columns, F.inline(F.when(F.col("busy"), probes).otherwise(F.array(whole))))
+    home = F.when(F.col("busy"), place(_level(F.col("gw")), F.floor(
+        F.col("gx") / F.pow(F.lit(2.0), _level(F.col("gw")) + 2)))).otherwise(whole)
+    keyed_gt = gt.where(~F.col("crowd") & (F.col("gw") > 0) & (F.col("gh") > 0)).join(busy, GROUP, "left").select(
+        *gt.columns, home["level"].alias("level"), home["cell"].alias("cell"))
     plain = keyed_det.join(keyed_gt, [*GROUP, "level", "cell"])
     crowds = det.join(gt.where("crowd"), GROUP)
     shown = [*GROUP, "rank", "gt_id", "area", "crowd", half.alias("iou")]
@@ -283,50 +291,43 @@ def counted_truth(truth: DataFrame) -> DataFrame:
         for name, (low, high) in AREAS.items()])
 
 
+def curve_totals(truth: DataFrame) -> DataFrame:
+    """(dataset, category_id, curve, total) for every curve that has truth."""
+    names = list(AREAS)
+    per_curve = F.array(*[
+        F.struct(F.lit(k).alias("curve"), F.col(f"n_{names[(k % COMBINATIONS) // STEP]}").alias("total"))
+        for k in range(COMBINATIONS + STEP)])
+    return counted_truth(truth).select("dataset", "category_id", F.inline(per_curve)).where(F.col("total") > 0)
+
+
 def average_precision(matched: DataFrame, truth: DataFrame) -> DataFrame:
     """(dataset, category_id, curve, ap) for every class and curve with truth.
 
     Curves 0-39 are area * 10 + threshold; 40-49 repeat the first ten over the
-    best 100 detections per image. Running counts are wide columns on one row
-    per detection, so the sort moves each detection once.
+    best 100 detections per image. A detection enters only the curves it counts
+    in. Misses only lower the precision, so hits alone become points.
     """
-    hit = F.col("matched").bitwiseAND(F.bitwise_not("ignored"))
-    miss = F.bitwise_not("matched").bitwiseAND(F.bitwise_not("ignored"))
-    bit = lambda mask, k: F.shiftright(mask, k % COMBINATIONS).bitwiseAND(F.lit(1).cast("bigint"))
-    curves = range(COMBINATIONS + STEP)
-    flags = {}
-    for k in curves:
-        for name, mask in (("tp", hit), ("fp", miss)):
-            value = bit(mask, k)
-            flags[f"{name}{k}"] = value if k < COMBINATIONS else F.when(F.col("rank") < MEAN_DETECTIONS, value).otherwise(0)
-    compact = matched.select("dataset", "category_id", "image_id", "rank", "score", "matched", "ignored")
+    keys = ["dataset", "category_id", "curve"]
+    place = F.col("curve") % COMBINATIONS
+    bit = lambda mask: F.call_function("shiftright", F.col(mask), place).bitwiseAND(F.lit(1))
+    every = F.explode(F.sequence(F.lit(0), F.lit(COMBINATIONS + STEP - 1))).alias("curve")
+    entries = matched.select("dataset", "category_id", "image_id", "rank", "score", "matched", "ignored", every).where(
+        (bit("ignored") == 0) & ((F.col("curve") < COMBINATIONS) | (F.col("rank") < MEAN_DETECTIONS))
+    ).select(*keys, "image_id", "rank", "score", bit("matched").cast("int").alias("hit"))
     order = [F.col("score").desc(), F.col("image_id"), F.col("rank")]
     bucket = F.struct((-F.col("score")).alias("s"), F.floor(F.col("image_id") / IMAGE_BLOCK).alias("b"))
-    counts = running_sums(compact, ["dataset", "category_id"], order, bucket, flags)
-    totals = counted_truth(truth)
-    names = list(AREAS)
-    total = lambda k: F.col(f"n_{names[(k % COMBINATIONS) // STEP]}")
-
-    def point(k: int) -> Column:
-        tp, fp = F.col(f"tp{k}"), F.col(f"fp{k}")
-        return F.struct(F.lit(k).alias("curve"), F.when(total(k) > 0, tp / total(k)).alias("recall"),
-                        F.when(tp + fp > 0, tp / (tp + fp)).otherwise(0.0).alias("precision"))
-
-    points = counts.join(totals, ["dataset", "category_id"]).select(
-        "dataset", "category_id", F.inline(F.array(*[point(k) for k in curves])))
+    running = running_sums(entries, keys, order, bucket, {"tp": F.col("hit"), "seen": F.lit(1)})
+    totals = curve_totals(truth)
+    points = running.where(F.col("hit") == 1).join(totals, keys).select(
+        *keys, (F.col("tp") / F.col("total")).alias("recall"), (F.col("tp") / F.col("seen")).alias("precision"))
     near = F.floor(F.col("recall") * RECALL_STEPS)
     reached = F.when((near + 1) * 0.01 <= F.col("recall"), near + 1).when(near * 0.01 > F.col("recall"), near - 1).otherwise(near)
-    best = points.where(F.col("recall").isNotNull()).groupBy("dataset", "category_id", "curve", reached.alias("step")).agg(
-        F.max("precision").alias("p"))
-    curve = Window.partitionBy("dataset", "category_id", "curve")
-    later = curve.orderBy(F.col("step").desc())
+    best = points.groupBy(*keys, reached.alias("step")).agg(F.max("precision").alias("p"))
+    curve = Window.partitionBy(*keys)
     covered = F.col("step") - F.coalesce(F.lag("step").over(curve.orderBy("step")), F.lit(-1))
-    weighted = best.select("dataset", "category_id", "curve", (F.max("p").over(later) * covered).alias("part"))
-    ap = weighted.groupBy("dataset", "category_id", "curve").agg(
-        (F.sum("part") / (RECALL_STEPS + 1)).alias("ap"))
-    wanted = totals.select("dataset", "category_id", F.explode(F.array_compact(F.array(
-        *[F.when(total(k) > 0, F.lit(k)) for k in curves]))).alias("curve"))
-    return wanted.join(ap, ["dataset", "category_id", "curve"], "left").withColumn("ap", F.coalesce("ap", F.lit(0.0)))
+    weighted = best.select(*keys, (F.max("p").over(curve.orderBy(F.col("step").desc())) * covered).alias("part"))
+    ap = weighted.groupBy(*keys).agg((F.sum("part") / (RECALL_STEPS + 1)).alias("ap"))
+    return totals.join(ap, keys, "left").select(*keys, F.coalesce("ap", F.lit(0.0)).alias("ap"))
 
 
 METRICS = ("mAP", "mAP_50", "mAP_75", "mAP_s", "mAP_m", "mAP_l")
@@ -352,4 +353,7 @@ def metric_table(per_dataset: DataFrame) -> DataFrame:
 
 
 def evaluate(dets: DataFrame, truth: DataFrame) -> DataFrame:
-    return metric_table(metrics(average_precision(match(ranked_detections(dets), truth), truth)))
+    """Metric table of raw detections; the matches are written once, read twice."""
+    matched = match(ranked_detections(dets), truth).select(
+        "dataset", "category_id", "image_id", "rank", "score", "matched", "ignored")
+    return metric_table(metrics(average_precision(cut_lineage(matched), truth)))
