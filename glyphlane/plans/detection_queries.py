@@ -70,10 +70,10 @@ boxes AS (SELECT 'd' || k % 3 AS dataset, k AS image_id, CASE lower(label) WHEN
 
 @query("detection_answers", "G5 I2 I3 I4 I5 F20", f"""
 WITH {MEDIA_SQL}, {resize_sql('media', 'r', 32, '768*1024', '12800*1024', False)}, {ANSWER_SQL}
-SELECT dataset, image_id, CAST(category_id AS BIGINT) AS category_id, det_ord, round(x, 6) AS x, round(y, 6) AS y, round(w, 6) AS w, round(h, 6) AS h FROM boxes""")
+SELECT dataset, image_id, CAST(category_id AS BIGINT) AS category_id, det_ord, round(x, 9) AS x, round(y, 9) AS y, round(w, 9) AS w, round(h, 9) AS h FROM boxes""")
 def detection_answers(t: Tables) -> DataFrame:
     found = D.detections(D.parse_answers(_answers(t), "answer"), classes(t))
-    return found.select("dataset", "image_id", "category_id", "det_ord", *[F.round(c, 6).alias(c) for c in "xywh"])
+    return found.select("dataset", "image_id", "category_id", "det_ord", *[F.round(c, 9).alias(c) for c in "xywh"])
 
 
 def truth(t: Tables) -> DataFrame:

@@ -17,7 +17,7 @@ def log_rows(t: Tables) -> DataFrame:
         m = F.struct(F.lit(role).alias("role"), content.alias("content"))
         return m if when is None else F.when(when, m)
 
-    rows = t.documents.select(
+    rows = t.spread("documents", "doc_id", "text", "lang", "source").select(
         "doc_id",
         F.filter(F.array(
             message("system", F.concat(F.lit("Rules for "), "source"), k % 4 != 3),

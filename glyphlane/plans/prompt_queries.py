@@ -27,7 +27,7 @@ def _system_texts(t: Tables) -> DataFrame:
         F.lit("<output>\nYou must ALWAYS respond with a valid JSON here\n{\"thinking\": \"t\", "),
         F.lit(FIELD), F.lit(" \"next_goal\": \"g\"}\n"), F.lit('"action": [1, 2],\n'),
         F.when(k % 2 == 0, "</output>\n").otherwise(""))
-    return t.documents.select(
+    return t.spread("documents", "doc_id", "text", "source").select(
         k, F.concat(F.lit("Intro "), F.col("source"), F.lit("\n"), section, output,
                     F.lit("2. Keep the Action  name in JSON and the action list.\n  "),
                     F.substring_index("text", "\n", 1), F.lit(" \n")).alias("system_text"))
@@ -133,7 +133,7 @@ def _answers(t: Tables) -> DataFrame:
             F.lit('{"'), F.col("event_type"), F.lit('":'),
             F.replace(F.replace("props", F.lit(" "), F.lit("")), F.lit("}"), F.lit(', "t":"ü"}')), F.lit('}, {"wait": 3}'))),
         F.lit("]"), F.when(k % 17 == 0, "").otherwise("}"))
-    return t.events.select(k, "event_type", body.alias("answer"))
+    return t.spread("events", "event_id", "user_id", "event_type", "props").select(k, "event_type", body.alias("answer"))
 
 
 TAGGED_SQL = """

@@ -217,7 +217,8 @@ def value_questions(t: Tables) -> DataFrame:
         .when(form == 3, "Cannot determine the answer").when(form == 4, "A or B").otherwise("Failed to obtain answer via API"))
     choices = F.when(has_options, F.array(*[(q + d).cast("string") for d in (-1, 0, 1)])).otherwise(
         F.array().cast("array<string>"))
-    return t.lineitem.select(
+    rows = t.spread("lineitem", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_returnflag")
+    return rows.select(
         F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("index"), "l_linenumber",
         F.col("l_returnflag").alias("category"), choices.alias("choices"),
         F.when(has_options, "B").otherwise(q.cast("string")).alias("answer"),

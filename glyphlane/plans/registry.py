@@ -7,6 +7,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..sources.readers import spread
+
 TABLES = (
     "region nation customer supplier part orders lineitem events "
     "documents embeddings pages benchmark labels conversations"
@@ -25,6 +27,10 @@ class Tables:
             raise AttributeError(name)
         return self.spark.read.parquet(f"{self._dir}/{name}.parquet")
 
+    def spread(self, name: str, *columns: str) -> DataFrame:
+        """Some columns of a table, for work that is heavy per row."""
+        return spread(getattr(self, name).select(*columns))
+
 
 @dataclass(frozen=True)
 class Query:

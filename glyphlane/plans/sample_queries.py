@@ -30,7 +30,7 @@ def samples(t: Tables) -> DataFrame:
         turn("gpt", F.when(k % 31 == 0, "a <image> b").otherwise(F.concat(F.lit("See "), "lang"))),
         F.when(k % 6 == 5, turn("human", F.lit("And <image> please"))),
         F.when(k % 6 == 5, turn("gpt", F.lit(" Sure "))))
-    record = t.documents.select(k, raw.alias("raw"), F.array_compact(turns).alias("conversations"))
+    record = t.spread("documents", "doc_id", "text", "lang").select(k, raw.alias("raw"), F.array_compact(turns).alias("conversations"))
     parsed = record.withColumn("_v", strict_json(F.col("raw")))
     return parsed.select(
         "doc_id", "conversations", V.media_field(F.col("_v"), "image", "images").alias("images"),

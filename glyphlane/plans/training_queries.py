@@ -132,7 +132,7 @@ def _digest_sql(array: str) -> str:
 def _turn_ids(t: Tables) -> DataFrame:
     mark = lambda *v: F.array(*[F.lit(x).cast("bigint") for x in v])
     reply = F.when(F.col("doc_id") % 7 == 0, F.concat(F.lit("Reply "), "lang"))
-    return t.documents.select("doc_id", F.concat(
+    return t.spread("documents", "doc_id", "text", "lang", "source").select("doc_id", F.concat(
         mark(151644, 872, 198), _ids(F.col("text")), mark(151645, 198),
         mark(151644, 77091, 198), _ids(F.concat("source", F.lit(" says "), "lang")),
         F.when(F.col("doc_id") % 5 == 0, mark()).otherwise(mark(151645, 198)),

@@ -48,7 +48,7 @@ def test_tables(spark, folder):
     assert first(R.read_benchmark(spark, str(folder / "b.tsv"))).image == big
     with gzip.open(folder / "c.jsonl.gz", "wt") as f:
         f.write(json.dumps({"question": "q", "images": ["i"], "starter_code": "", "input_output": "{}"}) + "\n")
-    assert first(R.read_code_problems(spark, str(folder / "c.jsonl.gz"), 2)).question == "q"
+    assert first(R.read_code_problems(spark, str(folder / "c.jsonl.gz"))).question == "q"
 
 
 def test_annotations_and_small_files(spark, folder):
