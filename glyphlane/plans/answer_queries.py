@@ -12,8 +12,6 @@ from ..operators import frames as R
 from .prompt_queries import sql_text
 from .registry import Tables, query
 
-K = F.col("event_id")
-
 
 @query("fenced_answers", "G2 G3 G6 G12", """
 WITH e AS (SELECT event_id, event_id % 5 AS form, replace(props, ' ', '') AS j FROM events)
@@ -21,7 +19,7 @@ SELECT event_id, form = 3 AS parse_error, CASE WHEN form <> 3 THEN j END AS valu
   CASE form WHEN 3 THEN 0 WHEN 4 THEN 2 ELSE 1 END AS listed, CASE WHEN form IN (0, 1) THEN j END AS first_code, form <> 4 AS success
 FROM (SELECT event_id, form, CASE WHEN form = 4 THEN '[' || j || ',' || j || ']' ELSE j END AS j FROM e)""")
 def fenced_answers(t: Tables) -> DataFrame:
-    props, form = F.col("props"), K % 5
+    props, form = F.col("props"), F.col("event_id") % 5
     text = (
         F.when(form == 0, F.concat(F.lit("Here:\n```json\n"), props, F.lit("\n```\nDone ```json\n{}\n```")))
         .when(form == 1, F.concat(F.lit("```\n"), props, F.lit("\n```"))).when(form == 2, props)
@@ -29,7 +27,7 @@ def fenced_answers(t: Tables) -> DataFrame:
         .otherwise(F.concat(F.lit("["), props, F.lit(", "), props, F.lit("]"))))
     listed = F.when(form == 2, F.concat(F.lit("```json"), props, F.lit(" ```"))).when(
         form == 1, F.concat(F.lit("so ["), props, F.lit("] it is"))).otherwise(text)
-    rows = t.events.select(K, A.fenced_json(text).alias("f"), A.list_json(listed).alias("l"), A.first_code_json(text).alias("c"),
+    rows = t.events.select(F.col("event_id"), A.fenced_json(text).alias("f"), A.list_json(listed).alias("l"), A.first_code_json(text).alias("c"),
                            A.extraction_status(F.when(form != 4, text)).alias("s"))
     return rows.select(
         "event_id", F.col("f.parse_error").alias("parse_error"), F.col("f.value").cast("string").alias("value"),
@@ -40,12 +38,12 @@ def fenced_answers(t: Tables) -> DataFrame:
 SELECT event_id, CASE WHEN event_id % 7 = 0 THEN '' WHEN event_id % 7 = 1 THEN event_id % 900 || '.0/5.5/point_1'
   ELSE event_id % 900 || '.0/5.5/' || event_type || ',1.0/2.0/point_2' END AS points FROM events""")
 def point_answers(t: Tables) -> DataFrame:
-    x, kind = (K % 900).cast("string"), F.col("event_type")
+    x, kind = (F.col("event_id") % 900).cast("string"), F.col("event_type")
     first = F.concat(F.lit('{"point_2d": ['), x, F.lit(', 5.5]'))
     named = F.concat(first, F.lit(', "label": "'), kind, F.lit('"}, {"other": 1}, {"point_2d": [1, 2]}]\n```'))
-    text = F.when(K % 7 == 0, "nothing").when(K % 7 == 1, F.concat(F.lit("["), first, F.lit("}]"))).otherwise(
+    text = F.when(F.col("event_id") % 7 == 0, "nothing").when(F.col("event_id") % 7 == 1, F.concat(F.lit("["), first, F.lit("}]"))).otherwise(
         F.concat(F.lit("Sure ```json\n["), named))
-    return t.events.select(K, F.array_join(F.transform(A.points(text), lambda p: F.concat_ws(
+    return t.events.select(F.col("event_id"), F.array_join(F.transform(A.points(text), lambda p: F.concat_ws(
         "/", p["x"].cast("string"), p["y"].cast("string"), p["label"])), ",").alias("points"))
 
 
@@ -61,12 +59,12 @@ SELECT event_id, CASE WHEN event_id % 11 > 0 THEN action END AS action,
        WHEN action = 'swipe' THEN CASE WHEN bare THEN 'missing coordinate, coordinate2' ELSE 'missing coordinate2' END END AS fault,
   event_id % 11 > 0 AND NOT bare AS placed FROM e""")
 def agent_actions(t: Tables) -> DataFrame:
-    action = F.element_at(F.array(*[F.lit(a) for a in MOBILE]), (K % 5 + 1).cast("int"))
-    arguments = F.concat(F.lit('{"action": "'), action, F.when(K % 3 == 0, '"}').otherwise('", "coordinate": [3, 4]}'))
+    action = F.element_at(F.array(*[F.lit(a) for a in MOBILE]), (F.col("event_id") % 5 + 1).cast("int"))
+    arguments = F.concat(F.lit('{"action": "'), action, F.when(F.col("event_id") % 3 == 0, '"}').otherwise('", "coordinate": [3, 4]}'))
     text = F.concat(F.lit("I will act.\n<tool_call>\n{\"name\": \"mobile_use\", \"arguments\": "), arguments,
-                    F.when(K % 11 == 0, "\n</tool_call>").otherwise("}\n</tool_call>"))
+                    F.when(F.col("event_id") % 11 == 0, "\n</tool_call>").otherwise("}\n</tool_call>"))
     names = F.map_keys(F.from_json(F.col("call.arguments").cast("string"), "map<string,string>"))
-    return t.events.select(K, A.tool_call(text).alias("call")).select(
+    return t.events.select(F.col("event_id"), A.tool_call(text).alias("call")).select(
         "event_id", F.col("call.action").alias("action"),
         X.action_fault(F.lit("mobile_use"), F.col("call.action"), F.coalesce(names, F.array().cast("array<string>"))).alias("fault"),
         F.coalesce(F.array_contains(names, "coordinate"), F.lit(False)).alias("placed"))
@@ -108,10 +106,10 @@ WITH f AS (SELECT user_id, event_id, '<' || event_id % 130 || '.0 seconds>' AS t
 a AS (SELECT DISTINCT user_id, CAST(event_id % 13 AS VARCHAR) || CASE WHEN event_id % 2 = 0 THEN '.0' ELSE '' END AS tm, event_id % 13 * 2 + event_id % 2 AS ord FROM events WHERE event_type = 'click')
 SELECT f.user_id, f.event_id, max(a.ord) AS answer_order FROM f LEFT JOIN a ON a.user_id = f.user_id AND contains(f.text, a.tm) GROUP BY ALL""")
 def frame_answers(t: Tables) -> DataFrame:
-    frames = t.events.select("user_id", K, F.concat(F.lit("<"), (K % 130).cast("string"), F.lit(".0 seconds>")).alias("text"))
+    frames = t.events.select("user_id", F.col("event_id"), F.concat(F.lit("<"), (F.col("event_id") % 130).cast("string"), F.lit(".0 seconds>")).alias("text"))
     answers = t.events.where(F.col("event_type") == "click").select(
-        "user_id", F.concat((K % 13).cast("string"), F.when(K % 2 == 0, ".0").otherwise("")).alias("time"),
-        (K % 13 * 2 + K % 2).alias("ord"))
+        "user_id", F.concat((F.col("event_id") % 13).cast("string"), F.when(F.col("event_id") % 2 == 0, ".0").otherwise("")).alias("time"),
+        (F.col("event_id") % 13 * 2 + F.col("event_id") % 2).alias("ord"))
     return R.match_times(frames, answers, ["user_id"], "event_id", "text", "time", "ord").drop("text")
 
 

@@ -10,7 +10,6 @@ from ..operators.ordinal import id_bucket, with_ordinal
 from .check_sql import word_count_sql
 from .registry import Tables, query
 
-WITH_IMAGE = F.col("conv_id") % 3 != 0
 
 TURNS_SQL = """
 placed AS (
@@ -25,8 +24,12 @@ turns AS (SELECT conv_id, turn, CASE WHEN role = 'user' THEN 'human' ELSE 'gpt'
     CASE WHEN conv_id % 3 <> 0 AND role = 'user' AND turn = last_user AND NOT contains(v, '<image>') THEN v || chr(10) || '<image>' ELSE v END AS value FROM merged)"""
 
 
+def _with_image():
+    return F.col("conv_id") % 3 != 0
+
+
 def _turns(t: Tables) -> DataFrame:
-    return C.training_turns(t.conversations, with_image=WITH_IMAGE)
+    return C.training_turns(t.conversations, with_image=_with_image())
 
 
 @query("chat_turns", "D5 D6 D7 D8", f"""
@@ -44,7 +47,7 @@ SELECT conv_id, turns, words + CASE WHEN conv_id % 3 <> 0 THEN 128 ELSE 0 END AS
 def chat_conversion(t: Tables) -> DataFrame:
     role = F.when(F.col("from") == "human", "user").otherwise("assistant")
     texts = C.chat_text(_turns(t), role, F.col("value"))
-    length = F.col("words") + F.when(WITH_IMAGE, C.IMAGE_LENGTH).otherwise(0)
+    length = F.col("words") + F.when(_with_image(), C.IMAGE_LENGTH).otherwise(0)
     return texts.select("conv_id", "turns", length.alias("num_tokens"), "chat_text").orderBy("num_tokens", "conv_id")
 
 
@@ -54,7 +57,7 @@ w AS (SELECT conv_id, CAST(sum({word_count_sql('value')}) AS BIGINT) AS words FR
 SELECT conv_id, words + CASE WHEN conv_id % 3 <> 0 THEN 128 ELSE 0 END AS approx_length,
   CASE WHEN conv_id % 3 <> 0 THEN words ELSE -words END AS signed_length FROM w""")
 def chat_lengths(t: Tables) -> DataFrame:
-    return C.approximate_lengths(_turns(t), has_media=WITH_IMAGE)
+    return C.approximate_lengths(_turns(t), has_media=_with_image())
 
 
 TEMPLATE_SQL = """

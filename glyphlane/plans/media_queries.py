@@ -11,7 +11,6 @@ from .check_sql import resize_sql
 from .registry import Tables, query
 from .views import MEDIA_SQL, media
 
-H, W = F.col("height"), F.col("width")
 
 
 def _text(numbers):
@@ -29,8 +28,8 @@ FROM a JOIN b USING (media_id)""")
 def resize_plan(t: Tables) -> DataFrame:
     return media(t).select(
         "media_id",
-        G.resize_plan(H, W, 28).alias("full"),
-        G.resize_plan(H, W, 28, 16 * 784, 576 * 784).alias("small"),
+        G.resize_plan(F.col("height"), F.col("width"), 28).alias("full"),
+        G.resize_plan(F.col("height"), F.col("width"), 28, 16 * 784, 576 * 784).alias("small"),
     ).select(
         "media_id",
         F.col("full.height").alias("full_height"), F.col("full.width").alias("full_width"),
@@ -56,7 +55,7 @@ FROM own JOIN ask USING (media_id)""")
 def image_item_plan(t: Tables) -> DataFrame:
     k = F.col("media_id")
     plan = G.image_plan(
-        H, W, 16,
+        F.col("height"), F.col("width"), 16,
         resized_height=F.when(k % 4 == 0, 100 + k % 900),
         resized_width=F.when(k % 4 == 0, 80 + k % 700),
         min_pixels=F.when(k % 3 == 0, F.lit(50176)),
@@ -89,20 +88,20 @@ SELECT media_id, plan_error AS error,
 FROM r""")
 def box_coordinates(t: Tables) -> DataFrame:
     k = F.col("media_id")
-    x1, y1 = (k * 7) % W, (k * 11) % H
+    x1, y1 = (k * 7) % F.col("width"), (k * 11) % F.col("height")
     boxes = media(t).select(
-        k, H, W, x1.alias("x1"), y1.alias("y1"),
-        F.least(W, x1 + 5 + k % 300).alias("x2"), F.least(H, y1 + 5 + k % 200).alias("y2"),
-        G.resize_plan_training(H, W).alias("plan"))
+        k, F.col("height"), F.col("width"), x1.alias("x1"), y1.alias("y1"),
+        F.least(F.col("width"), x1 + 5 + k % 300).alias("x2"), F.least(F.col("height"), y1 + 5 + k % 200).alias("y2"),
+        G.resize_plan_training(F.col("height"), F.col("width")).alias("plan"))
     return boxes.select(
         "media_id", F.col("plan.error").alias("error"),
-        G.to_relative(F.col("x1"), W).alias("rel_x1"),
-        G.to_relative(F.col("y2"), H).alias("rel_y2"),
-        F.when(F.col("plan.error").isNull(), G.to_resized(F.col("x2"), W, F.col("plan.width"))).alias("px_x2"),
-        F.when(F.col("plan.error").isNull(), G.to_resized(F.col("y1"), H, F.col("plan.height"))).alias("px_y1"),
-        F.round(G.from_relative(k % 1001, W), 6).alias("back_x"),
-        F.round(G.from_relative((k % 1001) / 2, H, truncate=True), 6).alias("back_point_y"),
-        G.click_position(k % 1000, W).alias("click_x"),
+        G.to_relative(F.col("x1"), F.col("width")).alias("rel_x1"),
+        G.to_relative(F.col("y2"), F.col("height")).alias("rel_y2"),
+        F.when(F.col("plan.error").isNull(), G.to_resized(F.col("x2"), F.col("width"), F.col("plan.width"))).alias("px_x2"),
+        F.when(F.col("plan.error").isNull(), G.to_resized(F.col("y1"), F.col("height"), F.col("plan.height"))).alias("px_y1"),
+        F.round(G.from_relative(k % 1001, F.col("width")), 6).alias("back_x"),
+        F.round(G.from_relative((k % 1001) / 2, F.col("height"), truncate=True), 6).alias("back_point_y"),
+        G.click_position(k % 1000, F.col("width")).alias("click_x"),
         _text(G.box_to_xywh(F.array("x1", "y1", "x2", "y2"))).alias("xywh"),
     )
 
@@ -117,7 +116,7 @@ cut AS (SELECT media_id, height AS h0, width AS w0,
             error="CASE WHEN least(h0, w0) < 2 THEN 'side below 2' WHEN greatest(h0, w0) > 200 * least(h0, w0) THEN 'aspect ratio' END")}
 SELECT media_id, new_height, new_width, plan_error AS error FROM r""")
 def detection_resize_plan(t: Tables) -> DataFrame:
-    plan = G.resize_plan_detection(H, W, 32, 768 * 1024, 2000 * 1024, 2000)
+    plan = G.resize_plan_detection(F.col("height"), F.col("width"), 32, 768 * 1024, 2000 * 1024, 2000)
     return media(t).select("media_id", plan.alias("p")).select(
         "media_id", F.col("p.height").alias("new_height"), F.col("p.width").alias("new_width"),
         F.col("p.error").alias("error"))
@@ -235,14 +234,14 @@ FROM r""")
 def video_frame_plan(t: Tables) -> DataFrame:
     k = F.col("media_id")
     frames = media(t).select(
-        k, H, W, (4 + 2 * (k % 300)).alias("n"),
+        k, F.col("height"), F.col("width"), (4 + 2 * (k % 300)).alias("n"),
         F.when(k % 5 == 0, 24.0 * 1024 * 1024).alias("total"),
         F.when(k % 7 == 0, 200000.0).alias("ask_max"))
     n, total, ask = F.col("n"), F.col("total"), F.col("ask_max")
     return frames.select(
         "media_id", G.video_max_pixels(n, 32, None, total, ask).alias("max_pixels"),
-        G.video_frame_plan(H, W, n, 16, None, total, ask).alias("plan"),
-        G.clip_budget(n, H, W, 4096, 234881024).alias("clip"),
+        G.video_frame_plan(F.col("height"), F.col("width"), n, 16, None, total, ask).alias("plan"),
+        G.clip_budget(n, F.col("height"), F.col("width"), 4096, 234881024).alias("clip"),
     ).select(
         "media_id", F.round("max_pixels", 3).alias("max_pixels"),
         F.col("plan.height").alias("new_height"), F.col("plan.width").alias("new_width"),
@@ -293,7 +292,7 @@ def camera_projection(t: Tables) -> DataFrame:
         ((k * 13) % 200 - 100) / 50, ((k * 17) % 100 - 50) / 50, ((k * 19) % 600) / 100 - 0.5,
         0.2 + (k % 20) / 10, 0.3 + (k % 10) / 10, 0.1 + (k % 30) / 10,
         (k % 90) / 180, (k % 60) / 90, (k % 45) / 60)
-    placed = media(t).select("media_id", box.alias("box"), G.pseudo_camera(W, H).alias("cam"))
+    placed = media(t).select("media_id", box.alias("box"), G.pseudo_camera(F.col("width"), F.col("height")).alias("cam"))
     return placed.select(
         "media_id", "cam", G.project_box3d(F.col("box"), F.col("cam"), angle_scale=180.0).alias("corners"),
     ).select(
@@ -316,9 +315,9 @@ FROM media""")
 def sheet_layout(t: Tables) -> DataFrame:
     page, cell, thumb = F.col("page"), F.col("cell"), F.col("thumb")
     return media(t).select(
-        "media_id", G.page_plan(W, H).alias("page"), G.sheet_cell(F.col("media_id"), 8, W, H).alias("cell"),
-        G.sheet_size(F.col("total_frames"), 8, W, H)["height"].alias("sheet_height"),
-        G.thumbnail_plan(W, H, 512).alias("thumb"),
+        "media_id", G.page_plan(F.col("width"), F.col("height")).alias("page"), G.sheet_cell(F.col("media_id"), 8, F.col("width"), F.col("height")).alias("cell"),
+        G.sheet_size(F.col("total_frames"), 8, F.col("width"), F.col("height"))["height"].alias("sheet_height"),
+        G.thumbnail_plan(F.col("width"), F.col("height"), 512).alias("thumb"),
     ).select(
         "media_id", page["width"].alias("page_width"), page["height"].alias("page_height"),
         cell["row"].alias("sheet_row"), cell["col"].alias("sheet_col"), cell["x"].alias("sheet_x"),

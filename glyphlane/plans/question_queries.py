@@ -13,40 +13,39 @@ from .check_sql import RE_SPACES
 from .prompt_queries import sql_text
 from .registry import Tables, query
 
-K = F.col("c_custkey")
 SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
 
 
 def benchmark(t: Tables) -> DataFrame:
     """Options A to E; every ninth question is open, every fourth lacks D."""
     option = {x: F.lit(s) for x, s in zip("ABCDE", SEGMENTS)}
-    is_open = K % 9 == 0
-    shown = {x: F.when(~is_open & ((K % 4 != 0) | F.lit(x != "D")), v) for x, v in option.items()}
-    gold = F.element_at(F.array(*[F.lit(x) for x in "ABCDE"]), (K % 5 + 1).cast("int"))
+    is_open = F.col("c_custkey") % 9 == 0
+    shown = {x: F.when(~is_open & ((F.col("c_custkey") % 4 != 0) | F.lit(x != "D")), v) for x, v in option.items()}
+    gold = F.element_at(F.array(*[F.lit(x) for x in "ABCDE"]), (F.col("c_custkey") % 5 + 1).cast("int"))
     return t.customer.select(
-        K.cast("string").alias("index"), F.concat(F.lit("Which segment is "), "c_name").alias("question"),
+        F.col("c_custkey").cast("string").alias("index"), F.concat(F.lit("Which segment is "), "c_name").alias("question"),
         *[v.alias(x) for x, v in shown.items()],
-        F.when(is_open, F.concat(F.lit("open "), K.cast("string"))).otherwise(gold).alias("answer"),
-        F.when(K % 6 == 0, F.concat(F.lit("nation "), F.col("c_nationkey").cast("string"))).alias("hint"),
+        F.when(is_open, F.concat(F.lit("open "), F.col("c_custkey").cast("string"))).otherwise(gold).alias("answer"),
+        F.when(F.col("c_custkey") % 6 == 0, F.concat(F.lit("nation "), F.col("c_nationkey").cast("string"))).alias("hint"),
         F.when(F.col("c_nationkey") < 20, F.concat(F.lit("s"), F.col("c_nationkey").cast("string"))).alias("split"))
 
 
 def records(t: Tables) -> DataFrame:
     """Nested prediction records; every 50th names no benchmark question."""
-    gold = F.element_at(F.array(*[F.lit(x) for x in "ABCDE"]), (K % 5 + 1).cast("int"))
-    low = F.element_at(F.array(*[F.lit(x) for x in "ABC"]), (K % 3 + 1).cast("int"))
+    gold = F.element_at(F.array(*[F.lit(x) for x in "ABCDE"]), (F.col("c_custkey") % 5 + 1).cast("int"))
+    low = F.element_at(F.array(*[F.lit(x) for x in "ABC"]), (F.col("c_custkey") % 3 + 1).cast("int"))
     segment = F.col("c_mktsegment")
     said = (
-        F.when(K % 8 == 0, F.when(K % 16 < 8, gold).otherwise("C"))
-        .when(K % 8 == 1, F.concat(F.lit("The answer is ("), low, F.lit(").")))
-        .when(K % 8 == 2, F.concat(F.lit("I think it is "), segment, F.lit(" surely")))
-        .when(K % 8 == 3, "Sorry, I can't help with images of people yet.")
-        .when(K % 8 == 4, "A or B")
-        .when(K % 8 == 5, "Failed to obtain answer via API: x")
-        .when(K % 8 == 6, F.concat(F.lit("A man holds "), F.lower(segment), F.lit(" today")))
-        .otherwise(F.when(K % 16 == 7, "Z").otherwise("none of these")))
-    raw = F.concat(F.when(K % 2 == 0, "<think>maybe E</think>\n ").otherwise(""), said, F.lit(" \n"))
-    index = F.when(K % 50 == 49, F.concat(F.lit("x"), K.cast("string"))).otherwise(K.cast("string"))
+        F.when(F.col("c_custkey") % 8 == 0, F.when(F.col("c_custkey") % 16 < 8, gold).otherwise("C"))
+        .when(F.col("c_custkey") % 8 == 1, F.concat(F.lit("The answer is ("), low, F.lit(").")))
+        .when(F.col("c_custkey") % 8 == 2, F.concat(F.lit("I think it is "), segment, F.lit(" surely")))
+        .when(F.col("c_custkey") % 8 == 3, "Sorry, I can't help with images of people yet.")
+        .when(F.col("c_custkey") % 8 == 4, "A or B")
+        .when(F.col("c_custkey") % 8 == 5, "Failed to obtain answer via API: x")
+        .when(F.col("c_custkey") % 8 == 6, F.concat(F.lit("A man holds "), F.lower(segment), F.lit(" today")))
+        .otherwise(F.when(F.col("c_custkey") % 16 == 7, "Z").otherwise("none of these")))
+    raw = F.concat(F.when(F.col("c_custkey") % 2 == 0, "<think>maybe E</think>\n ").otherwise(""), said, F.lit(" \n"))
+    index = F.when(F.col("c_custkey") % 50 == 49, F.concat(F.lit("x"), F.col("c_custkey").cast("string"))).otherwise(F.col("c_custkey").cast("string"))
     return t.customer.select(
         F.struct(index.alias("index"), F.struct(A.strip_reasoning(raw).alias("gen"), raw.alias("gen_raw")).alias("result"),
                  index.alias("question_id")).alias("r")).select(
@@ -55,12 +54,12 @@ def records(t: Tables) -> DataFrame:
 
 
 def judge(t: Tables) -> DataFrame:
-    k = K.cast("string")
+    k = F.col("c_custkey").cast("string")
     answer = lambda n, text: F.struct(F.lit(n).alias("attempt"), text.alias("text"))
     return t.customer.select(k.alias("index"), F.explode(F.array(
         answer(0, F.lit("Failed to obtain answer via API")),
-        answer(1, F.when(K % 3 == 0, "B").otherwise("unclear")),
-        answer(2, F.when(K % 3 == 1, "Z").otherwise(F.concat(F.lit("maybe "), F.lower("c_mktsegment")))),
+        answer(1, F.when(F.col("c_custkey") % 3 == 0, "B").otherwise("unclear")),
+        answer(2, F.when(F.col("c_custkey") % 3 == 1, "Z").otherwise(F.concat(F.lit("maybe "), F.lower("c_mktsegment")))),
     )).alias("j")).select("index", "j.*")
 
 
@@ -168,7 +167,7 @@ FROM m""")
 def question_prompts(t: Tables) -> DataFrame:
     renamed = Q.unify_names(benchmark(t).withColumnRenamed("hint", "Hint").withColumnRenamed("index", "Index"))
     options = C.options_map({x: F.col(x) for x in "ABCDE"})
-    segment = t.customer.select(K.cast("string").alias("index"), "c_mktsegment")
+    segment = t.customer.select(F.col("c_custkey").cast("string").alias("index"), "c_mktsegment")
     q = renamed.join(segment, "index").withColumn("options", options)
     question, hint = F.col("question"), F.col("hint")
     items = T.request_items(
@@ -187,13 +186,13 @@ SELECT CAST(c_custkey AS VARCHAR) AS index, c_custkey AS number,
   CASE WHEN c_custkey % 3 = 0 THEN c_custkey || 'a.jpg,' || c_custkey || 'b.jpg' WHEN c_custkey % 3 = 1 THEN 'it''s ' || c_custkey || ',2' ELSE c_custkey || '.jpg' END AS paths
 FROM customer c""")
 def benchmark_rows(t: Tables) -> DataFrame:
-    k = K.cast("string")
+    k = F.col("c_custkey").cast("string")
     paths = (
-        F.when(K % 3 == 0, F.concat(F.lit('["'), k, F.lit('a.jpg", "'), k, F.lit('b.jpg"]')))
-        .when(K % 3 == 1, F.concat(F.lit("['it\\'s "), k, F.lit("', 2]")))
+        F.when(F.col("c_custkey") % 3 == 0, F.concat(F.lit('["'), k, F.lit('a.jpg", "'), k, F.lit('b.jpg"]')))
+        .when(F.col("c_custkey") % 3 == 1, F.concat(F.lit("['it\\'s "), k, F.lit("', 2]")))
         .otherwise(F.concat(k, F.lit(".jpg"))))
     raw = t.customer.select(
-        k.alias("index"), F.when(K % 5 == 4, (K - 1).cast("string")).otherwise(F.repeat("c_name", F.lit(5))).alias("image"),
+        k.alias("index"), F.when(F.col("c_custkey") % 5 == 4, (F.col("c_custkey") - 1).cast("string")).otherwise(F.repeat("c_name", F.lit(5))).alias("image"),
         paths.alias("image_path"))
     resolved = Q.list_cells(Q.resolve_images(raw), "image_path")
     return resolved.select("index", Q.numeric_index(raw).alias("number"), F.md5(F.col("image").cast("binary")).alias("image_digest"),
