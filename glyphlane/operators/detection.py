@@ -304,16 +304,21 @@ def average_precision(matched: DataFrame, truth: DataFrame) -> DataFrame:
     """(dataset, category_id, curve, ap) for every class and curve with truth.
 
     Curves 0-39 are area * 10 + threshold; 40-49 repeat the first ten over the
-    best 100 detections per image. A detection enters only the curves it counts
-    in. Misses only lower the precision, so hits alone become points.
+    best 100 detections per image, worked out only for classes where an image has
+    more. A detection enters only the curves it counts in. Misses only lower the
+    precision, so hits alone become points.
     """
     keys = ["dataset", "category_id", "curve"]
     place = F.col("curve") % COMBINATIONS
     bit = lambda mask: F.call_function("shiftright", F.col(mask), place).bitwiseAND(F.lit(1))
-    every = F.explode(F.sequence(F.lit(0), F.lit(COMBINATIONS + STEP - 1))).alias("curve")
-    entries = matched.select("dataset", "category_id", "image_id", "rank", "score", "matched", "ignored", every).where(
-        (bit("ignored") == 0) & ((F.col("curve") < COMBINATIONS) | (F.col("rank") < MEAN_DETECTIONS))
-    ).select(*keys, "image_id", "rank", "score", bit("matched").cast("int").alias("hit"))
+    span = lambda first, last: F.explode(F.sequence(F.lit(first), F.lit(last))).alias("curve")
+    columns = ["dataset", "category_id", "image_id", "rank", "score", "matched", "ignored"]
+    deep = matched.where(F.col("rank") >= MEAN_DETECTIONS).select("dataset", "category_id").distinct()
+    few = matched.where(F.col("rank") < MEAN_DETECTIONS).join(deep, ["dataset", "category_id"], "left_semi")
+    spanned = matched.select(*columns, span(0, COMBINATIONS - 1)).unionByName(
+        few.select(*columns, span(COMBINATIONS, COMBINATIONS + STEP - 1)))
+    entries = spanned.where(bit("ignored") == 0).select(
+        *keys, "image_id", "rank", "score", bit("matched").cast("int").alias("hit"))
     order = [F.col("score").desc(), F.col("image_id"), F.col("rank")]
     bucket = F.struct((-F.col("score")).alias("s"), F.floor(F.col("image_id") / IMAGE_BLOCK).alias("b"))
     running = running_sums(entries, keys, order, bucket, {"tp": F.col("hit"), "seen": F.lit(1)})
@@ -327,7 +332,11 @@ def average_precision(matched: DataFrame, truth: DataFrame) -> DataFrame:
     covered = F.col("step") - F.coalesce(F.lag("step").over(curve.orderBy("step")), F.lit(-1))
     weighted = best.select(*keys, (F.max("p").over(curve.orderBy(F.col("step").desc())) * covered).alias("part"))
     ap = weighted.groupBy(*keys).agg((F.sum("part") / (RECALL_STEPS + 1)).alias("ap"))
-    return totals.join(ap, keys, "left").select(*keys, F.coalesce("ap", F.lit(0.0)).alias("ap"))
+    flagged = ap.join(deep.withColumn("_deep", F.lit(True)), ["dataset", "category_id"], "left")
+    shared = F.when((F.col("curve") < STEP) & F.col("_deep").isNull(), F.array("curve", F.col("curve") + COMBINATIONS))
+    known = flagged.select("dataset", "category_id", "ap", F.explode(
+        F.coalesce(shared, F.array("curve"))).alias("curve"))
+    return totals.join(known, keys, "left").select(*keys, F.coalesce("ap", F.lit(0.0)).alias("ap"))
 
 
 METRICS = ("mAP", "mAP_50", "mAP_75", "mAP_s", "mAP_m", "mAP_l")
