@@ -7,9 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .bin_packing import best_fit_packing
+from .bpe import bpe_round_trip, with_digests
 from .common import table
 from .exact_dedup import exact_dedup
 from .line_dedup import line_dedup
+from .token_files import read_documents, token_files_folder, write_token_files
 from .topk import exact_topk
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -69,3 +72,28 @@ def op6(spark, sf_dir):
     return line_dedup(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256")
     )
+
+
+def tokenizer(name: str) -> str:
+    """A public vocabulary file of this machine; operators take any path."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query("op5_token_files")
+def op5(spark, sf_dir):
+    manifest = write_token_files(
+        table(spark, sf_dir, "documents"), token_files_folder(spark), tokenizer("word_bpe_49k.json"), end_id=2
+    )
+    return read_documents(manifest)
+
+
+@query("op8_bpe_automaton")
+def op8(spark, sf_dir):
+    return with_digests(bpe_round_trip(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json")))
+
+
+@query("op9_best_fit_packing")
+def op9(spark, sf_dir):
+    return best_fit_packing(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"), end_id=1)
