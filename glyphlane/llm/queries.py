@@ -14,6 +14,7 @@ from .exact_dedup import exact_dedup
 from .line_dedup import line_dedup
 from .token_files import read_documents, token_files_folder, write_token_files
 from .topk import exact_topk
+from .toxicity import toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -97,3 +98,8 @@ def op8(spark, sf_dir):
 @query("op9_best_fit_packing")
 def op9(spark, sf_dir):
     return best_fit_packing(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"), end_id=1)
+
+
+@query("op4_toxicity")
+def op4(spark, sf_dir):
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
