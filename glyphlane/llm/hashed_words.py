@@ -42,7 +42,7 @@ def _powers(base: np.uint64, n: int) -> np.ndarray:
 
 
 LOW = _powers(BASE, 1 << 16)
-HIGH = _powers(np.multiply(LOW[-1], BASE), 1 << 12)
+HIGH = _powers((LOW[-1:] * BASE)[0], 1 << 12)
 
 
 def run_hashes(data: np.ndarray, begins: np.ndarray) -> np.ndarray:
@@ -123,5 +123,5 @@ def combined(words: np.ndarray, firsts: np.ndarray, size: int) -> tuple[np.ndarr
     out[whole] = mix(sums[source[whole]])
     for t in short.tolist():
         some = words[firsts[t] : firsts[t + 1]]
-        out[out_firsts[t]] = mix(np.array([(some * factors[: len(some)]).sum() + np.uint64(len(some)) * BASE]))[0]
+        out[out_firsts[t]] = mix((some * factors[: len(some)]).sum(keepdims=True) + LOW[len(some)])[0]
     return out, out_firsts

@@ -11,7 +11,10 @@ from .bin_packing import best_fit_packing
 from .bpe import bpe_round_trip, with_digests
 from .common import table
 from .exact_dedup import exact_dedup
+from .license_scan import license_scan
+from .license_texts import known_texts
 from .line_dedup import line_dedup
+from .quality import quality
 from .token_files import read_documents, token_files_folder, write_token_files
 from .topk import exact_topk
 from .toxicity import toxicity
@@ -103,3 +106,41 @@ def op9(spark, sf_dir):
 @query("op4_toxicity")
 def op4(spark, sf_dir):
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def _canonical_sql(text: str) -> str:
+    out = f"translate(coalesce({text}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    out = rf"regexp_replace({out}, '(^|\n)[^a-z0-9\n©(]*(copyright[ \t:]*(\(c\)|©|[0-9])|\(c\)[ \t]*[0-9]|©)[^\n]*', chr(10), 'g')"
+    out = rf"regexp_replace({out}, '[\x00-/:-@\[-`{{-\x7f‘’“”–—•©]+', ' ', 'g')"
+    for pair in (
+        "'licenc', 'licens'", "'sub licens', 'sublicens'", "'non commercial', 'noncommercial'", "'non infring', 'noninfring'",
+        "'whilst', 'while'", "'isation', 'ization'", "'favour', 'favor'", "'judgement', 'judgment'",
+        "'acknowledgement', 'acknowledgment'", "'per cent', 'percent'", "'copyright owner', 'copyright holder'", "'https ', 'http '",
+    ):
+        out = f"replace({out}, {pair})"
+    return f"trim({out})"
+
+
+_KNOWN_ROWS = ", ".join("('{}', '{}')".format(i, t.replace("'", "''")) for i, t in known_texts())
+
+
+@query("op7_license_scan", f"""
+    WITH known(known_id, known_text) AS (VALUES {_KNOWN_ROWS}),
+    digests AS (SELECT sha256({_canonical_sql('known_text')}) AS digest, min(known_id) AS known_id FROM known GROUP BY 1),
+    units AS (
+      SELECT doc_id, 0 AS place, coalesce(text, '') AS unit FROM documents
+      UNION ALL SELECT doc_id, 1, unnest(string_split(coalesce(text, ''), chr(10))) FROM documents),
+    hits AS (
+      SELECT doc_id, place, u.digest, known_id
+      FROM (SELECT doc_id, place, sha256({_canonical_sql('unit')}) AS digest FROM units) u LEFT JOIN digests USING (digest))
+    SELECT doc_id, min(known_id) FILTER (place = 0) AS license_id,
+           coalesce(string_agg(DISTINCT known_id, ',' ORDER BY known_id) FILTER (place = 1), '') AS notice_ids,
+           count(known_id) FILTER (place = 1) AS n_notices, max(digest) FILTER (place = 0) AS canonical_sha256
+    FROM hits GROUP BY doc_id""")
+def op7(spark, sf_dir):
+    return license_scan(table(spark, sf_dir, "documents"))
+
+
+@query("op10_quality")
+def op10(spark, sf_dir):
+    return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
