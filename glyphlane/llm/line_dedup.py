@@ -14,6 +14,7 @@ from hashlib import blake2b
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import written
 
@@ -41,45 +42,39 @@ def _line_keys(shortest: int):
     return run
 
 
-def _without_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        texts, drops = batch.column(1).to_pylist(), batch.column(2).to_pylist()
-        total, dropped, kept = [], [], []
-        for text, places in zip(texts, drops):
-            text = text or ""
-            if places:
-                gone = {p for some in places for p in some}
-                lines = text.split("\n")
-                total.append(len(lines))
-                kept.append("\n".join(x for i, x in enumerate(lines) if i not in gone))
-                dropped.append(len(gone))
-            else:
-                total.append(text.count("\n") + 1)
-                kept.append(text)
-                dropped.append(0)
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(total, pa.int64()), pa.array(dropped, pa.int64()), pa.array(kept, pa.string())],
-            ["doc_id", "n_lines", "n_dropped", "kept_text"],
-        )
+def _without_lines(text_at: int):
+    """Of rows with places to drop as last column: all other columns, text shortened, then both counts."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            total, dropped, kept = [], [], []
+            for text, places in zip(batch.column(text_at).to_pylist(), batch.columns[-1].to_pylist()):
+                text = text or ""
+                if places:
+                    gone = {p for some in places for p in some}
+                    lines = text.split("\n")
+                    total.append(len(lines))
+                    kept.append("\n".join(x for i, x in enumerate(lines) if i not in gone))
+                    dropped.append(len(gone))
+                else:
+                    total.append(text.count("\n") + 1)
+                    kept.append(text)
+                    dropped.append(0)
+            columns = batch.columns[:-1]
+            columns[text_at] = pa.array(kept, pa.string())
+            yield pa.RecordBatch.from_arrays(
+                [*columns, pa.array(total, pa.int64()), pa.array(dropped, pa.int64())],
+                [*batch.schema.names[:-1], "n_lines", "n_dropped"],
+            )
 
-def line_dedup(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shortest: int = 20, least_docs: int = 3
-) -> DataFrame:
-    """One row per input row: doc_id, n_lines, n_dropped, kept_text.
+    return run
 
-    A line's key is the line without blanks at its ends, A-Z in lower case.
-    Keys of at least ``shortest`` code points held by at least ``least_docs``
-    documents lose all lines but those of the largest id that holds them. Null
-    text is one empty line. Rows with a null id neither count nor lose lines;
-    rows that repeat an id are one document for the counts, and its places to
-    drop hold for each of them. Other columns are not read.
-    """
-    source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+
+def line_drops(docs: DataFrame, id_col: str, text_col: str, shortest: int, least_docs: int) -> DataFrame:
+    """id and the places of the lines that it loses, as lists of lists."""
     lines = written(
-        source.filter("doc_id is not null").mapInArrow(
-            _line_keys(shortest), "key binary, doc_id bigint, places array<int>"
-        ),
+        docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).filter("doc_id is not null")
+        .mapInArrow(_line_keys(shortest), "key binary, doc_id bigint, places array<int>"),
         "line-keys",
     )
     common = (
@@ -87,10 +82,30 @@ def line_dedup(
         .groupBy("key").agg(F.count(F.lit(1)).alias("docs"), F.max("doc_id").alias("last_doc"))
         .filter(F.col("docs") >= least_docs)
     )
-    drops = (
+    return (
         lines.join(common, "key").filter("doc_id <> last_doc")
         .groupBy("doc_id").agg(F.collect_list("places").alias("places"))
     )
-    return source.join(drops, "doc_id", "left").select("doc_id", "text", "places").mapInArrow(
-        _without_lines, "doc_id bigint, n_lines bigint, n_dropped bigint, kept_text string"
-    )
+
+
+def line_dedup(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shortest: int = 20, least_docs: int = 3
+) -> DataFrame:
+    """The input rows with all their columns, their text without its dropped lines, and n_lines, n_dropped.
+
+    A line's key is the line without blanks at its ends, A-Z in lower case.
+    Keys of at least ``shortest`` code points held by at least ``least_docs``
+    documents lose all lines but those of the largest id that holds them. Null
+    text is one empty line, and comes back empty. Rows with a null id neither
+    count nor lose lines; rows that repeat an id are one document for the
+    counts, and its places to drop hold for each of them. Input columns named
+    n_lines or n_dropped give way to the counts.
+    """
+    docs = docs.drop("n_lines", "n_dropped")
+    drops = line_drops(docs, id_col, text_col, shortest, least_docs)
+    own, places = (f"{x}_{len(docs.columns)}_{'_'.join(docs.columns)}" for x in ("id", "places"))  # names that no column has
+    drops = drops.select(F.col("doc_id").alias(own), F.col("places").alias(places))
+    joined = docs.join(drops, F.col(id_col) == F.col(own), "left").drop(own)
+    schema = T.StructType([*(T.StructField(f.name, T.StringType() if f.name == text_col else f.dataType) for f in docs.schema),
+                           T.StructField("n_lines", T.LongType()), T.StructField("n_dropped", T.LongType())])
+    return joined.mapInArrow(_without_lines(docs.columns.index(text_col)), schema)

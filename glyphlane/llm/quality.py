@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from .hashed_words import FOLD, NOT_BLANK, WORD, chunks, combined, mix, run_hashes, words_of
-from .labelled import fit_in_task, labelled_sample, scored
+from .labelled import fit_in_task, labelled_sample, rows_scoring, scored
 
 #: Buckets of word terms, and after them of shape and repetition terms.
 WORD_BUCKETS = 1 << 14
@@ -203,6 +203,19 @@ def fit_quality(
     return Neighbours.from_bytes(fit_in_task(labelled_sample(docs, labels, label_col, per_class, id_col, text_col), fit))
 
 
+def scorer(docs: DataFrame, model: Neighbours):
+    """A function for tasks; at most 2 * ``per_class`` vectors and the projection are broadcast."""
+    shared = docs.sparkSession.sparkContext.broadcast(model.to_bytes())
+    kept: list[Neighbours] = []
+
+    def score(texts: pa.Array) -> np.ndarray:
+        if not kept:
+            kept.append(Neighbours.from_bytes(shared.value))
+        return kept[0].scores(texts)
+
+    return score
+
+
 def quality(
     docs: DataFrame, labels: DataFrame, threshold: float = 0.3, per_class: int = 2500, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -215,13 +228,13 @@ def quality(
     score alike, neighbours of one similarity vote alike; an empty table gives
     no rows; other columns are not read.
     """
-    model = fit_quality(docs, labels, per_class, id_col, text_col).to_bytes()
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # at most 2 * per_class vectors and the projection
-    kept: list[Neighbours] = []
+    score = scorer(docs, fit_quality(docs, labels, per_class, id_col, text_col))
+    return scored(docs, score, threshold, id_col, text_col)
 
-    def score(texts: pa.Array) -> np.ndarray:
-        if not kept:
-            kept.append(Neighbours.from_bytes(shared.value))
-        return kept[0].scores(texts)
 
-    return scored(docs, score, threshold, id_col, text_col)
+def of_quality(
+    docs: DataFrame, labels: DataFrame, threshold: float = 0.3, per_class: int = 2500, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """The rows that score ``threshold`` or more, with all their columns."""
+    score = scorer(docs, fit_quality(docs, labels, per_class, id_col, text_col))
+    return rows_scoring(docs, score, lambda scores: scores >= threshold, text_col)

@@ -14,6 +14,7 @@ from .exact_dedup import exact_dedup
 from .license_scan import license_scan
 from .license_texts import known_texts
 from .line_dedup import line_dedup
+from .near_dedup import minhash_components
 from .quality import quality
 from .token_files import read_documents, token_files_folder, write_token_files
 from .topk import exact_topk
@@ -73,8 +74,8 @@ def op3(spark, sf_dir):
            sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (NOT gone), '')) AS kept_sha256
     FROM m GROUP BY doc_id""")
 def op6(spark, sf_dir):
-    return line_dedup(table(spark, sf_dir, "documents")).select(
-        "doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256")
+    return line_dedup(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
+        "doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256")
     )
 
 
@@ -144,3 +145,8 @@ def op7(spark, sf_dir):
 @query("op10_quality")
 def op10(spark, sf_dir):
     return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op2_minhash_near_dedup")
+def op2(spark, sf_dir):
+    return minhash_components(table(spark, sf_dir, "documents"))

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from .hashed_words import FOLD, WORD, chunks, mix, run_hashes, words_of
-from .labelled import fit_in_task, labelled_sample, remainder, scored
+from .labelled import fit_in_task, labelled_sample, remainder, rows_scoring, scored
 
 PREFIXES = (5, 6, 7)
 RANK = 8
@@ -150,6 +150,19 @@ def fit_toxicity(
     return Machine.from_bytes(fit_in_task(labelled_sample(docs, labels, label_col, per_class, id_col, text_col), fit))
 
 
+def scorer(machine: Machine):
+    """A function for tasks; the machine, bounded by its number of terms, goes along as bytes."""
+    model = machine.to_bytes()
+    kept: list[Machine] = []
+
+    def score(texts: pa.Array) -> np.ndarray:
+        if not kept:
+            kept.append(Machine.from_bytes(model))
+        return kept[0].scores(texts)
+
+    return score
+
+
 def toxicity(
     docs: DataFrame, labels: DataFrame, threshold: float = 0.5, per_class: int = 4096, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -161,12 +174,12 @@ def toxicity(
     only, every score is the same. Repeated rows score alike; an empty table
     gives no rows; other columns are not read.
     """
-    model = fit_toxicity(docs, labels, per_class, id_col, text_col).to_bytes()
-    kept: list[Machine] = []
+    return scored(docs, scorer(fit_toxicity(docs, labels, per_class, id_col, text_col)), threshold, id_col, text_col)
 
-    def score(texts: pa.Array) -> np.ndarray:
-        if not kept:
-            kept.append(Machine.from_bytes(model))
-        return kept[0].scores(texts)
 
-    return scored(docs, score, threshold, id_col, text_col)
+def without_toxic(
+    docs: DataFrame, labels: DataFrame, threshold: float = 0.5, per_class: int = 4096, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """The rows that score below ``threshold``, with all their columns."""
+    score = scorer(fit_toxicity(docs, labels, per_class, id_col, text_col))
+    return rows_scoring(docs, score, lambda scores: scores < threshold, text_col)
