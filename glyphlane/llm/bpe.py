@@ -62,7 +62,7 @@ class MergeAutomaton:
             u, v, made = vocabulary[left], vocabulary[right], vocabulary[left + right]
             if self.born[made]:
                 raise ValueError("two merges make one token")
-            if not self.arc(u, self.step[u], v):
+            if NEVER in (self.born[u], self.born[v]) or not self.arc(u, self.step[u], v):  # no path to rewrite
                 self.born[made], self.first[made] = NEVER, u
                 continue
             self.born[made], self.first[made] = step, u
