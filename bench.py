@@ -26,7 +26,7 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "4")
     repeats = int(os.environ.get("BENCH_REPEATS", "1"))
     spark = build_session("bench", f"local[{cpus}]", **{
-        "spark.sql.shuffle.partitions": cpus, "spark.driver.memory": os.environ.get("BENCH_MEMORY", "7g")})
+        "spark.sql.shuffle.partitions": cpus, "glyphlane.spread": cpus, "spark.driver.memory": os.environ.get("BENCH_MEMORY", "7g")})
     spark.sparkContext.setLogLevel("ERROR")
     tables, known = Tables(spark, folder), load_queries()
     tables.region.collect()  # the session's own start is not a query's time

@@ -33,9 +33,9 @@ def options_map(columns: dict[str, Column]) -> Column:
 
 
 def options_from_list(choices: Column) -> Column:
-    """Letters by position for an option list."""
-    letters = F.array(*[F.lit(x) for x in LETTERS])
-    return F.map_from_arrays(F.slice(letters, F.lit(1), F.size(choices)), choices)
+    """Letters by position for an option list; the signs after Z follow in code order."""
+    code = lambda i: F.lpad(F.hex(i + ord("A")), 4, "0")
+    return F.map_from_arrays(F.transform(choices, lambda c, i: F.decode(F.unhex(code(i)), "UTF-16BE")), choices)
 
 
 def option_letter(answer: Column, options: Column) -> Column:

@@ -8,6 +8,9 @@ from __future__ import annotations
 
 import ast
 import json
+import math
+import operator
+import sys
 
 import pandas as pd
 from pyspark.sql import functions as F
@@ -48,23 +51,35 @@ def messages_from_text(cells: pd.Series) -> pd.Series:
     return cells.map(_messages)
 
 
+LOG_MESSAGES = T.ArrayType(T.StructType().add("role", TEXT).add("content", TEXT).add("as_is", TEXT))
+
+
 def _written(cell):
-    """Every message as it stands; None when the cell is no readable list."""
+    """Every message; text of the three roles as content, any other as its own literal.
+
+    An assistant's text comes in the tagged format. None when the cell is no
+    readable list of messages.
+    """
     if cell is None:
         return None
     try:
-        value = ast.literal_eval(cell)
-        found = [{"role": m.get("role", ""), "content": m.get("content", "")} for m in value]
+        found = []
+        for m in ast.literal_eval(cell):
+            role, content = m.get("role", ""), m.get("content", "")
+            if role in ROLES and isinstance(content, str):
+                found.append({"role": role, "content": _answer_text(content) if role == "assistant" else content, "as_is": None})
+            elif role == "system":
+                return None  # its sections can only be cut from text
+            else:
+                found.append({"role": str(role), "content": None, "as_is": repr(m)})
+        return found
     except Exception:  # noqa: BLE001  unreadable cells stay as they are
         return None
-    if any(not isinstance(v, str) for m in found for v in m.values()):
-        return None
-    return found
 
 
-@F.pandas_udf(MESSAGES)
+@F.pandas_udf(LOG_MESSAGES)
 def messages_as_written(cells: pd.Series) -> pd.Series:
-    """All role/content pairs of a Python-literal cell, NULL when unreadable."""
+    """All messages of a Python-literal cell, NULL when unreadable."""
     return cells.map(_written)
 
 
@@ -116,10 +131,13 @@ def _answer_text(cell):
     whole = f"<thinking>\n{cell}\n</thinking>"
     try:
         fields = json.loads(cell)
-        thinking = fields["thinking"] if "thinking" in fields else ""
-        for key, title in ANSWER_TITLES:
-            if key in fields:
-                thinking = thinking + f"\n\n{title}: {fields[key]}"
+        if isinstance(fields, (list, str)):  # neither holds answer fields, unless by chance as items
+            fields = {k: None for k in ANSWER_FIELDS if k in fields}
+            if fields:
+                raise TypeError("fields")
+        parts = [fields["thinking"]] if "thinking" in fields else []
+        parts += [f"\n\n{title}: {fields[key]}" for key, title in ANSWER_TITLES if key in fields]
+        thinking = "".join(parts)
         calls = []
         actions = fields.get("action")
         if isinstance(actions, list):
@@ -142,6 +160,7 @@ ANSWER_TITLES = (
     ("memory", "Memory"),
     ("next_goal", "Next Goal"),
 )
+ANSWER_FIELDS = ("thinking", *(key for key, _ in ANSWER_TITLES), "action")
 
 
 @F.pandas_udf(TEXT)
@@ -150,41 +169,62 @@ def tagged_answer(cells: pd.Series) -> pd.Series:
     return cells.map(_answer_text)
 
 
-@F.pandas_udf(T.ArrayType(TEXT))
-def tagged_answers(cells: pd.Series) -> pd.Series:
-    return cells.map(lambda row: None if row is None else [_answer_text(c) for c in row])
-
-
 @F.pandas_udf(TEXT)
 def messages_to_literal(rows: pd.Series) -> pd.Series:
     """Python text of a message list, as log cells hold it."""
-    return rows.map(lambda row: None if row is None else str(
-        [{"role": m["role"], "content": m["content"]} for m in row]))
+    def printed(m):
+        return m["as_is"] if m["as_is"] is not None else repr({"role": m["role"], "content": m["content"]})
+
+    return rows.map(lambda row: None if row is None else "[" + ", ".join(map(printed, row)) + "]")
 
 
 VALUE_TOLERANCE = 1e-6
-ALLOWED = (ast.Expression, ast.BinOp, ast.UnaryOp, ast.Constant, ast.Add, ast.Sub, ast.Mult,
-           ast.Div, ast.Pow, ast.Mod, ast.FloorDiv, ast.UAdd, ast.USub)
+BINARY = {ast.Add: operator.add, ast.Sub: operator.sub, ast.Mult: operator.mul, ast.Div: operator.truediv,
+          ast.FloorDiv: operator.floordiv, ast.Mod: operator.mod}
+UNARY = {ast.UAdd: operator.pos, ast.USub: operator.neg}
+
+
+def _power(base, exponent):
+    """Exact for whole numbers within a double's range, else as floats; raises beyond it."""
+    if isinstance(base, int) and isinstance(exponent, int) and exponent >= 0 and abs(base) > 1:
+        if exponent * math.log2(abs(base)) > sys.float_info.max_exp:
+            raise OverflowError("beyond a double")
+        return base**exponent
+    if isinstance(base, int) and isinstance(exponent, int) and exponent >= 0:
+        return base ** (exponent % 2 or min(exponent, 2))
+    return float(base) ** exponent
+
+
+def _value(tree: ast.Expression):
+    """Value of a tree of numbers and arithmetic signs, without recursion; raises for anything else."""
+    todo, values = [(tree.body, False)], []
+    while todo:
+        node, ready = todo.pop()
+        if isinstance(node, ast.Constant) and type(node.value) in (int, float):
+            values.append(node.value)
+        elif isinstance(node, ast.UnaryOp) and not ready:
+            todo += [(node, True), (node.operand, False)]
+        elif isinstance(node, ast.BinOp) and not ready:
+            todo += [(node, True), (node.right, False), (node.left, False)]
+        elif isinstance(node, ast.UnaryOp):
+            values.append(UNARY[type(node.op)](values.pop()))
+        elif isinstance(node, ast.BinOp):
+            right, left = values.pop(), values.pop()
+            values.append(_power(left, right) if isinstance(node.op, ast.Pow) else BINARY[type(node.op)](left, right))
+        else:
+            raise ValueError("no arithmetic")
+    return values.pop()
 
 
 def _arithmetic(text):
-    """Number of a plain arithmetic text, None for anything else."""
-    if text is None or len(text) > 200:
+    """Number of a plain arithmetic text of any length, None for anything else or beyond a double."""
+    if text is None:
         return None
     try:
-        tree = ast.parse(text.strip(), mode="eval")
-        for node in ast.walk(tree):
-            if not isinstance(node, ALLOWED):
-                return None
-            if isinstance(node, ast.Constant) and not isinstance(node.value, (int, float)):
-                return None
-            if isinstance(node, ast.BinOp) and isinstance(node.op, ast.Pow):
-                power = node.right
-                if not isinstance(power, ast.Constant) or abs(power.value) > 64:
-                    return None
-        return float(eval(compile(tree, "<answer>", "eval"), {"__builtins__": {}}))  # noqa: S307
+        value = float(_value(ast.parse(text.strip(), mode="eval")))
     except Exception:  # noqa: BLE001
         return None
+    return value if math.isfinite(value) else None
 
 
 @F.pandas_udf(T.BooleanType())

@@ -154,11 +154,44 @@ def _limit(first: Column, second: Column) -> Column:
     return F.coalesce(F.when((first != "") & ~(F.coalesce(number, F.lit(1.0)) == 0), first), second)
 
 
-def _printed(value: Column) -> Column:
-    """Default value as Python prints it."""
+def _python_float(number: Column) -> Column:
+    """A double as Python prints it."""
+    size = F.abs(number)
+    java = number.cast("string")
+    plain = F.regexp_replace(F.format_string("%.17f", number), r"(\.\d+?)0+$", "$1")
+    short = F.when(java.contains("E"), F.when(
+        (size >= 1e-4) & (size < 1e16), F.when(size >= 1, F.concat(number.cast("decimal(38,0)").cast("string"), F.lit(".0"))).otherwise(
+            number.cast("decimal(38,18)").cast("string"))).otherwise(F.concat(
+                F.regexp_replace(F.substring_index(java, "E", 1), r"\.0$", ""),
+                F.when(F.substring_index(java, "E", -1).startswith("-"), "e-").otherwise("e+"),
+                F.lpad(F.regexp_replace(F.substring_index(java, "E", -1), "^-", ""), 2, "0"))))
+    return F.regexp_replace(F.coalesce(short, java, plain), r"(\.\d+?)0+$", "$1")
+
+
+def _python_scalar(value: Column, quoted: bool) -> Column:
+    """A variant that is no list or object as Python prints it, alone or within a list."""
     kind = F.schema_of_variant(value)
     text = F.try_variant_get(value, "$", "string")
-    return F.when(kind == "BOOLEAN", F.initcap(text)).when(kind != "VOID", text)
+    escaped = F.replace(F.replace(F.replace(text, F.lit("\\"), F.lit("\\\\")), F.lit("\n"), F.lit("\\n")), F.lit("\t"), F.lit("\\t"))
+    mark = F.when(text.contains("'") & ~text.contains('"'), '"').otherwise("'")
+    inner = F.when(text.contains("'") & text.contains('"'), F.replace(escaped, F.lit("'"), F.lit("\\'"))).otherwise(escaped)
+    return (
+        F.when(kind == "BOOLEAN", F.initcap(text)).when(kind == "VOID", "None")
+        .when(kind == "DOUBLE", _python_float(F.try_variant_get(value, "$", "double")))
+        .when((kind == "STRING") & F.lit(quoted), F.concat(mark, inner, mark)).otherwise(text))
+
+
+def _printed(value: Column) -> Column:
+    """Default value as Python prints it; lists and objects within lists and objects stay JSON."""
+    kind = F.schema_of_variant(value)
+    items = F.transform(F.try_variant_get(value, "$", "array<variant>"), lambda v: _python_scalar(v, True))
+    fields = F.transform(F.map_entries(F.try_variant_get(value, "$", "map<string,variant>")), lambda e: F.concat(
+        F.lit("'"), e["key"], F.lit("': "), _python_scalar(e["value"], True)))
+    return (
+        F.when(kind == "VOID", None)
+        .when(kind.startswith("ARRAY"), F.concat(F.lit("["), F.array_join(items, ", "), F.lit("]")))
+        .when(kind.startswith("OBJECT"), F.concat(F.lit("{"), F.array_join(fields, ", "), F.lit("}")))
+        .otherwise(_python_scalar(value, False)))
 
 
 def _parameter_line(name: Column, p: Column) -> Column:

@@ -20,6 +20,7 @@ from ..functions.uris import base_name
 # Fixed values of the log conversion.
 IMAGE_TOKENS = 128
 MAX_TOKENS = 20000
+WHOLE_NUMBER = r"^\s*([+-]?\d+)(?:\.0*)?\s*$"
 IMAGE_ENDINGS = ("jpg", "jpeg", "png", "JPG", "JPEG", "PNG")  # later ones win
 
 
@@ -63,7 +64,9 @@ def convert_logs(
     """
     trimmed = F.btrim(F.col("image_payload_id"), F.lit(WHITESPACE))
     wanted = F.when(trimmed != "", trimmed)
-    given = F.expr("try_cast(total_tokens AS double)").cast("bigint")
+    # whole numbers only; anything else is counted from the messages
+    written = F.regexp_extract(F.col("total_tokens"), WHOLE_NUMBER, 1)
+    given = F.when(written != "", written.try_cast("bigint"))
     # The turns are built below the join: each record once, whatever is asked above.
     built = let(F.col("parsed"), lambda m: F.struct(
         (F.size(m) > 0).alias("any"),

@@ -20,6 +20,7 @@ CALL_BASED = "\nPlease write your code using Call-Based format."
 STARTER = "\nThe starter code is provided as below. Please finish the code.\n"
 IMAGE_MARK = r"!\[image\]\(.*?\)"
 RELATIVE, ABSOLUTE, DECIMALS = 1e-5, 1e-8, 3
+NUMBER = r"(?i)^[+-]?((\d+(\.\d*)?|\.\d+)(e[+-]?\d+)?|inf|infinity|nan)$"
 PASSED, FAILED, ERROR, TIMEOUT = 1, 0, -1, -2
 
 # -----------------------------------------------------------------------------------------
@@ -54,8 +55,12 @@ def catalogue(input_output: Column) -> Column:
     return let(strict_json(input_output), read)
 
 
+def _number(text: Column) -> Column:
+    return F.when(text.rlike(NUMBER), text.try_cast("double"))
+
+
 def _numbers(lines: Column) -> Column:
-    return F.transform(lines, lambda x: strip(x).try_cast("double"))
+    return F.transform(lines, lambda x: _number(strip(x)))
 
 
 def _all_close(a: Column, b: Column) -> Column:
@@ -68,11 +73,17 @@ def _token_sets(lines: Column) -> Column:
 
 
 def _rounded_sets(lines: Column) -> Column:
-    values = F.transform(lines, lambda x: F.transform(words(x), lambda w: F.bround(w.try_cast("double"), DECIMALS)))
+    values = F.transform(lines, lambda x: F.transform(words(x), lambda w: F.bround(_number(w), DECIMALS)))
     whole = F.forall(values, lambda v: F.forall(v, lambda n: n.isNotNull()))
     return F.when(whole, F.array_sort(F.array_distinct(F.transform(values, lambda v: F.array_sort(F.array_distinct(v))))))
 
 
+def expected_text(expected_json: Column) -> Column:
+    """The expected output of a test as text; a list of lines is joined."""
+    return let(strict_json(expected_json), lambda v: F.when(
+        kind(v) == "ARRAY", F.array_join(F.try_variant_get(v, "$", "array<string>"), "\n")).otherwise(F.try_variant_get(v, "$", "string")))
+
+
 def output_matches(output: Column, expected: Column) -> Column:
     """Whether captured lines count as the expected text.
 
@@ -97,13 +108,17 @@ def output_matches(output: Column, expected: Column) -> Column:
 
 
 def value_matches(output: Column, expected: Column) -> Column:
-    """Whether a returned JSON value equals the expected one or its first element."""
+    """Whether a returned JSON value equals the expected one or its first element.
+
+    An expected object stands for a list of it alone.
+    """
     text = lambda v: v.cast("string")
     o, e = strict_json(output), strict_json(expected)
     first = F.when(kind(e) == "ARRAY", F.try_variant_get(e, "$[0]", "variant"))
     number = lambda v: F.when(~kind(v).isin("STRING", "BOOLEAN", "ARRAY", "OBJECT"), F.try_variant_get(v, "$", "double"))
     same = lambda a, b: F.coalesce((text(a) == text(b)) & (kind(a) == kind(b)), F.lit(False)) | F.coalesce(number(a) == number(b), F.lit(False))
-    return same(o, e) | same(o, first)
+    alone = (kind(e) == "OBJECT") & (text(o) == F.concat(F.lit("["), text(e), F.lit("]")))
+    return same(o, e) | same(o, first) | F.coalesce(alone, F.lit(False))
 
 
 def tally(results: DataFrame, problem_id: str, code: str = "code") -> DataFrame:

@@ -34,7 +34,6 @@ MAX_DETECTIONS = 1000
 MEAN_DETECTIONS = 100  # the mean over all thresholds looks at these only
 RECALL_STEPS = 100
 IMAGE_BLOCK = 1024
-CELL_GROUP = 64  # truth boxes of one image and class from which cells pay
 
 # ---------------------------------------------------------------------------------------
 
@@ -109,7 +108,7 @@ def detections(parsed: DataFrame, classes: DataFrame, relative: bool = False) ->
 
     x1, y1, x2, y2 = pixels(0, "width"), pixels(1, "height"), pixels(2, "width"), pixels(3, "height")
     return joined.select(
-        *IMAGE, "category_id", "class_index", (F.col("d.first") * 1000000 + F.col("d.place")).cast("bigint").alias("det_ord"),
+        *IMAGE, "category_id", "class_index", (F.col("d.first").cast("bigint") * 2**31 + F.col("d.place")).alias("det_ord"),
         x1.alias("x"), y1.alias("y"), (x2 - x1).alias("w"), (y2 - y1).alias("h"), F.lit(1.0).alias("score"))
 
 
@@ -141,10 +140,8 @@ def candidate_pairs(ranked: DataFrame, truth: DataFrame) -> DataFrame:
     Half overlap bounds both the ratio of the widths (2) and the shift (half the
     wider one), so truth is keyed by the power of two of its width and a cell of
     four times that size, and a detection looks into the few cells it can reach.
-    Only images with many boxes of a class need this; in the others the key is
-    the group itself. Crowd regions know no such bound and join on the group.
+    Crowd regions know no such bound and join on the group.
     """
-    busy = truth.groupBy(*GROUP).count().where(F.col("count") > CELL_GROUP).select(*GROUP, F.lit(True).alias("busy"))
     det = ranked.where((F.col("w") > 0) & (F.col("h") > 0)).select(*GROUP, "rank", *[F.col(c).alias(f"d{c}") for c in "xywh"])
     gt = truth.select(*GROUP, "gt_id", "area", F.col("iscrowd").cast("boolean").alias("crowd"),
                       *[F.col(c).alias(f"g{c}") for c in "xywh"])
@@ -158,12 +155,9 @@ def candidate_pairs(ranked: DataFrame, truth: DataFrame) -> DataFrame:
         return F.transform(cells, lambda c: place(level, c))
 
     probes = F.flatten(F.transform(F.array(*[F.lit(d) for d in (-1, 0, 1)]), lambda d: reach(_level(F.col("dw")) + d)))
-    whole = place(F.lit(0), F.lit(0))
-    keyed_det = det.join(busy, GROUP, "left").select(
-        *det.columns, F.inline(F.when(F.col("busy"), probes).otherwise(F.array(whole))))
-    home = F.when(F.col("busy"), place(_level(F.col("gw")), F.floor(
-        F.col("gx") / F.pow(F.lit(2.0), _level(F.col("gw")) + 2)))).otherwise(whole)
-    keyed_gt = gt.where(~F.col("crowd") & (F.col("gw") > 0) & (F.col("gh") > 0)).join(busy, GROUP, "left").select(
+    keyed_det = det.select(*det.columns, F.inline(probes))
+    home = place(_level(F.col("gw")), F.floor(F.col("gx") / F.pow(F.lit(2.0), _level(F.col("gw")) + 2)))
+    keyed_gt = gt.where(~F.col("crowd") & (F.col("gw") > 0) & (F.col("gh") > 0)).select(
         *gt.columns, home["level"].alias("level"), home["cell"].alias("cell"))
     plain = keyed_det.join(keyed_gt, [*GROUP, "level", "cell"])
     crowds = det.join(gt.where("crowd"), GROUP)
@@ -171,17 +165,18 @@ def candidate_pairs(ranked: DataFrame, truth: DataFrame) -> DataFrame:
     return plain.select(*shown).unionByName(crowds.select(*shown)).where(F.col("iou") >= THRESHOLDS[0])
 
 
-def bounded_pairs(pairs: DataFrame) -> DataFrame:
-    """Pairs a greedy matching can use, at most 1000 per detection and size band.
+def bounded_pairs(pairs: DataFrame, limit: int = MAX_DETECTIONS) -> DataFrame:
+    """Pairs a greedy matching can use, at most ``limit`` per detection and size band.
 
-    At most 999 other detections can take truth from a detection, so a truth box
-    that 1000 better ones of its own size band precede is never reached.
+    ``limit`` detections are ranked, so at most ``limit`` - 1 others can take
+    truth from one; a truth box that ``limit`` better ones of its own size band
+    precede is never reached.
     """
     band = (F.when(F.col("area") < SMALL, 0).when(F.col("area") == SMALL, 1).when(F.col("area") < LARGE, 2)
             .when(F.col("area") == LARGE, 3).otherwise(4)) + F.when(F.col("crowd"), 5).otherwise(0)
     order = Window.partitionBy(*GROUP, "rank", "_band").orderBy(F.col("iou").desc(), F.col("gt_id").desc())
     return pairs.withColumn("_band", band).withColumn("_n", F.row_number().over(order)).where(
-        F.col("_n") <= MAX_DETECTIONS).drop("_n", "_band")
+        F.col("_n") <= limit).drop("_n", "_band")
 
 
 def _bits(n: int) -> int:

@@ -9,15 +9,15 @@ from ..functions import literals as L
 from ..functions.prompts import system_prompt, user_text
 
 
-def convert_messages(parsed: Column, answers: Column, catalog: Column | None) -> Column:
-    """Rewritten messages; ``answers`` holds the tagged text for every position."""
-    def rewritten(m: Column, i: Column) -> Column:
+def convert_messages(parsed: Column, catalog: Column | None) -> Column:
+    """Rewritten messages; answers are in the tagged format already."""
+    def rewritten(m: Column) -> Column:
         content = (
-            F.when(m["role"] == "system", system_prompt(m["content"], catalog))
+            F.when(m["as_is"].isNotNull(), m["content"])
+            .when(m["role"] == "system", system_prompt(m["content"], catalog))
             .when(m["role"] == "user", user_text(m["content"]))
-            .when(m["role"] == "assistant", F.get(answers, i))
             .otherwise(m["content"]))
-        return F.struct(m["role"].alias("role"), content.alias("content"))
+        return F.struct(m["role"].alias("role"), content.alias("content"), m["as_is"].alias("as_is"))
 
     return F.transform(parsed, rewritten)
 
@@ -25,13 +25,12 @@ def convert_messages(parsed: Column, answers: Column, catalog: Column | None) ->
 def convert_cells(rows: DataFrame, catalog: Column | None = None, cell: str = "messages") -> DataFrame:
     """Replaces the cell by its converted literal text; unreadable cells stay.
 
-    ``status`` tells converted cells from kept ones.
+    Contents that are no text and messages of other roles pass through as they
+    are. ``status`` tells converted cells from kept ones.
     """
     parsed = rows.withColumn("_parsed", L.messages_as_written(F.col(cell)))
-    told = parsed.withColumn("_answers", L.tagged_answers(F.transform(
-        "_parsed", lambda m: F.when(m["role"] == "assistant", m["content"]))))
-    built = told.withColumn("_out", L.messages_to_literal(F.when(
-        F.col("_parsed").isNotNull(), convert_messages(F.col("_parsed"), F.col("_answers"), catalog))))
+    built = parsed.withColumn("_out", L.messages_to_literal(F.when(
+        F.col("_parsed").isNotNull(), convert_messages(F.col("_parsed"), catalog))))
     return built.select(
         *[c for c in rows.columns if c != cell],
         F.coalesce("_out", cell, F.lit("[]")).alias(cell),

@@ -88,7 +88,7 @@ def extract_options(questions: DataFrame, judge: DataFrame, question_id: str, op
     per question, count where the rules leave it open: the first that names an
     option wins, and without one a repeatable random pick stands in.
     """
-    told = judge.where(F.col("attempt") < attempts).groupBy(question_id).agg(
+    told = judge.where((F.col("attempt") < attempts) & ~F.col("text").contains(C.API_FAILURE)).groupBy(question_id).agg(
         F.array_sort(F.collect_list(F.struct("attempt", "text"))).alias("_told"))
     ruled = questions.withColumn("_rule", C.infer_option(F.col("prediction"), F.col(options)))
     usable = F.filter(

@@ -46,7 +46,7 @@ def _answers(t: Tables) -> DataFrame:
         short = (k % 11 == 0) & (i == 1)
         return F.concat(F.lit('{"bbox_2d": ['), F.when(short, "1, 2, 3").otherwise(coords), F.lit('], "label": "'), label, F.lit('"}'))
 
-    count = (k % 6).cast("int")
+    count = F.when(k == 7, 2500).otherwise(k % 6).cast("int")  # one answer of very many boxes
     items = F.when(count > 0, F.transform(F.sequence(F.lit(0), count - 1), box)).otherwise(F.array().cast("array<string>"))
     listed = F.concat(F.lit("["), F.array_join(items, ",\n"), F.when(k % 13 == 0, ', {"bbox_2d": [1, 2, 3, 4]}').otherwise(""), F.lit("]"))
     text = F.when(k % 4 == 0, F.concat(F.lit("```json\n"), listed, F.lit("\n```"))).when(
@@ -59,12 +59,12 @@ ANSWER_SQL = f"""
 q AS (SELECT media_id AS k, height, width, new_height AS rh, new_width AS rw FROM r),
 b AS (SELECT q.*, i.i, (k * 3 + i * 11) % 900 + 1 AS x1, (k * 5 + i * 7) % 900 + 2 AS y1, (k * 3 + i * 11) % 900 + 60 AS x2, (k * 5 + i * 7) % 900 + 80 AS y2,
     ['cat', 'dog', 'CAT', 'wolf', 'Bird'][(k + i) % 5 + 1] AS label
-  FROM q, LATERAL (SELECT unnest(range(k % 6)) AS i) i
+  FROM q, LATERAL (SELECT unnest(range(CASE WHEN k = 7 THEN 2500 ELSE k % 6 END)) AS i) i
   WHERE NOT (k % 11 = 0 AND i = 1) AND NOT (k % 13 = 0) AND NOT (k % 4 = 3 AND k % 3 = 0)),
 p AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY i) - 1 AS place FROM b),
 f AS (SELECT *, min(place) OVER (PARTITION BY k, label) + 1 AS first FROM p),
 boxes AS (SELECT 'd' || k % 3 AS dataset, k AS image_id, CASE lower(label) WHEN 'cat' THEN 1 WHEN 'dog' THEN 11 WHEN 'bird' THEN 21 END AS category_id,
-   first * 1000000 + place AS det_ord, x1 / rw * width AS x, y1 / rh * height AS y, x2 / rw * width - x1 / rw * width AS w, y2 / rh * height - y1 / rh * height AS h
+   first * 2147483648 + place AS det_ord, x1 / rw * width AS x, y1 / rh * height AS y, x2 / rw * width - x1 / rw * width AS w, y2 / rh * height - y1 / rh * height AS h
    FROM f WHERE label <> 'wolf')"""
 
 

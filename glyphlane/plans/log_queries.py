@@ -41,7 +41,8 @@ def log_rows(t: Tables) -> DataFrame:
     return rows.select(
         "doc_id", cell.alias("messages"),
         F.when(k % 10 == 0, "  ").when(k % 17 != 0, F.concat(F.lit(" "), k.cast("string"))).alias("image_payload_id"),
-        F.when(k % 4 == 0, (1000 + k * 7 % 20000).cast("string")).when(k % 4 == 1, "n/a")
+        F.when(k % 4 == 0, (1000 + k * 7 % 20000).cast("string")).when(
+            k % 4 == 1, F.element_at(F.array(*[F.lit(x) for x in ("n/a", "nan", "inf", "1e30", "500d", " 12. ")]), F.floor(k / 4).cast("int") % 6 + 1))
         .when(k % 4 == 2, F.concat((k % 500).cast("string"), F.lit(".0"))).alias("total_tokens"))
 
 
@@ -61,7 +62,7 @@ log AS (
     CASE WHEN doc_id % 4 <> 3 THEN 'Rules for ' || source END AS s1, CASE WHEN doc_id % 5 = 0 THEN 'Second rules' END AS s2,
     CASE WHEN doc_id % 6 = 0 THEN 'See <image> now' ELSE 'And now?' END AS second_text,
     CASE WHEN doc_id % 10 = 0 OR doc_id % 17 = 0 THEN NULL ELSE doc_id END AS image_id,
-    CASE doc_id % 4 WHEN 0 THEN 1000 + doc_id * 7 % 20000 WHEN 2 THEN doc_id % 500 END AS given
+    CASE doc_id % 4 WHEN 0 THEN 1000 + doc_id * 7 % 20000 WHEN 2 THEN doc_id % 500 WHEN 1 THEN CASE WHEN doc_id // 4 % 6 = 5 THEN 12 END END AS given
   FROM documents),
 pics AS (SELECT DISTINCT doc_id AS image_id, doc_id || CASE WHEN doc_id % 4 = 0 THEN '.PNG' ELSE '.jpeg' END AS image FROM labels),
 turned AS (

@@ -100,7 +100,8 @@ SELECT p_partkey, {sql_text(chr(10).join(P.CATALOG_HEADER))} || chr(10) || '- to
   || chr(10) || '    * size (integer): ' || CASE WHEN p_partkey % 2 = 0 THEN 'how big, ' ELSE '' END || 'default: ' || p_size
   || CASE WHEN p_size % 4 = 0 THEN ', max: 50' ELSE ', range: [' || p_size % 4 || ', 50]' END
   || chr(10) || '    * fast (boolean): default: ' || CASE WHEN p_partkey % 2 = 0 THEN 'True' ELSE 'False' END
-  || chr(10) || '    * kind (unknown)' AS catalog
+  || chr(10) || '    * kind (unknown)' || CASE p_partkey % 5 WHEN 1 THEN ': default: [''x'', 1, True, None, "it''s", 1.5]' WHEN 2 THEN ': default: 1e+20'
+       WHEN 3 THEN ': default: {{''a'': 2, ''b'': ''c''}}' WHEN 4 THEN ': default: it''s' ELSE '' END AS catalog
 FROM part""")
 def tool_catalogs(t: Tables) -> DataFrame:
     k, size = F.col("p_partkey"), F.col("p_size")
@@ -109,17 +110,20 @@ def tool_catalogs(t: Tables) -> DataFrame:
         F.when(k % 3 > 0, F.col("p_name")).otherwise(""), F.lit('","params":{"size":{"type":"integer","description":"'),
         F.when(k % 2 == 0, "how big").otherwise(""), F.lit('","default":'), size.cast("string"), F.lit(',"minimum":'),
         (size % 4).cast("string"), F.lit(',"maximum":50},"fast":{"type":"boolean","default":'),
-        (k % 2 == 0).cast("string"), F.lit('},"kind":{"default":null}}}]}'))
+        (k % 2 == 0).cast("string"), F.lit('},"kind":{"default":'),
+        F.when(k % 5 == 1, '["x", 1, true, null, "it\'s", 1.5]').when(k % 5 == 2, "1e20").when(k % 5 == 3, '{"a": 2, "b": "c"}').when(
+            k % 5 == 4, '"it\'s"').otherwise("null"), F.lit("}}}]}"))
     return t.part.select(k, P.catalog_text(text).alias("catalog"))
 
 
 ANSWERS_SQL = """
-a AS (SELECT event_id, event_type, props, value, event_id % 17 = 0 AS broken,
+a AS (SELECT event_id, event_type, props, value, event_id % 17 = 0 AND event_id % 31 > 3 AS broken,
   CASE WHEN event_id % 3 = 0 THEN '' ELSE 'saw ' || event_type END AS thinking,
+  CASE event_id % 31 WHEN 0 THEN '{"thinking": 5}' WHEN 1 THEN '{"thinking": null}' WHEN 2 THEN '[]' WHEN 3 THEN '"abc"' ELSE
   '{"thinking": "' || CASE WHEN event_id % 3 = 0 THEN '' ELSE 'saw ' || event_type END || '", "memory": "é ' || user_id || '", '
   || CASE WHEN event_id % 2 = 0 THEN '"next_goal": ' || user_id || ', ' ELSE '' END
   || '"action": [' || CASE WHEN event_id % 5 = 0 THEN '' ELSE '{"' || event_type || '":' || replace(replace(props, ' ', ''), '}', ', "t":"ü"}') || '}, {"wait": 3}' END || ']'
-  || CASE WHEN event_id % 17 = 0 THEN '' ELSE '}' END AS answer, user_id FROM events)"""
+  || CASE WHEN event_id % 17 = 0 THEN '' ELSE '}' END END AS answer, user_id FROM events)"""
 
 
 def _answers(t: Tables) -> DataFrame:
@@ -133,11 +137,13 @@ def _answers(t: Tables) -> DataFrame:
             F.lit('{"'), F.col("event_type"), F.lit('":'),
             F.replace(F.replace("props", F.lit(" "), F.lit("")), F.lit("}"), F.lit(', "t":"ü"}')), F.lit('}, {"wait": 3}'))),
         F.lit("]"), F.when(k % 17 == 0, "").otherwise("}"))
+    body = F.when(k % 31 == 0, '{"thinking": 5}').when(k % 31 == 1, '{"thinking": null}').when(k % 31 == 2, "[]").when(
+        k % 31 == 3, '"abc"').otherwise(body)
     return t.spread("events", "event_id", "user_id", "event_type", "props").select(k, "event_type", body.alias("answer"))
 
 
 TAGGED_SQL = """
-tagged AS (SELECT event_id, event_type, answer, CASE WHEN broken THEN '<thinking>' || chr(10) || answer || chr(10) || '</thinking>'
+tagged AS (SELECT event_id, event_type, answer, CASE WHEN event_id % 31 IN (2, 3) THEN '' WHEN broken OR event_id % 31 < 2 THEN '<thinking>' || chr(10) || answer || chr(10) || '</thinking>'
   ELSE '<thinking>' || chr(10) || thinking || chr(10) || chr(10) || 'Memory: é ' || user_id
     || CASE WHEN event_id % 2 = 0 THEN chr(10) || chr(10) || 'Next Goal: ' || user_id ELSE '' END || chr(10) || '</thinking>'
     || CASE WHEN event_id % 5 = 0 THEN '' ELSE chr(10) || chr(10) || '<tool_call>' || chr(10) || event_type || '(' || replace(props, '}', ', "t": "ü"}') || ')'
@@ -167,12 +173,15 @@ def user_texts(t: Tables) -> DataFrame:
 WITH {ANSWERS_SQL}, {TAGGED_SQL},
 c AS (SELECT *, '[{{''role'': ''user'', ''content'': ''look <browser_state>x</browser_state>at ' || event_type || '''}}, {{''role'': ''assistant'', ''content'': ''' || answer || '''}}' AS cell FROM tagged)
 SELECT event_id,
-  CASE WHEN event_id % 29 = 0 THEN 'oops' ELSE '[{{''role'': ''user'', ''content'': ''look at ' || event_type || '''}}, {{''role'': ''assistant'', ''content'': ''' || replace(tagged, chr(10), '\\n') || '''}}]' END AS messages,
+  CASE WHEN event_id % 29 = 0 THEN 'oops' ELSE '[{{''role'': ''user'', ''content'': ''look at ' || event_type || '''}}, {{''role'': ''assistant'', ''content'': ''' || replace(tagged, chr(10), '\\n') || '''}}'
+    || CASE event_id % 7 WHEN 0 THEN ', {{''role'': ''user'', ''content'': [{{''type'': ''image'', ''n'': 1}}], ''extra'': None}}' WHEN 1 THEN ', {{''role'': ''tool'', ''content'': ''as <browser_state>is</browser_state>''}}' ELSE '' END || ']' END AS messages,
   CASE WHEN event_id % 29 = 0 THEN 'kept' ELSE 'converted' END AS status
 FROM c""")
 def converted_cells(t: Tables) -> DataFrame:
     cell = F.concat(
         F.lit("[{'role': 'user', 'content': 'look <browser_state>x</browser_state>at "), F.col("event_type"),
-        F.lit("'}, {'role': 'assistant', 'content': '"), F.col("answer"), F.lit("'}]"))
+        F.lit("'}, {'role': 'assistant', 'content': '"), F.col("answer"), F.lit("'}"),
+        F.when(F.col("event_id") % 7 == 0, ", {'role': 'user', 'content': [{'type': 'image', 'n': 1}], 'extra': None}").when(
+            F.col("event_id") % 7 == 1, ", {'role': 'tool', 'content': 'as <browser_state>is</browser_state>'}").otherwise(""), F.lit("]"))
     rows = _answers(t).select("event_id", F.when(F.col("event_id") % 29 == 0, "oops").otherwise(cell).alias("messages"))
     return convert_cells(rows)

@@ -57,7 +57,7 @@ def judge(t: Tables) -> DataFrame:
     k = F.col("c_custkey").cast("string")
     answer = lambda n, text: F.struct(F.lit(n).alias("attempt"), text.alias("text"))
     return t.customer.select(k.alias("index"), F.explode(F.array(
-        answer(0, F.lit("Failed to obtain answer via API")),
+        answer(0, F.lit("Failed to obtain answer via API, building")),
         answer(1, F.when(F.col("c_custkey") % 3 == 0, "B").otherwise("unclear")),
         answer(2, F.when(F.col("c_custkey") % 3 == 1, "Z").otherwise(F.concat(F.lit("maybe "), F.lower("c_mktsegment")))),
     )).alias("j")).select("index", "j.*")
@@ -209,12 +209,14 @@ def value_questions(t: Tables) -> DataFrame:
     has_options = F.col("l_suppkey") % 3 == 0
     value = (
         F.when(form == 0, whole).when(form == 1, F.concat(q.cast("string"), F.lit(" ")))
-        .when(form == 2, F.concat(doubled, F.lit("/2"))).when(form == 3, (q + 1).cast("string"))
+        .when(form == 2, F.when(F.col("l_linenumber") % 3 == 0, F.concat(doubled, F.lit("/2"))).when(
+            F.col("l_linenumber") % 3 == 1, F.concat(F.repeat(F.lit("0+"), F.lit(150)), whole)).otherwise(F.concat(F.lit("2**65-2**65+"), whole))).when(form == 3, (q + 1).cast("string"))
         .when(form == 4, F.concat(F.lit("\\frac{"), doubled, F.lit("}{2}"))).otherwise(F.concat(F.lit("about "), whole)))
     letter = (
         F.when(form == 0, "B").when(form == 1, "(A)").when(form == 2, F.concat(F.lit("it is "), q.cast("string")))
         .when(form == 3, "Cannot determine the answer").when(form == 4, "A or B").otherwise("Failed to obtain answer via API"))
-    choices = F.when(has_options, F.array(*[(q + d).cast("string") for d in (-1, 0, 1)])).otherwise(
+    offered = F.sequence(F.lit(-1), F.when(F.col("l_linenumber") == 2, 28).otherwise(1))
+    choices = F.when(has_options, F.transform(offered, lambda d: (q + d).cast("string"))).otherwise(
         F.array().cast("array<string>"))
     rows = t.spread("lineitem", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_returnflag")
     return rows.select(
@@ -237,7 +239,8 @@ VALUE_SQL = """
 v0 AS (SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS index, l_returnflag AS category, l_linenumber AS n,
    l_suppkey % 3 = 0 AS opt, (l_partkey + l_linenumber) % 6 AS form, CAST(l_quantity AS VARCHAR) AS q FROM lineitem),
 v1 AS (SELECT *, CASE WHEN opt THEN CASE form WHEN 0 THEN 'B' WHEN 1 THEN 'A' WHEN 2 THEN 'B' WHEN 3 THEN 'Z' END
-    ELSE CASE form WHEN 0 THEN CAST(CAST(CAST(q AS DOUBLE) AS BIGINT) AS VARCHAR) WHEN 1 THEN q || ' ' WHEN 2 THEN CAST(CAST(CAST(q AS DOUBLE) * 2 AS BIGINT) AS VARCHAR) || '/2'
+    ELSE CASE form WHEN 0 THEN CAST(CAST(CAST(q AS DOUBLE) AS BIGINT) AS VARCHAR) WHEN 1 THEN q || ' ' WHEN 2 THEN CASE n % 3 WHEN 0 THEN CAST(CAST(CAST(q AS DOUBLE) * 2 AS BIGINT) AS VARCHAR) || '/2'
+           WHEN 1 THEN repeat('0+', 150) || CAST(CAST(CAST(q AS DOUBLE) AS BIGINT) AS VARCHAR) ELSE '2**65-2**65+' || CAST(CAST(CAST(q AS DOUBLE) AS BIGINT) AS VARCHAR) END
          WHEN 4 THEN '\\frac{' || CAST(CAST(CAST(q AS DOUBLE) * 2 AS BIGINT) AS VARCHAR) || '}{2}' END END AS early FROM v0),
 v2 AS (SELECT *, early IS NOT NULL AS prefetched, CASE WHEN n >= 7 THEN '' WHEN n % 2 = 1 THEN CASE WHEN opt THEN 'B' ELSE q END ELSE 'C' END AS told FROM v1),
 v3 AS (SELECT *, coalesce(early, told) AS res, CASE WHEN prefetched THEN 'rule' ELSE 'judge' END AS extract_model,

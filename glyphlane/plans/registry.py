@@ -7,8 +7,6 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..sources.readers import spread
-
 TABLES = (
     "region nation customer supplier part orders lineitem events "
     "documents embeddings pages benchmark labels conversations"
@@ -28,8 +26,13 @@ class Tables:
         return self.spark.read.parquet(f"{self._dir}/{name}.parquet")
 
     def spread(self, name: str, *columns: str) -> DataFrame:
-        """Some columns of a table, for work that is heavy per row."""
-        return spread(getattr(self, name).select(*columns))
+        """Some columns of a table, for work that is heavy per row.
+
+        The session setting ``glyphlane.spread`` names a number of partitions
+        to deal them to; a cluster whose tables have enough splits sets none.
+        """
+        rows, wanted = getattr(self, name).select(*columns), self.spark.conf.get("glyphlane.spread", None)
+        return rows if wanted is None else rows.repartition(int(wanted))
 
 
 @dataclass(frozen=True)

@@ -40,19 +40,10 @@ def read_packed_samples(spark: SparkSession, path: str, data_path: str | None =
     return _normalised(rows.withColumn("data_path", F.lit(data_path).cast("string")), ["pack_id", "pos_in_pack", "data_path"])
 
 
-def spread(rows: DataFrame) -> DataFrame:
-    """Spreads a scan of too few splits over the session's cores.
-
-    A gzip file or a file of one row group is read by one task, whatever work
-    follows. Scans with enough splits, as of any large table, stay as they are.
-    """
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
-
-
-def read_code_problems(spark: SparkSession, path: str) -> DataFrame:
-    """Gzip JSON lines, spread after the read."""
-    return spread(spark.read.schema(S.CODE_PROBLEM).json(path))
+def read_code_problems(spark: SparkSession, path: str, partitions: int | None = None) -> DataFrame:
+    """Gzip JSON lines. One task reads a file; ``partitions`` spreads what follows."""
+    rows = spark.read.schema(S.CODE_PROBLEM).json(path)
+    return rows if partitions is None else rows.repartition(partitions)
 
 
 def read_log(spark: SparkSession, path: str) -> DataFrame:
