@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .json import kind, strict_json
@@ -126,3 +126,24 @@ def extraction_status(response: Column) -> Column:
     return let(fenced_json(response), lambda r: F.struct(
         response.isNotNull().alias("success"), F.when(~r["parse_error"], r["value"].cast("string")).alias("data"),
         F.when(response.isNull(), "no response").alias("error")))
+
+
+GENERAL = "general"  # fixed value: the document type whose answer is plain text
+
+
+def document_status(requests: DataFrame, responses: DataFrame, prompts: dict[str, str], general: str, file: str = "file") -> DataFrame:
+    """One row per request: file, prompt, success, data, error.
+
+    ``requests`` has file and document_type, ``responses`` file and text. A type
+    without a prompt of its own takes the general one. Only the general type
+    itself keeps its answer as text.
+    """
+    kind = F.coalesce(F.col("document_type"), F.lit(GENERAL))
+    prompt = F.lit(general)
+    for name, text in prompts.items():
+        prompt = F.when(kind == name, text).otherwise(prompt)
+    told = requests.join(responses.select(file, F.col("text").alias("_response")), file, "left")
+    read = told.withColumn("_status", F.when(kind == GENERAL, F.struct(
+        F.col("_response").isNotNull().alias("success"), F.col("_response").alias("data"),
+        F.when(F.col("_response").isNull(), "no response").alias("error"))).otherwise(extraction_status(F.col("_response"))))
+    return read.select(file, prompt.alias("prompt"), "_status.success", "_status.data", "_status.error")

@@ -19,7 +19,7 @@ from ..functions import literals as L
 from ..functions.json import kind, strict_json
 from ..functions.text import let
 from ..session import cut_lineage
-from .ordinal import running_sums, with_ordinal
+from .ordinal import quantile_bucket, running_sums, with_ordinal
 
 # --- Fixed values of the evaluation -------------------------------------------------
 
@@ -51,7 +51,7 @@ def questions(images: DataFrame, classes: DataFrame) -> DataFrame:
     prompt = F.concat(F.lit("Locate every instance that belongs to the following categories: '"), "_names",
                       F.lit("'. Report bbox coordinates in JSON format."))
     placed = with_ordinal(images, [F.col("dataset"), F.col("image_id")],
-                          F.struct("dataset", F.floor(F.col("image_id") / IMAGE_BLOCK)), name="_place")
+                          F.struct("dataset", quantile_bucket(images, F.col("image_id"))), name="_place")
     return placed.join(named, "dataset").select(
         (F.col("_place") - 1).alias("question_id"), "dataset", "image_id", "height", "width",
         plan["height"].alias("resized_height"), plan["width"].alias("resized_width"), prompt.alias("prompt"))

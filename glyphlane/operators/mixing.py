@@ -44,13 +44,15 @@ def concatenate(datasets: dict[str, DataFrame]) -> DataFrame:
 
 
 def sample_exact(rows: DataFrame, rates: DataFrame, row_id: str, seed: int | str = 0,
-                 dataset: str = "dataset") -> DataFrame:
+                 dataset: str = "dataset", ordinal: str | None = None) -> DataFrame:
     """floor(n * rate) rows of every dataset, chosen by seeded hash order.
 
     ``rates``: one row per dataset with ``rate``. The rows are counted per hash
-    bucket, which gives the bucket where each dataset's share ends. Rows below
-    it stay, rows above it go, and only that one bucket is ranked, so no dataset
-    is ever sorted in one place.
+    bucket, which gives the bucket where each dataset's share ends. Rows beyond
+    it go before anything is shuffled; one shuffle by bucket ranks the rest.
+    With ``ordinal`` the chosen rows get their place in the hash order of the
+    whole sample, whose offsets follow from the same counts. Pass narrow rows:
+    their columns are shuffled once.
     """
     key = seeded_hash(F.col(row_id), seed)
     hashed = rows.withColumn("_key", key).withColumn("_bucket", hash_bucket(F.col("_key")))
@@ -61,15 +63,21 @@ def sample_exact(rows: DataFrame, rates: DataFrame, row_id: str, seed: int | str
         F.sum("_n").over(Window.partitionBy(dataset)).alias("_total")
     ).join(rates.select(dataset, "rate"), dataset)
     wanted = F.when(F.col("rate") < 1, F.floor(F.col("_total") * F.col("rate"))).otherwise(F.col("_total"))
-    ends = totals.withColumn("_wanted", wanted).where(F.col("_upto") >= F.col("_wanted")).groupBy(dataset).agg(
-        F.min_by(F.struct("_bucket", (F.col("_wanted") - F.col("_upto") + F.col("_n")).alias("rest")),
-                 F.col("_bucket")).alias("_end"))
-    placed = hashed.join(ends, dataset)
-    below = placed.where(F.col("_bucket") < F.col("_end._bucket"))
-    edge = placed.where(F.col("_bucket") == F.col("_end._bucket")).withColumn(
-        "_rank", F.row_number().over(Window.partitionBy(dataset, "_bucket").orderBy("_key", row_id))
-    ).where(F.col("_rank") <= F.col("_end.rest"))
-    return below.select(*rows.columns).unionByName(edge.select(*rows.columns))
+    placed = totals.withColumn("_wanted", wanted).withColumn("_rest", F.col("_wanted") - F.col("_upto") + F.col("_n"))
+    ends = placed.where(F.col("_upto") >= F.col("_wanted")).groupBy(dataset).agg(
+        F.min_by(F.struct("_bucket", "_rest"), F.col("_bucket")).alias("_end"))
+    reached = hashed.join(ends, dataset).where(F.col("_bucket") <= F.col("_end._bucket")).repartition("_bucket")
+    place = F.row_number().over(Window.partitionBy("_bucket", dataset).orderBy("_key", row_id))
+    chosen = reached.withColumn("_place", place).where(
+        (F.col("_bucket") < F.col("_end._bucket")) | (F.col("_place") <= F.col("_end._rest")))
+    if ordinal is None:
+        return chosen.select(*rows.columns)
+    taken = placed.groupBy("_bucket").agg(F.sum(F.greatest(F.lit(0), F.least("_n", "_rest"))).alias("_taken"))
+    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)  # over buckets, not rows
+    offsets = taken.select("_bucket", F.coalesce(F.sum("_taken").over(before), F.lit(0)).alias("_before"))
+    inside = F.row_number().over(Window.partitionBy("_bucket").orderBy("_key", row_id))
+    return chosen.join(offsets, "_bucket").withColumn(ordinal, (inside + F.col("_before")).cast("bigint")).select(
+        *rows.columns, ordinal)
 
 
 def shuffled(rows: DataFrame, row_id: str, seed: int | str = 0, name: str = "ordinal") -> DataFrame:

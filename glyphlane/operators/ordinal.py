@@ -13,13 +13,22 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-ID_BUCKET_WIDTH = 1 << 20
-HASH_BUCKET_DIGITS = 3
-
-
-def id_bucket(id_col: Column, width: int = ID_BUCKET_WIDTH) -> Column:
-    """Bucket of a unique integer id; holds at most ``width`` rows."""
-    return F.floor(id_col / F.lit(width)).cast("bigint")
+BUCKETS = 64
+HASH_BUCKET_DIGITS = 4
+
+
+def quantile_bucket(df: DataFrame, value: Column, buckets: int = BUCKETS) -> Column:
+    """Bucket of a numeric value between the approximate quantiles of its column.
+
+    There are at most ``buckets`` of about equal size, however the values lie.
+    The bounds are a scalar subquery of one small array.
+    """
+    shares = [i / buckets for i in range(1, buckets)]
+    bounds = df.agg(F.percentile_approx(value, shares, 100 * buckets)).scalar()
+    passed = F.lit(0)
+    for i in range(buckets - 1):
+        passed = passed + F.coalesce((value > bounds[i]).cast("int"), F.lit(0))
+    return passed
 
 
 def seeded_hash(id_col: Column, seed: int | str) -> Column:

@@ -11,6 +11,10 @@ from ..functions.text import let, strip
 
 PROBLEM = "array<struct<type:string,media_type:string,expected:bigint,actual:bigint,message:string>>"
 
+NEITHER_KIND = "image, image_url or video should in content."  # fixed value
+STOP_TYPE = "boolean"
+
+
 
 def media_field(record: Column, name: str, plural: str) -> Column:
     """Media names of a record variant: text or list, anything else is empty."""
@@ -165,3 +169,17 @@ def route_vision(items: Column) -> Column:
     pick = lambda *types: F.transform(
         F.filter(items, lambda p: p["type"].isin(*types)), lambda p: p["uri"])
     return F.struct(some(pick("image", "image_url")).alias("images"), some(pick("video")).alias("videos"))
+
+
+def vision_requests(items: Column, sample_fps: Column, with_metadata: bool = False) -> Column:
+    """Struct images, videos, do_sample_frames, fps of one request's vision items.
+
+    ``sample_fps`` holds the effective rate of each video in turn; it is passed
+    on unless ``with_metadata``. An item of neither kind stops the job.
+    """
+    strange = F.exists(items, lambda p: ~F.coalesce(p["type"].isin("image", "image_url", "video"), F.lit(False)))
+    checked = F.when(strange, F.raise_error(F.lit(NEITHER_KIND)).cast(STOP_TYPE)).otherwise(F.lit(False))
+    routed = route_vision(items)
+    rates = F.lit(None).cast("array<double>") if with_metadata else F.coalesce(sample_fps, F.array().cast("array<double>"))
+    return F.struct(routed["images"].alias("images"), routed["videos"].alias("videos"), checked.alias("do_sample_frames"),
+                    rates.alias("fps"))

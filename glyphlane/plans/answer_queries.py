@@ -13,7 +13,7 @@ from .prompt_queries import sql_text
 from .registry import Tables, query
 
 
-@query("fenced_answers", "G2 G3 G6 G12", """
+@query("fenced_answers", "G2 G3 G6", """
 WITH e AS (SELECT event_id, event_id % 5 AS form, replace(props, ' ', '') AS j FROM events)
 SELECT event_id, form = 3 AS parse_error, CASE WHEN form <> 3 THEN j END AS value,
   CASE form WHEN 3 THEN 0 WHEN 4 THEN 2 ELSE 1 END AS listed, CASE WHEN form IN (0, 1) THEN j END AS first_code, form <> 4 AS success
@@ -34,6 +34,25 @@ def fenced_answers(t: Tables) -> DataFrame:
         F.size("l").alias("listed"), F.col("c").cast("string").alias("first_code"), F.col("s.success").alias("success"))
 
 
+@query("document_status", "G12", """
+SELECT 'f' || event_id AS file,
+  CASE event_id % 5 WHEN 0 THEN 'read the bill' WHEN 1 THEN 'read the form' WHEN 2 THEN 'read the pass' ELSE 'read all' END AS prompt,
+  event_id % 6 <> 0 AS success,
+  CASE WHEN event_id % 6 = 0 THEN NULL WHEN event_id % 5 = 3 THEN '```json' || chr(10) || props || chr(10) || '```'
+    WHEN event_id % 7 <> 0 THEN replace(props, ' ', '') END AS data,
+  CASE WHEN event_id % 6 = 0 THEN 'no response' END AS error
+FROM events""")
+def document_status(t: Tables) -> DataFrame:
+    k, file = F.col("event_id"), F.concat(F.lit("f"), F.col("event_id").cast("string")).alias("file")
+    kinds = F.element_at(F.array(*[F.lit(x) for x in ("invoice", "form", "id", "general", "letter")]), (k % 5 + 1).cast("int"))
+    fenced = F.concat(F.lit("```json\n"), F.col("props"), F.lit("\n```"))
+    told = F.when((k % 7 == 0) & (k % 5 != 3), "no json at all").otherwise(fenced)
+    requests = t.events.select(file, kinds.alias("document_type"))
+    responses = t.events.where(k % 6 != 0).select(file, told.alias("text"))
+    prompts = {"invoice": "read the bill", "form": "read the form", "id": "read the pass"}
+    return A.document_status(requests, responses, prompts, "read all")
+
+
 @query("point_answers", "G4 F18", """
 SELECT event_id, CASE WHEN event_id % 7 = 0 THEN '' WHEN event_id % 7 = 1 THEN event_id % 900 || '.0/5.5/point_1'
   ELSE event_id % 900 || '.0/5.5/' || event_type || ',1.0/2.0/point_2' END AS points FROM events""")

@@ -125,6 +125,22 @@ def vision_inputs(t: Tables) -> DataFrame:
         "doc_id", "media", F.array_join("r.images", ",").alias("images"), F.array_join("r.videos", ",").alias("videos"))
 
 
+@query("vision_requests", "F14", f"""
+WITH {SAMPLES_SQL}, {FAULT_SQL}
+SELECT k AS doc_id, CASE WHEN n_img > 0 THEN n_img END AS images, CASE WHEN n_vid > 0 THEN n_vid END AS videos, false AS do_sample_frames,
+  CASE WHEN n_vid > 0 THEN CAST(k % 5 + 0.5 AS VARCHAR) ELSE '' END AS fps, NOT (n_img + n_vid > 0) AS plain
+FROM faulty WHERE fault IS NULL""")
+def vision_requests(t: Tables) -> DataFrame:
+    built = V.build_messages(samples(t), "/data", on_fault="DROP")
+    rates = F.transform(F.filter("v", lambda p: p["type"] == "video"), lambda p: (F.col("doc_id") % 5 + 0.5).cast("double"))
+    routed = built.select("doc_id", V.vision_items(F.col("items")).alias("v")).select("doc_id", V.vision_requests(F.col("v"), rates).alias("r"))
+    count = lambda kind: F.when(F.col(kind).isNotNull(), F.size(kind)).cast("bigint")
+    return routed.select(
+        "doc_id", count("r.images").alias("images"), count("r.videos").alias("videos"), "r.do_sample_frames",
+        F.array_join(F.col("r.fps").cast("array<string>"), ",").alias("fps"),
+        (F.col("r.images").isNull() & F.col("r.videos").isNull()).alias("plain"))
+
+
 FACTS_SQL = """
 facts AS (SELECT f.path AS uri, doc_id AS d, 24 + (doc_id * 37) % 3000 AS height, 24 + (doc_id * 91) % 4000 AS width,
     8 + (doc_id * 53) % 5000 AS total_frames, 25.0 AS fps

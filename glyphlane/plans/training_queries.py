@@ -10,15 +10,16 @@ from ..operators import features as X
 from ..operators import lengths as N
 from ..operators import mixing as M
 from ..operators import packing as P
-from ..operators.ordinal import id_bucket, with_ordinal
+from ..operators.ordinal import quantile_bucket, with_ordinal
 from .check_sql import RE_SPACES, word_count_sql
 from .registry import Tables, query
 
 SEED = 7
 
 
-def _mix(t: Tables) -> DataFrame:
-    return t.documents.select("doc_id", F.col("source").alias("dataset"), "text")
+def _mix(t: Tables, *columns) -> DataFrame:
+    """Samples as narrow rows: what is needed of a text is computed before anything is shuffled."""
+    return t.documents.select("doc_id", F.col("source").alias("dataset"), *columns)
 
 
 def _requests(t: Tables) -> DataFrame:
@@ -47,12 +48,12 @@ mixed AS (SELECT ranked.* FROM ranked JOIN rates USING (dataset) WHERE r <= CASE
 ordered AS (SELECT *, row_number() OVER (ORDER BY hk, doc_id) AS ordinal FROM mixed)"""
 
 
-def _mixed(t: Tables) -> DataFrame:
-    return M.sample_exact(_mix(t), _rates(t), "doc_id", SEED)
+def _mixed(t: Tables, *columns) -> DataFrame:
+    return M.sample_exact(_mix(t, *columns), _rates(t), "doc_id", SEED)
 
 
-def _ordered(t: Tables) -> DataFrame:
-    return M.shuffled(_mixed(t), "doc_id", SEED)
+def _ordered(t: Tables, *columns) -> DataFrame:
+    return M.sample_exact(_mix(t, *columns), _rates(t), "doc_id", SEED, ordinal="ordinal")
 
 
 @query("dataset_requests", "B1 B2", f"""
@@ -65,13 +66,13 @@ def dataset_requests(t: Tables) -> DataFrame:
 WITH {MIX_SQL} SELECT doc_id, dataset, '/data/' || dataset AS data_path, md5(text) AS digest FROM mixed""")
 def mixture_sample(t: Tables) -> DataFrame:
     paths = _rates(t).select("dataset", "data_path")
-    return _mixed(t).join(paths, "dataset").select(
-        "doc_id", "dataset", "data_path", F.md5(F.col("text").cast("binary")).alias("digest"))
+    digest = F.md5(F.col("text").cast("binary")).alias("digest")
+    return _mixed(t, digest).join(paths, "dataset").select("doc_id", "dataset", "data_path", "digest")
 
 
 @query("shuffled_mixture", "B5", f"WITH {MIX_SQL} SELECT doc_id, ordinal FROM ordered")
 def shuffled_mixture(t: Tables) -> DataFrame:
-    return _ordered(t).select("doc_id", "ordinal")
+    return M.shuffled(_mixed(t), "doc_id", SEED).select("doc_id", "ordinal")
 
 
 @query("dataset_counts", "B6", f"""
@@ -86,7 +87,7 @@ def first_rows(t: Tables) -> DataFrame:
 
 
 def _packed(t: Tables) -> DataFrame:
-    counted = _ordered(t).select("doc_id", "ordinal", word_count(F.col("text")).alias("num_tokens"))
+    counted = _ordered(t, word_count(F.col("text")).alias("num_tokens"))
     return P.pack(counted, "ordinal", "num_tokens", "doc_id")
 
 
@@ -268,7 +269,7 @@ FROM o a JOIN o b ON b.ordinal = CASE WHEN a.failed THEN a.ordinal + 1 ELSE a.or
 def bad_sample_rows(t: Tables) -> DataFrame:
     k = F.col("doc_id")
     rows = t.documents.select(k, F.when(k % 11 != 0, F.col("n_chars")).alias("num_tokens"))
-    numbered = with_ordinal(rows, [k], id_bucket(k))
+    numbered = with_ordinal(rows, [k], quantile_bucket(rows, k))
     kept = P.with_substitutes(numbered, "ordinal", k % 29 == 3, "SUBSTITUTE_NEXT")
     return kept.select("ordinal", "source_ordinal", "doc_id", N.length_or_one(F.col("num_tokens")).alias("length"))
 

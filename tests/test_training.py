@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from glyphlane.operators import features as X
 from glyphlane.operators import mixing as M
+from glyphlane.operators import ordinal
 from glyphlane.operators import packing as P
 from glyphlane.operators import validate as V
 from glyphlane.operators.ordinal import with_ordinal
@@ -135,3 +136,14 @@ def test_message_building(spark):
     assert first(V.build_messages(samples(spark, turns, ["x", "y", "z"], ["v"]), "/d")).fault == "unused media"
     with pytest.raises(Exception, match="placeholders"):
         V.build_messages(samples(spark, turns, ["x"], ["v"]), "/d", "FAIL").collect()
+
+
+def test_buckets_follow_rows_and_not_ids(spark):
+    ids = [0, 1, 2, 3, 2**62, -(2**61), *(10**15 + 7**k for k in range(20)), *range(5_000_000, 5_000_400)]
+    rows = spark.createDataFrame([(i,) for i in ids], "id bigint")
+    bucket = ordinal.quantile_bucket(rows, F.col("id"), 16)
+    assert rows.select(bucket.alias("b")).distinct().count() <= 16
+    assert max(r["count"] for r in rows.groupBy(bucket.alias("b")).count().collect()) <= 3 * len(ids) / 16
+    got = {r.id: r.ordinal for r in ordinal.with_ordinal(rows, [F.col("id")], bucket).collect()}
+    assert got == {v: i for i, v in enumerate(sorted(ids), 1)}
+    assert ordinal.with_ordinal(rows.limit(0), [F.col("id")], ordinal.quantile_bucket(rows.limit(0), F.col("id"))).count() == 0
