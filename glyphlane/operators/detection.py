@@ -11,6 +11,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -18,8 +19,7 @@ from ..functions import geometry as G
 from ..functions import literals as L
 from ..functions.json import kind, strict_json
 from ..functions.text import let
-from ..session import cut_lineage
-from .ordinal import quantile_bucket, running_sums, with_ordinal
+from .ordinal import in_buckets, with_ordinal
 
 # --- Fixed values of the evaluation -------------------------------------------------
 
@@ -33,7 +33,6 @@ AREAS = {"all": (0.0, 1e10), "small": (0.0, SMALL), "medium": (SMALL, LARGE), "l
 MAX_DETECTIONS = 1000
 MEAN_DETECTIONS = 100  # the mean over all thresholds looks at these only
 RECALL_STEPS = 100
-IMAGE_BLOCK = 1024
 
 # ---------------------------------------------------------------------------------------
 
@@ -50,8 +49,8 @@ def questions(images: DataFrame, classes: DataFrame) -> DataFrame:
                                    QUESTION_MAX_PIXELS, QUESTION_MAX_SIDE)
     prompt = F.concat(F.lit("Locate every instance that belongs to the following categories: '"), "_names",
                       F.lit("'. Report bbox coordinates in JSON format."))
-    placed = with_ordinal(images, [F.col("dataset"), F.col("image_id")],
-                          F.struct("dataset", quantile_bucket(images, F.col("image_id"))), name="_place")
+    placed = with_ordinal(in_buckets(images, F.col("image_id"), "_q"), [F.col("dataset"), F.col("image_id")],
+                          F.struct("dataset", "_q"), name="_place")
     return placed.join(named, "dataset").select(
         (F.col("_place") - 1).alias("question_id"), "dataset", "image_id", "height", "width",
         plan["height"].alias("resized_height"), plan["width"].alias("resized_width"), prompt.alias("prompt"))
@@ -295,43 +294,88 @@ def curve_totals(truth: DataFrame) -> DataFrame:
     return counted_truth(truth).select("dataset", "category_id", F.inline(per_curve)).where(F.col("total") > 0)
 
 
-def average_precision(matched: DataFrame, truth: DataFrame) -> DataFrame:
+CURVES = COMBINATIONS + STEP
+PARTS = "dataset string, category_id bigint, bucket struct<low:int,high:int,image:int>, curve int, tp bigint, seen bigint, hits array<int>"
+
+
+def _in_order_buckets(rows: DataFrame, of: DataFrame) -> DataFrame:
+    """Adds ``bucket`` along falling score and rising image id, of bounded number and about equal size.
+
+    Rows strictly between two score bounds differ in ``low`` or share it with
+    neighbours; rows on a bound all have that one score and are cut by image.
+    """
+    fall = -F.col("score")
+    cut = in_buckets(in_buckets(in_buckets(rows, fall, "low", of), fall, "high", of, strict=False), F.col("image_id"), "image", of)
+    image = F.when(F.col("low") < F.col("high"), F.col("image")).otherwise(F.lit(0))
+    return cut.select(*rows.columns, F.struct("low", "high", image.alias("image")).alias("bucket"))
+
+
+def _curve_parts(key: tuple, rows: pa.Table) -> pa.Table:
+    """Per curve of one bucket: hits, entries, and the number of entries up to each hit."""
+    score, image, rank, matched, ignored = (rows[c].to_numpy() for c in ("score", "image_id", "rank", "matched", "ignored"))
+    order = np.lexsort((rank, image, -score))
+    matched, ignored, few = matched[order], ignored[order], rank[order] < MEAN_DETECTIONS
+    found = []
+    for curve in range(CURVES):
+        place = curve % COMBINATIONS
+        counted = (ignored >> place & 1) == 0
+        if curve >= COMBINATIONS:
+            counted &= few
+        hit = counted & ((matched >> place & 1) == 1)
+        found.append((curve, int(hit.sum()), int(counted.sum()), np.cumsum(counted)[hit].astype(np.int32)))
+    names = ("curve", "tp", "seen", "hits")
+    types = (pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int32()))
+    bucket = pa.array([key[2].as_py()] * CURVES, pa.struct([(n, pa.int32()) for n in ("low", "high", "image")]))
+    return pa.table({
+        "dataset": [key[0].as_py()] * CURVES, "category_id": pa.array([key[1].as_py()] * CURVES, pa.int64()), "bucket": bucket,
+        **{n: pa.array(column, t) for n, t, column in zip(names, types, zip(*found))}})
+
+
+def _best_steps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Best precision of each recall step among the hits of a bucket's part of a curve."""
+    for batch in batches:
+        found = []
+        columns = (batch.column(c) for c in ("dataset", "category_id", "curve", "tp_before", "seen_before", "total", "hits"))
+        for dataset, category, curve, tp, seen, total, hits in zip(*(c.to_pylist() for c in columns)):
+            hits = np.asarray(hits)
+            taken = tp + np.arange(1, len(hits) + 1)
+            recall, precision = taken / total, taken / (seen + hits)
+            near = np.floor(recall * RECALL_STEPS)
+            step = np.where((near + 1) * 0.01 <= recall, near + 1, np.where(near * 0.01 > recall, near - 1, near)).astype(int)
+            best = np.zeros(RECALL_STEPS + 1)
+            np.maximum.at(best, step, precision)
+            found += [(dataset, category, curve, s, best[s]) for s in np.unique(step).tolist()]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(c, t) for c, t in zip(zip(*found) if found else [[]] * 5, (pa.string(), pa.int64(), pa.int32(), pa.int32(), pa.float64()))],
+            ["dataset", "category_id", "curve", "step", "p"])
+
+
+def average_precision(matched: DataFrame, truth: DataFrame, dets: DataFrame | None = None) -> DataFrame:
     """(dataset, category_id, curve, ap) for every class and curve with truth.
 
     Curves 0-39 are area * 10 + threshold; 40-49 repeat the first ten over the
-    best 100 detections per image, worked out only for classes where an image has
-    more. A detection enters only the curves it counts in. Misses only lower the
-    precision, so hits alone become points.
+    best 100 detections per image. The matches are read once: each bucket of a
+    class, cut along the order of the scores, gives its counts and hits for all
+    curves; running sums over the small bucket rows place them, and only the
+    best precision of each recall step goes on. ``dets`` are rows with the same
+    scores and images that are cheaper to read than the matches. Misses only
+    lower the precision, so hits alone become points.
     """
     keys = ["dataset", "category_id", "curve"]
-    place = F.col("curve") % COMBINATIONS
-    bit = lambda mask: F.call_function("shiftright", F.col(mask), place).bitwiseAND(F.lit(1))
-    span = lambda first, last: F.explode(F.sequence(F.lit(first), F.lit(last))).alias("curve")
-    columns = ["dataset", "category_id", "image_id", "rank", "score", "matched", "ignored"]
-    deep = matched.where(F.col("rank") >= MEAN_DETECTIONS).select("dataset", "category_id").distinct()
-    few = matched.where(F.col("rank") < MEAN_DETECTIONS).join(deep, ["dataset", "category_id"], "left_semi")
-    spanned = matched.select(*columns, span(0, COMBINATIONS - 1)).unionByName(
-        few.select(*columns, span(COMBINATIONS, COMBINATIONS + STEP - 1)))
-    entries = spanned.where(bit("ignored") == 0).select(
-        *keys, "image_id", "rank", "score", bit("matched").cast("int").alias("hit"))
-    order = [F.col("score").desc(), F.col("image_id"), F.col("rank")]
-    bucket = F.struct((-F.col("score")).alias("s"), F.floor(F.col("image_id") / IMAGE_BLOCK).alias("b"))
-    running = running_sums(entries, keys, order, bucket, {"tp": F.col("hit"), "seen": F.lit(1)})
+    narrow = matched.select("dataset", "category_id", "image_id", "rank", "score", "matched", "ignored")
+    bucketed = _in_order_buckets(narrow, narrow if dets is None else dets)
+    parts = bucketed.groupBy("dataset", "category_id", "bucket").applyInArrow(_curve_parts, PARTS)
+    before = Window.partitionBy(*keys).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    sums = {f"{n}_before": F.coalesce(F.sum(n).over(before), F.lit(0)) for n in ("tp", "seen")}
     totals = curve_totals(truth)
-    points = running.where(F.col("hit") == 1).join(totals, keys).select(
-        *keys, (F.col("tp") / F.col("total")).alias("recall"), (F.col("tp") / F.col("seen")).alias("precision"))
-    near = F.floor(F.col("recall") * RECALL_STEPS)
-    reached = F.when((near + 1) * 0.01 <= F.col("recall"), near + 1).when(near * 0.01 > F.col("recall"), near - 1).otherwise(near)
-    best = points.groupBy(*keys, reached.alias("step")).agg(F.max("precision").alias("p"))
+    placed = parts.withColumns(sums).where(F.size("hits") > 0).join(totals, keys)
+    best = placed.mapInArrow(_best_steps, "dataset string, category_id bigint, curve int, step int, p double").groupBy(
+        *keys, "step").agg(F.max("p").alias("p"))
     curve = Window.partitionBy(*keys)
     covered = F.col("step") - F.coalesce(F.lag("step").over(curve.orderBy("step")), F.lit(-1))
     weighted = best.select(*keys, (F.max("p").over(curve.orderBy(F.col("step").desc())) * covered).alias("part"))
     ap = weighted.groupBy(*keys).agg((F.sum("part") / (RECALL_STEPS + 1)).alias("ap"))
-    flagged = ap.join(deep.withColumn("_deep", F.lit(True)), ["dataset", "category_id"], "left")
-    shared = F.when((F.col("curve") < STEP) & F.col("_deep").isNull(), F.array("curve", F.col("curve") + COMBINATIONS))
-    known = flagged.select("dataset", "category_id", "ap", F.explode(
-        F.coalesce(shared, F.array("curve"))).alias("curve"))
-    return totals.join(known, keys, "left").select(*keys, F.coalesce("ap", F.lit(0.0)).alias("ap"))
+    return totals.join(ap, keys, "left").select(*keys, F.coalesce("ap", F.lit(0.0)).alias("ap"))
 
 
 METRICS = ("mAP", "mAP_50", "mAP_75", "mAP_s", "mAP_m", "mAP_l")
@@ -357,7 +401,6 @@ def metric_table(per_dataset: DataFrame) -> DataFrame:
 
 
 def evaluate(dets: DataFrame, truth: DataFrame) -> DataFrame:
-    """Metric table of raw detections; the matches are written once, read twice."""
-    matched = match(ranked_detections(dets), truth).select(
-        "dataset", "category_id", "image_id", "rank", "score", "matched", "ignored")
-    return metric_table(metrics(average_precision(cut_lineage(matched), truth)))
+    """Metric table of raw detections."""
+    matched = match(ranked_detections(dets), truth)
+    return metric_table(metrics(average_precision(matched, truth, dets)))

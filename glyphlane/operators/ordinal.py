@@ -17,18 +17,23 @@ BUCKETS = 64
 HASH_BUCKET_DIGITS = 4
 
 
-def quantile_bucket(df: DataFrame, value: Column, buckets: int = BUCKETS) -> Column:
-    """Bucket of a numeric value between the approximate quantiles of its column.
+def in_buckets(rows: DataFrame, value: Column, name: str, of: DataFrame | None = None, buckets: int = BUCKETS,
+               strict: bool = True) -> DataFrame:
+    """Adds ``name``: the bucket of a numeric value between the approximate quantiles of its column.
 
     There are at most ``buckets`` of about equal size, however the values lie.
-    The bounds are a scalar subquery of one small array.
+    The bounds are a scalar subquery of one small array, over ``of`` if that is
+    cheaper to read than the rows and has the same values. The bucket is the
+    number of bounds below the value, or, unless ``strict``, below or equal.
     """
     shares = [i / buckets for i in range(1, buckets)]
-    bounds = df.agg(F.percentile_approx(value, shares, 100 * buckets)).scalar()
+    bounds = f"{name}_bounds"
+    told = rows.withColumn(bounds, (rows if of is None else of).agg(F.percentile_approx(value, shares, 100 * buckets)).scalar())
     passed = F.lit(0)
     for i in range(buckets - 1):
-        passed = passed + F.coalesce((value > bounds[i]).cast("int"), F.lit(0))
-    return passed
+        bound = F.col(bounds)[i]
+        passed = passed + F.coalesce((value > bound if strict else value >= bound).cast("int"), F.lit(0))
+    return told.withColumn(name, passed).drop(bounds)
 
 
 def seeded_hash(id_col: Column, seed: int | str) -> Column:

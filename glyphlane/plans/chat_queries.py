@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import chat as C
-from ..operators.ordinal import quantile_bucket, with_ordinal
+from ..operators.ordinal import in_buckets, with_ordinal
 from .check_sql import word_count_sql
 from .registry import Tables, query
 
@@ -147,7 +147,7 @@ UNION ALL SELECT user_id, 2 * n, 'image', 'frame_' || event_id || '.jpg' FROM f"
 def timed_items(t: Tables) -> DataFrame:
     k = F.col("event_id")
     seconds = F.concat(k.cast("string"), F.lit(".0"))
-    return C.timed_items(t.events, "user_id", [k], quantile_bucket(t.events, k), seconds,
+    return C.timed_items(in_buckets(t.events, k, "_q"), "user_id", [k], F.col("_q"), seconds,
                          F.concat(F.lit("frame_"), k.cast("string"), F.lit(".jpg")))
 
 
@@ -160,7 +160,7 @@ def page_requests(t: Tables) -> DataFrame:
     pages = t.pages.select("page_id", F.regexp_extract("url", "^https?://([^/?#]+)", 1).alias("host"),
                            F.md5(F.col("html").cast("binary")).alias("digest"))
     uri = F.concat(F.lit("page_"), F.col("page_id").cast("string"), F.lit("_"), F.col("digest"))
-    return C.page_request(pages, "host", "page_id", quantile_bucket(t.pages, F.col("page_id")), uri,
+    return C.page_request(in_buckets(pages, F.col("page_id"), "_q", t.pages), "host", "page_id", F.col("_q"), uri,
                           F.concat(F.lit("Describe "), F.col("host")))
 
 
@@ -170,5 +170,5 @@ SELECT * FROM o WHERE ordinal IN (1, 5, 17, 80, 100000000)""")
 def rows_by_ordinal(t: Tables) -> DataFrame:
     k, rows = F.col("conv_id"), t.conversations.select("conv_id", "turn")
     place = k + F.least(F.col("turn") / 2.0**20, F.lit(1 - 2.0**-20))  # rises with both, so a long conversation is split
-    numbered = with_ordinal(rows, [k, F.col("turn")], quantile_bucket(rows, place))
+    numbered = with_ordinal(in_buckets(rows, place, "_q"), [k, F.col("turn")], F.col("_q")).drop("_q")
     return numbered.where(F.col("ordinal").isin(1, 5, 17, 80, 100000000))

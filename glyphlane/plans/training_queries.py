@@ -10,7 +10,7 @@ from ..operators import features as X
 from ..operators import lengths as N
 from ..operators import mixing as M
 from ..operators import packing as P
-from ..operators.ordinal import quantile_bucket, with_ordinal
+from ..operators.ordinal import in_buckets, with_ordinal
 from .check_sql import RE_SPACES, word_count_sql
 from .registry import Tables, query
 
@@ -269,7 +269,7 @@ FROM o a JOIN o b ON b.ordinal = CASE WHEN a.failed THEN a.ordinal + 1 ELSE a.or
 def bad_sample_rows(t: Tables) -> DataFrame:
     k = F.col("doc_id")
     rows = t.documents.select(k, F.when(k % 11 != 0, F.col("n_chars")).alias("num_tokens"))
-    numbered = with_ordinal(rows, [k], quantile_bucket(rows, k))
+    numbered = with_ordinal(in_buckets(rows, k, "_q"), [k], F.col("_q")).drop("_q")
     kept = P.with_substitutes(numbered, "ordinal", k % 29 == 3, "SUBSTITUTE_NEXT")
     return kept.select("ordinal", "source_ordinal", "doc_id", N.length_or_one(F.col("num_tokens")).alias("length"))
 

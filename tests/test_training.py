@@ -141,9 +141,9 @@ def test_message_building(spark):
 def test_buckets_follow_rows_and_not_ids(spark):
     ids = [0, 1, 2, 3, 2**62, -(2**61), *(10**15 + 7**k for k in range(20)), *range(5_000_000, 5_000_400)]
     rows = spark.createDataFrame([(i,) for i in ids], "id bigint")
-    bucket = ordinal.quantile_bucket(rows, F.col("id"), 16)
-    assert rows.select(bucket.alias("b")).distinct().count() <= 16
-    assert max(r["count"] for r in rows.groupBy(bucket.alias("b")).count().collect()) <= 3 * len(ids) / 16
-    got = {r.id: r.ordinal for r in ordinal.with_ordinal(rows, [F.col("id")], bucket).collect()}
+    cut = ordinal.in_buckets(rows, F.col("id"), "b", buckets=16)
+    sizes = [r["count"] for r in cut.groupBy("b").count().collect()]
+    assert len(sizes) <= 16 and max(sizes) <= 3 * len(ids) / 16
+    got = {r.id: r.ordinal for r in ordinal.with_ordinal(cut, [F.col("id")], F.col("b")).collect()}
     assert got == {v: i for i, v in enumerate(sorted(ids), 1)}
-    assert ordinal.with_ordinal(rows.limit(0), [F.col("id")], ordinal.quantile_bucket(rows.limit(0), F.col("id"))).count() == 0
+    assert ordinal.with_ordinal(ordinal.in_buckets(rows.limit(0), F.col("id"), "b"), [F.col("id")], F.col("b")).count() == 0
