@@ -10,6 +10,7 @@ from ..functions import answers as A
 from ..operators import codejudge as J
 from ..operators import frames as R
 from .prompt_queries import sql_text
+from . import expected_texts as E
 from .registry import Tables, query
 
 
@@ -107,7 +108,7 @@ def code_blocks(t: Tables) -> DataFrame:
 
 
 ESCAPED_SQL = "x"
-for _old, _new in A.CODE_ESCAPES:
+for _old, _new in E.CODE_ESCAPES:
     ESCAPED_SQL = f"replace({ESCAPED_SQL}, {sql_text(_old)}, {sql_text(_new)})"
 
 

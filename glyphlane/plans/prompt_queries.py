@@ -9,6 +9,7 @@ from ..functions import literals as L
 from ..functions import prompts as P
 from ..operators.logformat import convert_cells
 from .check_sql import SQL_SPACES
+from . import expected_texts as E
 from .registry import Tables, query
 
 FIELD = P.DROPPED_FIELDS[2][1]
@@ -35,14 +36,14 @@ def _system_texts(t: Tables) -> DataFrame:
 
 def _prompt_sql() -> str:
     steps = ["system_text"]
-    for tag in P.REMOVED_SECTIONS:
+    for tag in E.REMOVED_SECTIONS:
         steps.append(f"regexp_replace({{}}, '<{tag}>.*?</{tag}>', '', 'gis')")
     steps.append("regexp_replace({}, '\\n{{3,}}', chr(10) || chr(10), 'g')")
     steps.append("regexp_replace({}, '(?m)^\\s*\\d+\\.\\s*$', '', 'g')")
     steps.append("regexp_replace({}, '\\n{{3,}}', chr(10) || chr(10), 'g')")
-    for old, new in P.RENAMES:
+    for old, new in E.RENAMES:
         steps.append(f"replace({{}}, {sql_text(old)}, {sql_text(new)})")
-    for _, dropped in P.DROPPED_FIELDS:
+    for _, dropped in E.DROPPED_FIELDS:
         steps.append(f"replace({{}}, {sql_text(dropped)}, '')")
     ctes, last = [], "s0"
     ctes.append("s0 AS (SELECT doc_id, system_text AS x FROM texts)")
@@ -50,24 +51,24 @@ def _prompt_sql() -> str:
         ctes.append(f"s{i} AS (SELECT doc_id, {step.format('x')} AS x FROM s{i - 1})")
         last = f"s{i}"
     inner = ["{}"]
-    for line in P.OUTPUT_LINES:
+    for line in E.OUTPUT_LINES:
         inner.append(f"regexp_replace({{}}, {sql_text(line)}, '', 'gi')")
-    for key in P.OUTPUT_EXAMPLE_KEYS:
+    for key in E.OUTPUT_EXAMPLE_KEYS:
         pattern = rf'\{{[^}}]*"thinking"[^}}]*"{key}"[^}}]*\}}'.replace("{", "{{").replace("}", "}}")
         inner.append(f"regexp_replace({{}}, {sql_text(pattern)}, '', 'g')")
-    inner.append(f"regexp_replace({{}}, '<output>.*?</output>', {sql_text(P.NEW_OUTPUT_SECTION).replace('{', '{{').replace('}', '}}')}, 'gs')")
+    inner.append(f"regexp_replace({{}}, '<output>.*?</output>', {sql_text(E.NEW_OUTPUT_SECTION).replace('{', '{{').replace('}', '}}')}, 'gs')")
     ctes.append(f"o0 AS (SELECT doc_id, x, x AS y FROM {last})")
     for i, step in enumerate(inner[1:], 1):
         ctes.append(f"o{i} AS (SELECT doc_id, x, {step.format('y')} AS y FROM o{i - 1})")
     final = "CASE WHEN contains(x, '<output>') AND contains(x, '</output>') THEN y ELSE x END"
-    for old, new in P.WORDING:
+    for old, new in E.WORDING:
         final = f"replace({final}, {sql_text(old)}, {sql_text(new)})"
     final = (f"regexp_replace({final}, '\\baction\\b(\\s*(?:field|list|parameter|name))', 'tool_call\\1', 'gi')")
     ctes.append(f"done AS (SELECT doc_id, {final} AS z FROM o{len(inner) - 1})")
     return ", ".join(ctes)
 
 
-TAGS_SQL = "[" + ", ".join(f"'{s}'" for s in P.REMOVED_SECTIONS) + "]"
+TAGS_SQL = "[" + ", ".join(f"'{s}'" for s in E.REMOVED_SECTIONS) + "]"
 SYSTEM_SQL = f"""
 texts AS (SELECT doc_id, 'Intro ' || source || chr(10)
    || '1. <' || CASE WHEN doc_id % 3 = 0 THEN upper({TAGS_SQL}[doc_id % 8 + 1]) ELSE {TAGS_SQL}[doc_id % 8 + 1] END || '>' || text
@@ -82,7 +83,7 @@ CATALOG_JSON = (
     '{"type": "integer", "default": 3, "minimum": 0, "minLength": 1, "maximum": 30}}}, {"name": "", "params": {}}, '
     '{"name": "back", "description": "", "params": {}}]}')
 CATALOG_LINES = [
-    *P.CATALOG_HEADER, "- wait()", "  Description: Wait a little.", "  Parameters:",
+    *E.CATALOG_HEADER, "- wait()", "  Description: Wait a little.", "  Parameters:",
     "    * seconds (integer): default: 3, range: [1, 30]", "", "- back()", "  Parameters: None"]
 
 
@@ -95,7 +96,7 @@ def system_prompts(t: Tables) -> DataFrame:
 
 
 @query("tool_catalogs", "D19", f"""
-SELECT p_partkey, {sql_text(chr(10).join(P.CATALOG_HEADER))} || chr(10) || '- tool_' || p_partkey || '()'
+SELECT p_partkey, {sql_text(chr(10).join(E.CATALOG_HEADER))} || chr(10) || '- tool_' || p_partkey || '()'
   || CASE WHEN p_partkey % 3 > 0 THEN chr(10) || '  Description: ' || p_name ELSE '' END || chr(10) || '  Parameters:'
   || chr(10) || '    * size (integer): ' || CASE WHEN p_partkey % 2 = 0 THEN 'how big, ' ELSE '' END || 'default: ' || p_size
   || CASE WHEN p_size % 4 = 0 THEN ', max: 50' ELSE ', range: [' || p_size % 4 || ', 50]' END
