@@ -82,6 +82,7 @@ def stand_in(question_id: Column, options: Column, seed: int | str = 0) -> Colum
 # --- value answers --------------------------------------------------------------------
 
 NUMBER = r"^[+-]*((0+|[1-9]\d*)|(\d+\.\d*|\.\d+)(e[+-]?\d+)?|\d+e[+-]?\d+)$"
+RATIO = r"^(?:\((?=.*\)$))?\(?(\d+\.?\d*)\)?/\(?(\d+\.?\d*)\)?\)?$"
 ARITHMETIC = r"^[0-9eE+\-*/%.() \t]+$"
 
 
@@ -97,16 +98,22 @@ def _latex_to_arithmetic(text: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(text, r"\\pi", "(3.141592653589793)"), r"\$", "")
 
 
+def _ratio(arithmetic: Column) -> Column:
+    """Quotient of two plain numbers, each in brackets or not."""
+    part = lambda i: F.regexp_extract(arithmetic, RATIO, i).try_cast("double")
+    return F.when(arithmetic.rlike(RATIO), F.try_divide(part(1), part(2)))
+
+
 def with_equality(df: DataFrame, given: Column, gold: Column, out: str) -> DataFrame:
     """Adds whether two answers are the same text, lower-cased and stripped, or
     the same number.
 
-    Plain numbers compare natively; only texts that look like arithmetic reach
-    the Arrow evaluator.
+    Plain numbers and quotients compare natively; only other texts that look
+    like arithmetic reach the Arrow evaluator.
     """
     def prepare(p: Column) -> Column:
-        return let(F.struct(p["a"].alias("a"), p["b"].alias("b"), _plain_number(p["a"]).alias("na"),
-                            _plain_number(p["b"]).alias("nb")), settle)
+        number = lambda x: F.coalesce(_plain_number(x), _ratio(_latex_to_arithmetic(x)))
+        return let(F.struct(p["a"].alias("a"), p["b"].alias("b"), number(p["a"]).alias("na"), number(p["b"]).alias("nb")), settle)
 
     def settle(p: Column) -> Column:
         known = p["na"].isNotNull() & p["nb"].isNotNull()

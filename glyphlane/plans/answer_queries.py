@@ -55,8 +55,12 @@ def document_status(t: Tables) -> DataFrame:
 
 
 @query("point_answers", "G4 F18", """
-SELECT event_id, CASE WHEN event_id % 7 = 0 THEN '' WHEN event_id % 7 = 1 THEN event_id % 900 || '.0/5.5/point_1'
-  ELSE event_id % 900 || '.0/5.5/' || event_type || ',1.0/2.0/point_2' END AS points FROM events""")
+WITH e AS (SELECT event_id, CASE WHEN event_id % 7 = 0 THEN 'nothing' WHEN event_id % 7 = 1 THEN '[{"point_2d": [' || event_id % 900 || ', 5.5]}]'
+    ELSE 'Sure ```json' || chr(10) || '[{"point_2d": [' || event_id % 900 || ', 5.5], "label": "' || event_type || '"}, {"other": 1}, {"point_2d": [1, 2]}]' || chr(10) || '```' END AS text FROM events),
+b AS (SELECT event_id, regexp_extract(text, '\\[.*\\]', 0, 's') AS body FROM e),
+p AS (SELECT event_id, [o for o in json_extract(CASE WHEN json_valid(body) THEN body ELSE '[]' END, '$[*]') if json_exists(o, '$.point_2d')] AS l FROM b)
+SELECT event_id, coalesce(array_to_string([CAST(json_extract(l[i], '$.point_2d[0]') AS DOUBLE) || '/' || CAST(json_extract(l[i], '$.point_2d[1]') AS DOUBLE) || '/'
+  || coalesce(json_extract_string(l[i], '$.label'), 'point_' || i) for i in range(1, len(l) + 1)], ','), '') AS points FROM p""")
 def point_answers(t: Tables) -> DataFrame:
     x, kind = (F.col("event_id") % 900).cast("string"), F.col("event_type")
     first = F.concat(F.lit('{"point_2d": ['), x, F.lit(', 5.5]'))
@@ -71,13 +75,17 @@ MOBILE = ("key", "click", "long_press", "swipe", "dance")
 
 
 @query("agent_actions", "G7 G11", """
-WITH e AS (SELECT event_id, ['key', 'click', 'long_press', 'swipe', 'dance'][event_id % 5 + 1] AS action, event_id % 3 = 0 AS bare FROM events)
-SELECT event_id, CASE WHEN event_id % 11 > 0 THEN action END AS action,
-  CASE WHEN event_id % 11 = 0 THEN 'Unknown action: ' WHEN action = 'dance' THEN 'Unknown action: dance'
-       WHEN action = 'key' THEN 'missing text' WHEN action = 'click' THEN CASE WHEN bare THEN 'missing coordinate' END
-       WHEN action = 'long_press' THEN CASE WHEN bare THEN 'missing coordinate, time' ELSE 'missing time' END
-       WHEN action = 'swipe' THEN CASE WHEN bare THEN 'missing coordinate, coordinate2' ELSE 'missing coordinate2' END END AS fault,
-  event_id % 11 > 0 AND NOT bare AS placed FROM e""")
+WITH e AS (SELECT event_id, 'I will act.' || chr(10) || '<tool_call>' || chr(10) || '{"name": "mobile_use", "arguments": {"action": "'
+    || ['key', 'click', 'long_press', 'swipe', 'dance'][event_id % 5 + 1] || CASE WHEN event_id % 3 = 0 THEN '"}' ELSE '", "coordinate": [3, 4]}' END
+    || CASE WHEN event_id % 11 = 0 THEN '' ELSE '}' END || chr(10) || '</tool_call>' AS text FROM events),
+c AS (SELECT event_id, regexp_extract(text, '<tool_call>(.*)</tool_call>', 1, 's') AS body FROM e),
+j AS (SELECT event_id, CASE WHEN json_valid(body) THEN CAST(body AS JSON) END AS call FROM c),
+f AS (SELECT event_id, call->>'$.arguments.action' AS action, coalesce(json_keys(call, '$.arguments'), []) AS given FROM j),
+needs(name, needed) AS (VALUES ('key', ['text']), ('click', ['coordinate']), ('long_press', ['coordinate', 'time']), ('swipe', ['coordinate', 'coordinate2']),
+  ('type', ['text']), ('system_button', ['button']), ('open', ['text']), ('wait', ['time']), ('terminate', ['status'])),
+m AS (SELECT f.*, needed, [x for x in needed if NOT list_contains(given, x)] AS missing FROM f LEFT JOIN needs ON name = action)
+SELECT event_id, action, CASE WHEN needed IS NULL THEN 'Unknown action: ' || coalesce(action, '') WHEN len(missing) > 0 THEN 'missing ' || array_to_string(missing, ', ') END AS fault,
+  list_contains(given, 'coordinate') AS placed FROM m""")
 def agent_actions(t: Tables) -> DataFrame:
     action = F.element_at(F.array(*[F.lit(a) for a in MOBILE]), (F.col("event_id") % 5 + 1).cast("int"))
     arguments = F.concat(F.lit('{"action": "'), action, F.when(F.col("event_id") % 3 == 0, '"}').otherwise('", "coordinate": [3, 4]}'))

@@ -144,11 +144,17 @@ def _answers(t: Tables) -> DataFrame:
 
 
 TAGGED_SQL = """
-tagged AS (SELECT event_id, event_type, answer, CASE WHEN event_id % 31 IN (2, 3) THEN '' WHEN broken OR event_id % 31 < 2 THEN '<thinking>' || chr(10) || answer || chr(10) || '</thinking>'
-  ELSE '<thinking>' || chr(10) || thinking || chr(10) || chr(10) || 'Memory: é ' || user_id
-    || CASE WHEN event_id % 2 = 0 THEN chr(10) || chr(10) || 'Next Goal: ' || user_id ELSE '' END || chr(10) || '</thinking>'
-    || CASE WHEN event_id % 5 = 0 THEN '' ELSE chr(10) || chr(10) || '<tool_call>' || chr(10) || event_type || '(' || replace(props, '}', ', "t": "ü"}') || ')'
-    || chr(10) || 'wait(3)' || chr(10) || '</tool_call>' END END AS tagged FROM a)"""
+parsed AS (SELECT *, json_valid(answer) AS readable, CASE WHEN json_valid(answer) THEN json_type(answer) END AS kind,
+    CASE WHEN json_valid(answer) THEN CAST(answer AS JSON) END AS fields FROM a),
+reasoned AS (SELECT *, coalesce(kind = 'OBJECT', false) AND coalesce(json_type(fields, '$.thinking') = 'VARCHAR', NOT json_exists(fields, '$.thinking')) AS told,
+    concat(fields->>'$.thinking', chr(10) || chr(10) || 'Evaluation of Previous Goal: ' || (fields->>'$.evaluation_previous_goal'),
+      chr(10) || chr(10) || 'Memory: ' || (fields->>'$.memory'), chr(10) || chr(10) || 'Next Goal: ' || (fields->>'$.next_goal')) AS reasons,
+    array_to_string(flatten([[k || '(' || replace(replace(CAST(json_extract(x, '$.' || k) AS VARCHAR), '":', '": '), ',"', ', "') || ')' for k in json_keys(x)]
+      for x in json_extract(fields, '$.action[*]')]), chr(10)) AS calls FROM parsed),
+tagged AS (SELECT event_id, event_type, answer, CASE WHEN kind IN ('ARRAY', 'VARCHAR') THEN ''
+    WHEN NOT told THEN '<thinking>' || chr(10) || answer || chr(10) || '</thinking>'
+    ELSE concat_ws(chr(10) || chr(10), CASE WHEN reasons <> '' THEN '<thinking>' || chr(10) || reasons || chr(10) || '</thinking>' END,
+      CASE WHEN calls <> '' THEN '<tool_call>' || chr(10) || calls || chr(10) || '</tool_call>' END) END AS tagged FROM reasoned)"""
 
 
 @query("tagged_answers", "D14", f"WITH {ANSWERS_SQL}, {TAGGED_SQL} SELECT event_id, tagged FROM tagged")

@@ -235,17 +235,42 @@ def value_judge(t: Tables) -> DataFrame:
         F.when(n < 7, "C").otherwise(failure))).alias("attempt", "text"))
 
 
-VALUE_SQL = """
-v0 AS (SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS index, l_returnflag AS category, l_linenumber AS n,
-   l_suppkey % 3 = 0 AS opt, (l_partkey + l_linenumber) % 6 AS form, CAST(l_quantity AS VARCHAR) AS q FROM lineitem),
-v1 AS (SELECT *, CASE WHEN opt THEN CASE form WHEN 0 THEN 'B' WHEN 1 THEN 'A' WHEN 2 THEN 'B' WHEN 3 THEN 'Z' END
-    ELSE CASE form WHEN 0 THEN CAST(CAST(CAST(q AS DOUBLE) AS BIGINT) AS VARCHAR) WHEN 1 THEN q || ' ' WHEN 2 THEN CASE n % 3 WHEN 0 THEN CAST(CAST(CAST(q AS DOUBLE) * 2 AS BIGINT) AS VARCHAR) || '/2'
-           WHEN 1 THEN repeat('0+', 150) || CAST(CAST(CAST(q AS DOUBLE) AS BIGINT) AS VARCHAR) ELSE '2**65-2**65+' || CAST(CAST(CAST(q AS DOUBLE) AS BIGINT) AS VARCHAR) END
-         WHEN 4 THEN '\\frac{' || CAST(CAST(CAST(q AS DOUBLE) * 2 AS BIGINT) AS VARCHAR) || '}{2}' END END AS early FROM v0),
-v2 AS (SELECT *, early IS NOT NULL AS prefetched, CASE WHEN n >= 7 THEN '' WHEN n % 2 = 1 THEN CASE WHEN opt THEN 'B' ELSE q END ELSE 'C' END AS told FROM v1),
-v3 AS (SELECT *, coalesce(early, told) AS res, CASE WHEN prefetched THEN 'rule' ELSE 'judge' END AS extract_model,
-   CASE WHEN prefetched THEN early <> 'Z' ELSE n < 7 END AS extract_flag,
-   CASE WHEN opt THEN coalesce(early, told) = 'B' WHEN prefetched THEN true ELSE told = q END AS hit FROM v2)"""
+def value_sql(x: str) -> str:
+    """Number of the arithmetic forms that the answers take, NULL for other texts."""
+    part = lambda pattern, i: f"CAST(regexp_extract({x}, '{pattern}', {i}) AS DOUBLE)"
+    ratio, frac = r"^([0-9.]+)/([0-9.]+)$", r"^\\frac\{([0-9.]+)\}\{([0-9.]+)\}$"
+    powers = r"^(\d+)\*\*(\d+)-(\d+)\*\*(\d+)\+(\d+)$"
+    return f"""CASE WHEN regexp_matches({x}, '^[0-9]+(\\.[0-9]*)?$') THEN CAST({x} AS DOUBLE)
+      WHEN regexp_matches({x}, '{ratio}') THEN {part(ratio, 1)} / {part(ratio, 2)}
+      WHEN regexp_matches({x}, '{frac}') THEN {part(frac, 1)} / {part(frac, 2)}
+      WHEN regexp_matches({x}, '{powers}') THEN pow({part(powers, 1)}, {part(powers, 2)}) - pow({part(powers, 3)}, {part(powers, 4)}) + {part(powers, 5)}
+      WHEN regexp_matches({x}, '^[0-9]+(\\+[0-9]+)+$') THEN list_sum([CAST(y AS DOUBLE) for y in string_split({x}, '+')]) END"""
+
+
+def same_sql(x: str, y: str) -> str:
+    x, y = f"lower(trim({x}))", f"lower(trim({y}))"
+    return f"coalesce({x} = {y} OR abs({value_sql(x)} - {value_sql(y)}) < 1e-6, false)"
+
+
+VALUE_SQL = f"""
+v00 AS (SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS index, l_returnflag AS category, l_linenumber AS n,
+   l_suppkey % 3 = 0 AS opt, (l_partkey + l_linenumber) % 6 AS form, l_quantity AS q, CAST(CAST(l_quantity AS DOUBLE) AS BIGINT) AS w FROM lineitem),
+v0 AS (SELECT *, CASE WHEN opt THEN 'B' ELSE CAST(q AS VARCHAR) END AS answer,
+   CASE WHEN opt THEN [(chr(CAST(66 + d AS INTEGER)), CAST(q + d AS VARCHAR)) for d in range(-1, CASE WHEN n = 2 THEN 29 ELSE 2 END)] ELSE [] END AS opts,
+   CASE WHEN opt THEN CASE form WHEN 0 THEN 'B' WHEN 1 THEN '(A)' WHEN 2 THEN 'it is ' || q WHEN 3 THEN 'Cannot determine the answer' WHEN 4 THEN 'A or B'
+       ELSE 'Failed to obtain answer via API' END
+     ELSE CASE form WHEN 0 THEN w || '' WHEN 1 THEN q || ' '
+       WHEN 2 THEN CASE n % 3 WHEN 0 THEN w * 2 || '/2' WHEN 1 THEN repeat('0+', 150) || w ELSE '2**65-2**65+' || w END
+       WHEN 3 THEN CAST(q + 1 AS VARCHAR) WHEN 4 THEN '\\frac{{' || w * 2 || '}}{{2}}' ELSE 'about ' || w END END AS prediction FROM v00),
+{rule_sql('v0', 'r', 'prediction')},
+v1 AS (SELECT *, CASE WHEN opt THEN coalesce(CASE WHEN list_contains([o[1] for o in opts], prediction) THEN prediction END, r_letter)
+     WHEN {same_sql('prediction', 'answer')} THEN prediction END AS early,
+   [x for x in [CASE WHEN n % 2 = 1 AND n < 7 THEN answer ELSE 'Failed to obtain answer via API' END, CASE WHEN n < 7 THEN 'C' ELSE 'Failed to obtain answer via API' END]
+     if NOT contains(x, 'Failed to obtain answer via API')] AS judged FROM r),
+v2 AS (SELECT *, early IS NOT NULL AS prefetched, coalesce(early, judged[1], '') AS res, CASE WHEN early IS NOT NULL THEN 'rule' ELSE 'judge' END AS extract_model,
+   CASE WHEN early IS NOT NULL THEN early <> 'Z' ELSE len(judged) > 0 END AS extract_flag FROM v1),
+{rule_sql('v2', 'rr', 'res')},
+v3 AS (SELECT *, {same_sql("coalesce(CASE WHEN opt THEN coalesce(CASE WHEN list_contains([o[1] for o in opts], res) THEN res END, rr_letter) ELSE res END, 'False')", 'answer')} AS hit FROM rr)"""
 
 
 def _values(t: Tables) -> DataFrame:
