@@ -77,14 +77,16 @@ def convert_logs(
         F.coalesce(wanted, F.concat(F.lit("\x00"), F.col(row_id).cast("string"))).alias("image_id"),
         wanted.isNotNull().alias("_has_id"),
         built.alias("built"))
-    turns = parsed.join(images, "image_id", "left").select(
-        row_id, "_has_id", "image_path", F.col("built.any").alias("_any"),
+    # Single columns below the join: who only asks for the status moves no turns through it.
+    parsed = parsed.select(
+        row_id, "image_id", "_has_id", F.col("built.any").alias("_any"), F.col("built.turns").isNotNull().alias("_has_turns"),
         F.col("built.turns").alias("conversations"), F.col("built.num_tokens").alias("num_tokens"))
+    turns = parsed.join(images, "image_id", "left")
     status = (
         F.when(~F.col("_any"), "no_messages")
         .when(~F.col("_has_id"), "no_image_id")
         .when(F.col("image_path").isNull(), "image_not_found")
-        .when(F.col("conversations").isNull(), "no_user")
+        .when(~F.col("_has_turns"), "no_user")
         .when(F.col("num_tokens") > max_tokens, "too_long")
         .otherwise("valid"))
     return turns.select(

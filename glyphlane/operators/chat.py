@@ -15,6 +15,7 @@ from ..functions.text import let, ordered_text, word_count
 from .ordinal import running_sums, with_ordinal
 
 TURN_BUCKET = 4096
+ANSWER_HEAD = "<|im_start|>assistant\n"  # fixed value
 IMAGE_LENGTH = 128  # fixed value: length added for a sample with an image
 
 
@@ -74,7 +75,7 @@ def rendered_turn(role: Column, text: Column) -> Column:
 def chat_text(turns: DataFrame, role: Column, text: Column, conv: str = "conv_id", turn: str = "turn",
               open_answer: bool = False) -> DataFrame:
     """One template text per conversation, with turn and word counts."""
-    tail = F.lit("<|im_start|>assistant\n" if open_answer else "")
+    tail = F.lit(ANSWER_HEAD if open_answer else "")
     return turns.select(conv, turn, rendered_turn(role, text).alias("_t"), word_count(text).alias("_w")) \
         .groupBy(conv).agg(
             F.count("*").alias("turns"), F.sum("_w").alias("words"),
@@ -82,6 +83,13 @@ def chat_text(turns: DataFrame, role: Column, text: Column, conv: str = "conv_id
         ).select(conv, "turns", "words", F.concat("_t", tail).alias("chat_text"))
 
 
+def chat_text_lengths(turns: DataFrame, role: Column, text: Column, conv: str = "conv_id", open_answer: bool = False) -> DataFrame:
+    """Length of each conversation's template text, summed without building it."""
+    tail = len(ANSWER_HEAD) if open_answer else 0
+    return turns.select(conv, F.length(rendered_turn(role, text)).alias("_n")).groupBy(conv).agg(
+        (F.sum("_n") + tail).alias("chat_length"))
+
+
 def media_marks(images: Column, videos: Column, numbered: bool = False) -> Column:
     """Template marks of a turn's media counts, optionally numbered per kind."""
     def marks(count: Column, pad: str, title: str) -> Column:
@@ -107,8 +115,8 @@ def template_sections(text: Column) -> Column:
     )
 
 
-def length_statistics(df: DataFrame, text: str) -> DataFrame:
-    n = F.length(text)
+def length_statistics(df: DataFrame, length: Column) -> DataFrame:
+    n = length
     return df.agg(F.count("*").alias("samples"), F.min(n).alias("min_length"), F.max(n).alias("max_length"),
                   F.round(F.avg(n), 6).alias("mean_length"))
 

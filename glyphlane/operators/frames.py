@@ -11,14 +11,15 @@ def match_times(frames: DataFrame, answers: DataFrame, group: list[str], frame:
     """Last answer whose time text occurs in a frame's time text.
 
     Occurrence is by substring, so "1.0" also fits "<11.0 seconds>". Instead of
-    trying every answer on every frame of a group, a frame offers all substrings
-    of its short time text as join keys; answers meet them by equality.
+    trying every answer on every frame of a group, a frame offers the substrings
+    of its short time text that are as long as some answer of its group as join
+    keys; answers meet them by equality.
     """
     last = answers.groupBy(*group, F.col(time).alias("_part")).agg(F.max(order).alias("_order"))
+    lengths = last.groupBy(*group).agg(F.collect_set(F.length("_part")).alias("_lengths"))
     size = F.length(text)
-    starts = F.sequence(F.lit(1), size)
-    parts = F.array_distinct(F.flatten(F.transform(starts, lambda i: F.transform(
-        F.sequence(F.lit(1), size - i + 1), lambda n: F.substring(F.col(text), i, n)))))
-    offered = frames.where(size > 0).select(*group, frame, F.explode(parts).alias("_part"))
+    parts = F.array_distinct(F.flatten(F.transform(F.filter("_lengths", lambda n: (n > 0) & (n <= size)), lambda n: F.transform(
+        F.sequence(F.lit(1), size - n + 1), lambda i: F.substring(F.col(text), i, n)))))
+    offered = frames.join(lengths, group).select(*group, frame, F.explode(parts).alias("_part"))
     hits = offered.join(last, [*group, "_part"]).groupBy(*group, frame).agg(F.max("_order").alias("answer_order"))
     return frames.join(hits, [*group, frame], "left")

@@ -67,12 +67,15 @@ tpl AS (SELECT conv_id, string_agg('<|im_start|>' || role || chr(10)
   FROM conversations GROUP BY conv_id)"""
 
 
-def _templates(t: Tables) -> DataFrame:
+def _template_text():
     no = F.lit(0)
     marks = F.concat(C.media_marks((F.col("turn") % 3).cast("int"), no),
                      F.when(F.col("turn") % 4 == 2, C.media_marks(no, F.lit(1), numbered=True)).otherwise(""))
-    text = F.concat(F.when(F.col("role") == "user", marks).otherwise(""), F.col("text"))
-    return C.chat_text(t.conversations, F.col("role"), text, open_answer=True)
+    return F.concat(F.when(F.col("role") == "user", marks).otherwise(""), F.col("text"))
+
+
+def _templates(t: Tables) -> DataFrame:
+    return C.chat_text(t.conversations, F.col("role"), _template_text(), open_answer=True)
 
 
 @query("template_sections", "D22 D23", f"""
@@ -93,7 +96,8 @@ def template_sections(t: Tables) -> DataFrame:
 WITH {TEMPLATE_SQL}
 SELECT count(*) AS samples, min(length(x)) AS min_length, max(length(x)) AS max_length, round(avg(length(x)), 6) AS mean_length FROM tpl""")
 def template_statistics(t: Tables) -> DataFrame:
-    return C.length_statistics(_templates(t), "chat_text")
+    lengths = C.chat_text_lengths(t.conversations, F.col("role"), _template_text(), open_answer=True)
+    return C.length_statistics(lengths, F.col("chat_length"))
 
 
 @query("step_history", "D26", """
