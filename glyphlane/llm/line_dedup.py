@@ -77,10 +77,12 @@ def line_drops(docs: DataFrame, id_col: str, text_col: str, shortest: int, least
         .mapInArrow(_line_keys(shortest), "key binary, doc_id bigint, places array<int>"),
         "line-keys",
     )
-    common = (
+    # written, so that both sides of the join below are dealt anew and Spark can split a line that many documents hold
+    common = written(
         lines.groupBy("key", "doc_id").agg(F.lit(1).alias("one"))
         .groupBy("key").agg(F.count(F.lit(1)).alias("docs"), F.max("doc_id").alias("last_doc"))
-        .filter(F.col("docs") >= least_docs)
+        .filter(F.col("docs") >= least_docs),
+        "common-lines",
     )
     return (
         lines.join(common, "key").filter("doc_id <> last_doc")

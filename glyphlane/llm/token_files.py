@@ -196,7 +196,8 @@ def read_documents(manifest: DataFrame) -> DataFrame:
             [pa.array(c, pa.int64()) for c in zip(*rows)], ["doc_id", "start", "n_tokens", "ids_crc32"]
         )
 
-    return manifest.select("path", "first_token").repartition("path").mapInArrow(
+    # a task for every file: Spark would put thousands of such short rows into one
+    return manifest.select("path", "first_token").repartition(max(1, manifest.count())).mapInArrow(
         run, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint"
     )
 

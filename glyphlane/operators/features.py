@@ -43,9 +43,16 @@ def answer_spans(ids: Column) -> Column:
 
 
 def label_mask(ids: Column) -> Column:
-    """Labels of a token array: answer tokens, all others ignored."""
-    return let(answer_spans(ids), lambda spans: F.transform(ids, lambda x, i: F.when(
-        F.exists(spans, lambda s: (i >= s["first"]) & (i <= s["last"])), x).otherwise(F.lit(IGNORED_LABEL))))
+    """Labels of a token array: answer tokens, all others ignored. Spans rise, so pieces are joined once."""
+    ignored = lambda n: F.array_repeat(F.lit(IGNORED_LABEL).cast("bigint"), n.cast("int"))
+
+    def build(spans: Column) -> Column:
+        last = lambda i: F.coalesce(F.get(spans, i)["last"], F.lit(-1))
+        pieces = F.transform(spans, lambda s, i: F.concat(
+            ignored(s["first"] - last(i - 1) - 1), F.slice(ids, s["first"] + 1, s["last"] - s["first"] + 1)))
+        return F.concat(F.flatten(pieces), ignored(F.greatest(F.lit(0), F.size(ids) - 1 - last(F.size(spans) - 1))))
+
+    return let(answer_spans(ids), build)
 
 
 def split_video_grids(segments: DataFrame) -> DataFrame:
