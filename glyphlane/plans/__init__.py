@@ -8,7 +8,7 @@ from .registry import QUERIES, Query
 
 MODULES = [
     "media_queries", "log_queries", "chat_queries", "prompt_queries", "sample_queries", "training_queries",
-    "question_queries", "detection_queries", "answer_queries",
+    "question_queries", "detection_queries", "answer_queries", "file_queries",
 ]
 
 

@@ -10,6 +10,9 @@ from ..functions.json import kind
 from ..functions.text import let
 
 
+MEDIA_ENDINGS = ("jpg", "jpeg", "png", "JPG", "JPEG", "PNG")  # fixed values
+
+
 def _names(one: Column, many: Column) -> Column:
     """Text-or-list media field to a list of names."""
     return let(F.coalesce(one, many), lambda v: F.when(
@@ -24,6 +27,79 @@ def _normalised(rows: DataFrame, extra: list[str]) -> DataFrame:
         _names(F.col("video"), F.col("videos")).alias("videos"), "conversations", "num_tokens")
 
 
+# --- parsers: from rows with the file's text in ``value``; all other columns are kept ------------
+
+
+def _others(rows: DataFrame) -> list[str]:
+    return [c for c in rows.columns if c != "value"]
+
+
+def parse_sample_lines(rows: DataFrame) -> DataFrame:
+    """One sample per text."""
+    kept = _others(rows)
+    return _normalised(rows.select(*kept, F.from_json("value", S.SAMPLE).alias("s")).select(*kept, "s.*"), kept)
+
+
+def parse_sample_arrays(rows: DataFrame) -> DataFrame:
+    """The samples of JSON arrays with their ``place``."""
+    kept = [*_others(rows), "place"]
+    each = rows.select(*_others(rows), F.posexplode(F.from_json("value", f"array<{S.PACKED_SAMPLE}>")).alias("place", "s"))
+    return _normalised(each.select(*kept, "s.*"), kept)
+
+
+def parse_packs(rows: DataFrame) -> DataFrame:
+    """The samples of JSON lists of packs with their pack and place."""
+    others, kept = _others(rows), [*_others(rows), "pack_id", "pos_in_pack"]
+    packs = rows.select(*others, F.posexplode(F.from_json("value", f"array<array<{S.PACKED_SAMPLE}>>")).alias("pack_id", "pack"))
+    each = packs.select(*others, "pack_id", F.posexplode("pack").alias("pos_in_pack", "s"))
+    return _normalised(each.select(*kept, "s.*"), kept)
+
+
+def parse_records(rows: DataFrame, schema: str) -> DataFrame:
+    """One JSON object of a declared type per text."""
+    kept = _others(rows)
+    return rows.select(*kept, F.from_json("value", schema).alias("r")).select(*kept, "r.*")
+
+
+def parse_table_lines(rows: DataFrame, schema: str, separator: str = ",") -> DataFrame:
+    """One record of a CSV or TSV table per text, quoted cells over several lines."""
+    kept = _others(rows)
+    options = {"sep": separator, "quote": '"', "escape": '"', "maxCharsPerColumn": "-1"}
+    return rows.select(*kept, F.from_csv("value", schema, options).alias("r")).select(*kept, "r.*")
+
+
+def parse_coco(rows: DataFrame) -> dict[str, DataFrame]:
+    """Images, annotations and categories of detection annotation texts."""
+    kept = _others(rows)
+    whole = rows.select(*kept, F.from_json("value", S.COCO).alias("c"))
+    return {part: whole.select(*kept, F.inline(f"c.{part}")) for part in ("images", "annotations", "categories")}
+
+
+def parse_wanted_ids(rows: DataFrame) -> DataFrame:
+    return rows.select(F.explode(F.from_json("value", "array<string>")).alias("image_id")).distinct()
+
+
+def parse_cameras(rows: DataFrame) -> DataFrame:
+    table = rows.select(F.explode(F.from_json("value", f"map<string,{S.CAMERA}>")).alias("image", "camera"))
+    return table.select("image", "camera.*")
+
+
+def media_listing(files: DataFrame) -> DataFrame:
+    """Path, stem and length of files whose ending is one of the six."""
+    ending = F.regexp_extract("path", r"\.([^./]+)$", 1)
+    return files.where(ending.isin(*MEDIA_ENDINGS)).select(
+        "path", F.regexp_extract("path", r"([^/]+)\.[^./]+$", 1).alias("stem"), "length")
+
+
+def stale(found: DataFrame, manifest: DataFrame) -> DataFrame:
+    """Manifest rows (name, md5) whose file is absent or differs; ``found`` has name and md5."""
+    joined = manifest.join(found.select("name", F.col("md5").alias("_found")), "name", "left")
+    return joined.where(F.col("_found").isNull() | (F.col("_found") != F.col("md5"))).select("name", "md5")
+
+
+# --- readers: the same over files -------------------------------------------------------------
+
+
 def read_samples(spark: SparkSession, path: str, lines: bool | None = None, data_path: str | None = None) -> DataFrame:
     """Samples of a JSON-lines file or, for other endings, of a JSON array."""
     by_line = path.endswith((".jsonl", ".jsonl.gz")) if lines is None else lines
@@ -32,17 +108,13 @@ def read_samples(spark: SparkSession, path: str, lines: bool | None = None, data
 
 
 def read_packed_samples(spark: SparkSession, path: str, data_path: str | None = None) -> DataFrame:
-    """Samples of a JSON list of packs with their pack and place."""
-    packs = spark.read.text(path, wholetext=True).select(
-        F.from_json("value", f"array<array<{S.PACKED_SAMPLE}>>").alias("packs"))
-    rows = packs.select(F.posexplode("packs").alias("pack_id", "pack")).select(
-        "pack_id", F.posexplode("pack").alias("pos_in_pack", "s")).select("pack_id", "pos_in_pack", "s.*")
-    return _normalised(rows.withColumn("data_path", F.lit(data_path).cast("string")), ["pack_id", "pos_in_pack", "data_path"])
+    """Samples of JSON lists of packs; a list is one text, so large sets belong in several files."""
+    return parse_packs(spark.read.text(path, wholetext=True).withColumn("data_path", F.lit(data_path).cast("string")))
 
 
 def read_code_problems(spark: SparkSession, path: str, partitions: int | None = None) -> DataFrame:
     """Gzip JSON lines. One task reads a file; ``partitions`` spreads what follows."""
-    rows = spark.read.schema(S.CODE_PROBLEM).json(path)
+    rows = parse_records(spark.read.text(path), S.CODE_PROBLEM)
     return rows if partitions is None else rows.repartition(partitions)
 
 
@@ -58,9 +130,8 @@ def read_benchmark(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_coco(spark: SparkSession, path: str) -> dict[str, DataFrame]:
-    """Images, annotations and categories of a detection annotation file."""
-    whole = spark.read.schema(S.COCO).option("multiLine", True).json(path)
-    return {part: whole.select(F.inline(part)) for part in ("images", "annotations", "categories")}
+    """Images, annotations and categories of detection annotation files, one text each."""
+    return parse_coco(spark.read.text(path, wholetext=True))
 
 
 def read_dataset_configs(spark: SparkSession, path: str) -> DataFrame:
@@ -68,21 +139,18 @@ def read_dataset_configs(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(S.DATASET_CONFIG).json(path)
 
 
-def list_media(spark: SparkSession, folder: str, pattern: str = "*.{jpg,jpeg,png,JPG,JPEG,PNG}") -> DataFrame:
+def list_media(spark: SparkSession, folder: str) -> DataFrame:
     """Path, stem, size of media files; contents are not read."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", True).load(folder)
-    return files.select("path", F.regexp_extract("path", r"([^/]+)\.[^./]+$", 1).alias("stem"), "length")
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
+    return media_listing(files.select("path", "length"))
 
 
 def read_wanted_ids(spark: SparkSession, path: str) -> DataFrame:
-    listed = spark.read.text(path, wholetext=True).select(F.explode(F.from_json("value", "array<string>")).alias("image_id"))
-    return listed.distinct()
+    return parse_wanted_ids(spark.read.text(path, wholetext=True))
 
 
 def read_cameras(spark: SparkSession, path: str) -> DataFrame:
-    table = spark.read.text(path, wholetext=True).select(
-        F.explode(F.from_json("value", f"map<string,{S.CAMERA}>")).alias("image", "camera"))
-    return table.select("image", "camera.*")
+    return parse_cameras(spark.read.text(path, wholetext=True))
 
 
 def with_cameras(images: DataFrame, cameras: DataFrame) -> DataFrame:
@@ -93,6 +161,5 @@ def with_cameras(images: DataFrame, cameras: DataFrame) -> DataFrame:
 def stale_files(spark: SparkSession, files: str, manifest: DataFrame) -> DataFrame:
     """Manifest rows (name, md5) whose file is absent or differs."""
     found = spark.read.format("binaryFile").load(files).select(
-        F.element_at(F.split("path", "/"), -1).alias("name"), F.md5("content").alias("_found"))
-    joined = manifest.join(found, "name", "left")
-    return joined.where(F.col("_found").isNull() | (F.col("_found") != F.col("md5"))).select("name", "md5")
+        F.element_at(F.split("path", "/"), -1).alias("name"), F.md5("content").alias("md5"))
+    return stale(found, manifest)

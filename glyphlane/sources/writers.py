@@ -8,6 +8,16 @@ from pyspark.sql import functions as F
 CONTROL_CHARACTERS = r"[\x00-\x08\x0B-\x0C\x0E-\x1F]"  # fixed value
 
 
+def json_lines(df: DataFrame, kept: str | None = None) -> DataFrame:
+    """Each row as JSON text in ``value``, absent fields left out; ``kept`` stays beside it."""
+    return df.select(*([kept] if kept else []), F.to_json(F.struct(*df.columns)).alias("value"))
+
+
+def table_lines(df: DataFrame, kept: str | None = None) -> DataFrame:
+    """Each row as a CSV record in ``value``."""
+    return df.select(*([kept] if kept else []), F.to_csv(F.struct(*df.columns), {"quote": '"', "escape": '"'}).alias("value"))
+
+
 def write_json_lines(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     df.write.mode(mode).json(path)
 
