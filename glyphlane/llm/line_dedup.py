@@ -16,14 +16,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import written
+from .common import slices, written
 
 BLANKS = " \t\n\x0b\x0c\r"
 
 
 def _line_keys(shortest: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             keys, ids, places = [], [], []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 held: dict[bytes, list[int]] = {}
@@ -46,7 +46,7 @@ def _without_lines(text_at: int):
     """Of rows with places to drop as last column: all other columns, text shortened, then both counts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             total, dropped, kept = [], [], []
             for text, places in zip(batch.column(text_at).to_pylist(), batch.columns[-1].to_pylist()):
                 text = text or ""
