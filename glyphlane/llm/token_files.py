@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import shared_folder, written
+from .common import shared_folder, slices, written
 from .word_ids import definition_of, encoder
 
 STARTING = pa.list_(pa.struct([("doc_id", pa.int64()), ("place", pa.int32()), ("n_tokens", pa.int64())]))
@@ -113,7 +113,7 @@ def write_token_files(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder, part, number, out = encoder(definition), TaskContext.get().partitionId(), 0, None
         done: list[tuple] = []
-        for batch in batches:
+        for batch in slices(batches):
             for doc_id, ids in zip(batch.column(0).to_pylist(), coder.encode(batch.column(1).to_pylist())):
                 out = out or _File(f"{folder}/{uuid.uuid4().hex}.arrow", coder.dtype, seq_len, batch_rows)
                 out.add(doc_id, np.append(ids, coder.dtype.type(end_id)))
