@@ -155,7 +155,7 @@ def timed_items(t: Tables) -> DataFrame:
                          F.concat(F.lit("frame_"), k.cast("string"), F.lit(".jpg")))
 
 
-@query("page_requests", "D29 A12", """
+@query("page_requests", "D29", """
 WITH p AS (SELECT page_id, regexp_extract(url, '^https?://([^/?#]+)', 1) AS host, md5(html) AS digest FROM pages),
 n AS (SELECT *, row_number() OVER (PARTITION BY host ORDER BY page_id) AS position FROM p)
 SELECT host, position, 'image' AS type, 'page_' || page_id || '_' || digest AS value, 524288 AS min_pixels, 747520 AS max_pixels FROM n

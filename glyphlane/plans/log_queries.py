@@ -89,7 +89,7 @@ def _converted(t: Tables) -> DataFrame:
     return A.convert_logs(log_rows(t), A.image_map(image_listing(t)), "doc_id")
 
 
-@query("log_training_rows", "D1 D2 D3 D4 D5 D6 D7 D8 D9 D10 D11 D12 A10", f"""
+@query("log_training_rows", "D1 D2 D3 D4 D5 D6 D7 D8 D9 D10 D11 D12", f"""
 WITH {LOG_SQL}
 SELECT doc_id, image, CAST(tokens AS BIGINT) AS num_tokens,
   concat_ws(chr(10), 'human=' || h1, 'gpt=' || a1, 'human=' || h2) AS turns

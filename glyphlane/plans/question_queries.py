@@ -180,7 +180,7 @@ def question_prompts(t: Tables) -> DataFrame:
         shown.alias("items"), T.choice_judge_prompt(question, F.col("options"), F.col("c_mktsegment")).alias("judge_prompt"))
 
 
-@query("benchmark_rows", "H1 H2 H3 A6", """
+@query("benchmark_rows", "H1 H2 H3", """
 SELECT CAST(c_custkey AS VARCHAR) AS index, c_custkey AS number,
   md5(repeat(CASE WHEN c_custkey % 5 = 4 THEN (SELECT n.c_name FROM customer n WHERE n.c_custkey = c.c_custkey - 1) ELSE c_name END, 5)) AS image_digest,
   CASE WHEN c_custkey % 3 = 0 THEN c_custkey || 'a.jpg,' || c_custkey || 'b.jpg' WHEN c_custkey % 3 = 1 THEN 'it''s ' || c_custkey || ',2' ELSE c_custkey || '.jpg' END AS paths

@@ -62,7 +62,7 @@ def dataset_requests(t: Tables) -> DataFrame:
     return _rates(t).select("dataset", F.round("rate", 6).alias("rate"), "data_path")
 
 
-@query("mixture_sample", "B3 B4", f"""
+@query("mixture_sample", "B3", f"""
 WITH {MIX_SQL} SELECT doc_id, dataset, '/data/' || dataset AS data_path, md5(text) AS digest FROM mixed""")
 def mixture_sample(t: Tables) -> DataFrame:
     paths = _rates(t).select("dataset", "data_path")
