@@ -14,19 +14,24 @@ from ..sources import writers as W
 from .check_sql import word_count_sql
 from .registry import Tables, query
 
-K = F.col("doc_id")
-NAME = F.concat(F.lit("i"), K.cast("string"))
+
+def _doc() -> Column:
+    return F.col("doc_id")
+
+
+def _name() -> Column:
+    return F.concat(F.lit("i"), F.col("doc_id").cast("string"))
 
 
 def _sample_text(t: Tables) -> DataFrame:
     turn = lambda who, text: F.struct(F.lit(who).alias("from"), text.alias("value"))
     sample = F.struct(
-        F.when(K % 3 == 0, F.concat(NAME, F.lit(".jpg"))).alias("image"),
-        F.when(K % 3 == 1, F.array(F.concat(NAME, F.lit("a.jpg")), F.concat(NAME, F.lit("b.jpg")))).alias("images"),
-        F.when(K % 4 == 0, F.concat(NAME, F.lit(".mp4"))).alias("video"),
+        F.when(_doc() % 3 == 0, F.concat(_name(), F.lit(".jpg"))).alias("image"),
+        F.when(_doc() % 3 == 1, F.array(F.concat(_name(), F.lit("a.jpg")), F.concat(_name(), F.lit("b.jpg")))).alias("images"),
+        F.when(_doc() % 4 == 0, F.concat(_name(), F.lit(".mp4"))).alias("video"),
         F.array(turn("human", F.col("text")), turn("gpt", F.col("lang"))).alias("conversations"),
-        F.when(K % 2 == 0, K).alias("num_tokens"))
-    return t.documents.select(K, F.to_json(sample).alias("value"))
+        F.when(_doc() % 2 == 0, _doc()).alias("num_tokens"))
+    return t.documents.select(_doc(), F.to_json(sample).alias("value"))
 
 
 def _shown(samples: DataFrame, *places: str) -> DataFrame:
@@ -66,9 +71,9 @@ def packed_lists(t: Tables) -> DataFrame:
 @query("code_problem_lines", "A4", """
 SELECT doc_id, md5(text) AS question, 'i' || doc_id AS images, CASE WHEN doc_id % 2 = 0 THEN 'def f():' ELSE '' END AS starter_code, 'p' || doc_id AS problem_id FROM documents""")
 def code_problem_lines(t: Tables) -> DataFrame:
-    problem = F.struct(F.col("text").alias("question"), F.array(NAME).alias("images"), F.when(K % 2 == 0, "def f():").otherwise("").alias("starter_code"),
-                       F.lit("{}").alias("input_output"), F.concat(F.lit("p"), K.cast("string")).alias("problem_id"))
-    parsed = R.parse_records(t.documents.select(K, F.to_json(problem).alias("value")), S.CODE_PROBLEM)
+    problem = F.struct(F.col("text").alias("question"), F.array(_name()).alias("images"), F.when(_doc() % 2 == 0, "def f():").otherwise("").alias("starter_code"),
+                       F.lit("{}").alias("input_output"), F.concat(F.lit("p"), _doc().cast("string")).alias("problem_id"))
+    parsed = R.parse_records(t.documents.select(_doc(), F.to_json(problem).alias("value")), S.CODE_PROBLEM)
     return parsed.select("doc_id", F.md5(F.col("question").cast("binary")).alias("question"), F.array_join("images", ",").alias("images"), "starter_code", "problem_id")
 
 
@@ -80,17 +85,17 @@ def _quoted(column: Column) -> Column:
 SELECT doc_id, md5('say "' || trim(text, ' ' || chr(10)) || '" now') AS messages, CAST(doc_id AS VARCHAR) AS image_payload_id, CASE WHEN doc_id % 2 = 0 THEN '12' END AS total_tokens FROM documents""")
 def log_lines(t: Tables) -> DataFrame:
     said = F.concat(F.lit('say "'), F.btrim("text", F.lit(" \n")), F.lit('" now'))
-    line = F.concat(_quoted(said), F.lit(","), K.cast("string"), F.when(K % 2 == 0, ",12").otherwise(","))
-    parsed = R.parse_table_lines(t.documents.select(K, line.alias("value")), S.AGENT_LOG)
+    line = F.concat(_quoted(said), F.lit(","), _doc().cast("string"), F.when(_doc() % 2 == 0, ",12").otherwise(","))
+    parsed = R.parse_table_lines(t.documents.select(_doc(), line.alias("value")), S.AGENT_LOG)
     return parsed.select("doc_id", F.md5(F.col("messages").cast("binary")).alias("messages"), "image_payload_id", "total_tokens")
 
 
 @query("benchmark_lines", "A6", """
 SELECT doc_id, CAST(doc_id AS VARCHAR) AS index, 'which, "' || lang || '"?' AS question, md5(encode(text)) AS image FROM documents""")
 def benchmark_lines(t: Tables) -> DataFrame:
-    cells = [K.cast("string"), _quoted(F.concat(F.lit('which, "'), F.col("lang"), F.lit('"?'))), F.base64(F.col("text").cast("binary"))]
+    cells = [_doc().cast("string"), _quoted(F.concat(F.lit('which, "'), F.col("lang"), F.lit('"?'))), F.base64(F.col("text").cast("binary"))]
     line = F.concat(cells[0], F.lit("\t"), cells[1], F.lit("\t"), F.regexp_replace(cells[2], r"\s", ""))
-    parsed = R.parse_table_lines(t.documents.select(K, line.alias("value")), "index string, question string, image string", "\t")
+    parsed = R.parse_table_lines(t.documents.select(_doc(), line.alias("value")), "index string, question string, image string", "\t")
     return parsed.select("doc_id", "index", "question", F.md5(F.unbase64("image")).alias("image"))
 
 
@@ -128,24 +133,24 @@ def dataset_configs(t: Tables) -> DataFrame:
 SELECT 'store.d/' || source || '/' || doc_id || '.b' || ['.jpg', '.PNG', '.txt', '.jpeg', ''][doc_id % 5 + 1] AS path, doc_id || '.b' AS stem, n_chars AS length
 FROM documents WHERE doc_id % 5 NOT IN (2, 4)""")
 def media_files(t: Tables) -> DataFrame:
-    ending = F.element_at(F.array(*[F.lit(e) for e in (".jpg", ".PNG", ".txt", ".jpeg", "")]), (K % 5 + 1).cast("int"))
-    path = F.concat(F.lit("store.d/"), F.col("source"), F.lit("/"), K.cast("string"), F.lit(".b"), ending)
+    ending = F.element_at(F.array(*[F.lit(e) for e in (".jpg", ".PNG", ".txt", ".jpeg", "")]), (_doc() % 5 + 1).cast("int"))
+    path = F.concat(F.lit("store.d/"), F.col("source"), F.lit("/"), _doc().cast("string"), F.lit(".b"), ending)
     return R.media_listing(t.documents.select(path.alias("path"), F.col("n_chars").alias("length")))
 
 
 @query("wanted_ids", "A10", """
 SELECT DISTINCT unnest(['i' || doc_id, 'i' || doc_id // 2]) AS image_id FROM labels""")
 def wanted_ids(t: Tables) -> DataFrame:
-    half = F.concat(F.lit("i"), F.floor(K / 2).cast("string"))
-    return R.parse_wanted_ids(t.labels.select(F.to_json(F.array(NAME, half)).alias("value")))
+    half = F.concat(F.lit("i"), F.floor(_doc() / 2).cast("string"))
+    return R.parse_wanted_ids(t.labels.select(F.to_json(F.array(_name(), half)).alias("value")))
 
 
 @query("camera_table", "A11", """
 SELECT 'i' || doc_id AS image, CASE WHEN doc_id IN (SELECT doc_id FROM labels) THEN CAST(doc_id + 0.5 AS DOUBLE) END AS fx, CASE WHEN doc_id IN (SELECT doc_id FROM labels) THEN CAST(4 AS DOUBLE) END AS cy FROM documents""")
 def camera_table(t: Tables) -> DataFrame:
-    camera = F.struct((K + 0.5).alias("fx"), F.lit(2.0).alias("fy"), F.lit(3.0).alias("cx"), F.lit(4.0).alias("cy"))
-    cameras = R.parse_cameras(t.labels.select(F.to_json(F.create_map(NAME, camera)).alias("value")))
-    return R.with_cameras(t.documents.select(NAME.alias("image")), cameras).select("image", "fx", "cy")
+    camera = F.struct((_doc() + 0.5).alias("fx"), F.lit(2.0).alias("fy"), F.lit(3.0).alias("cx"), F.lit(4.0).alias("cy"))
+    cameras = R.parse_cameras(t.labels.select(F.to_json(F.create_map(_name(), camera)).alias("value")))
+    return R.with_cameras(t.documents.select(_name().alias("image")), cameras).select("image", "fx", "cy")
 
 
 @query("stale_pages", "A12", """
@@ -161,21 +166,21 @@ def stale_pages(t: Tables) -> DataFrame:
 SELECT doc_id, '{"doc_id":' || doc_id || ',"answer":"é \\"' || lang || '\\""' || CASE WHEN doc_id % 2 = 0 THEN ',"n":' || n_chars ELSE '' END || '}' AS value FROM documents""")
 def json_text_lines(t: Tables) -> DataFrame:
     said = F.concat(F.lit('é "'), F.col("lang"), F.lit('"')).alias("answer")
-    return W.json_lines(t.documents.select(K, said, F.when(K % 2 == 0, F.col("n_chars")).alias("n")), "doc_id")
+    return W.json_lines(t.documents.select(_doc(), said, F.when(_doc() % 2 == 0, F.col("n_chars")).alias("n")), "doc_id")
 
 
 @query("table_text_lines", "A14", """
 SELECT doc_id, doc_id || ',"a ""' || lang || '"", b",' || CASE WHEN doc_id % 2 = 0 THEN CAST(n_chars AS VARCHAR) ELSE '' END AS value FROM documents""")
 def table_text_lines(t: Tables) -> DataFrame:
     said = F.concat(F.lit('a "'), F.col("lang"), F.lit('", b')).alias("answer")
-    return W.table_lines(t.documents.select(K, said, F.when(K % 2 == 0, F.col("n_chars")).alias("n")), "doc_id")
+    return W.table_lines(t.documents.select(_doc(), said, F.when(_doc() % 2 == 0, F.col("n_chars")).alias("n")), "doc_id")
 
 
 @query("clean_texts", "A16", "SELECT doc_id, md5(regexp_replace(text, '[\\x00-\\x08\\x0B-\\x0C\\x0E-\\x1F]', '', 'g') || lang) AS digest, n_chars FROM documents")
 def clean_texts(t: Tables) -> DataFrame:
     dirty = F.concat(F.lit("\x01"), F.col("text"), F.lit("\x0b\x1f"), F.col("lang"), F.lit("\x00")).alias("text")
-    cleaned = W.without_control_characters(t.documents.select(K, dirty, "n_chars"))
-    return cleaned.select(K, F.md5(F.col("text").cast("binary")).alias("digest"), "n_chars")
+    cleaned = W.without_control_characters(t.documents.select(_doc(), dirty, "n_chars"))
+    return cleaned.select(_doc(), F.md5(F.col("text").cast("binary")).alias("digest"), "n_chars")
 
 
 @query("image_contents", "A17", """
@@ -183,22 +188,22 @@ SELECT doc_id || '.jpg' AS path, md5(text) AS digest FROM documents
 UNION ALL SELECT unnest([doc_id || '_a.png', doc_id || '_b.png']), md5(unnest([text, lang])) FROM documents WHERE doc_id % 3 = 0""")
 def image_contents(t: Tables) -> DataFrame:
     cell = lambda c: F.base64(F.col(c).cast("binary"))
-    name = lambda tail: F.concat(K.cast("string"), F.lit(tail))
-    one = W.encoded_images(t.documents.select(K, cell("text").alias("image")), "doc_id", "image")
-    many = t.documents.where(K % 3 == 0).select(K, F.array(cell("text"), cell("lang")).alias("image"), F.array(name("_a.png"), name("_b.png")).alias("paths"))
+    name = lambda tail: F.concat(_doc().cast("string"), F.lit(tail))
+    one = W.encoded_images(t.documents.select(_doc(), cell("text").alias("image")), "doc_id", "image")
+    many = t.documents.where(_doc() % 3 == 0).select(_doc(), F.array(cell("text"), cell("lang")).alias("image"), F.array(name("_a.png"), name("_b.png")).alias("paths"))
     return one.unionByName(W.encoded_images(many, "doc_id", "image", "paths")).select("path", F.md5("content").alias("digest"))
 
 
 @query("reused_counts", "A18", f"""
 SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN 1000000 ELSE {word_count_sql('text')} END AS num_tokens FROM documents""")
 def reused_counts(t: Tables) -> DataFrame:
-    known = t.documents.where(K % 3 == 0).select(K, F.lit(1000000).cast("bigint").alias("num_tokens"))
-    return N.counted_once(t.documents.select(K, "text"), known, "doc_id",
-                          lambda fresh: fresh.select(K, word_count(F.col("text")).cast("bigint").alias("num_tokens")))
+    known = t.documents.where(_doc() % 3 == 0).select(_doc(), F.lit(1000000).cast("bigint").alias("num_tokens"))
+    return N.counted_once(t.documents.select(_doc(), "text"), known, "doc_id",
+                          lambda fresh: fresh.select(_doc(), word_count(F.col("text")).cast("bigint").alias("num_tokens")))
 
 
 @query("tagged_datasets", "B4", """
 SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN '/data/even' ELSE '/data/odd' END AS data_path, CASE WHEN doc_id % 2 = 1 THEN lang END AS lang FROM documents""")
 def tagged_datasets(t: Tables) -> DataFrame:
-    odd = t.documents.where(K % 2 == 1).select(K, "lang")
-    return M.concatenate({"/data/even": t.documents.where(K % 2 == 0).select(K), "/data/odd": odd}).select(K, "data_path", "lang")
+    odd = t.documents.where(_doc() % 2 == 1).select(_doc(), "lang")
+    return M.concatenate({"/data/even": t.documents.where(_doc() % 2 == 0).select(_doc()), "/data/odd": odd}).select(_doc(), "data_path", "lang")

@@ -1,5 +1,9 @@
 import os
 
+import subprocess
+import sys
+from pathlib import Path
+
 import pytest
 
 from glyphlane.plans import load_queries
@@ -17,3 +21,8 @@ def con():
 @pytest.mark.parametrize("name", sorted(load_queries()))
 def test_query_equals_check_sql(spark, con, name):
     assert differences(spark, con, FOLDER, name) == []
+
+
+def test_queries_load_without_a_session():
+    code = "import __spark_entry__ as e; assert set(e.oracle_sql()) <= set(e.queries())"
+    subprocess.run([sys.executable, "-c", code], check=True, cwd=Path(__file__).resolve().parents[1], timeout=120)
