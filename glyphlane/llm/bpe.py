@@ -30,8 +30,8 @@ from pyspark.sql import functions as F
 
 #: Fixed value: how the byte-level vocabulary splits text into words before merging.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
-#: Words and transitions that a worker remembers; beyond that it forgets all and goes on.
-MEMORY = 800_000
+#: Words that a worker remembers, in two generations of which the older goes when the younger is full; and transitions.
+MEMORY = 300_000
 NEVER = 1 << 60
 
 
@@ -167,13 +167,17 @@ class ByteBpe:
         self.words = regex.compile(WORDS)
         self.labels = dict(enumerate(self.automaton.labels)) | {i: t.encode() for t, i in self.special.items()}
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def _word(self, word: str) -> bytes:
         ids = self.known.get(word)
         if ids is None:
-            if len(self.known) > MEMORY:
-                self.known.clear()
-            ids = self.known[word] = np.array(self.automaton.encode(word.encode()), "<u4").tobytes()
+            ids = self.older.get(word)
+            if ids is None:
+                ids = np.array(self.automaton.encode(word.encode()), "<u4").tobytes()
+            if len(self.known) > MEMORY // 2:
+                self.known, self.older = {}, self.known
+            self.known[word] = ids
         return ids
 
     def encode(self, text: str) -> bytes:

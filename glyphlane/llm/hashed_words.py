@@ -12,7 +12,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-CHUNK = 2 << 20
+CHUNK = 1 << 20
 BASE = np.uint64(0x9E3779B97F4A7C15)
 SPREAD = np.uint64(0xD6E8FEB86659FD93)
 

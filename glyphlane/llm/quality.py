@@ -123,7 +123,7 @@ class Neighbours:
             value = _weights(owner, bucket, count, self.rarity, self.numbers[1], last - first)
             seen = value != 0
             owner, bucket, value = owner[seen], bucket[seen], value[seen].astype(np.float32)
-            for part in np.array_split(np.arange(last - first), max(1, len(owner) // 200_000)):
+            for part in np.array_split(np.arange(last - first), max(1, len(owner) // 100_000)):
                 if len(part):
                     a, b = np.searchsorted(owner, [part[0], part[-1] + 1])
                     rows = value[a:b, None] * self.projection[bucket[a:b]]

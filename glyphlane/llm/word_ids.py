@@ -19,10 +19,10 @@ import pyarrow as pa
 import regex
 
 SPACE, LETTER, NUMERAL, OTHER = range(4)
-#: Words that a worker remembers; beyond that it forgets all and goes on.
-MEMORY = 800_000
+#: Words that a worker remembers: two generations of half as many, of which the older goes when the younger is full.
+MEMORY = 300_000
 #: Bytes of text that are split at a time, single longer texts apart.
-CHUNK = 8 << 20
+CHUNK = 4 << 20
 CONTRACTIONS = (b"s", b"t", b"re", b"ve", b"m", b"ll", b"d")
 END_MARK = "</w>"
 
@@ -94,13 +94,12 @@ class WordIds:
         self.ends[[i for t, i in vocabulary.items() if t.endswith(END_MARK)]] = True
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def _whole(self, text: str) -> np.ndarray:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, self.dtype)
 
     def _learn(self, words: list[str]) -> None:
-        if len(self.known) + len(words) > MEMORY:
-            self.known.clear()
         for at in range(0, len(words), 2000):
             some = words[at : at + 2000]
             ids = np.array(self.library.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, self.dtype)
@@ -125,12 +124,19 @@ class WordIds:
         words, firsts = split_words(texts)
         coded = words.dictionary_encode()
         distinct, codes = coded.dictionary.to_pylist(), coded.indices.to_numpy()
-        new = [w for w in distinct if w not in self.known]
-        if new:
-            self._learn(new)
-            if any(w not in self.known for w in distinct):  # forgotten a moment ago
-                self._learn([w for w in distinct if w not in self.known])
-        pieces = [self.known[w] for w in distinct]
+        if len(self.known) > MEMORY // 2:
+            self.known, self.older = {}, self.known
+        known, older = self.known, self.older
+        new = []
+        for word in distinct:
+            if word not in known:
+                ids = older.get(word)
+                if ids is None:
+                    new.append(word)
+                else:
+                    known[word] = ids
+        self._learn(new)
+        pieces = [known[w] for w in distinct]
         flat = np.frombuffer(b"".join(pieces), self.dtype)
         sizes = np.array([len(p) for p in pieces], np.int64) // self.dtype.itemsize
         begins = np.cumsum(sizes) - sizes
