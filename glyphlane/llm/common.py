@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import string
 import tempfile
 import uuid
@@ -40,11 +41,21 @@ def folded(text: Column) -> Column:
     return F.translate(F.coalesce(text, F.lit("")), string.ascii_uppercase, string.ascii_lowercase)
 
 
+def give_back() -> None:
+    """Returns free memory to the system; workers live on after a task, beside the next one's needs."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def slices(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
-    """The same rows, few at a time, so that a task holds few texts twice."""
+    """The same rows, few at a time, so that a task holds few texts twice; gives memory back after each batch."""
     for batch in batches:
         for at in range(0, batch.num_rows, rows):
             yield batch.slice(at, rows)
+        del batch
+        give_back()
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import give_back, slices
+
 
 def remainder(id_col: Column) -> Column:
     """crc32 of the id as text, modulo 5; rows with 0 are held out of learning. Null ids give null."""
@@ -40,7 +42,10 @@ def fit_in_task(sample: DataFrame, fit: Callable[[pa.Table], bytes]) -> bytes:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = pa.Table.from_batches(list(batches), pa.schema([("text", pa.string()), ("label", pa.int32())]))
-        yield pa.RecordBatch.from_arrays([pa.array([fit(table)], pa.binary())], ["model"])
+        model = fit(table)
+        del table
+        give_back()
+        yield pa.RecordBatch.from_arrays([pa.array([model], pa.binary())], ["model"])
 
     rows = sample.repartition(1).mapInArrow(run, "model binary").collect()
     return bytes(rows[0]["model"]) if rows else fit(pa.table({"text": pa.array([], pa.string()), "label": pa.array([], pa.int32())}))
@@ -50,7 +55,7 @@ def scored(docs: DataFrame, score: Callable[[pa.Array], np.ndarray], threshold:
     """doc_id, held_out, score, predicted for each row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(score(batch.column(2)), pa.float64())], ["doc_id", "held_out", "score"])
 
     rows = docs.select(
@@ -67,7 +72,7 @@ def rows_scoring(docs: DataFrame, score: Callable[[pa.Array], np.ndarray], accep
     at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             yield batch.filter(pa.array(accept(score(batch.column(at)))))
 
     return docs.mapInArrow(run, docs.schema)

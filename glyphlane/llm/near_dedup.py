@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import give_back, slices, written
 from .components import components
 from .hashed_words import BASE, FOLD, NOT_BLANK, SPREAD, chunks, combined, mix, run_hashes, words_of
 
@@ -81,9 +81,8 @@ def _signatures(size: int):
     lists = lambda m, n: pa.ListArray.from_arrays(pa.array(np.arange(0, m.size + 1, n, dtype=np.int32)), pa.array(m.ravel().view(np.int64)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                some = batch.slice(at, 1000)
+        for some in slices(batches):
+            if some.num_rows:
                 sets = shingle_sets(some.column(1), size)
                 least = np.stack([minima(s) for s in sets])
                 d1 = np.array([mix(s).sum(dtype=np.uint64) if len(s) else 0 for s in sets], np.uint64)
@@ -130,9 +129,8 @@ def linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
 
 def _confirmed(size: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                some = batch.slice(at, 256)
+        for some in slices(batches, 256):
+            if some.num_rows:
                 left, right = shingle_sets(some.column(2), size), shingle_sets(some.column(3), size)
                 good = pa.array([linked(x, y, percent) for x, y in zip(left, right)])
                 yield pa.RecordBatch.from_arrays([some.column(0).filter(good), some.column(1).filter(good)], ["a", "b"])
@@ -169,6 +167,8 @@ def _joined_in_unit(size: int, percent: int, least_estimate: float):
             if x != y and linked(sets[i], sets[j], percent):
                 roots[x] = y
                 found.append((ids[i], ids[j]))
+        del sets, pairs
+        give_back()
         return pa.table({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
 
     return run
