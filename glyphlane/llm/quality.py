@@ -167,7 +167,7 @@ def fit_neighbours(
 
     def times(m: np.ndarray) -> np.ndarray:
         out = np.zeros((n, m.shape[1]), np.float32)
-        for part in np.array_split(np.arange(n), max(1, len(owner) // 500_000)):
+        for part in np.array_split(np.arange(n), max(1, len(owner) // 100_000)):
             a, b = np.searchsorted(owner, [part[0], part[-1] + 1]) if len(part) else (0, 0)
             if b > a:
                 out[part[0] : part[-1] + 1] = _summed(value[a:b, None] * m[bucket[a:b]], owner[a:b] - part[0], len(part))
@@ -175,7 +175,7 @@ def fit_neighbours(
 
     def turned_times(m: np.ndarray) -> np.ndarray:
         out = np.zeros((BUCKETS, m.shape[1]), np.float32)
-        for some in np.array_split(turned, max(1, len(turned) // 500_000)):
+        for some in np.array_split(turned, max(1, len(turned) // 100_000)):
             if len(some):
                 low = bucket[some[0]]
                 out[low : bucket[some[-1]] + 1] += _summed(value[some, None] * m[owner[some]], bucket[some] - low, bucket[some[-1]] + 1 - low)

@@ -88,8 +88,10 @@ class Machine:
 def known_terms(owner: np.ndarray, found: np.ndarray, label: np.ndarray, most: int, least_z: float) -> np.ndarray:
     """The terms whose share of texts differs most between the classes, in standard errors."""
     pos, neg = max(1, int(label.sum())), max(1, int((1 - label).sum()))
-    each, back, count = np.unique(found, return_inverse=True, return_counts=True)
-    hits = np.bincount(back, label[owner], len(each))
+    each, count = np.unique(found, return_counts=True)
+    hit, hit_count = np.unique(found[(label == 1)[owner]], return_counts=True)
+    hits = np.zeros(len(each))
+    hits[np.searchsorted(each, hit)] = hit_count
     share = count / (pos + neg)
     z = (hits / pos - (count - hits) / neg) / np.sqrt(np.maximum(share * (1 - share), 1e-9) * (1 / pos + 1 / neg))
     picked = np.flatnonzero((np.abs(z) >= least_z) & (count >= 2))
