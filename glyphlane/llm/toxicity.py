@@ -7,8 +7,8 @@ and 7 bytes of longer words, as 64-bit hashes. The machine scores a text by
 
 over its known terms, so that a pair such as an insult with a group mention can
 weigh more than both alone. Known terms are those whose presence goes with the
-label in the bounded sample beyond chance; all others have no weight, so long
-texts are not judged by the sum of their noise.
+label in the bounded sample beyond chance, alone or together with another term;
+all others have no weight, so long texts are not judged by the sum of their noise.
 """
 
 from __future__ import annotations
@@ -98,9 +98,68 @@ def known_terms(owner: np.ndarray, found: np.ndarray, label: np.ndarray, most: i
     return np.sort(each[picked[np.argsort(-np.abs(z[picked]), kind="stable")[:most]]])
 
 
+def paired_terms(
+    owner: np.ndarray, found: np.ndarray, label: np.ndarray, alone: np.ndarray, most: int, least_z: float, block: int = 512
+) -> np.ndarray:
+    """The terms of pairs whose joint presence goes with the label beyond what both do apart.
+
+    Texts with both terms, with either one and with none have each a share of
+    label 1; the sum of the first and last less the others is 0 if effects add
+    up. Its chance to differ by ``least_z`` times its largest standard error,
+    half the root of the summed reciprocal counts, is below 2 * exp(-least_z ** 2 / 2)
+    at any counts and shares (Hoeffding). Terms in, or missing from, fewer than
+    ``least_z ** 2 / 4`` texts cannot reach that. The ``most`` frequent others
+    meet in blocks; pairs of two terms of ``alone`` have nothing to add.
+    """
+    each, count = np.unique(found, return_counts=True)
+    n, floor = len(label), least_z**2 / 4
+    picked = np.flatnonzero((count >= floor) & (n - count >= floor))
+    picked = np.sort(picked[np.argsort(-count[picked], kind="stable")[:most]])
+    each, count = each[picked], count[picked].astype(float)
+    if len(each) < 2:
+        return each[:0]
+    place = np.searchsorted(each, found)
+    right = np.append(each, 0)[place] == found
+    place, owner = place[right], owner[right]
+    by_label = np.argsort(-label, kind="stable")
+    column = np.empty(n, np.int64)
+    column[by_label] = np.arange(n)
+    pos = int(label.sum())
+    order = np.argsort(place, kind="stable")
+    place, column = place[order], column[owner[order]]
+    hits = np.bincount(place[column < pos], minlength=len(each)).astype(float)
+    known, useful = np.isin(each, alone), np.zeros(len(each), bool)
+
+    def presence(at: int) -> np.ndarray:
+        a, b = np.searchsorted(place, [at, at + block])
+        out = np.zeros((min(block, len(each) - at), n), np.float32)
+        out[place[a:b] - at, column[a:b]] = 1
+        return out
+
+    for i in range(0, len(each), block):
+        left, a = presence(i), slice(i, i + block)
+        for j in range(i, len(each), block):
+            other, b = presence(j), slice(j, j + block)
+            both_hits = (left[:, :pos] @ other[:, :pos].T).astype(float)
+            both = both_hits + left[:, pos:] @ other[:, pos:].T
+            apart, spread = np.zeros_like(both), np.zeros_like(both)
+            with np.errstate(divide="ignore", invalid="ignore"):
+                for sign, of, size in (
+                    (1, both_hits, both), (-1, hits[a, None] - both_hits, count[a, None] - both), (-1, hits[b] - both_hits, count[b] - both),
+                    (1, pos - hits[a, None] - hits[b] + both_hits, n - count[a, None] - count[b] + both),
+                ):
+                    apart += sign * of / size
+                    spread += 1 / size
+                found_pairs = 4 * np.square(apart) >= least_z**2 * spread  # never where a count is 0
+            found_pairs &= ~(known[a, None] & known[b])
+            useful[a] |= found_pairs.any(axis=1)
+            useful[b] |= found_pairs.any(axis=0)
+    return each[useful]
+
+
 def fit_machine(
     texts: pa.Array, label: np.ndarray, prior: float, most_terms: int = 1 << 16, least_z: float = 4.0, rank: int = RANK,
-    epochs: int = 30, rate: float = 0.05, decay: float = 1e-4, seed: int = 7,
+    epochs: int = 30, rate: float = 0.05, decay: float = 1e-4, seed: int = 7, most_paired: int = 1 << 14, least_pair_z: float = 7.0,
 ) -> Machine:
     """Logistic loss by stochastic steps; classes weigh as ``prior``, the share of label 1 among all labels."""
     owners, hashes = [], []
@@ -114,6 +173,7 @@ def fit_machine(
         return Machine(np.zeros(0, np.uint64), bias, np.zeros(0), np.zeros((0, rank)))
     owner, found = np.concatenate(owners), np.concatenate(hashes)
     known = known_terms(owner, found, label, most_terms, least_z)
+    known = np.union1d(known, paired_terms(owner, found, label, known, most_paired, least_pair_z))
     place = np.searchsorted(known, found)
     right = np.append(known, 0)[place] == found
     owner, place = owner[right], place[right]

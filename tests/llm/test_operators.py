@@ -355,3 +355,28 @@ def test_factors_learn_a_pair_that_weights_miss():
         labels.append(float(insult == group))  # neither word alone says anything
     model = toxicity.fit_machine(pa.array(texts), np.array(labels), 0.5, least_z=0.0, epochs=40)
     assert np.mean((model.scores(pa.array(texts)) >= 0.5) == np.array(labels)) > 0.95
+
+
+def test_production_terms_keep_a_pair_that_neither_word_shows():
+    import pyarrow as pa
+
+    rng = random.Random(6)
+    texts, labels, pairs = [], [], []
+    for _ in range(3000):
+        toxic, u = rng.random() < 0.5, rng.random()
+        insult = u < 0.05
+        group = insult if toxic else 0.05 <= u < 0.1  # each word as common in clean texts as in toxic ones
+        words = [f"w{rng.randrange(300)}" for _ in range(20)] + ["nasty"] * insult + ["folk"] * group
+        texts.append(" ".join(rng.sample(words, len(words))))
+        labels.append(float(toxic))
+        pairs.append(insult + group)
+    texts, labels, pairs = pa.array(texts), np.array(labels), np.array(pairs)
+    owner, found = toxicity.terms(*next(toxicity.chunks(texts))[2:])
+    assert len(toxicity.known_terms(owner, found, labels, 1 << 16, 4.0)) == 0
+    model = toxicity.fit_machine(texts, labels, 0.5)
+    assert len(model.known) == 2
+    scores = model.scores(texts)
+    assert np.all(scores[pairs == 2] >= 0.5) and np.all(scores[pairs == 1] < 0.5)
+    blocks = toxicity.paired_terms(owner, found, labels, model.known[:0], 1 << 14, 7.0, block=7)
+    assert np.array_equal(blocks, model.known)
+    assert len(toxicity.paired_terms(owner, found, labels, model.known, 1 << 14, 7.0)) == 0
