@@ -17,6 +17,12 @@ def remainder(id_col: Column) -> Column:
     return F.crc32(id_col.cast("string").cast("binary")) % 5
 
 
+def learning_prior(labels: DataFrame, label_col: str, id_col: str = "doc_id") -> float:
+    """The share of label 1 among all labels that are learned from, kept off 0 and 1; 0.5 without any."""
+    prior = labels.filter(labels[label_col].isin(0, 1) & (remainder(labels[id_col]) != 0)).agg({label_col: "avg"}).collect()[0][0]
+    return min(max(float(prior if prior is not None else 0.5), 1e-3), 1 - 1e-3)
+
+
 def labelled_sample(docs: DataFrame, labels: DataFrame, label_col: str, per_class: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """text, label of at most ``per_class`` learning rows of each class, those of the smallest id hashes.
 

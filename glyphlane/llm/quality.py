@@ -10,7 +10,8 @@ sample's leading singular directions and scaled to length 1.
 The vectors of the sample are the labelled neighbours. Their number is bounded
 by a parameter, so they are broadcast with the model. Every text meets all of
 them in blocks of exact cosine products; the nearest vote with their
-similarity.
+similarity. A class that the sample holds more or less often than all labels do
+votes with accordingly less or more weight.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from .hashed_words import FOLD, NOT_BLANK, WORD, chunks, combined, mix, run_hashes, words_of
-from .labelled import fit_in_task, labelled_sample, rows_scoring, scored
+from .labelled import fit_in_task, labelled_sample, learning_prior, rows_scoring, scored
 
 #: Buckets of word terms, and after them of shape and repetition terms.
 WORD_BUCKETS = 1 << 14
@@ -131,7 +132,7 @@ class Neighbours:
         return _unit(out)
 
     def scores(self, texts: pa.Array, block: int = 512) -> np.ndarray:
-        prior, _, nearest, power = self.numbers
+        prior, _, nearest, power, *weigh = self.numbers
         if not len(self.vectors):
             return np.full(len(texts), prior)
         latent, out = self.latent(texts), np.full(len(texts), prior)
@@ -140,6 +141,7 @@ class Neighbours:
             products = latent[at : at + block] @ self.vectors.T
             top = np.argpartition(-products, nearest - 1, axis=1)[:, :nearest]
             vote = np.maximum(np.take_along_axis(products, top, axis=1), 0).astype(float) ** power
+            vote *= np.where(self.label[top] == 1, weigh[1], weigh[0])
             total = vote.sum(axis=1)
             some = total > 1e-9  # a text without known terms is near nothing and scores as the prior
             out[at : at + block][some] = ((vote * self.label[top]).sum(axis=1)[some]) / total[some]
@@ -147,15 +149,22 @@ class Neighbours:
 
 
 def fit_neighbours(
-    texts: pa.Array, label: np.ndarray, rank: int = 64, nearest: int = 15, power: float = 4.0, shape_share: float = 0.6, seed: int = 5
+    texts: pa.Array, label: np.ndarray, rank: int = 64, nearest: int = 15, power: float = 4.0, shape_share: float = 0.6, seed: int = 5,
+    prior: float | None = None,
 ) -> Neighbours:
-    """Term rarity, a randomised singular value decomposition and the sample's vectors."""
+    """Term rarity, a randomised singular value decomposition and the sample's vectors.
+
+    Votes count as if the sample had the share ``prior`` of label 1; without it they count as they are.
+    """
     parts = []
     for first, _, data, offsets in chunks(texts):
         owner, bucket, count = term_counts(data, offsets)
         parts.append((owner + first, bucket, count))
-    prior = float(label.mean()) if len(label) else 0.5
-    numbers = np.array([prior, shape_share, nearest, power])
+    share = float(label.mean()) if len(label) else 0.5
+    if prior is None or share in (0, 1) or not len(label):
+        prior = share
+    weigh = [(1 - prior) / (1 - share), prior / share] if 0 < share < 1 else [1, 1]
+    numbers = np.array([prior, shape_share, nearest, power, *weigh])
     if not parts:
         return Neighbours(np.zeros(BUCKETS), np.zeros((BUCKETS, 1), np.float32), np.zeros((0, 1), np.float32), label, numbers)
     owner, bucket, count = (np.concatenate(c) for c in zip(*parts))
@@ -196,9 +205,10 @@ def fit_quality(
     docs: DataFrame, labels: DataFrame, per_class: int = 2500, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality"
 ) -> Neighbours:
     """Neighbours from at most ``per_class`` learning rows of each class, prepared in one task."""
+    prior = learning_prior(labels, label_col, id_col)
 
     def fit(table: pa.Table) -> bytes:
-        return fit_neighbours(table["text"].combine_chunks(), table["label"].to_numpy().astype(float)).to_bytes()
+        return fit_neighbours(table["text"].combine_chunks(), table["label"].to_numpy().astype(float), prior=prior).to_bytes()
 
     return Neighbours.from_bytes(fit_in_task(labelled_sample(docs, labels, label_col, per_class, id_col, text_col), fit))
 
@@ -222,7 +232,7 @@ def quality(
     """One row per input row: doc_id, held_out, score, predicted.
 
     Whole texts are scored; null counts as empty. A text without known terms,
-    as an empty one, scores as the share of label 1 in the sample. Rows whose
+    as an empty one, scores as the share of label 1 in all learning labels. Rows whose
     crc32 of the id is 0 modulo 5 (held_out) are not learned from; rows with a
     null id are scored. Without usable labels every score is 0.5. Repeated rows
     score alike, neighbours of one similarity vote alike; an empty table gives

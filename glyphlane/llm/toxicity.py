@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from .hashed_words import FOLD, WORD, chunks, mix, run_hashes, words_of
-from .labelled import fit_in_task, labelled_sample, remainder, rows_scoring, scored
+from .labelled import fit_in_task, labelled_sample, learning_prior, rows_scoring, scored
 
 PREFIXES = (5, 6, 7)
 RANK = 8
@@ -203,8 +203,7 @@ def fit_toxicity(
     docs: DataFrame, labels: DataFrame, per_class: int = 4096, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic"
 ) -> Machine:
     """A machine fitted in one task on at most ``per_class`` learning rows of each class."""
-    prior = labels.filter(labels[label_col].isin(0, 1) & (remainder(labels[id_col]) != 0)).agg({label_col: "avg"}).collect()[0][0]
-    prior = min(max(float(prior if prior is not None else 0.5), 1e-3), 1 - 1e-3)
+    prior = learning_prior(labels, label_col, id_col)
 
     def fit(table: pa.Table) -> bytes:
         return fit_machine(table["text"].combine_chunks(), table["label"].to_numpy().astype(float), prior).to_bytes()

@@ -380,3 +380,16 @@ def test_production_terms_keep_a_pair_that_neither_word_shows():
     blocks = toxicity.paired_terms(owner, found, labels, model.known[:0], 1 << 14, 7.0, block=7)
     assert np.array_equal(blocks, model.known)
     assert len(toxicity.paired_terms(owner, found, labels, model.known, 1 << 14, 7.0)) == 0
+
+
+def test_quality_votes_do_not_follow_the_cap(spark):  # noqa: F811
+    rng = random.Random(3)
+    # the texts say nothing about the labels
+    rows = [(i, " ".join(f"w{rng.randrange(60)}" for _ in range(30)), int(rng.random() < 0.85)) for i in range(2000)]
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows] + [(5000, ""), (5001, None)], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id bigint, quality int")
+    learned = [y for i, _, y in rows if zlib.crc32(str(i).encode()) % 5]
+    small, large = ({r.doc_id: r.score for r in quality.quality(docs, labels, per_class=n).collect()} for n in (100, 2500))
+    assert small[5000] == small[5001] == large[5000] and abs(small[5000] - np.mean(learned)) < 1e-9
+    held = [i for i, _, _ in rows if zlib.crc32(str(i).encode()) % 5 == 0]
+    assert abs(np.mean([small[i] for i in held]) - np.mean([large[i] for i in held])) < 0.1
