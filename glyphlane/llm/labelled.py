@@ -26,8 +26,8 @@ def learning_prior(labels: DataFrame, label_col: str, id_col: str = "doc_id") ->
 def labelled_sample(docs: DataFrame, labels: DataFrame, label_col: str, per_class: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """text, label of at most ``per_class`` learning rows of each class, those of the smallest id hashes.
 
-    A document with several labels takes the largest; null labels and ids do
-    not count. The ids are chosen from the labels alone, so at most
+    A document with several labels takes the largest, rows that repeat an id are
+    one with their smallest text; null labels and ids do not count. The ids are chosen from the labels alone, so at most
     2 * ``per_class`` of them are broadcast to the documents.
     """
     known = (
@@ -39,8 +39,9 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label_col: str, per_clas
     chosen = [known.filter(F.col("_label") == c).orderBy(order, "_id").limit(per_class) for c in (0, 1)]
     wanted = F.broadcast(chosen[0].unionByName(chosen[1]))
     rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("text")).join(wanted, "_id")
-    # the limit again: ids may repeat in the documents
-    return rows.orderBy(order, "_id", "text").limit(2 * per_class).select("text", F.col("_label").alias("label"))
+    # one row per id, so that the chosen ids are the only bound; the limit keeps the order
+    rows = rows.groupBy("_id", "_label").agg(F.min("text").alias("text"))
+    return rows.orderBy(order, "_id").limit(2 * per_class).select("text", F.col("_label").alias("label"))
 
 
 def fit_in_task(sample: DataFrame, fit: Callable[[pa.Table], bytes]) -> bytes:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from glyphlane.llm import (
-    bin_packing, bpe, components, exact_dedup, license_scan, license_texts, line_dedup, near_dedup, quality, token_files, topk, toxicity,
+    bin_packing, bpe, components, exact_dedup, labelled, license_scan, license_texts, line_dedup, near_dedup, quality, token_files, topk, toxicity,
 )
 from tests.conftest import spark  # noqa: F401
 
@@ -393,3 +393,13 @@ def test_quality_votes_do_not_follow_the_cap(spark):  # noqa: F811
     assert small[5000] == small[5001] == large[5000] and abs(small[5000] - np.mean(learned)) < 1e-9
     held = [i for i, _, _ in rows if zlib.crc32(str(i).encode()) % 5 == 0]
     assert abs(np.mean([small[i] for i in held]) - np.mean([large[i] for i in held])) < 0.1
+
+
+def test_repeated_ids_do_not_crowd_the_sample(spark):  # noqa: F811
+    ids = [i for i in range(40) if zlib.crc32(str(i).encode()) % 5]
+    docs = frame(spark, [f"text {i}" for i in ids for _ in range(30)] + [None, "zz"], [i for i in ids for _ in range(30)] + [ids[0]] * 2)
+    known = spark.createDataFrame([(i, i % 2) for i in ids], "doc_id bigint, toxic int")
+    rows = labelled.labelled_sample(docs, known, "toxic", 10).collect()
+    assert Counter(r.label for r in rows) == {0: 10, 1: 10} and len({r.text for r in rows}) == 20
+    rows = labelled.labelled_sample(docs, known, "toxic", 100).collect()
+    assert sorted((r.text, r.label) for r in rows) == sorted((f"text {i}", i % 2) for i in ids)
