@@ -32,7 +32,7 @@ def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents; lines held by three or more stay in the last of them. n_chars follows the text."""
-    shortened = line_dedup(docs).drop("n_lines", "n_dropped")
+    shortened = line_dedup(docs, counts=None)
     if "n_chars" in docs.columns:
         shortened = shortened.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
     return shortened.select(docs.columns)

@@ -42,8 +42,8 @@ def _line_keys(shortest: int):
     return run
 
 
-def _without_lines(text_at: int):
-    """Of rows with places to drop as last column: all other columns, text shortened, then both counts."""
+def _without_lines(text_at: int, counts: tuple[str, str] | None):
+    """Of rows with places to drop as last column: all other columns, text shortened, then both counts if named."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -62,10 +62,9 @@ def _without_lines(text_at: int):
                     dropped.append(0)
             columns = batch.columns[:-1]
             columns[text_at] = pa.array(kept, pa.string())
-            yield pa.RecordBatch.from_arrays(
-                [*columns, pa.array(total, pa.int64()), pa.array(dropped, pa.int64())],
-                [*batch.schema.names[:-1], "n_lines", "n_dropped"],
-            )
+            if counts:
+                columns += [pa.array(total, pa.int64()), pa.array(dropped, pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names[:-1], *(counts or ())])
 
     return run
 
@@ -91,9 +90,10 @@ def line_drops(docs: DataFrame, id_col: str, text_col: str, shortest: int, least
 
 
 def line_dedup(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shortest: int = 20, least_docs: int = 3
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shortest: int = 20, least_docs: int = 3,
+    counts: tuple[str, str] | None = ("n_lines", "n_dropped"),
 ) -> DataFrame:
-    """The input rows with all their columns, their text without its dropped lines, and n_lines, n_dropped.
+    """The input rows with all their columns, their text without its dropped lines, and ``counts``: all lines, dropped lines.
 
     A line's key is the line without blanks at its ends, A-Z in lower case.
     Keys of at least ``shortest`` code points held by at least ``least_docs``
@@ -101,13 +101,13 @@ def line_dedup(
     text is one empty line, and comes back empty. Rows with a null id neither
     count nor lose lines; rows that repeat an id are one document for the
     counts, and its places to drop hold for each of them. Input columns named
-    n_lines or n_dropped give way to the counts.
+    as the counts give way to them; with None there are no counts.
     """
-    docs = docs.drop("n_lines", "n_dropped")
+    docs = docs.drop(*(counts or ()))
     drops = line_drops(docs, id_col, text_col, shortest, least_docs)
     own, places = (f"{x}_{len(docs.columns)}_{'_'.join(docs.columns)}" for x in ("id", "places"))  # names that no column has
     drops = drops.select(F.col("doc_id").alias(own), F.col("places").alias(places))
     joined = docs.join(drops, F.col(id_col) == F.col(own), "left").drop(own)
     schema = T.StructType([*(T.StructField(f.name, T.StringType() if f.name == text_col else f.dataType) for f in docs.schema),
-                           T.StructField("n_lines", T.LongType()), T.StructField("n_dropped", T.LongType())])
-    return joined.mapInArrow(_without_lines(docs.columns.index(text_col)), schema)
+                           *(T.StructField(c, T.LongType()) for c in counts or ())])
+    return joined.mapInArrow(_without_lines(docs.columns.index(text_col), counts), schema)

@@ -53,3 +53,11 @@ def test_stages(spark):  # noqa: F811
     assert max(r.n for r in total) <= 4096
     assert len(total) <= -(-sum(map(len, want.values())) // 4096) + 1
     assert np.array_equal(sorted((r.doc_id, r.piece) for r in corpus_pipeline.run(spark, FOLDER).collect()), sorted((r.doc_id, r.piece) for r in pieces))
+
+
+def test_line_dedup_keeps_columns_named_as_its_counts(spark):  # noqa: F811
+    line = "a line of more than twenty signs"
+    docs = spark.createDataFrame([(i, f"{line}\n{i}", "x", i * 7) for i in range(4)], "doc_id bigint, text string, n_lines string, n_dropped bigint")
+    got = corpus_pipeline.drop_repeated_lines(spark, docs, FOLDER)
+    assert got.columns == docs.columns
+    assert sorted(map(tuple, got.collect())) == [(i, f"{line}\n{i}" if i == 3 else str(i), "x", i * 7) for i in range(4)]
