@@ -11,11 +11,15 @@ from .bin_packing import best_fit_packing
 from .bpe import bpe_round_trip, with_digests
 from .common import table
 from .exact_dedup import exact_dedup
+from .fill_in_middle import fill_in_middle
+from .fill_in_middle import with_digests as middle_digests
+from .lexical_search import lexical_search
 from .license_scan import license_scan
 from .license_texts import known_texts
 from .line_dedup import line_dedup
 from .near_dedup import minhash_components
 from .quality import quality
+from .sharding import shard_facts, sharded
 from .token_files import read_documents, token_files_folder, write_token_files
 from .topk import exact_topk
 from .toxicity import toxicity
@@ -147,6 +151,58 @@ def op10(spark, sf_dir):
     return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query("op11_fill_in_middle", """
+    WITH t AS (SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || doc_id) AS h FROM documents),
+    d AS (
+      SELECT doc_id, t, CAST(length(t) AS BIGINT) AS n, ('0x' || substr(h, 17, 8))::BIGINT AS h3, ('0x' || substr(h, 25, 8))::BIGINT AS h4,
+             ('0x' || substr(h, 1, 8))::BIGINT % (length(t) + 1) AS x, ('0x' || substr(h, 9, 8))::BIGINT % (length(t) + 1) AS y FROM t),
+    f AS (
+      SELECT doc_id, n, t, least(x, y) AS a, greatest(x, y) AS b,
+             CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+                  WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM d),
+    p AS (SELECT *, substr(t, 1, a) AS pre, substr(t, a + 1, b - a) AS mid, substr(t, b + 1) AS suf FROM f)
+    SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+           sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid
+                  ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256, sha256(t) AS restored_sha256
+    FROM p""")
+def op11(spark, sf_dir):
+    return middle_digests(fill_in_middle(table(spark, sf_dir, "documents")))
+
+
+@query("op12_sharding")
+def op12(spark, sf_dir):
+    return shard_facts(sharded(table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
+@query("op13_lexical_search", r"""
+    WITH w AS (
+      SELECT row, doc_id, u.term FROM (
+        SELECT row_number() OVER () AS row, doc_id,
+               regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                  '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS a FROM documents) d,
+        LATERAL (SELECT unnest(d.a) AS term) u),
+    size AS (SELECT row, any_value(doc_id) AS doc_id, count(*) AS n FROM w GROUP BY row),
+    total AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM size),
+    asked AS (
+      SELECT DISTINCT item_id, u.term FROM (
+        SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                           '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS a FROM benchmark) b,
+        LATERAL (SELECT unnest(b.a) AS term) u),
+    tf AS (SELECT row, term, count(*) AS tf FROM w WHERE term IN (SELECT term FROM asked) GROUP BY row, term),
+    df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+    weight AS (SELECT term, CAST(floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1))) AS BIGINT) AS w FROM df, total),
+    part AS (
+      SELECT row, term, w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * n * docs) // terms))) AS part
+      FROM tf JOIN weight USING (term) JOIN size USING (row), total),
+    score AS (SELECT item_id, row, CAST(sum(part) AS BIGINT) AS score FROM asked JOIN part USING (term) GROUP BY item_id, row HAVING sum(part) > 0),
+    best AS (
+      SELECT item_id, doc_id, score, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank
+      FROM score JOIN size USING (row))
+    SELECT item_id, rank, doc_id, score FROM best WHERE rank <= 50""")
+def op13(spark, sf_dir):
+    return lexical_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query("op2_minhash_near_dedup")
 def op2(spark, sf_dir):
     return minhash_components(table(spark, sf_dir, "documents"))
