@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .arrays import prefix_sums
 from .json import kind, strict_json
 from .text import let, strip
 
@@ -106,19 +107,18 @@ def to_html(text: Column) -> Column:
             line = F.replace(line, F.lit(old), F.lit(new))
         return line
 
-    start = F.struct(F.lit(0).alias("i"), F.lit(0).alias("fences"), F.array().cast("array<string>").alias("out"))
+    def shown(p: Column) -> Column:
+        def element(line: Column, i: Column, inside: Column) -> Column:
+            opened = F.concat(F.lit('<pre><code class="language-'), F.substring_index(line, "`", -1), F.lit('">'))
+            plain = F.concat(F.lit("<br>"), F.when(inside, escaped(line)).otherwise(line))
+            return (F.when(line.contains(FENCE), F.when(inside, opened).otherwise("<br></code></pre>"))
+                    .when(i > 0, plain).otherwise(line))
 
-    def step(acc: Column, line: Column) -> Column:
-        fence = line.contains(FENCE)
-        fences = acc["fences"] + F.when(fence, 1).otherwise(0)
-        inside = fences % 2 == 1
-        opened = F.concat(F.lit('<pre><code class="language-'), F.substring_index(line, "`", -1), F.lit('">'))
-        plain = F.concat(F.lit("<br>"), F.when(inside, escaped(line)).otherwise(line))
-        shown = (F.when(fence, F.when(inside, opened).otherwise("<br></code></pre>"))
-                 .when(acc["i"] > 0, plain).otherwise(line))
-        return F.struct((acc["i"] + 1).alias("i"), fences.alias("fences"), F.concat(acc["out"], F.array(shown)).alias("out"))
+        fences = prefix_sums(F.transform(p, lambda line: line.contains(FENCE).cast("int")))
+        placed = F.transform(p, lambda line, i: F.struct(line.alias("line"), i.alias("i")))
+        return F.zip_with(placed, fences, lambda e, n: element(e["line"], e["i"], n % 2 == 1))
 
-    return F.array_join(F.aggregate(lines, start, step, lambda acc: acc["out"]), "")
+    return F.array_join(let(lines, shown), "")
 
 
 def extraction_status(response: Column) -> Column:

@@ -22,6 +22,15 @@ BOXES = T.ArrayType(T.StructType().add("bbox", T.ArrayType(T.DoubleType())).add(
 ROLES = ("user", "assistant", "system")
 
 
+def _storable(text: str) -> str:
+    """The text with a "?" for each half of a surrogate pair, as native JSON reading gives it."""
+    try:
+        text.encode()
+        return text
+    except UnicodeEncodeError:
+        return text.encode(errors="replace").decode()
+
+
 def _json_or_literal(cell: str):
     try:
         return json.loads(cell)
@@ -41,7 +50,7 @@ def _messages(cell):
     kept = []
     for entry in value:
         if isinstance(entry, dict) and entry.get("role", "") in ROLES and entry.get("content", ""):
-            kept.append({"role": entry["role"], "content": str(entry["content"])})
+            kept.append({"role": entry["role"], "content": _storable(str(entry["content"]))})
     return kept
 
 
@@ -67,11 +76,12 @@ def _written(cell):
         for m in ast.literal_eval(cell):
             role, content = m.get("role", ""), m.get("content", "")
             if role in ROLES and isinstance(content, str):
-                found.append({"role": role, "content": _answer_text(content) if role == "assistant" else content, "as_is": None})
+                text = _answer_text(content) if role == "assistant" else _storable(content)
+                found.append({"role": role, "content": text, "as_is": None})
             elif role == "system":
                 return None  # its sections can only be cut from text
             else:
-                found.append({"role": str(role), "content": None, "as_is": repr(m)})
+                found.append({"role": _storable(str(role)), "content": None, "as_is": _storable(repr(m))})
         return found
     except Exception:  # noqa: BLE001  unreadable cells stay as they are
         return None
@@ -89,7 +99,7 @@ def _strings(cell):
     if cell[:1] == "[" and cell[-1:] == "]":
         try:
             value = ast.literal_eval(cell)
-            return [str(v) for v in value]
+            return [_storable(str(v)) for v in value]
         except (ValueError, SyntaxError, TypeError, MemoryError, RecursionError):
             return None
     return [cell]
@@ -114,7 +124,7 @@ def _literal_boxes(cell):
             label = entry["label"]
             if not isinstance(label, str):
                 raise TypeError("label")
-            found.append({"bbox": [float(v) for v in box], "label": label})
+            found.append({"bbox": [float(v) for v in box], "label": _storable(label)})
         return found
     except Exception:  # noqa: BLE001  any fault empties the answer
         return []
@@ -151,7 +161,7 @@ def _answer_text(cell):
         blocks.append(f"<thinking>\n{thinking}\n</thinking>")
     if calls:
         blocks.append("<tool_call>\n" + "\n".join(calls) + "\n</tool_call>")
-    return "\n\n".join(blocks)
+    return _storable("\n\n".join(blocks))
 
 
 # Reasoning fields after "thinking", in order, with their titles.
@@ -178,6 +188,29 @@ def messages_to_literal(rows: pd.Series) -> pd.Series:
     return rows.map(lambda row: None if row is None else "[" + ", ".join(map(printed, row)) + "]")
 
 
+PARAMETERS = T.ArrayType(T.MapType(TEXT, T.StructType().add("default", TEXT).add("low", TEXT).add("high", TEXT)))
+
+
+def _parameters(cell):
+    if cell is None:
+        return None
+    try:
+        shown = lambda v: None if v is None else _storable(str(v))
+        return [
+            {_storable(name): {
+                "default": shown(p.get("default")), "low": shown(p.get("minimum") or p.get("minLength")),
+                "high": shown(p.get("maximum") or p.get("maxLength"))} for name, p in (tool.get("params") or {}).items()}
+            for tool in json.loads(cell)["tools"]]
+    except Exception:  # noqa: BLE001  an unreadable catalogue has no text
+        return None
+
+
+@F.pandas_udf(PARAMETERS)
+def printed_parameters(cells: pd.Series) -> pd.Series:
+    """Defaults and bounds of each tool's parameters as Python prints them."""
+    return cells.map(_parameters)
+
+
 VALUE_TOLERANCE = 1e-6
 BINARY = {ast.Add: operator.add, ast.Sub: operator.sub, ast.Mult: operator.mul, ast.Div: operator.truediv,
           ast.FloorDiv: operator.floordiv, ast.Mod: operator.mod}

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from . import literals as L
 from .json import strict_json
-from .text import strip_right
+from .text import let, strip_right
 
 # --- Fixed values of the log rewriting -----------------------------------------
 
@@ -154,72 +155,60 @@ def _limit(first: Column, second: Column) -> Column:
     return F.coalesce(F.when((first != "") & ~(F.coalesce(number, F.lit(1.0)) == 0), first), second)
 
 
-def _python_float(number: Column) -> Column:
-    """A double as Python prints it."""
-    size = F.abs(number)
-    java = number.cast("string")
-    plain = F.regexp_replace(F.format_string("%.17f", number), r"(\.\d+?)0+$", "$1")
-    short = F.when(java.contains("E"), F.when(
-        (size >= 1e-4) & (size < 1e16), F.when(size >= 1, F.concat(number.cast("decimal(38,0)").cast("string"), F.lit(".0"))).otherwise(
-            number.cast("decimal(38,18)").cast("string"))).otherwise(F.concat(
-                F.regexp_replace(F.substring_index(java, "E", 1), r"\.0$", ""),
-                F.when(F.substring_index(java, "E", -1).startswith("-"), "e-").otherwise("e+"),
-                F.lpad(F.regexp_replace(F.substring_index(java, "E", -1), "^-", ""), 2, "0"))))
-    return F.regexp_replace(F.coalesce(short, java, plain), r"(\.\d+?)0+$", "$1")
+# Numbers whose text is not what Python prints, by sight; lists and objects are told by their type.
+OTHER_NUMBER = r"\d[.eE]|\d{18}|-0"
 
 
-def _python_scalar(value: Column, quoted: bool) -> Column:
-    """A variant that is no list or object as Python prints it, alone or within a list."""
+def _plain_default(value: Column) -> Column:
+    """A default that is text, a truth value or a whole number."""
     kind = F.schema_of_variant(value)
     text = F.try_variant_get(value, "$", "string")
-    escaped = F.replace(F.replace(F.replace(text, F.lit("\\"), F.lit("\\\\")), F.lit("\n"), F.lit("\\n")), F.lit("\t"), F.lit("\\t"))
-    mark = F.when(text.contains("'") & ~text.contains('"'), '"').otherwise("'")
-    inner = F.when(text.contains("'") & text.contains('"'), F.replace(escaped, F.lit("'"), F.lit("\\'"))).otherwise(escaped)
-    return (
-        F.when(kind == "BOOLEAN", F.initcap(text)).when(kind == "VOID", "None")
-        .when(kind == "DOUBLE", _python_float(F.try_variant_get(value, "$", "double")))
-        .when((kind == "STRING") & F.lit(quoted), F.concat(mark, inner, mark)).otherwise(text))
+    return F.when(kind == "BOOLEAN", F.initcap(text)).when(kind != "VOID", text)
 
 
-def _printed(value: Column) -> Column:
-    """Default value as Python prints it; lists and objects within lists and objects stay JSON."""
-    kind = F.schema_of_variant(value)
-    items = F.transform(F.try_variant_get(value, "$", "array<variant>"), lambda v: _python_scalar(v, True))
-    fields = F.transform(F.map_entries(F.try_variant_get(value, "$", "map<string,variant>")), lambda e: F.concat(
-        F.lit("'"), e["key"], F.lit("': "), _python_scalar(e["value"], True)))
-    return (
-        F.when(kind == "VOID", None)
-        .when(kind.startswith("ARRAY"), F.concat(F.lit("["), F.array_join(items, ", "), F.lit("]")))
-        .when(kind.startswith("OBJECT"), F.concat(F.lit("{"), F.array_join(fields, ", "), F.lit("}")))
-        .otherwise(_python_scalar(value, False)))
-
-
-def _parameter_line(name: Column, p: Column) -> Column:
-    low, high = _limit(p["minimum"], p["minLength"]), _limit(p["maximum"], p["maxLength"])
+def _needs_python(catalog_json: Column, tools: Column) -> Column:
+    listed = F.exists(tools, lambda t: F.exists(F.map_values(t["params"]), lambda p: F.schema_of_variant(p["default"]).rlike("^(ARRAY|OBJECT)")))
+    return catalog_json.rlike(OTHER_NUMBER) | F.coalesce(listed, F.lit(False))
+
+
+def _parameter_line(name: Column, p: Column, shown: Column) -> Column:
+    """``shown`` holds default and bounds as Python prints them where the plain forms don't do."""
+    default = F.when(shown.isNull(), _plain_default(p["default"])).otherwise(shown["default"])
+    low = F.when(shown.isNull(), _limit(p["minimum"], p["minLength"])).otherwise(shown["low"])
+    high = F.when(shown.isNull(), _limit(p["maximum"], p["maxLength"])).otherwise(shown["high"])
     bounds = (
         F.when(low.isNotNull() & high.isNotNull(), F.concat(F.lit("range: ["), low, F.lit(", "), high, F.lit("]")))
         .when(low.isNotNull(), F.concat(F.lit("min: "), low))
         .when(high.isNotNull(), F.concat(F.lit("max: "), high)))
-    parts = F.array_compact(F.array(
-        F.when(p["description"] != "", p["description"]),
-        F.concat(F.lit("default: "), _printed(p["default"])), bounds))
+    parts = F.array_compact(F.array(F.when(p["description"] != "", p["description"]), F.concat(F.lit("default: "), default), bounds))
     head = F.concat(F.lit("    * "), name, F.lit(" ("), F.coalesce(p["type"], F.lit("unknown")), F.lit(")"))
     return F.concat(head, F.when(F.size(parts) > 0, F.concat(F.lit(": "), F.array_join(parts, ", "))).otherwise(""))
 
 
-def _tool_lines(tool: Column) -> Column:
+def _tool_lines(tool: Column, shown: Column) -> Column:
     named = F.concat(F.lit("- "), tool["name"], F.lit("()"))
     described = F.when(tool["description"] != "", F.concat(F.lit("  Description: "), tool["description"]))
     params = F.map_entries(tool["params"])
-    listed = F.transform(params, lambda e: _parameter_line(e["key"], e["value"]))
+    listed = F.transform(params, lambda e: _parameter_line(e["key"], e["value"], F.try_element_at(shown, e["key"])))
     block = F.when(F.size(params) > 0, F.concat(F.array(F.lit("  Parameters:")), listed)).otherwise(
         F.array(F.lit("  Parameters: None")))
     return F.concat(F.array_compact(F.array(named, described)), block, F.array(F.lit("")))
 
 
 def catalog_text(catalog_json: Column) -> Column:
-    """Prompt text of a tool catalogue; empty without tools or when unreadable."""
+    """Prompt text of a tool catalogue; empty without tools or when unreadable.
+
+    Catalogues with fractions, very large numbers, lists or objects have these
+    printed by the Arrow helper; all others are settled natively.
+    """
     tools = F.from_json(catalog_json, CATALOG)["tools"]
-    lines = F.flatten(F.transform(F.filter(tools, lambda t: t["name"] != ""), _tool_lines))
-    header = F.array(*[F.lit(h) for h in CATALOG_HEADER])
-    return F.when(F.size(tools) > 0, strip_right(F.array_join(F.concat(header, lines), "\n"))).otherwise("")
+    shown = L.printed_parameters(F.when(_needs_python(catalog_json, tools), catalog_json))
+
+    def text(p: Column) -> Column:
+        numbered = F.transform(p["tools"], lambda t, i: F.struct(t.alias("tool"), F.get(p["shown"], i).alias("shown")))
+        named = F.filter(numbered, lambda e: e["tool"]["name"] != "")
+        lines = F.flatten(F.transform(named, lambda e: _tool_lines(e["tool"], e["shown"])))
+        header = F.array(*[F.lit(h) for h in CATALOG_HEADER])
+        return F.when(F.size(p["tools"]) > 0, strip_right(F.array_join(F.concat(header, lines), "\n"))).otherwise("")
+
+    return let(F.struct(tools.alias("tools"), shown.alias("shown")), text)

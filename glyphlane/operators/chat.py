@@ -23,20 +23,45 @@ def turn_bucket(turn: str) -> Column:
     return F.floor(F.col(turn) / TURN_BUCKET)
 
 
-def conversation_positions(turns: DataFrame, conv: str = "conv_id", turn: str = "turn") -> DataFrame:
-    """Adds ``users_before`` (user turns ahead of the row) and ``last_user`` (its turn)."""
-    is_user = F.when(F.col("role") == "user", 1).otherwise(0)
-    bucketed = turns.withColumn("_bucket", turn_bucket(turn))
-    facts = bucketed.groupBy(conv, "_bucket").agg(
-        F.sum(is_user).alias("_users"), F.max(F.when(F.col("role") == "user", F.col(turn))).alias("_last"))
-    ahead = Window.partitionBy(conv).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = facts.select(
-        conv, "_bucket", F.coalesce(F.sum("_users").over(ahead), F.lit(0)).alias("_ahead"),
-        F.max("_last").over(Window.partitionBy(conv)).alias("last_user"))
-    inside = Window.partitionBy(conv, "_bucket").orderBy(turn).rowsBetween(Window.unboundedPreceding, -1)
-    counted = F.coalesce(F.sum(is_user).over(inside), F.lit(0)) + F.col("_ahead")
-    return bucketed.join(offsets, [conv, "_bucket"]).select(
-        *turns.columns, counted.alias("users_before"), "last_user")
+def turn_blocks(turns: DataFrame, conv: str = "conv_id", turn: str = "turn") -> DataFrame:
+    """One row per conversation and block of turns: ``items`` (turn, role, text) in order, ``users`` (places of user turns).
+
+    A conversation that holds a large share of all turns is many such rows.
+    """
+    items = F.array_sort(F.collect_list(F.struct(F.col(turn).alias("turn"), "role", "text")))
+    blocks = turns.groupBy(conv, turn_bucket(turn).alias("_block")).agg(items.alias("items"))
+    users = F.filter(F.transform("items", lambda m, i: F.when(m["role"] == "user", i)), lambda i: i.isNotNull())
+    return blocks.withColumn("users", users)
+
+
+def _joined_texts(items: Column) -> Column:
+    """Texts of the system turns among ``items``, NULL without any."""
+    texts = F.transform(F.filter(items, lambda m: (m["role"] == "system") & m["text"].isNotNull()), lambda m: m["text"])
+    return let(texts, lambda t: F.when(F.size(t) > 0, F.array_join(t, "\n")))
+
+
+def _block_states(blocks: DataFrame, conv: str) -> DataFrame:
+    """What each block must know of its conversation: ``waiting`` (system texts that no user took yet), ``last_user``, ``stranded``.
+
+    The state of a block is small: the system texts behind its last user, that
+    user's turn, and whether it has system turns. States of a conversation are
+    combined in order.
+    """
+    last = F.try_element_at("users", F.lit(-1))
+    behind = F.slice("items", F.coalesce(last, F.lit(-1)) + 2, F.size("items"))
+    states = blocks.select(
+        conv, "_block", _joined_texts(behind).alias("_behind"), F.get("items", last)["turn"].alias("_last"),
+        F.exists("items", lambda m: m["role"] == "system").alias("_system"))
+    whole = Window.partitionBy(conv)
+    ahead = whole.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    since = F.max(F.when(F.col("_last").isNotNull(), F.col("_block"))).over(ahead)
+    told = states.select(
+        conv, "_block", since.alias("_since"), F.collect_list(F.when(F.col("_behind").isNotNull(), F.struct("_block", "_behind"))).over(ahead).alias("_tails"),
+        F.max("_last").over(whole).alias("last_user"), F.max("_system").over(whole).alias("_any"))
+    waiting = F.transform(F.filter("_tails", lambda t: F.col("_since").isNull() | (t["_block"] >= F.col("_since"))), lambda t: t["_behind"])
+    return told.select(
+        conv, "_block", F.when(F.size(waiting) > 0, F.array_join(waiting, "\n")).alias("waiting"), "last_user",
+        (F.col("_any") & F.col("last_user").isNull()).alias("stranded"))
 
 
 def training_turns(turns: DataFrame, conv: str = "conv_id", turn: str = "turn",
@@ -48,24 +73,36 @@ def training_turns(turns: DataFrame, conv: str = "conv_id", turn: str = "turn",
     ``with_image`` says for which conversations the last user turn must carry an
     image tag.
     """
-    placed = conversation_positions(turns, conv, turn)
-    system = placed.where(F.col("role") == "system").groupBy(
-        conv, F.col("users_before")
-    ).agg(ordered_text("text", "\n", turn).alias("_system"))
-    merged = placed.where(F.col("role") != "system").join(system, [conv, "users_before"], "left")
-    is_user = F.col("role") == "user"
-    value = F.when(is_user & F.col("_system").isNotNull(),
-                   F.concat("_system", F.lit("\n"), "text")).otherwise(F.col("text"))
-    if with_image is not None:
-        value = let(value, lambda v: F.when(
-            with_image & is_user & (F.col(turn) == F.col("last_user")) & ~v.contains(IMAGE_TAG),
-            F.concat(v, F.lit("\n" + IMAGE_TAG))).otherwise(v))
-    stranded = turns.groupBy(conv).agg(
-        F.max(F.when(F.col("role") == "system", 1)).alias("_s"),
-        F.max(F.when(F.col("role") == "user", 1)).alias("_u"),
-    ).where(F.col("_s").isNotNull() & F.col("_u").isNull()).select(conv)
-    return merged.join(stranded, conv, "left_anti").select(
-        conv, turn, F.when(is_user, "human").otherwise("gpt").alias("from"), value.alias("value"))
+    blocks = turn_blocks(turns, conv, turn)
+    placed = blocks.join(_block_states(blocks, conv), [conv, "_block"]).where(~F.col("stranded"))
+
+    def spoken(m: Column, speaker: str, value: Column) -> Column:
+        return F.struct(m["turn"].alias("turn"), F.lit(speaker).alias("from"), value.alias("value"))
+
+    def answers(segment: Column) -> Column:
+        kept = F.filter(segment, lambda m: m["role"] != "system")
+        return F.transform(kept, lambda m: spoken(m, "gpt", m["text"]))
+
+    def upto(place: Column, i: Column) -> Column:
+        """The turns between one user and the one before, answers as they are, and the user turn with what waits for it."""
+        after = F.when(i > 0, F.get("users", i - 1)).otherwise(-1)
+        segment = F.slice("items", after + 2, place - after - 1)
+
+        def closed(between: Column) -> Column:
+            told = F.array_compact(F.array(F.when(i == 0, F.col("waiting")), _joined_texts(between)))
+            user = F.get("items", place)
+            value = F.when(F.size(told) > 0, F.concat(F.array_join(told, "\n"), F.lit("\n"), user["text"])).otherwise(user["text"])
+            if with_image is not None:
+                value = let(value, lambda v: F.when(
+                    with_image & (user["turn"] == F.col("last_user")) & ~v.contains(IMAGE_TAG), F.concat(v, F.lit("\n" + IMAGE_TAG))).otherwise(v))
+            return F.concat(answers(between), F.array(spoken(user, "human", value)))
+
+        return let(segment, closed)
+
+    last = F.coalesce(F.try_element_at("users", F.lit(-1)), F.lit(-1))
+    rest = answers(F.slice("items", last + 2, F.size("items")))
+    merged = F.concat(F.flatten(F.transform("users", upto)), rest)
+    return placed.select(conv, F.inline(merged)).select(conv, F.col("turn").alias(turn), "from", "value")
 
 
 def rendered_turn(role: Column, text: Column) -> Column:

@@ -64,7 +64,10 @@ def _numbers(lines: Column) -> Column:
 
 
 def _all_close(a: Column, b: Column) -> Column:
-    pairs = F.zip_with(a, b, lambda x, y: F.coalesce(F.abs(x - y) <= ABSOLUTE + RELATIVE * F.abs(y), F.lit(False)))
+    finite = lambda x: F.abs(x) < float("inf")
+    close = lambda x, y: F.when(finite(x) & finite(y), F.abs(x - y) <= ABSOLUTE + RELATIVE * F.abs(y)).otherwise(
+        (x == y) & ~F.isnan(x))
+    pairs = F.zip_with(a, b, lambda x, y: F.coalesce(close(x, y), F.lit(False)))
     return (F.size(a) == F.size(b)) & F.forall(pairs, lambda ok: ok)
 
 
@@ -74,7 +77,7 @@ def _token_sets(lines: Column) -> Column:
 
 def _rounded_sets(lines: Column) -> Column:
     values = F.transform(lines, lambda x: F.transform(words(x), lambda w: F.bround(_number(w), DECIMALS)))
-    whole = F.forall(values, lambda v: F.forall(v, lambda n: n.isNotNull()))
+    whole = F.forall(values, lambda v: F.forall(v, lambda n: n.isNotNull() & ~F.isnan(n)))
     return F.when(whole, F.array_sort(F.array_distinct(F.transform(values, lambda v: F.array_sort(F.array_distinct(v))))))
 
 

@@ -7,10 +7,9 @@ classes(dataset, class_index, name, category_id).
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -19,7 +18,8 @@ from ..functions import geometry as G
 from ..functions import literals as L
 from ..functions.json import kind, strict_json
 from ..functions.text import let
-from .ordinal import in_buckets, with_ordinal
+from ..sources.stored import stored
+from .ordinal import with_global_ordinal
 
 # --- Fixed values of the evaluation -------------------------------------------------
 
@@ -49,8 +49,7 @@ def questions(images: DataFrame, classes: DataFrame) -> DataFrame:
                                    QUESTION_MAX_PIXELS, QUESTION_MAX_SIDE)
     prompt = F.concat(F.lit("Locate every instance that belongs to the following categories: '"), "_names",
                       F.lit("'. Report bbox coordinates in JSON format."))
-    placed = with_ordinal(in_buckets(images, F.col("image_id"), "_q"), [F.col("dataset"), F.col("image_id")],
-                          F.struct("dataset", "_q"), name="_place")
+    placed = with_global_ordinal(images, [F.col("dataset"), F.col("image_id")], "_place")
     return placed.join(named, "dataset").select(
         (F.col("_place") - 1).alias("question_id"), "dataset", "image_id", "height", "width",
         plan["height"].alias("resized_height"), plan["width"].alias("resized_width"), prompt.alias("prompt"))
@@ -133,13 +132,35 @@ def _level(width: Column) -> Column:
     return F.floor(F.log2(width) + 1e-9).cast("int")
 
 
+def _cell(value: Column, level: Column) -> Column:
+    return F.floor(value / F.pow(F.lit(2.0), level)).cast("bigint")
+
+
+def _crowd_pairs(det: DataFrame, crowds: DataFrame) -> DataFrame:
+    """Detections and the crowd regions that may cover half of them.
+
+    Half covered along both sides, a detection has its centre in the region. A
+    region is covered by at most four cells whose sides are the next powers of
+    two; a detection looks up its own cell in each of the sizes in use.
+    """
+    up = lambda side: F.greatest(F.ceil(F.log2(F.greatest(side, F.lit(1e-9))) - 1e-9), F.lit(-30)).cast("int")
+    sized = crowds.withColumns({"_lx": up(F.col("gw")), "_ly": up(F.col("gh"))})
+    spans = [F.sequence(_cell(F.col(f"g{c}") - 1e-9, F.col(f"_l{c}")), _cell(F.col(f"g{c}") + F.col(f"g{d}") + 1e-9, F.col(f"_l{c}")))
+             for c, d in (("x", "w"), ("y", "h"))]
+    cover = sized.withColumn("_cx", F.explode(spans[0])).withColumn("_cy", F.explode(spans[1]))
+    sizes = sized.select(*GROUP, "_lx", "_ly").distinct()
+    looked = det.join(sizes, GROUP).withColumns({
+        "_cx": _cell(F.col("dx") + F.col("dw") / 2, F.col("_lx")), "_cy": _cell(F.col("dy") + F.col("dh") / 2, F.col("_ly"))})
+    return looked.join(cover, [*GROUP, "_lx", "_ly", "_cx", "_cy"]).select(*det.columns, *crowds.columns[len(GROUP):])
+
+
 def candidate_pairs(ranked: DataFrame, truth: DataFrame) -> DataFrame:
     """Detection and truth pairs of one image and class that overlap by half.
 
     Half overlap bounds both the ratio of the widths (2) and the shift (half the
     wider one), so truth is keyed by the power of two of its width and a cell of
     four times that size, and a detection looks into the few cells it can reach.
-    Crowd regions know no such bound and join on the group.
+    Crowd regions know no such bound and have cells of their own.
     """
     det = ranked.where((F.col("w") > 0) & (F.col("h") > 0)).select(*GROUP, "rank", *[F.col(c).alias(f"d{c}") for c in "xywh"])
     gt = truth.select(*GROUP, "gt_id", "area", F.col("iscrowd").cast("boolean").alias("crowd"),
@@ -159,9 +180,8 @@ def candidate_pairs(ranked: DataFrame, truth: DataFrame) -> DataFrame:
     keyed_gt = gt.where(~F.col("crowd") & (F.col("gw") > 0) & (F.col("gh") > 0)).select(
         *gt.columns, home["level"].alias("level"), home["cell"].alias("cell"))
     plain = keyed_det.join(keyed_gt, [*GROUP, "level", "cell"])
-    crowds = det.join(gt.where("crowd"), GROUP)
     shown = [*GROUP, "rank", "gt_id", "area", "crowd", half.alias("iou")]
-    return plain.select(*shown).unionByName(crowds.select(*shown)).where(F.col("iou") >= THRESHOLDS[0])
+    return plain.select(*shown).unionByName(_crowd_pairs(det, gt.where("crowd")).select(*shown)).where(F.col("iou") >= THRESHOLDS[0])
 
 
 def bounded_pairs(pairs: DataFrame, limit: int = MAX_DETECTIONS) -> DataFrame:
@@ -169,13 +189,13 @@ def bounded_pairs(pairs: DataFrame, limit: int = MAX_DETECTIONS) -> DataFrame:
 
     ``limit`` detections are ranked, so at most ``limit`` - 1 others can take
     truth from one; a truth box that ``limit`` better ones of its own size band
-    precede is never reached.
+    precede is never reached. Of crowds, which are never used up, the best alone counts.
     """
-    band = (F.when(F.col("area") < SMALL, 0).when(F.col("area") == SMALL, 1).when(F.col("area") < LARGE, 2)
-            .when(F.col("area") == LARGE, 3).otherwise(4)) + F.when(F.col("crowd"), 5).otherwise(0)
+    band = (F.when(F.col("crowd"), 5).when(F.col("area") < SMALL, 0).when(F.col("area") == SMALL, 1).when(F.col("area") < LARGE, 2)
+            .when(F.col("area") == LARGE, 3).otherwise(4))
     order = Window.partitionBy(*GROUP, "rank", "_band").orderBy(F.col("iou").desc(), F.col("gt_id").desc())
     return pairs.withColumn("_band", band).withColumn("_n", F.row_number().over(order)).where(
-        F.col("_n") <= limit).drop("_n", "_band")
+        F.col("_n") <= F.when(F.col("crowd"), 1).otherwise(limit)).drop("_n", "_band")
 
 
 def _bits(n: int) -> int:
@@ -186,91 +206,149 @@ IN_RANGE = list(AREAS.values())
 STEP = len(THRESHOLDS)
 
 
-def _ignored_bits(area: float, crowd: bool) -> int:
-    """All thresholds of the area ranges where a truth box does not count."""
-    out = 0
+def _area_bits(inside: Callable[[float, float], Column]) -> Column:
+    """All thresholds of the area ranges for which ``inside(low, high)`` does not hold."""
+    out = F.lit(0).cast("bigint")
     for a, (low, high) in enumerate(IN_RANGE):
-        if crowd or area < low or area > high:
-            out |= _bits(STEP) << (a * STEP)
+        out = out.bitwiseOR(F.when(inside(low, high), 0).otherwise(_bits(STEP) << (a * STEP)).cast("bigint"))
     return out
 
 
-def _reached_bits(iou: float) -> int:
-    """Thresholds an overlap reaches, repeated for every area range."""
-    reached = _bits(int(np.searchsorted(THRESHOLDS, iou, side="right")))
-    return sum(reached << (a * STEP) for a in range(len(IN_RANGE)))
+def with_bits(pairs: DataFrame) -> DataFrame:
+    """Adds ``reached`` (thresholds that the overlap reaches, for every area range) and ``hidden`` (ranges in which the truth does not count)."""
+    steps = F.lit(0)
+    for t in THRESHOLDS:
+        steps = steps + (F.col("iou") >= t).cast("int")
+    ones = F.get(F.array(*[F.lit(sum(_bits(n) << (a * STEP) for a in range(len(IN_RANGE)))).cast("bigint") for n in range(STEP + 1)]), steps)
+    hidden = _area_bits(lambda low, high: ~F.col("crowd") & F.col("area").between(low, high))
+    return pairs.withColumn("reached", ones).withColumn("hidden", hidden)
+
+
+def settled(pairs: DataFrame) -> DataFrame:
+    """Adds ``contested``: whether one of the detection's boxes has another taker in this image and class.
+
+    Boxes of uncontested detections have no other taker, and all takers of a
+    contested box are contested, so the two kinds never meet.
+    """
+    takers = F.count(F.when(~F.col("crowd"), 1)).over(Window.partitionBy(*GROUP, "gt_id"))
+    counted = pairs.withColumn("_takers", F.when(F.col("crowd"), 1).otherwise(takers))
+    return counted.withColumn("contested", F.max("_takers").over(Window.partitionBy(*GROUP, "rank")) > 1).drop("_takers")
+
+
+def _own_choice(pairs: DataFrame) -> DataFrame:
+    """Masks of uncontested detections: any counting box that is reached, or else an ignored one."""
+    reached, hidden = F.col("reached"), F.col("hidden")
+    free = pairs.groupBy(*GROUP, "rank").agg(
+        F.bit_or(reached.bitwiseAND(F.bitwise_not(hidden))).alias("_counting"), F.bit_or(reached.bitwiseAND(hidden)).alias("_other"))
+    ignored = F.col("_other").bitwiseAND(F.bitwise_not("_counting"))
+    return free.select(*GROUP, "rank", F.col("_counting").bitwiseOR(F.col("_other")).alias("matched"), ignored.alias("ignored"))
 
 
-def match_group(rows: list[tuple]) -> list[tuple[int, int, int]]:
-    """(rank, matched bits, ignored bits) of one image and class.
+def greedy(group: np.ndarray, rank: np.ndarray, gt: np.ndarray, iou: np.ndarray, crowd: np.ndarray, reached: np.ndarray,
+           hidden: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First row, matched bits and ignored bits of each detection of many groups.
 
-    ``rows`` holds (rank, gt_id, iou, area, crowd) sorted by rank. Detections go
-    in rank order; each takes the free counting box with the largest overlap
-    (the later one on a tie), or else an ignored one. Crowds are never used up.
+    Detections go in rank order; each takes the free counting box with the
+    largest overlap (the later one on a tie), or else an ignored one. Crowds are
+    never used up. All groups go side by side: a step handles one choice of the
+    n-th detection of every group that has one, as arrays.
     """
-    options: dict[int, list[tuple]] = {}
-    for rank, gt, iou, area, crowd in rows:
-        options.setdefault(rank, []).append((iou, gt, crowd, _reached_bits(iou), _ignored_bits(area, crowd)))
-    taken: dict[int, int] = {}
-    out = []
-    for rank in sorted(options):
-        matched = ignored = 0
-        choices = sorted(options[rank], key=lambda o: (o[0], o[1]), reverse=True)
+    order = np.lexsort((-gt, -iou, rank, group))
+    group, rank = group[order], rank[order]
+    new_det = np.ones(len(order), bool)
+    new_det[1:] = (group[1:] != group[:-1]) | (rank[1:] != rank[:-1])
+    first = np.flatnonzero(new_det)
+    det = np.cumsum(new_det) - 1
+    choice = np.arange(len(order)) - first[det]
+    new_group = np.ones(len(first), bool)
+    new_group[1:] = group[first[1:]] != group[first[:-1]]
+    turn = np.arange(len(first)) - np.flatnonzero(new_group)[np.cumsum(new_group) - 1]
+    box = np.unique(np.stack([group, gt[order]]), axis=1, return_inverse=True)[1].ravel()
+    crowd, reached, hidden = crowd[order], reached[order], hidden[order]
+    taken = np.zeros(len(order), np.int64)
+    matched, ignored = np.zeros((2, len(first)), np.int64)
+    # rows by turn, then choice; a step is a run of equal turn and choice
+    steps = np.lexsort((choice, turn[det]))
+    key = turn[det[steps]] * (int(choice.max(initial=0)) + 1) + choice[steps]
+    bounds = np.append(np.flatnonzero(np.diff(key, prepend=-1)), len(key)).tolist()
+    turns = turn[det[steps]]
+    at = 0
+    while at < len(bounds) - 1:
+        until = at
+        while until < len(bounds) - 1 and turns[bounds[until]] == turns[bounds[at]]:
+            until += 1
         for counting in (True, False):
-            for _, gt, crowd, reached, hidden in choices:
-                usable = reached & (~hidden if counting else hidden) & ~matched
-                if not crowd:
-                    usable &= ~taken.get(gt, 0)
-                    taken[gt] = taken.get(gt, 0) | usable
-                matched |= usable
+            for low, high in zip(bounds[at:until], bounds[at + 1 : until + 1]):
+                rows = steps[low:high]
+                who, what = det[rows], box[rows]
+                usable = reached[rows] & (~hidden[rows] if counting else hidden[rows]) & ~matched[who]
+                plain = ~crowd[rows]
+                usable[plain] &= ~taken[what[plain]]
+                taken[what[plain]] |= usable[plain]
+                matched[who] |= usable
                 if not counting:
-                    ignored |= usable
-        out.append((rank, matched, ignored))
-    return out
+                    ignored[who] |= usable
+        at = until
+    return order[first], matched, ignored
 
 
 MATCHES = "dataset string, image_id bigint, category_id bigint, rank int, matched bigint, ignored bigint"
+CONTEST = [*GROUP, "rank", "gt_id", "iou", "crowd", "reached", "hidden"]
+
 
+def _match_stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Matches rows sorted by group; the last group of a batch waits for the next one."""
 
-def _match_stream(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Matches sorted rows group by group; a group may span batches."""
-    key, rows, found = None, [], []
+    def numbered(table: pa.Table) -> np.ndarray:
+        changed = np.zeros(table.num_rows, bool)
+        for name in GROUP:
+            values = table[name].combine_chunks()
+            codes = values.dictionary_encode().indices.fill_null(-1).to_numpy(zero_copy_only=False)
+            changed[1:] |= codes[1:] != codes[:-1]
+        return np.cumsum(changed)
 
-    def close():
-        if key is not None:
-            found.extend((*key, *result) for result in match_group(rows))
+    def matches(table: pa.Table, group: np.ndarray) -> pa.RecordBatch:
+        values = [table[c].to_numpy() for c in CONTEST[len(GROUP):]]
+        rows, matched, ignored = greedy(group, *values)
+        shown = table.select([*GROUP, "rank"]).take(pa.array(rows))
+        shown = shown.append_column("matched", pa.array(matched)).append_column("ignored", pa.array(ignored))
+        return shown.combine_chunks().to_batches()[0]
 
-    def frame():
-        return pd.DataFrame(found, columns=[*GROUP, "rank", "matched", "ignored"])
+    def key(table: pa.Table, row: int) -> list:
+        return [table[name][row].as_py() for name in GROUP]
 
+    held: list[pa.Table] = []  # rows of one group, of which more may come
     for batch in batches:
-        for ds, image, category, rank, gt, iou, area, crowd in zip(
-                *[batch[c] for c in (*GROUP, "rank", "gt_id", "iou", "area", "crowd")]):
-            if (ds, image, category) != key:
-                close()
-                key, rows = (ds, image, category), []
-            rows.append((rank, gt, iou, area, crowd))
-        if found:
-            yield frame()
-            found.clear()
-    close()
-    if found:
-        yield frame()
-
-
-def match(ranked: DataFrame, truth: DataFrame) -> DataFrame:
-    """Detections with the bit masks ``matched`` and ``ignored``.
-
-    Detections without a match are ignored where their own size is out of range.
+        table = pa.Table.from_batches([batch])
+        if not table.num_rows:
+            continue
+        group = numbered(table)
+        if held and group[-1] == 0 and key(held[-1], -1) == key(table, 0):
+            held.append(table)
+            continue
+        whole = pa.concat_tables([*held, table])
+        group = numbered(whole)
+        done = int(np.searchsorted(group, group[-1]))
+        if done:
+            yield matches(whole.slice(0, done), group[:done])
+        held = [whole.slice(done)]
+    if held:
+        whole = pa.concat_tables(held)
+        yield matches(whole, numbered(whole))
+
+
+def match(ranked: DataFrame, truth: DataFrame, limit: int = MAX_DETECTIONS) -> DataFrame:
+    """Detections with the bit masks ``matched`` and ``ignored``; ``limit`` is that of the ranking.
+
+    Detections whose boxes nobody else could take are settled natively, the
+    others go through arrays. Detections without a match are ignored where their
+    own size is out of range.
     """
-    pairs = bounded_pairs(candidate_pairs(ranked, truth))
-    sorted_pairs = pairs.select(*GROUP, "rank", "gt_id", "iou", "area", "crowd").repartition(*GROUP) \
-        .sortWithinPartitions(*GROUP, "rank")
-    found = sorted_pairs.mapInPandas(_match_stream, MATCHES)
+    pairs = settled(with_bits(bounded_pairs(candidate_pairs(ranked, truth), limit)))
+    contest = pairs.where("contested").select(*CONTEST).repartition(*GROUP).sortWithinPartitions(*GROUP)
+    found = _own_choice(pairs.where("not contested")).unionByName(contest.mapInArrow(_match_stream, MATCHES))
     area = F.col("w") * F.col("h")
-    outside = F.lit(0).cast("bigint")
-    for a, (low, high) in enumerate(IN_RANGE):
-        outside = outside.bitwiseOR(F.when((area < low) | (area > high), F.lit(_bits(STEP) << (a * STEP))).otherwise(0).cast("bigint"))
+    outside = _area_bits(lambda low, high: area.between(low, high))
     none = F.lit(0).cast("bigint")
     joined = ranked.join(found, [*GROUP, "rank"], "left").withColumn("matched", F.coalesce("matched", none))
     return joined.withColumn("ignored", F.coalesce("ignored", none).bitwiseOR(
@@ -295,87 +373,101 @@ def curve_totals(truth: DataFrame) -> DataFrame:
 
 
 CURVES = COMBINATIONS + STEP
-PARTS = "dataset string, category_id bigint, bucket struct<low:int,high:int,image:int>, curve int, tp bigint, seen bigint, hits array<int>"
+PART_ROWS = 8192
+PARTS = ("dataset string, category_id bigint, first_row bigint, matched binary, ignored binary, few binary, "
+         "tp array<bigint>, seen array<bigint>")
+PART_SCHEMA = pa.schema([
+    ("dataset", pa.string()), ("category_id", pa.int64()), ("first_row", pa.int64()), ("matched", pa.binary()), ("ignored", pa.binary()),
+    ("few", pa.binary()), ("tp", pa.list_(pa.int64())), ("seen", pa.list_(pa.int64()))])
 
 
-def _in_order_buckets(rows: DataFrame, of: DataFrame) -> DataFrame:
-    """Adds ``bucket`` along falling score and rising image id, of bounded number and about equal size.
+def _curve_bits(matched: bytes, ignored: bytes, few: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Hits and counted entries, a row per detection and a column per curve."""
+    spread = lambda raw: np.unpackbits(np.frombuffer(raw, np.uint8).reshape(-1, 8), axis=1, bitorder="little")[:, :COMBINATIONS]
+    counted, hit = 1 - spread(ignored), spread(matched)
+    best = np.frombuffer(few, np.uint8)[:, None]
+    counted = np.concatenate([counted, counted[:, :STEP] & best], axis=1)
+    return counted & np.concatenate([hit, hit[:, :STEP]], axis=1), counted
 
-    Rows strictly between two score bounds differ in ``low`` or share it with
-    neighbours; rows on a bound all have that one score and are cut by image.
-    """
-    fall = -F.col("score")
-    cut = in_buckets(in_buckets(in_buckets(rows, fall, "low", of), fall, "high", of, strict=False), F.col("image_id"), "image", of)
-    image = F.when(F.col("low") < F.col("high"), F.col("image")).otherwise(F.lit(0))
-    return cut.select(*rows.columns, F.struct("low", "high", image.alias("image")).alias("bucket"))
-
-
-def _curve_parts(key: tuple, rows: pa.Table) -> pa.Table:
-    """Per curve of one bucket: hits, entries, and the number of entries up to each hit."""
-    score, image, rank, matched, ignored = (rows[c].to_numpy() for c in ("score", "image_id", "rank", "matched", "ignored"))
-    order = np.lexsort((rank, image, -score))
-    matched, ignored, few = matched[order], ignored[order], rank[order] < MEAN_DETECTIONS
-    found = []
-    for curve in range(CURVES):
-        place = curve % COMBINATIONS
-        counted = (ignored >> place & 1) == 0
-        if curve >= COMBINATIONS:
-            counted &= few
-        hit = counted & ((matched >> place & 1) == 1)
-        found.append((curve, int(hit.sum()), int(counted.sum()), np.cumsum(counted)[hit].astype(np.int32)))
-    names = ("curve", "tp", "seen", "hits")
-    types = (pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int32()))
-    bucket = pa.array([key[2].as_py()] * CURVES, pa.struct([(n, pa.int32()) for n in ("low", "high", "image")]))
-    return pa.table({
-        "dataset": [key[0].as_py()] * CURVES, "category_id": pa.array([key[1].as_py()] * CURVES, pa.int64()), "bucket": bucket,
-        **{n: pa.array(column, t) for n, t, column in zip(names, types, zip(*found))}})
+
+def _curve_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows in order of the curves as parts of at most PART_ROWS of one class, with the sums of each curve."""
+    for batch in batches:
+        names = [batch.column(i).dictionary_encode().indices.fill_null(-1).to_numpy(zero_copy_only=False) for i in (0, 1)]
+        rank, matched, ignored, row = (batch.column(c).to_numpy() for c in ("rank", "matched", "ignored", "row"))
+        changed = np.flatnonzero(np.diff(names[0]) | np.diff(names[1])) + 1
+        edges = np.unique(np.concatenate([np.arange(0, len(row), PART_ROWS), changed, [len(row)]])).astype(int)
+        out = []
+        for low, high in zip(edges, edges[1:]):
+            packed = (matched[low:high].astype("<i8").tobytes(), ignored[low:high].astype("<i8").tobytes(),
+                      (rank[low:high] < MEAN_DETECTIONS).astype(np.uint8).tobytes())
+            hit, counted = _curve_bits(*packed)
+            out.append((batch.column(0)[low].as_py(), batch.column(1)[low].as_py(), int(row[low]), *packed,
+                        hit.sum(axis=0, dtype=np.int64), counted.sum(axis=0, dtype=np.int64)))
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), PART_SCHEMA)], schema=PART_SCHEMA)
 
 
 def _best_steps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Best precision of each recall step among the hits of a bucket's part of a curve."""
+    """Best precision of each recall step among the hits of each part, for all curves."""
     for batch in batches:
-        found = []
-        columns = (batch.column(c) for c in ("dataset", "category_id", "curve", "tp_before", "seen_before", "total", "hits"))
-        for dataset, category, curve, tp, seen, total, hits in zip(*(c.to_pylist() for c in columns)):
-            hits = np.asarray(hits)
-            taken = tp + np.arange(1, len(hits) + 1)
-            recall, precision = taken / total, taken / (seen + hits)
+        found: list[list] = [[], [], [], [], []]
+        for part in batch.to_pylist():
+            hit, counted = _curve_bits(part["matched"], part["ignored"], part["few"])
+            before = [np.array([b[c] for b in part["before"]], np.int64) for c in ("tp", "seen")]
+            total = np.array(part["totals"], np.int64)
+            rows, curves = np.nonzero(hit & (total > 0))
+            taken = (before[0] + np.cumsum(hit, axis=0, dtype=np.int64))[rows, curves]
+            seen = (before[1] + np.cumsum(counted, axis=0, dtype=np.int64))[rows, curves]
+            recall = taken / total[curves]
             near = np.floor(recall * RECALL_STEPS)
             step = np.where((near + 1) * 0.01 <= recall, near + 1, np.where(near * 0.01 > recall, near - 1, near)).astype(int)
-            best = np.zeros(RECALL_STEPS + 1)
-            np.maximum.at(best, step, precision)
-            found += [(dataset, category, curve, s, best[s]) for s in np.unique(step).tolist()]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(c, t) for c, t in zip(zip(*found) if found else [[]] * 5, (pa.string(), pa.int64(), pa.int32(), pa.int32(), pa.float64()))],
-            ["dataset", "category_id", "curve", "step", "p"])
+            best = np.zeros((CURVES, RECALL_STEPS + 1))
+            np.maximum.at(best, (curves, step), taken / seen)
+            c, s = np.nonzero(best)
+            for column, values in zip(found, ([part["dataset"]] * len(c), [part["category_id"]] * len(c), c.tolist(), s.tolist(), best[c, s].tolist())):
+                column += values
+        types = (pa.string(), pa.int64(), pa.int32(), pa.int32(), pa.float64())
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(found, types)], ["dataset", "category_id", "curve", "step", "p"])
 
 
-def average_precision(matched: DataFrame, truth: DataFrame, dets: DataFrame | None = None) -> DataFrame:
+def curve_parts(matched: DataFrame) -> DataFrame:
+    """All detections in the order of the curves, cut into parts of bounded size that are written once.
+
+    The order is by class, falling score, image and rank; ranges of it go to
+    sorted tasks, which pack the rows they pass. ``first_row`` grows along the order.
+    """
+    order = [F.col("dataset"), F.col("category_id"), F.col("score").desc(), F.col("image_id"), F.col("rank")]
+    narrow = matched.select("dataset", "category_id", "image_id", "rank", "score", "matched", "ignored")
+    placed = narrow.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("row", F.monotonically_increasing_id())
+    return stored(placed.select("dataset", "category_id", "rank", "matched", "ignored", "row").mapInArrow(_curve_parts, PARTS), "curve-parts")
+
+
+def average_precision(matched: DataFrame, truth: DataFrame) -> DataFrame:
     """(dataset, category_id, curve, ap) for every class and curve with truth.
 
     Curves 0-39 are area * 10 + threshold; 40-49 repeat the first ten over the
-    best 100 detections per image. The matches are read once: each bucket of a
-    class, cut along the order of the scores, gives its counts and hits for all
-    curves; running sums over the small bucket rows place them, and only the
-    best precision of each recall step goes on. ``dets`` are rows with the same
-    scores and images that are cheaper to read than the matches. Misses only
-    lower the precision, so hits alone become points.
+    best 100 detections per image. Sums of the parts, running along each curve,
+    place the parts; then each part gives the best precision of each recall step
+    it reaches. Misses only lower the precision, so hits alone become points.
     """
-    keys = ["dataset", "category_id", "curve"]
-    narrow = matched.select("dataset", "category_id", "image_id", "rank", "score", "matched", "ignored")
-    bucketed = _in_order_buckets(narrow, narrow if dets is None else dets)
-    parts = bucketed.groupBy("dataset", "category_id", "bucket").applyInArrow(_curve_parts, PARTS)
-    before = Window.partitionBy(*keys).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    sums = {f"{n}_before": F.coalesce(F.sum(n).over(before), F.lit(0)) for n in ("tp", "seen")}
-    totals = curve_totals(truth)
-    placed = parts.withColumns(sums).where(F.size("hits") > 0).join(totals, keys)
-    best = placed.mapInArrow(_best_steps, "dataset string, category_id bigint, curve int, step int, p double").groupBy(
+    keys, part = ["dataset", "category_id", "curve"], ["dataset", "category_id", "first_row"]
+    parts = curve_parts(matched)
+    before = Window.partitionBy(*keys).orderBy("first_row").rowsBetween(Window.unboundedPreceding, -1)
+    sums = parts.select(*part, F.posexplode(F.arrays_zip("tp", "seen")).alias("curve", "sums")).select(*part, "curve", *[
+        F.coalesce(F.sum(f"sums.{n}").over(before), F.lit(0)).alias(n) for n in ("tp", "seen")])
+    placed = sums.groupBy(*part).agg(F.transform(
+        F.array_sort(F.collect_list(F.struct("curve", "tp", "seen"))), lambda b: F.struct(b["tp"].alias("tp"), b["seen"].alias("seen"))).alias("before"))
+    counts = counted_truth(truth).select("dataset", "category_id", F.array(*[
+        F.col(f"n_{list(AREAS)[(k % COMBINATIONS) // STEP]}") for k in range(CURVES)]).alias("totals"))
+    joined = parts.drop("tp", "seen").join(placed, part).join(counts, ["dataset", "category_id"])
+    best = joined.mapInArrow(_best_steps, "dataset string, category_id bigint, curve int, step int, p double").groupBy(
         *keys, "step").agg(F.max("p").alias("p"))
     curve = Window.partitionBy(*keys)
     covered = F.col("step") - F.coalesce(F.lag("step").over(curve.orderBy("step")), F.lit(-1))
     weighted = best.select(*keys, (F.max("p").over(curve.orderBy(F.col("step").desc())) * covered).alias("part"))
     ap = weighted.groupBy(*keys).agg((F.sum("part") / (RECALL_STEPS + 1)).alias("ap"))
-    return totals.join(ap, keys, "left").select(*keys, F.coalesce("ap", F.lit(0.0)).alias("ap"))
+    return curve_totals(truth).join(ap, keys, "left").select(*keys, F.coalesce("ap", F.lit(0.0)).alias("ap"))
 
 
 METRICS = ("mAP", "mAP_50", "mAP_75", "mAP_s", "mAP_m", "mAP_l")
@@ -400,7 +492,7 @@ def metric_table(per_dataset: DataFrame) -> DataFrame:
     return both.orderBy("_last", "dataset").drop("_last")
 
 
-def evaluate(dets: DataFrame, truth: DataFrame) -> DataFrame:
+def evaluate(dets: DataFrame, truth: DataFrame, limit: int = MAX_DETECTIONS) -> DataFrame:
     """Metric table of raw detections."""
-    matched = match(ranked_detections(dets), truth)
-    return metric_table(metrics(average_precision(matched, truth, dets)))
+    matched = match(ranked_detections(dets, limit), truth, limit)
+    return metric_table(metrics(average_precision(matched, truth)))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.arrays import prefix_sums
 from ..functions.text import let
 from .ordinal import running_sums
 from .packing import IGNORED_LABEL
@@ -16,30 +17,29 @@ SEGMENT_BUCKET = 4096
 TEMPORAL_PATCH = 2
 
 
-def _positions(ids: Column, token: int) -> Column:
-    return F.filter(F.transform(ids, lambda x, i: F.when(x == token, i)), lambda i: i.isNotNull())
+# Signs that stand for tokens while answers are looked for.
+MARK, END, OTHER = "M", "E", "."
+ANSWER = f"{MARK}[{MARK}{END}{OTHER}][^{END}]*{END}"
 
 
 def answer_spans(ids: Column) -> Column:
     """[first, last] label positions of every closed answer.
 
     An answer starts two places after its mark and ends one place after the
-    first turn end; marks inside an answer do not count.
+    first turn end; marks inside an answer do not count. Tokens become signs, so
+    one pattern finds all answers in one pass; their places are running sums of
+    the lengths of answers and of what lies between them.
     """
-    def collect(ends: Column) -> Column:
-        start = F.struct(F.lit(-1).alias("closed"),
-                         F.array().cast("array<struct<first:int,last:int>>").alias("spans"))
+    signs = F.array_join(F.transform(ids, lambda x: F.when(x == ANSWER_MARK, MARK).when(x == TURN_END, END).otherwise(OTHER)), "")
+    closed = F.regexp_replace(signs, f"[^{END}]+$", "")  # an answer without an end is none
 
-        def step(acc: Column, mark: Column) -> Column:
-            end = F.get(F.filter(ends, lambda e: e >= mark + 2), F.lit(0))
-            return let(end, lambda e: F.when((mark > acc["closed"]) & e.isNotNull(), F.struct(
-                e.alias("closed"),
-                F.concat(acc["spans"], F.array(F.struct((mark + 2).alias("first"), (e + 1).alias("last"))))
-                .cast("array<struct<first:int,last:int>>").alias("spans"))).otherwise(acc))
+    def places(text: Column) -> Column:
+        found = F.transform(F.regexp_extract_all(text, F.lit(ANSWER), F.lit(0)), F.length)
+        between = F.slice(F.transform(F.split(text, ANSWER, -1), F.length), F.lit(1), F.size(found))
+        upto = prefix_sums(F.zip_with(between, found, lambda a, b: a + b))
+        return F.zip_with(upto, found, lambda end, size: F.struct((end - size + 2).cast("int").alias("first"), end.cast("int").alias("last")))
 
-        return F.aggregate(_positions(ids, ANSWER_MARK), start, step, lambda acc: acc["spans"])
-
-    return let(_positions(ids, TURN_END), collect)
+    return let(closed, places)
 
 
 def label_mask(ids: Column) -> Column:

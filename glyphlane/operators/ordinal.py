@@ -13,8 +13,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.stored import stored
+
 BUCKETS = 64
 HASH_BUCKET_DIGITS = 4
+RANGE_ROWS = 1 << 20
 
 
 def in_buckets(rows: DataFrame, value: Column, name: str, of: DataFrame | None = None, buckets: int = BUCKETS,
@@ -102,3 +105,23 @@ def with_ordinal(
     joined = bucketed.join(offsets, [*keys, "_bucket"])
     position = (F.row_number().over(inside) + F.col(f"_before_{name}")).cast("bigint")
     return joined.select(*df.columns, position.alias(name))
+
+
+def with_global_ordinal(rows: DataFrame, order: list[Column], name: str = "ordinal", range_rows: int = RANGE_ROWS) -> DataFrame:
+    """1-based dense position of all rows along ``order``, which must tell them apart.
+
+    The order is cut into ranges of about ``range_rows`` rows, so their number
+    follows the rows, however skewed or sparse the keys are. Each range is
+    sorted by a task of its own and written with the places in it; one count per
+    range gives the offsets. Pass narrow rows: their columns are written once.
+    """
+    spark = rows.sparkSession
+    ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows.count() // range_rows))
+    cut = rows.repartitionByRange(ranges, *order).sortWithinPartitions(*order)
+    # the range and the row in it are the upper and lower bits of this id
+    placed = stored(cut.withColumn("_row", F.monotonically_increasing_id()), "ranges")
+    numbered = placed.withColumn("_range", F.shiftright("_row", 33)).withColumn("_row", F.col("_row").bitwiseAND((1 << 33) - 1))
+    counts = numbered.groupBy("_range").agg(F.count("*").alias("_n"))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # over ranges, not rows
+    offsets = counts.select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    return numbered.join(offsets, "_range").select(*rows.columns, (F.col("_row") + F.col("_before") + 1).alias(name))

@@ -2,60 +2,89 @@
 
 from __future__ import annotations
 
-import bisect
+from collections.abc import Iterator
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.arrays import prefix_sums
+
 # Fixed values of the packing job.
 BATCH_ROWS = 256
 CAPACITY = 4096
 IGNORED_LABEL = -100
 
 
-def best_fit(lengths: list[int], capacity: int) -> list[tuple[int, int]]:
-    """(pack, place) per length: longest first, into the fullest pack with room.
+def best_fit(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pack and place in it of every length, for many batches side by side.
 
-    Lengths above the capacity get packs of their own.
+    A row of ``lengths`` is a batch, longest first, filled up with -1. A length
+    goes into the fullest pack of its batch with room, the first of equal ones;
+    lengths above the capacity get packs of their own.
     """
-    order = sorted(range(len(lengths)), key=lambda i: (-lengths[i], i))
-    rooms: list[tuple[int, int]] = []  # (room left, pack), ascending
-    sizes: list[int] = []
-    placed: list[tuple[int, int]] = [(0, 0)] * len(lengths)
-    for i in order:
-        at = bisect.bisect_left(rooms, (lengths[i], -1))
-        if at < len(rooms):
-            room, pack = rooms.pop(at)
-        else:
-            room, pack = max(capacity, lengths[i]), len(sizes)
-            sizes.append(0)
-        placed[i] = (pack, sizes[pack])
-        sizes[pack] += 1
-        bisect.insort(rooms, (room - lengths[i], pack))
-    return placed
+    batches, longest = lengths.shape
+    none = np.iinfo(np.int64).max
+    rooms = np.full((batches, longest), -1, np.int64)
+    sizes, made = np.zeros((batches, longest), np.int64), np.zeros(batches, np.int64)
+    packs, places = np.full((2, batches, longest), -1, np.int64)
+    for i in range(longest):
+        rows = np.flatnonzero(lengths[:, i] >= 0)
+        need = lengths[rows, i]
+        open_rooms = rooms[rows, : int(made.max(initial=0)) + 1]
+        fitting = np.where(open_rooms >= need[:, None], open_rooms, none)
+        pack = fitting.argmin(axis=1)
+        new = fitting[np.arange(len(rows)), pack] == none
+        pack[new] = made[rows[new]]
+        rooms[rows[new], pack[new]] = np.maximum(capacity, need[new])
+        made[rows[new]] += 1
+        rooms[rows, pack] -= need
+        packs[rows, i], places[rows, i] = pack, sizes[rows, pack]
+        sizes[rows, pack] += 1
+    return packs, places
+
+
+def _pack_stream(capacity: int):
+    """Packs batches whose rows come sorted; the last batch waits for the next rows."""
+
+    def packed(table: pa.Table, batch: np.ndarray) -> pa.RecordBatch:
+        first = np.flatnonzero(np.diff(batch, prepend=batch[0] - 1))
+        row, place = np.searchsorted(first, np.arange(len(batch)), "right") - 1, np.arange(len(batch))
+        place -= first[row]
+        lengths = np.full((len(first), int(place.max()) + 1), -1, np.int64)
+        lengths[row, place] = table["num_tokens"].to_numpy()
+        packs, places = best_fit(lengths, capacity)
+        shown = table.append_column("pack", pa.array(packs[row, place])).append_column("position", pa.array(places[row, place]))
+        return shown.combine_chunks().to_batches()[0]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: pa.Table | None = None
+        for rows in batches:
+            table = pa.Table.from_batches([rows])
+            held = table if held is None else pa.concat_tables([held, table])
+            batch = held["batch"].to_numpy()
+            done = int(np.searchsorted(batch, batch[-1])) if len(batch) else 0
+            if done:
+                yield packed(held.slice(0, done), batch[:done])
+                held = held.slice(done)
+        if held is not None and held.num_rows:
+            yield packed(held, held["batch"].to_numpy())
+
+    return run
 
 
 def pack(rows: DataFrame, ordinal: str, num_tokens: str, row_id: str, capacity: int = CAPACITY,
          batch_rows: int = BATCH_ROWS) -> DataFrame:
     """(row id, num_tokens, batch, pack, position): packs never cross a batch of
-    consecutive rows, so every group holds at most ``batch_rows`` rows."""
+    consecutive rows, so every batch holds at most ``batch_rows`` rows."""
     batched = rows.select(
-        row_id, F.col(num_tokens).cast("bigint").alias("num_tokens"), F.col(ordinal).alias("_ordinal"),
-        F.floor((F.col(ordinal) - 1) / batch_rows).cast("bigint").alias("batch"))
-    id_type = rows.schema[row_id].dataType
-    schema = T.StructType().add(row_id, id_type).add("num_tokens", T.LongType()) \
-        .add("batch", T.LongType()).add("pack", T.LongType()).add("position", T.LongType())
-
-    def place(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values("_ordinal").reset_index(drop=True)
-        places = best_fit(group["num_tokens"].tolist(), capacity)
-        group["pack"] = [p for p, _ in places]
-        group["position"] = [q for _, q in places]
-        return group[[row_id, "num_tokens", "batch", "pack", "position"]]
-
-    return batched.groupBy("batch").applyInPandas(place, schema)
+        row_id, F.col(num_tokens).cast("bigint").alias("num_tokens"), F.floor((F.col(ordinal) - 1) / batch_rows).cast("bigint").alias("batch"),
+        F.col(ordinal).alias("_ordinal"))
+    dealt = batched.repartition("batch").sortWithinPartitions("batch", F.desc("num_tokens"), "_ordinal").drop("_ordinal")
+    schema = T.StructType([*dealt.schema.fields, T.StructField("pack", T.LongType()), T.StructField("position", T.LongType())])
+    return dealt.mapInArrow(_pack_stream(capacity), schema)
 
 
 def packing_report(packed: DataFrame, capacity: int = CAPACITY) -> DataFrame:
@@ -77,7 +106,8 @@ def pad_batches(rows: DataFrame, batch: str, ids: str, labels: str, pad_id: int,
         missing = F.greatest(width - F.size(values), F.lit(0))
         return F.slice(F.concat(values, F.array_repeat(F.lit(filler).cast("bigint"), missing)), F.lit(1), width)
 
-    positions = F.sequence(F.lit(0).cast("bigint"), F.size(ids).cast("bigint") - 1)
+    positions = F.when(F.size(ids) > 0, F.sequence(F.lit(0).cast("bigint"), F.size(ids).cast("bigint") - 1)).otherwise(
+        F.array().cast("array<bigint>"))
     padded = rows.withColumn("padded_ids", fitted(F.col(ids), pad_id)) \
         .withColumn("padded_labels", fitted(F.col(labels), IGNORED_LABEL)) \
         .withColumn("padded_positions", fitted(positions, 1))
@@ -96,9 +126,7 @@ def concatenate_packs(rows: DataFrame, pack_keys: list[str], position: str, ids:
 
 def sequence_bounds(lengths: Column) -> Column:
     """0 and the running sums of the lengths of one pack or batch."""
-    return F.aggregate(
-        lengths, F.array(F.lit(0).cast("bigint")),
-        lambda acc, n: F.concat(acc, F.array(F.element_at(acc, -1) + n)))
+    return F.concat(F.array(F.lit(0).cast("bigint")), prefix_sums(lengths))
 
 
 def with_substitutes(rows: DataFrame, ordinal: str, failed: Column, policy: str) -> DataFrame:

@@ -180,14 +180,15 @@ def problem_items(t: Tables) -> DataFrame:
 
 
 @query("output_verdicts", "J3", """
-WITH f AS (SELECT o_orderkey AS k, CAST(o_orderkey AS VARCHAR) AS n, o_orderpriority AS s, o_orderkey % 12 AS form FROM orders),
+WITH f AS (SELECT o_orderkey AS k, CAST(o_orderkey AS VARCHAR) AS n, o_orderpriority AS s, o_orderkey % 15 AS form FROM orders),
 t AS (SELECT k, n, form,
     CASE WHEN form IN (4, 6, 11) THEN n || '.5' || chr(10) || '2.25' WHEN form = 9 THEN '2' || chr(10) || '3' WHEN form = 10 THEN n || chr(10) || '2.25'
+      WHEN form IN (12, 14) THEN 'inf' || chr(10) || '2.25' WHEN form = 13 THEN '5' || chr(10) || 'nan'
       ELSE n || ' alpha beta' || chr(10) || s || chr(10) END AS wanted,
     CASE form WHEN 0 THEN [n || ' alpha beta', s] WHEN 1 THEN [n || ' alpha beta  ', ' ' || s] WHEN 2 THEN ['', n || ' alpha beta', '', s]
       WHEN 3 THEN ['beta ' || n || ' alpha', s] WHEN 4 THEN [n || '.500000001', '2.25'] WHEN 5 THEN [s, n || ' beta alpha alpha']
       WHEN 6 THEN ['2.2501', n || '.5'] WHEN 7 THEN [n || '  alpha   beta', s] WHEN 8 THEN [n || ' alpha', s] WHEN 9 THEN ['2d', '3']
-      WHEN 10 THEN [n, ' 2.25'] ELSE [n || '.51', '2.25'] END AS o,
+      WHEN 10 THEN [n, ' 2.25'] WHEN 12 THEN [n, '2.25'] WHEN 13 THEN ['5.0', 'NaN'] WHEN 14 THEN ['Infinity', '2.2500000001'] ELSE [n || '.51', '2.25'] END AS o,
     CASE WHEN k % 5 = 4 THEN '[{"1":' || n || '}]' WHEN k % 3 = 0 THEN '[' || n || ']' ELSE n END AS value,
     CASE WHEN k % 5 = 4 THEN '{"1":' || n || '}' WHEN k % 3 = 2 THEN '["x"]' WHEN k % 3 = 1 THEN '[' || n || ',5]' ELSE '[' || n || ']' END AS target FROM f),
 l AS (SELECT *, [trim(x) for x in string_split(wanted, chr(10)) if x <> ''] AS e, [x for x in o if x <> ''] AS filled FROM t),
@@ -195,12 +196,14 @@ w AS (SELECT *, [list_sort(list_distinct([y for y in string_split(x, ' ') if y <
     [list_sort(list_distinct([y for y in string_split(x, ' ') if y <> ''])) for x in e] AS ew FROM l),
 r AS (SELECT *, list_sort(list_distinct([list_sort(list_distinct([round_even(try_cast(y AS DOUBLE), 3) for y in x])) for x in ow])) AS orr,
     list_sort(list_distinct([list_sort(list_distinct([round_even(try_cast(y AS DOUBLE), 3) for y in x])) for x in ew])) AS err,
-    len([1 for y in flatten(list_concat(ow, ew)) if try_cast(y AS DOUBLE) IS NULL]) = 0 AS numbers FROM w)
+    len([1 for y in flatten(list_concat(ow, ew)) if try_cast(y AS DOUBLE) IS NULL OR isnan(try_cast(y AS DOUBLE))]) = 0 AS numbers FROM w)
 SELECT k AS o_orderkey,
   coalesce(trim(array_to_string(o, chr(10)), chr(10) || ' ') = trim(wanted, chr(10) || ' ')
     OR trim(array_to_string([trim(x) for x in o], chr(10)), chr(10)) = trim(wanted, chr(10) || ' ') OR o = e OR filled = e
     OR (len(filled) = len(e) AND len([1 for i in range(1, len(e) + 1)
-      if coalesce(abs(try_cast(filled[i] AS DOUBLE) - try_cast(e[i] AS DOUBLE)) <= 1e-8 + 1e-5 * abs(try_cast(e[i] AS DOUBLE)), false)]) = len(e))
+      if coalesce(CASE WHEN isfinite(try_cast(filled[i] AS DOUBLE)) AND isfinite(try_cast(e[i] AS DOUBLE))
+          THEN abs(try_cast(filled[i] AS DOUBLE) - try_cast(e[i] AS DOUBLE)) <= 1e-8 + 1e-5 * abs(try_cast(e[i] AS DOUBLE))
+          ELSE try_cast(filled[i] AS DOUBLE) = try_cast(e[i] AS DOUBLE) AND NOT isnan(try_cast(e[i] AS DOUBLE)) END, false)]) = len(e))
     OR list_sort(list_distinct(ow)) = list_sort(list_distinct(ew)) OR (numbers AND orr = err), false) AS matches,
   coalesce(json(value) = json(target) OR json(value) = (json(target)->0) OR (json_type(target) = 'OBJECT' AND json(value) = json('[' || target || ']')), false) AS value_matches
 FROM r""")
@@ -209,9 +212,10 @@ def output_verdicts(t: Tables) -> DataFrame:
     n, status = k.cast("string"), F.col("o_orderpriority")
     expected = F.concat(n, F.lit(" alpha beta\n"), status, F.lit("\n"))
     numbers = F.concat(n, F.lit(".5\n2.25"))
-    form = k % 12
+    form = k % 15
     listed = J.expected_text(F.concat(F.lit('["'), n, F.lit('", "2.25"]')))
-    wanted = F.when(form.isin(4, 6, 11), numbers).when(form == 9, "2\n3").when(form == 10, listed).otherwise(expected)
+    wanted = F.when(form.isin(4, 6, 11), numbers).when(form == 9, "2\n3").when(form == 10, listed).when(
+        form.isin(12, 14), "inf\n2.25").when(form == 13, "5\nnan").otherwise(expected)
     lines = (
         F.when(form == 0, F.array(F.concat(n, F.lit(" alpha beta")), status))
         .when(form == 1, F.array(F.concat(n, F.lit(" alpha beta  ")), F.concat(F.lit(" "), status)))
@@ -224,6 +228,9 @@ def output_verdicts(t: Tables) -> DataFrame:
         .when(form == 8, F.array(F.concat(n, F.lit(" alpha")), status))
         .when(form == 9, F.array(F.lit("2d"), F.lit("3")))
         .when(form == 10, F.array(n, F.lit(" 2.25")))
+        .when(form == 12, F.array(n, F.lit("2.25")))
+        .when(form == 13, F.array(F.lit("5.0"), F.lit("NaN")))
+        .when(form == 14, F.array(F.lit("Infinity"), F.lit("2.2500000001")))
         .otherwise(F.array(F.concat(n, F.lit(".51")), F.lit("2.25"))))
     one = F.concat(F.lit('{"1": '), n, F.lit("}"))
     value = F.when(k % 5 == 4, F.concat(F.lit("["), one, F.lit("]"))).when(k % 3 == 0, F.concat(F.lit("["), n, F.lit("]"))).otherwise(n)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import chat as C
-from ..operators.ordinal import in_buckets, with_ordinal
+from ..operators.ordinal import in_buckets, with_global_ordinal
 from .check_sql import word_count_sql
 from .registry import Tables, query
 
@@ -173,6 +173,4 @@ WITH o AS (SELECT conv_id, turn, row_number() OVER (ORDER BY conv_id, turn) AS o
 SELECT * FROM o WHERE ordinal IN (1, 5, 17, 80, 100000000)""")
 def rows_by_ordinal(t: Tables) -> DataFrame:
     k, rows = F.col("conv_id"), t.conversations.select("conv_id", "turn")
-    place = k + F.least(F.col("turn") / 2.0**20, F.lit(1 - 2.0**-20))  # rises with both, so a long conversation is split
-    numbered = with_ordinal(in_buckets(rows, place, "_q"), [k, F.col("turn")], F.col("_q")).drop("_q")
-    return numbered.where(F.col("ordinal").isin(1, 5, 17, 80, 100000000))
+    return with_global_ordinal(rows, [k, F.col("turn")]).where(F.col("ordinal").isin(1, 5, 17, 80, 100000000))

@@ -11,6 +11,7 @@ from ..operators import lengths as N
 from ..operators import mixing as M
 from ..sources import readers as R
 from ..sources import writers as W
+from ..sources.stored import fresh_path
 from .check_sql import word_count_sql
 from .registry import Tables, query
 
@@ -23,21 +24,22 @@ def _name() -> Column:
     return F.concat(F.lit("i"), F.col("doc_id").cast("string"))
 
 
-def _sample_text(t: Tables) -> DataFrame:
+def _samples(t: Tables) -> DataFrame:
+    """Samples as the files hold them; the answer starts with the document's id."""
     turn = lambda who, text: F.struct(F.lit(who).alias("from"), text.alias("value"))
-    sample = F.struct(
+    return t.documents.select(
         F.when(_doc() % 3 == 0, F.concat(_name(), F.lit(".jpg"))).alias("image"),
         F.when(_doc() % 3 == 1, F.array(F.concat(_name(), F.lit("a.jpg")), F.concat(_name(), F.lit("b.jpg")))).alias("images"),
         F.when(_doc() % 4 == 0, F.concat(_name(), F.lit(".mp4"))).alias("video"),
-        F.array(turn("human", F.col("text")), turn("gpt", F.col("lang"))).alias("conversations"),
+        F.array(turn("human", F.col("text")), turn("gpt", F.concat(_doc().cast("string"), F.lit("]} "), "lang"))).alias("conversations"),
         F.when(_doc() % 2 == 0, _doc()).alias("num_tokens"))
-    return t.documents.select(_doc(), F.to_json(sample).alias("value"))
 
 
 def _shown(samples: DataFrame, *places: str) -> DataFrame:
+    said = F.split(F.col("conversations")[1]["value"], r"\]\} ")
     return samples.select(
-        "doc_id", *places, F.array_join("images", ",").alias("images"), F.array_join("videos", ",").alias("videos"),
-        F.md5(F.col("conversations")[0]["value"].cast("binary")).alias("digest"), F.col("conversations")[1]["value"].alias("answer"), "num_tokens")
+        said[0].cast("bigint").alias("doc_id"), *places, F.array_join("images", ",").alias("images"), F.array_join("videos", ",").alias("videos"),
+        F.md5(F.col("conversations")[0]["value"].cast("binary")).alias("digest"), said[1].alias("answer"), "num_tokens")
 
 
 SAMPLE_SQL = """
@@ -48,18 +50,22 @@ CASE WHEN doc_id % 2 = 0 THEN doc_id END AS num_tokens"""
 
 @query("sample_lines", "A2", f"SELECT doc_id, {SAMPLE_SQL} FROM documents")
 def sample_lines(t: Tables) -> DataFrame:
-    return _shown(R.parse_sample_lines(_sample_text(t)))
+    path = fresh_path(t.spark, "samples")
+    W.write_json_lines(_samples(t), path)
+    return _shown(R.read_samples(t.spark, path, lines=True))
 
 
-def _listed(t: Tables, form: str) -> DataFrame:
-    pieces = form.split("%")
-    value = F.concat(*[x for i, p in enumerate(pieces) for x in ([F.lit(p)] if i == 0 else [F.col("value"), F.lit(p)])])
-    return _sample_text(t).select("doc_id", value.alias("value"))
+@query("sample_arrays", "A1", f"SELECT doc_id, {SAMPLE_SQL} FROM documents")
+def sample_arrays(t: Tables) -> DataFrame:
+    path = fresh_path(t.spark, "samples")
+    W.write_json_array(_samples(t), path)
+    return _shown(R.read_samples(t.spark, path, lines=False))
 
 
-@query("sample_arrays", "A1", f"SELECT doc_id, place, {SAMPLE_SQL} FROM documents, (VALUES (0), (1)) p(place)")
-def sample_arrays(t: Tables) -> DataFrame:
-    return _shown(R.parse_sample_arrays(_listed(t, "[%,\n %]")), "place")
+def _listed(t: Tables, form: str) -> DataFrame:
+    pieces = form.split("%")
+    rows = _samples(t).select(F.to_json(F.struct("*")).alias("value"))
+    return rows.select(F.concat(*[x for i, p in enumerate(pieces) for x in ([F.lit(p)] if i == 0 else [F.col("value"), F.lit(p)])]).alias("value"))
 
 
 @query("packed_lists", "A3", f"""
@@ -77,26 +83,24 @@ def code_problem_lines(t: Tables) -> DataFrame:
     return parsed.select("doc_id", F.md5(F.col("question").cast("binary")).alias("question"), F.array_join("images", ",").alias("images"), "starter_code", "problem_id")
 
 
-def _quoted(column: Column) -> Column:
-    return F.concat(F.lit('"'), F.replace(column, F.lit('"'), F.lit('""')), F.lit('"'))
-
-
 @query("log_lines", "A5", """
-SELECT doc_id, md5('say "' || trim(text, ' ' || chr(10)) || '" now') AS messages, CAST(doc_id AS VARCHAR) AS image_payload_id, CASE WHEN doc_id % 2 = 0 THEN '12' END AS total_tokens FROM documents""")
+SELECT doc_id, md5('say "' || text || '" now,' || chr(10)) AS messages, 'o,' || chr(10) || lang AS image_payload_id, CASE WHEN doc_id % 2 = 0 THEN '12' END AS total_tokens FROM documents""")
 def log_lines(t: Tables) -> DataFrame:
-    said = F.concat(F.lit('say "'), F.btrim("text", F.lit(" \n")), F.lit('" now'))
-    line = F.concat(_quoted(said), F.lit(","), _doc().cast("string"), F.when(_doc() % 2 == 0, ",12").otherwise(","))
-    parsed = R.parse_table_lines(t.documents.select(_doc(), line.alias("value")), S.AGENT_LOG)
-    return parsed.select("doc_id", F.md5(F.col("messages").cast("binary")).alias("messages"), "image_payload_id", "total_tokens")
+    path, said = fresh_path(t.spark, "log"), F.concat(F.lit('say "'), F.col("text"), F.lit('" now,\n'))
+    W.write_table(t.documents.select(
+        said.alias("messages"), F.concat(F.lit("o,\n"), "lang").alias("image_payload_id"), F.when(_doc() % 2 == 0, "12").alias("total_tokens"),
+        _doc().alias("id")), path)
+    return R.read_log(t.spark, path).select(
+        F.col("id").cast("bigint").alias("doc_id"), F.md5(F.col("messages").cast("binary")).alias("messages"), "image_payload_id", "total_tokens")
 
 
 @query("benchmark_lines", "A6", """
-SELECT doc_id, CAST(doc_id AS VARCHAR) AS index, 'which, "' || lang || '"?' AS question, md5(encode(text)) AS image FROM documents""")
+SELECT doc_id, CAST(doc_id AS VARCHAR) AS index, 'which, "' || lang || '"' || chr(10) || chr(9) || '?' AS question, md5(encode(text)) AS image FROM documents""")
 def benchmark_lines(t: Tables) -> DataFrame:
-    cells = [_doc().cast("string"), _quoted(F.concat(F.lit('which, "'), F.col("lang"), F.lit('"?'))), F.base64(F.col("text").cast("binary"))]
-    line = F.concat(cells[0], F.lit("\t"), cells[1], F.lit("\t"), F.regexp_replace(cells[2], r"\s", ""))
-    parsed = R.parse_table_lines(t.documents.select(_doc(), line.alias("value")), "index string, question string, image string", "\t")
-    return parsed.select("doc_id", "index", "question", F.md5(F.unbase64("image")).alias("image"))
+    path, asked = fresh_path(t.spark, "benchmark"), F.concat(F.lit('which, "'), F.col("lang"), F.lit('"\n\t?'))
+    W.write_table(t.documents.select(_doc().alias("index"), asked.alias("question"), F.base64(F.col("text").cast("binary")).alias("image")), path, separator="\t")
+    return R.read_benchmark(t.spark, path).select(
+        F.col("index").cast("bigint").alias("doc_id"), "index", "question", F.md5(F.unbase64("image")).alias("image"))
 
 
 @query("coco_annotations", "A7", """
@@ -125,8 +129,10 @@ def dataset_configs(t: Tables) -> DataFrame:
     k = F.col("s_suppkey")
     config = F.struct(F.col("s_name").alias("name"), F.array(F.lit("cat"), F.col("s_nationkey").cast("string")).alias("classes"),
                       F.concat(F.lit("/data/"), k.cast("string")).alias("data_root"), F.when(k % 2 == 0, "a.json").alias("ann_file"))
-    parsed = R.parse_records(t.supplier.select(k, F.to_json(config).alias("value")), S.DATASET_CONFIG)
-    return parsed.select("s_suppkey", "name", F.array_join("classes", ",").alias("classes"), "data_root", "ann_file")
+    path = fresh_path(t.spark, "configs")
+    W.write_json_lines(t.supplier.select(config.alias("c")).select("c.*"), path)
+    return R.read_dataset_configs(t.spark, path).select(
+        F.regexp_extract("data_root", r"(\d+)$", 1).cast("bigint").alias("s_suppkey"), "name", F.array_join("classes", ",").alias("classes"), "data_root", "ann_file")
 
 
 @query("media_files", "A9", """
@@ -163,17 +169,22 @@ def stale_pages(t: Tables) -> DataFrame:
 
 
 @query("json_text_lines", "A13", """
-SELECT doc_id, '{"doc_id":' || doc_id || ',"answer":"é \\"' || lang || '\\""' || CASE WHEN doc_id % 2 = 0 THEN ',"n":' || n_chars ELSE '' END || '}' AS value FROM documents""")
+SELECT '{"doc_id":' || doc_id || ',"answer":"é \\"' || lang || '\\""' || CASE WHEN doc_id % 2 = 0 THEN ',"n":' || n_chars ELSE '' END || '}' AS value FROM documents""")
 def json_text_lines(t: Tables) -> DataFrame:
-    said = F.concat(F.lit('é "'), F.col("lang"), F.lit('"')).alias("answer")
-    return W.json_lines(t.documents.select(_doc(), said, F.when(_doc() % 2 == 0, F.col("n_chars")).alias("n")), "doc_id")
+    path, said = fresh_path(t.spark, "lines"), F.concat(F.lit('é "'), F.col("lang"), F.lit('"')).alias("answer")
+    W.write_json_lines(t.documents.select(_doc(), said, F.when(_doc() % 2 == 0, F.col("n_chars")).alias("n")), path)
+    return t.spark.read.text(path)
 
 
 @query("table_text_lines", "A14", """
-SELECT doc_id, doc_id || ',"a ""' || lang || '"", b",' || CASE WHEN doc_id % 2 = 0 THEN CAST(n_chars AS VARCHAR) ELSE '' END AS value FROM documents""")
+SELECT doc_id || ',"a ""' || lang || '"", b",' || CASE WHEN doc_id % 2 = 0 THEN CAST(n_chars AS VARCHAR) ELSE '' END AS value FROM documents, (VALUES (1), (2)) twice(x)
+UNION ALL SELECT 'doc_id,answer,n'""")
 def table_text_lines(t: Tables) -> DataFrame:
-    said = F.concat(F.lit('a "'), F.col("lang"), F.lit('", b')).alias("answer")
-    return W.table_lines(t.documents.select(_doc(), said, F.when(_doc() % 2 == 0, F.col("n_chars")).alias("n")), "doc_id")
+    path, said = fresh_path(t.spark, "table"), F.concat(F.lit('a "'), F.col("lang"), F.lit('", b')).alias("answer")
+    rows = t.documents.select(_doc(), said, F.when(_doc() % 2 == 0, F.col("n_chars")).alias("n"))
+    for _ in range(2):
+        W.write_table(rows, path, mode="append")
+    return t.spark.read.text(path).select("value")
 
 
 @query("clean_texts", "A16", "SELECT doc_id, md5(regexp_replace(text, '[\\x00-\\x08\\x0B-\\x0C\\x0E-\\x1F]', '', 'g') || lang) AS digest, n_chars FROM documents")

@@ -12,7 +12,7 @@ from .check_sql import SQL_SPACES
 from . import expected_texts as E
 from .registry import Tables, query
 
-FIELD = P.DROPPED_FIELDS[2][1]
+FIELD = E.DROPPED_FIELDS[2][1]
 
 
 def sql_text(value: str) -> str:
@@ -95,14 +95,22 @@ def system_prompts(t: Tables) -> DataFrame:
         "doc_id", P.system_prompt(F.col("system_text"), P.catalog_text(F.lit(CATALOG_JSON))).alias("prompt"))
 
 
+DEFAULTS = (
+    "null", '["x", 1, true, null, "it\'s", 1.5]', "1e20", '{"a": 2, "b": "c"}', '"it\'s"', "1.0", "-0.0", "1.234567895e7", "1e400",
+    "123456789012345678901234567890123456789012", '[[1, 2], {"a": ["x", null]}], "minimum": 0.0, "minLength": 0.5')
+
+
 @query("tool_catalogs", "D19", f"""
 SELECT p_partkey, {sql_text(chr(10).join(E.CATALOG_HEADER))} || chr(10) || '- tool_' || p_partkey || '()'
   || CASE WHEN p_partkey % 3 > 0 THEN chr(10) || '  Description: ' || p_name ELSE '' END || chr(10) || '  Parameters:'
   || chr(10) || '    * size (integer): ' || CASE WHEN p_partkey % 2 = 0 THEN 'how big, ' ELSE '' END || 'default: ' || p_size
   || CASE WHEN p_size % 4 = 0 THEN ', max: 50' ELSE ', range: [' || p_size % 4 || ', 50]' END
   || chr(10) || '    * fast (boolean): default: ' || CASE WHEN p_partkey % 2 = 0 THEN 'True' ELSE 'False' END
-  || chr(10) || '    * kind (unknown)' || CASE p_partkey % 5 WHEN 1 THEN ': default: [''x'', 1, True, None, "it''s", 1.5]' WHEN 2 THEN ': default: 1e+20'
-       WHEN 3 THEN ': default: {{''a'': 2, ''b'': ''c''}}' WHEN 4 THEN ': default: it''s' ELSE '' END AS catalog
+  || chr(10) || '    * kind (unknown)' || CASE p_partkey % 11 WHEN 1 THEN ': default: [''x'', 1, True, None, "it''s", 1.5]' WHEN 2 THEN ': default: 1e+20'
+       WHEN 3 THEN ': default: {{''a'': 2, ''b'': ''c''}}' WHEN 4 THEN ': default: it''s'
+       WHEN 5 THEN ': default: 1.0' WHEN 6 THEN ': default: -0.0' WHEN 7 THEN ': default: 12345678.95' WHEN 8 THEN ': default: inf'
+       WHEN 9 THEN ': default: 123456789012345678901234567890123456789012' WHEN 10 THEN ': default: [[1, 2], {{''a'': [''x'', None]}}], min: 0.5'
+       ELSE '' END AS catalog
 FROM part""")
 def tool_catalogs(t: Tables) -> DataFrame:
     k, size = F.col("p_partkey"), F.col("p_size")
@@ -112,8 +120,7 @@ def tool_catalogs(t: Tables) -> DataFrame:
         F.when(k % 2 == 0, "how big").otherwise(""), F.lit('","default":'), size.cast("string"), F.lit(',"minimum":'),
         (size % 4).cast("string"), F.lit(',"maximum":50},"fast":{"type":"boolean","default":'),
         (k % 2 == 0).cast("string"), F.lit('},"kind":{"default":'),
-        F.when(k % 5 == 1, '["x", 1, true, null, "it\'s", 1.5]').when(k % 5 == 2, "1e20").when(k % 5 == 3, '{"a": 2, "b": "c"}').when(
-            k % 5 == 4, '"it\'s"').otherwise("null"), F.lit("}}}]}"))
+        F.coalesce(F.get(F.array(*[F.lit(d) for d in DEFAULTS]), (k % 11).cast("int")), F.lit("null")), F.lit("}}}]}"))
     return t.part.select(k, P.catalog_text(text).alias("catalog"))
 
 

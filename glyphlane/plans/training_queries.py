@@ -10,7 +10,7 @@ from ..operators import features as X
 from ..operators import lengths as N
 from ..operators import mixing as M
 from ..operators import packing as P
-from ..operators.ordinal import in_buckets, with_ordinal
+from ..operators.ordinal import with_global_ordinal
 from .check_sql import RE_SPACES, word_count_sql
 from .registry import Tables, query
 
@@ -91,12 +91,33 @@ def _packed(t: Tables) -> DataFrame:
     return P.pack(counted, "ordinal", "num_tokens", "doc_id")
 
 
-@query("packing", "E7")
+#: Best fit in falling order of length, an item of every batch a step; a batch's packs are the list of rooms left.
+PACK_SQL = f"""
+{MIX_SQL},
+items AS (SELECT doc_id, n AS num_tokens, batch, row_number() OVER (PARTITION BY batch ORDER BY n DESC, ordinal) AS i FROM (
+  SELECT doc_id, ordinal, (ordinal - 1) // 256 AS batch, CAST({word_count_sql('text')} AS BIGINT) AS n FROM ordered)),
+run AS (
+  SELECT batch, 0::BIGINT AS i, []::BIGINT[] AS rooms, -1::BIGINT AS pack FROM (SELECT DISTINCT batch FROM items)
+  UNION ALL
+  SELECT batch, i, CASE WHEN spot IS NULL THEN list_append(rooms, greatest(4096, n) - n)
+      ELSE list_concat(rooms[1:spot - 1], [rooms[spot] - n], rooms[spot + 1:]) END,
+    coalesce(spot - 1, len(rooms)) FROM (
+      SELECT run.batch, items.i, rooms, items.num_tokens AS n,
+        list_position(rooms, list_min([r for r in rooms if r >= items.num_tokens])) AS spot
+      FROM run JOIN items ON items.batch = run.batch AND items.i = run.i + 1)),
+pk AS (SELECT doc_id, num_tokens, batch, pack, row_number() OVER (PARTITION BY batch, pack ORDER BY i) - 1 AS position
+  FROM run JOIN items USING (batch, i))"""
+
+
+@query("packing", "E7", f"WITH RECURSIVE {PACK_SQL} SELECT doc_id, num_tokens, batch, pack, position FROM pk")
 def packing(t: Tables) -> DataFrame:
     return _packed(t)
 
 
-@query("packing_report", "E8")
+@query("packing_report", "E8", f"""
+WITH RECURSIVE {PACK_SQL}, packs AS (SELECT batch, pack, count(*) AS s, sum(num_tokens) AS n FROM pk GROUP BY ALL)
+SELECT count(*) AS packs, CAST(sum(s) AS BIGINT) AS samples, CAST(sum(n) AS BIGINT) AS tokens, count_if(n > 4096 AND s > 1) AS overfull,
+  round(sum(n) / (count(*) * 4096), 6) AS fill FROM packs""")
 def packing_report(t: Tables) -> DataFrame:
     return P.packing_report(_packed(t))
 
@@ -269,8 +290,7 @@ FROM o a JOIN o b ON b.ordinal = CASE WHEN a.failed THEN a.ordinal + 1 ELSE a.or
 def bad_sample_rows(t: Tables) -> DataFrame:
     k = F.col("doc_id")
     rows = t.documents.select(k, F.when(k % 11 != 0, F.col("n_chars")).alias("num_tokens"))
-    numbered = with_ordinal(in_buckets(rows, k, "_q"), [k], F.col("_q")).drop("_q")
-    kept = P.with_substitutes(numbered, "ordinal", k % 29 == 3, "SUBSTITUTE_NEXT")
+    kept = P.with_substitutes(with_global_ordinal(rows, [k]), "ordinal", k % 29 == 3, "SUBSTITUTE_NEXT")
     return kept.select("ordinal", "source_ordinal", "doc_id", N.length_or_one(F.col("num_tokens")).alias("length"))
 
 

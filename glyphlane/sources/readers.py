@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import csv
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..functions.json import kind
 from ..functions.text import let
-
+from .ranges import array_records, table_records
+from .stored import stored
 
 MEDIA_ENDINGS = ("jpg", "jpeg", "png", "JPG", "JPEG", "PNG")  # fixed values
 
@@ -64,15 +67,29 @@ def parse_records(rows: DataFrame, schema: str) -> DataFrame:
 def parse_table_lines(rows: DataFrame, schema: str, separator: str = ",") -> DataFrame:
     """One record of a CSV or TSV table per text, quoted cells over several lines."""
     kept = _others(rows)
-    options = {"sep": separator, "quote": '"', "escape": '"', "maxCharsPerColumn": "-1"}
+    options = {"sep": separator, "quote": '"', "escape": '"', "maxCharsPerColumn": "-1", "multiLine": "true"}
     return rows.select(*kept, F.from_csv("value", schema, options).alias("r")).select(*kept, "r.*")
 
 
+COCO_PARTS = ("images", "annotations", "categories")
+
+
 def parse_coco(rows: DataFrame) -> dict[str, DataFrame]:
-    """Images, annotations and categories of detection annotation texts."""
+    """Images, annotations and categories of detection annotation texts.
+
+    A text is parsed once, into one stream of entries of the three kinds that is
+    written and then split.
+    """
     kept = _others(rows)
     whole = rows.select(*kept, F.from_json("value", S.COCO).alias("c"))
-    return {part: whole.select(*kept, F.inline(f"c.{part}")) for part in ("images", "annotations", "categories")}
+    kinds = {f.name: f.dataType for f in whole.schema["c"].dataType.fields if f.name in COCO_PARTS}
+
+    def entries(part: str) -> Column:
+        return F.transform(F.coalesce(f"c.{part}", F.array().cast(kinds[part])), lambda e: F.struct(*[
+            (e if name == part else F.lit(None).cast(kind.elementType)).alias(name) for name, kind in kinds.items()]))
+
+    stream = stored(whole.select(*kept, F.inline(F.concat(*map(entries, COCO_PARTS)))), "annotation-entries")
+    return {part: stream.where(F.col(part).isNotNull()).select(*kept, f"{part}.*") for part in COCO_PARTS}
 
 
 def parse_wanted_ids(rows: DataFrame) -> DataFrame:
@@ -101,10 +118,10 @@ def stale(found: DataFrame, manifest: DataFrame) -> DataFrame:
 
 
 def read_samples(spark: SparkSession, path: str, lines: bool | None = None, data_path: str | None = None) -> DataFrame:
-    """Samples of a JSON-lines file or, for other endings, of a JSON array."""
+    """Samples of JSON lines or, for other endings, of JSON arrays; several tasks share a large file of either kind."""
     by_line = path.endswith((".jsonl", ".jsonl.gz")) if lines is None else lines
-    rows = spark.read.schema(S.SAMPLE).option("multiLine", not by_line).json(path)
-    return _normalised(rows.withColumn("data_path", F.lit(data_path).cast("string")), ["data_path"])
+    texts = spark.read.text(path).where(F.trim("value") != "") if by_line else array_records(spark, path)
+    return parse_sample_lines(texts.withColumn("data_path", F.lit(data_path).cast("string")))
 
 
 def read_packed_samples(spark: SparkSession, path: str, data_path: str | None = None) -> DataFrame:
@@ -118,15 +135,31 @@ def read_code_problems(spark: SparkSession, path: str, partitions: int | None =
     return rows if partitions is None else rows.repartition(partitions)
 
 
+def read_table(spark: SparkSession, path: str, separator: str = ",") -> DataFrame:
+    """CSV or TSV files with a header, every column as text, quoted cells over several lines.
+
+    Several tasks share a large file. Quotes in cells must be quoted and doubled,
+    as table writers do. The header is the first record of the first file; where
+    a further file begins with the same record, that is a header too.
+    """
+    records = table_records(spark, path)
+    told = records.where("first").agg(F.min_by("value", "file")).collect()[0][0]
+    names = next(csv.reader([told], delimiter=separator)) if told is not None else []
+    if not names:
+        return spark.createDataFrame([], "")
+    parsed = parse_table_lines(records.select(F.col("first").alias("\x00first"), "value"), ", ".join(f"`{n}` string" for n in names), separator)
+    header = F.forall(F.array(*[F.col(f"`{n}`").eqNullSafe(F.lit(n)) for n in names]), lambda same: same)
+    return parsed.where(~(F.col("\x00first") & header)).drop("\x00first")
+
+
 def read_log(spark: SparkSession, path: str) -> DataFrame:
-    """Agent-log CSV, every column as text, quoted cells over several lines."""
-    return spark.read.csv(path, header=True, multiLine=True, escape='"', quote='"', inferSchema=False)
+    """Agent-log CSV."""
+    return read_table(spark, path)
 
 
 def read_benchmark(spark: SparkSession, path: str) -> DataFrame:
     """Benchmark TSV; cells may hold whole encoded images."""
-    return spark.read.csv(path, sep="\t", header=True, multiLine=True, escape='"', quote='"',
-                          maxCharsPerColumn=-1, inferSchema=False)
+    return read_table(spark, path, "\t")
 
 
 def read_coco(spark: SparkSession, path: str) -> dict[str, DataFrame]:
@@ -136,7 +169,7 @@ def read_coco(spark: SparkSession, path: str) -> dict[str, DataFrame]:
 
 def read_dataset_configs(spark: SparkSession, path: str) -> DataFrame:
     """Detection dataset table from JSON lines; configuration is data, not code."""
-    return spark.read.schema(S.DATASET_CONFIG).json(path)
+    return parse_records(spark.read.text(path).where(F.trim("value") != ""), S.DATASET_CONFIG)
 
 
 def list_media(spark: SparkSession, folder: str) -> DataFrame:

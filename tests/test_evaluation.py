@@ -152,6 +152,84 @@ def test_detection_against_plain_matching(spark, per_image):
     assert got == pytest.approx(want)
 
 
+def plain_greedy(rows):
+    """rows: (rank, gt, iou, crowd, reached, hidden) of one class in one image, all thresholds one by one."""
+    out, taken = {}, {}
+    for rank in sorted({r[0] for r in rows}):
+        mine = sorted((r for r in rows if r[0] == rank), key=lambda r: (r[2], r[1]), reverse=True)
+        matched = ignored = 0
+        for bit in range(D.COMBINATIONS):
+            for counting in (True, False):
+                for _, gt, _, crowd, reached, hidden in mine:
+                    usable = reached >> bit & 1 and (hidden >> bit & 1) != counting and (crowd or not taken.get((gt, bit)))
+                    if usable and not matched >> bit & 1:
+                        matched |= 1 << bit
+                        ignored |= 0 if counting else 1 << bit
+                        taken[gt, bit] = True
+        out[rank] = (matched, ignored)
+    return out
+
+
+def test_greedy_matching_of_many_groups():
+    rnd = random.Random(2)
+    groups = {g: [] for g in range(60)}
+    for g, rows in groups.items():
+        hidden = {gt: rnd.getrandbits(D.COMBINATIONS) for gt in range(5)}
+        crowd = {gt: rnd.random() < 0.2 for gt in range(5)}
+        for rank in range(rnd.choice([1, 2, 7])):
+            rows += [(rank, gt, rnd.choice([0.5, 0.7, 0.9]), crowd[gt], rnd.getrandbits(D.COMBINATIONS), hidden[gt])
+                     for gt in rnd.sample(range(5), rnd.randint(1, 5))]
+    flat = [(g, *r) for g, rows in groups.items() for r in rows]
+    rnd.shuffle(flat)
+    g, rank, gt, iou, crowd, reached, hidden = (np.array(c) for c in zip(*flat))
+    first_rows, matched, ignored = D.greedy(g, rank, gt, iou, crowd, reached, hidden)
+    got = {}
+    for row, m, i in zip(first_rows, matched.tolist(), ignored.tolist()):
+        got.setdefault(int(g[row]), {})[int(rank[row])] = (m, i)
+    assert got == {k: plain_greedy(rows) for k, rows in groups.items()}
+
+
+BOX = "dataset string, image_id long, category_id long, {} long, x double, y double, w double, h double, {}"
+
+
+def test_crowd_over_many_detections(spark):
+    """A crowd finds its detections by cells; a far region of the same class costs it nothing."""
+    inside = [("d", 1, 1, i, float(i % 100), float(i // 100), 20.0, 20.0, 1.0) for i in range(12_000)]
+    far = [("d", 1, 1, 20_000 + i, 5000.0 + i, 9000.0, 20.0, 20.0, 1.0) for i in range(500)]
+    dets = spark.createDataFrame(inside + far, BOX.format("det_ord", "score double"))
+    truth = spark.createDataFrame([("d", 1, 1, 1, -5.0, -5.0, 300.0, 90.0, 27000.0, 1), ("d", 1, 1, 2, 4990.0, 8990.0, 45.0, 60.0, 2700.0, 1),
+                                   ("d", 1, 1, 3, -1e6, 0.0, 0.0, 0.0, 0.0, 1)], BOX.format("gt_id", "area double, iscrowd int"))
+    ranked = D.ranked_detections(dets, 20_000)
+    got = {(r.rank, r.gt_id) for r in D.candidate_pairs(ranked, truth).collect()}
+    want = set()
+    for n, d in enumerate(inside + far):
+        for gt, x, y, w, h in ((1, -5.0, -5.0, 300.0, 90.0), (2, 4990.0, 8990.0, 45.0, 60.0)):
+            iw, ih = min(d[4] + 20, x + w) - max(d[4], x), min(d[5] + 20, y + h) - max(d[5], y)
+            if iw > 0 and ih > 0 and iw * ih / 400 >= 0.5:
+                want.add((n, gt))
+    assert got == want and len(want) > 7000
+
+
+def test_limit_of_the_ranking_reaches_the_matching(spark):
+    """1200 detections at one place and as many boxes: all are matched only if no pair is cut at 1000."""
+    n = 1200
+    dets = spark.createDataFrame([("d", 1, 1, i, 0.0, 0.0, 50.0, 50.0, 1.0) for i in range(n)], BOX.format("det_ord", "score double"))
+    truth = spark.createDataFrame([("d", 1, 1, i, 0.0, 0.0, 50.0, 50.0, 2500.0, 0) for i in range(n)], BOX.format("gt_id", "area double, iscrowd int"))
+    count = lambda limit: D.match(D.ranked_detections(dets, limit), truth, limit).where(F.col("matched") > 0).count()
+    assert count(1000) == 1000 and count(n) == n
+
+
+def test_parts_of_curves_are_bounded(spark, monkeypatch):
+    monkeypatch.setattr(D, "PART_ROWS", 64)
+    rows = spark.range(3000).select(
+        F.when(F.col("id") < 2900, "a").otherwise("b").alias("dataset"), F.lit(1).cast("long").alias("category_id"), F.col("id").alias("image_id"),
+        F.lit(0).alias("rank"), F.lit(1.0).alias("score"), (F.col("id") % 3).alias("matched"), (F.col("id") % 2).alias("ignored"))
+    parts = D.curve_parts(rows).collect()
+    assert max(len(p.few) for p in parts) <= 64 and sum(len(p.few) for p in parts) == 3000
+    whole = b"".join(p.matched for p in sorted(parts, key=lambda p: p.first_row) if p.dataset == "a")
+    assert np.frombuffer(whole, "<i8").tolist() == [i % 3 for i in range(2900)]
+
+
 def test_dataset_without_predictions_counts(spark):
     truth = spark.createDataFrame([("a", 1, 1, 1, 0.0, 0.0, 200.0, 200.0, 40000.0, 0)],
                                   "dataset string, image_id long, category_id long, gt_id long, x double, y double, w double, h double, area double, iscrowd int")
@@ -174,6 +252,14 @@ def test_actions_cover_both_tools(spark):
         None, "missing pixels", "Unknown action: scroll"]
 
 
+def test_numbers_without_end_match_only_themselves(spark):
+    cases = [(["5"], "inf", False), (["5"], "nan", False), (["nan"], "NaN ", False), (["-7", "2"], "inf\n2", False), (["Infinity"], "inf", True),
+             (["-inf"], "inf", False), (["1e400"], "inf", True), (["nan", "1"], "nan\n1.0", False), (["0.5"], "0.500000001", True)]
+    rows = spark.createDataFrame([(i, o, e) for i, (o, e, _) in enumerate(cases)], "i int, o array<string>, e string")
+    got = {r.i: r.m for r in rows.select("i", J.output_matches(F.col("o"), F.col("e")).alias("m")).collect()}
+    assert got == {i: want for i, (_, _, want) in enumerate(cases)}
+
+
 def test_tally_and_parsers(spark):
     codes = spark.createDataFrame([("p", c) for c in (1, 1, 0, -1, -2)], "p string, code int")
     r = first(J.tally(codes, "p"))

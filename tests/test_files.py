@@ -2,6 +2,7 @@ import base64
 import csv
 import gzip
 import json
+import random
 import tempfile
 from hashlib import md5
 from pathlib import Path
@@ -10,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from glyphlane.operators.lengths import counted_once
+from glyphlane.sources import ranges
 from glyphlane.sources import readers as R
 from glyphlane.sources import writers as W
 from glyphlane.streaming import logs
@@ -51,6 +53,82 @@ def test_tables(spark, folder):
     assert first(R.read_code_problems(spark, str(folder / "c.jsonl.gz"))).question == "q"
 
 
+@pytest.fixture
+def small_ranges(spark):
+    """Files are cut into ranges of 200 bytes."""
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    before = [spark.conf.get(n) for n in names]
+    for n in names:
+        spark.conf.set(n, "200")
+    yield
+    for n, v in zip(names, before):
+        spark.conf.set(n, v)
+
+
+def _odd_cells(rnd):
+    return "".join(rnd.choice(["a", '"', "\n", ",", "\t", " ", "é", "", "{", "}", "]", "\\", "\r\n", "x" * 40]) for _ in range(rnd.randint(0, 12)))
+
+
+@pytest.mark.parametrize("separator", [",", "\t"])
+def test_large_tables_are_read_by_ranges(spark, folder, small_ranges, separator):
+    rnd = random.Random(5)
+    rows = [[str(i), _odd_cells(rnd), "z" + _odd_cells(rnd)] for i in range(300)]
+    rows[150][1] = "long\n" * 400  # spans many ranges
+    for name, part in (("a.csv", rows[:200]), ("b.csv", rows[200:])):
+        with open(folder / name, "w", newline="") as f:
+            csv.writer(f, delimiter=separator).writerows([["id", "first", "rest"], *part])
+    pieces = ranges._pieces(spark, str(folder), ranges.TABLE)
+    assert pieces.select("file", "start").distinct().count() > 40 and pieces.rdd.getNumPartitions() > 4
+    got = R.read_table(spark, str(folder), separator)
+    assert got.columns == ["id", "first", "rest"]
+    want = spark.read.csv(str(folder), sep=separator, header=True, multiLine=True, escape='"', quote='"')
+    # Spark's own reader turns line ends within cells into plain ones
+    shown = lambda rows: sorted(tuple(None if c is None else c.replace("\r\n", "\n") for c in r) for r in rows.collect())
+    assert shown(got.fillna("")) == shown(want.fillna(""))
+    assert {r.id: r.rest for r in got.collect()} == {i: rest for i, _, rest in rows}
+
+
+def test_large_arrays_are_read_by_ranges(spark, folder, small_ranges):
+    rnd = random.Random(6)
+    rows = [{"image": f"{i}.jpg", "conversations": [{"from": "human", "value": _odd_cells(rnd) + "}" * (i % 3)}], "num_tokens": i} for i in range(300)]
+    rows[150]["conversations"] *= 100
+    (folder / "a.json").write_text(json.dumps(rows[:200], indent=1, ensure_ascii=False))
+    (folder / "b.json").write_text(json.dumps(rows[200:]))
+    (folder / "c.json").write_text(" [ ]\n")
+    got = R.read_samples(spark, str(folder / "*.json"), lines=False).collect()
+    assert {r.num_tokens: [t.value for t in r.conversations] for r in got} == {r["num_tokens"]: [t["value"] for t in r["conversations"]] for r in rows}
+    assert len(got) == 300
+
+
+def test_ranges_beyond_the_broadcast(spark, folder, small_ranges, monkeypatch):
+    monkeypatch.setattr(ranges, "BROADCAST_RANGES", 0)
+    rows = [[str(i), "line\n" * (i % 7)] for i in range(200)]
+    with open(folder / "a.csv", "w", newline="") as f:
+        csv.writer(f).writerows([["id", "text"], *rows])
+    assert {r.id: r.text or "" for r in R.read_log(spark, str(folder / "a.csv")).collect()} == {i: t for i, t in rows}
+
+
+def test_written_tables_have_one_header(spark, folder):
+    rows = spark.createDataFrame([(i, f" a\n\"{i}\" ,") for i in range(50)], "i int, t string").repartition(3)
+    path = str(folder / "t")
+    W.write_table(rows, path)
+    W.write_table(rows, path, mode="append")
+    text = "".join(p.read_text() for p in sorted((folder / "t").glob("*/part-*.txt")))
+    assert text.startswith("i,t\n") and text.count("i,t\n") == 1
+    assert len(list(csv.reader(text.splitlines(keepends=True)))) == 101
+    assert sorted((r.i, r.t) for r in R.read_table(spark, path).collect()) == sorted((str(i), f" a\n\"{i}\" ,") for i in list(range(50)) * 2)
+    W.write_json_array(rows, str(folder / "j"))
+    parts = [json.loads(p.read_text()) for p in (folder / "j").glob("part-*.txt")]
+    assert sorted(r["i"] for p in parts for r in p) == list(range(50))
+
+
+def test_annotation_files_are_parsed_once(spark, folder):
+    (folder / "coco.json").write_text(json.dumps({"images": [{"id": 1, "file_name": "a", "height": 2, "width": 3}], "annotations": [], "categories": None}))
+    parts = R.read_coco(spark, str(folder / "coco.json"))
+    assert [parts[p].count() for p in R.COCO_PARTS] == [1, 0, 0] and first(parts["images"]).file_name == "a"
+    assert all("FileScan parquet" in d._jdf.queryExecution().toString() and "from_json" not in d._jdf.queryExecution().toString() for d in parts.values())
+
+
 def test_annotations_and_small_files(spark, folder):
     (folder / "coco.json").write_text(json.dumps({
         "images": [{"id": 1, "file_name": "a", "height": 2, "width": 3}], "categories": [{"id": 9, "name": "cat"}],
@@ -79,7 +157,7 @@ def test_writers(spark, folder):
     W.write_json_lines(df, str(folder / "j"))
     assert spark.read.json(str(folder / "j")).collect()[0].s == "é\x01"
     W.write_table(W.without_control_characters(df), str(folder / "t"))
-    assert first(spark.read.csv(str(folder / "t"), header=True)).s == "é"
+    assert first(R.read_table(spark, str(folder / "t"))).s == "é"
     W.write_summary(df.select("n"), str(folder / "s"))
     assert first(spark.read.text(str(folder / "s"))).value == '{"n":1}'
     rows = spark.createDataFrame([("1", base64.b64encode(b"pic").decode())], "index string, image string")

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from glyphlane.functions import literals as L
 from glyphlane.functions import messages as M
+from glyphlane.functions import prompts as P
 from glyphlane.functions import text as X
 from glyphlane.functions.json import strict_json
 from glyphlane.operators import agentlog as A
@@ -84,13 +85,56 @@ def test_training_turns_of_records_and_rows(spark):
     assert by_rows == {i: plain_turns(c) for i, c in enumerate(convs) if plain_turns(c)}
 
 
-def test_long_conversation_is_numbered_over_buckets(spark):
+def test_conversations_are_folded_over_blocks(spark, monkeypatch):
+    monkeypatch.setattr(C, "TURN_BUCKET", 3)
+    rnd = random.Random(12)
+    convs = [[(rnd.choice(["system", "system", "user", "assistant"]), rnd.choice(["a", "b", "<image> c", ""])) for _ in range(rnd.randint(1, 14))]
+             for _ in range(300)]
+    rows = spark.createDataFrame([(i, t, r, x) for i, c in enumerate(convs) for t, (r, x) in enumerate(c)],
+                                 "conv_id int, turn int, role string, text string")
+    got = {}
+    for r in C.training_turns(rows, with_image=F.lit(True)).orderBy("conv_id", "turn").collect():
+        got.setdefault(r.conv_id, []).append((r["from"], r.value))
+    assert got == {i: plain_turns(c) for i, c in enumerate(convs) if plain_turns(c)}
+
+
+def test_long_conversation_is_many_blocks(spark):
     n = C.TURN_BUCKET * 2 + 7
-    rows = spark.range(n).select(F.lit(1).alias("conv_id"), F.col("id").alias("turn"),
-                                 F.when(F.col("id") % 2 == 0, "user").otherwise("assistant").alias("role"), F.lit("t").alias("text"))
-    placed = C.conversation_positions(rows)
-    assert placed.where(F.col("users_before") != F.floor((F.col("turn") + 1) / 2)).count() == 0
-    assert first(placed.agg(F.min("last_user"), F.max("last_user"))) == (n - 1, n - 1)
+    role = F.when(F.col("id") == 0, "system").when(F.col("id") >= C.TURN_BUCKET + 5, F.when(F.col("id") % 2 == 0, "user").otherwise("assistant"))
+    rows = spark.range(n).select(F.lit(1).alias("conv_id"), F.col("id").alias("turn"), F.coalesce(role, F.lit("assistant")).alias("role"), F.lit("t").alias("text"))
+    assert C.turn_blocks(rows).count() == 3
+    got = {r.turn: (r["from"], r.value) for r in C.training_turns(rows, with_image=F.lit(True)).collect()}
+    first_user, last_user = C.TURN_BUCKET + 6, n - 1
+    assert len(got) == n - 1 and got[first_user] == ("human", "t\nt") and got[last_user] == ("human", "t\n<image>")
+    assert all(v == ("human" if t >= first_user and t % 2 == 0 else "gpt", "t") for t, v in got.items() if t not in (first_user, last_user))
+
+
+def test_half_signs_never_end_a_job(spark):
+    half = "\\ud83d"
+    rows = spark.createDataFrame([(f'{{"thinking": "{half}"}}', f"['{half}', 'x']", f"[{{'role': 'user', 'content': '{half}'}}]",
+                                   f"[{{'bbox_2d': [1, 2, 3, 4], 'label': '{half}'}}]")], "answer string, texts string, cell string, boxes string")
+    r = first(rows.select(L.tagged_answer("answer").alias("answer"), L.strings_from_literal("texts").alias("texts"),
+                          L.messages_from_text("cell").alias("messages"), L.boxes_from_literal("boxes").alias("boxes")))
+    assert r.answer == "<thinking>\n?\n</thinking>" and r.texts == ["?", "x"]
+    assert r.messages[0].content == "?" and r.boxes[0].label == "?"
+    cells = spark.createDataFrame([(1, f"[{{'role': 'user', 'content': '{half}'}}, {{'role': 'tool{half}', 'content': ['{half}']}}]")], "i int, messages string")
+    got = first(convert_cells(cells))
+    assert got.status == "converted" and "'content': '?'" in got.messages
+    log = spark.createDataFrame([(1, f"[{{'role': 'user', 'content': '{half}'}}]"), (2, f'[{{"role": "user", "content": "{half}"}}]')], "i int, messages string")
+    assert [r.parsed[0].content for r in A.parse_messages(log).orderBy("i").collect()] == ["?", "?"]
+
+
+def test_catalog_numbers_print_as_in_python(spark):
+    defaults = ["1.0", "-0.0", "1.234567895e7", "1e400", "123456789012345678901234567890123456789012", "0.1", "1e-7", "[[1, 2], {}]", '{"a": {"b": [null, "x"]}}',
+                "true", '"text"', "5", "null", "9223372036854775807", "-7"]
+    cells = [json.dumps({"tools": [{"name": "t", "params": {"p": {"default": "@"}}}]}).replace('"@"', d) for d in defaults]
+    rows = spark.createDataFrame(list(enumerate(cells)), "i int, c string").select("i", P.catalog_text(F.col("c")).alias("t")).collect()
+    shown = {r.i: r.t.split("(unknown)")[1] for r in rows}
+    for i, d in enumerate(defaults):
+        value = json.loads(d)
+        assert shown[i] == ("" if value is None else f": default: {value}")
+    bounds = '{"tools": [{"name": "t", "params": {"p": {"minimum": 0.0, "minLength": 0.5, "maximum": 1e2}}}]}'
+    assert first(spark.createDataFrame([(bounds,)], "c string").select(P.catalog_text(F.col("c")))) [0].endswith("p (unknown): range: [0.5, 100.0]")
 
 
 def test_tagged_answer_worked_example(spark):

@@ -1,14 +1,17 @@
 import random
+from itertools import accumulate
 
 import pytest
 from pyspark.sql import functions as F
 
+from glyphlane.functions import answers as A
+from glyphlane.functions.arrays import prefix_sums
 from glyphlane.operators import features as X
 from glyphlane.operators import mixing as M
 from glyphlane.operators import ordinal
 from glyphlane.operators import packing as P
 from glyphlane.operators import validate as V
-from glyphlane.operators.ordinal import with_ordinal
+from glyphlane.operators.ordinal import with_global_ordinal, with_ordinal
 
 from .conftest import first
 
@@ -45,6 +48,42 @@ def test_ordinal_with_one_hot_bucket(spark):
     assert got.where(F.col("ordinal") != F.col("k") + 1).count() == 0
 
 
+def test_global_order_is_cut_by_rows(spark):
+    """Skewed and sparse keys: ranges follow the rows, and none holds much more than its share."""
+    keys = [7] * 600 + [10**15 + i * 10**9 for i in range(200)] + list(range(200))
+    df = spark.createDataFrame([(k, i) for i, k in enumerate(keys)], "k long, i long").repartition(5)
+    got = with_global_ordinal(df, [F.col("k"), F.col("i")], range_rows=50).collect()
+    assert [(r.k, r.i) for r in sorted(got, key=lambda r: r.ordinal)] == sorted((k, i) for i, k in enumerate(keys))
+    assert sorted(r.ordinal for r in got) == list(range(1, 1001))
+    held = []
+    original = ordinal.stored
+    try:
+        ordinal.stored = lambda rows, name: held.append(original(rows, name)) or held[-1]
+        with_global_ordinal(df, [F.col("k"), F.col("i")], range_rows=50)
+    finally:
+        ordinal.stored = original
+    sizes = held[0].groupBy(F.shiftright("_row", 33)).count().collect()
+    assert len(sizes) >= 15 and max(r["count"] for r in sizes) <= 150
+    assert with_global_ordinal(df.limit(0), [F.col("k")]).collect() == []
+
+
+def test_running_sums_of_long_arrays(spark):
+    rows = spark.createDataFrame([([1, 2, 3],), ([],), ([5],), (list(range(100_000)),)], "a array<int>")
+    for r in rows.select("a", prefix_sums(F.col("a")).alias("s"), P.sequence_bounds(F.col("a")).alias("b")).collect():
+        assert r.s == list(accumulate(r.a)) and r.b == [0, *r.s]
+    ids = [77091, 5, 6, 151645] * 25_000
+    masks = first(spark.createDataFrame([(ids,)], "ids array<bigint>").select(X.label_mask(F.col("ids")).alias("l")))
+    assert masks.l == plain_labels(ids)
+    html = first(spark.createDataFrame([("\n".join(["a", "```py", "x<y", "```"] * 25_000),)], "t string").select(A.to_html(F.col("t")).alias("h")))
+    assert html.h.count('<pre><code class="language-py">') == 25_000 and html.h.count("x&lt;y") == 25_000
+
+
+def test_empty_ids_have_no_positions(spark):
+    rows = spark.createDataFrame([(1, [], []), (1, [5], [5])], "b int, ids array<bigint>, labels array<bigint>")
+    got = P.pad_batches(rows, "b", "ids", "labels", 9, 4).collect()
+    assert {tuple(r.padded_ids): r.padded_positions for r in got} == {(9,): [1], (5,): [0]}
+
+
 def plain_best_fit(lengths, capacity):
     packs = []
     for n in sorted(lengths, reverse=True):
