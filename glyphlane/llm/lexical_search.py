@@ -16,9 +16,11 @@ summed over an item's terms, is an upper bound of the score of each document.
    k of these are the result; all others are excluded by their bounds.
 
 Exact scores count the terms in whole texts: occurrences are found by 64-bit
-hashes and then compared byte by byte. Document frequencies of the asked terms
-are counted in the same way while the index is built. Items come in groups of
-bounded text, one search each; a group's terms are what tasks are handed.
+hashes and then compared byte by byte. A block keeps its texts, compressed, beside
+its slices, so a task scores what its own bounds let through and no text is ever
+shuffled. Document frequencies of the asked terms are counted while the index is
+built. Items come in groups of bounded text, one search each; a group's terms,
+and k heads for each of its items, are all that tasks are handed.
 """
 
 from __future__ import annotations
@@ -29,6 +31,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -36,7 +39,7 @@ from .common import give_back, slices, written
 
 #: Occurrences from which a further entry is set: level i means at least LEVELS[i] of them.
 LEVELS = np.array([1, 2, 3, 4, 6, 8, 12, 16, 24, 32, 64, 128, 256, 512, 1024, 4096, 1 << 14, 1 << 17])
-BITS, HASHES = 10, 4
+BITS, HASHES = 16, 6
 MOST_BITS = 1 << 26
 SCALE = 1_000_000_000
 
@@ -161,20 +164,21 @@ class _Block:
     def __init__(self, n_bits: int, block_bytes: int, block_docs: int):
         self.n_bits = n_bits
         self.room = max(8, min(block_docs, block_bytes * 8 // n_bits))
-        self.ids: list[int | None] = []
+        self.ids: list[int] = []
         self.sizes: list[int] = []
         self.bits: list[np.ndarray] = []
+        self.texts: list[bytes] = []
 
     def row(self) -> tuple:
         width = -(-len(self.ids) // 8)
         flat = np.zeros(self.n_bits * width, np.uint8)
         for doc, bits in enumerate(self.bits):
-            flat[np.unique(bits) * width + doc // 8] |= np.uint8(128 >> doc % 8)
-        return self.n_bits, self.ids, self.sizes, flat.tobytes()
+            flat[bits * width + doc // 8] |= np.uint8(128 >> doc % 8)
+        return self.n_bits, self.ids, self.sizes, flat.tobytes(), self.texts
 
 
 INDEX = (
-    "n_bits int, ids array<bigint>, sizes array<bigint>, slices binary, n_docs bigint, n_terms bigint, "
+    "n_bits int, ids array<bigint>, sizes array<bigint>, slices binary, texts array<binary>, n_docs bigint, n_terms bigint, "
     "asked array<struct<term:int,docs:bigint>>"
 )
 
@@ -182,18 +186,19 @@ INDEX = (
 def _index_rows(query: Query, block_bytes: int, block_docs: int):
     schema = pa.schema([
         ("n_bits", pa.int32()), ("ids", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int64())), ("slices", pa.binary()),
-        ("n_docs", pa.int64()), ("n_terms", pa.int64()),
+        ("texts", pa.list_(pa.binary())), ("n_docs", pa.int64()), ("n_terms", pa.int64()),
         ("asked", pa.list_(pa.struct([("term", pa.int32()), ("docs", pa.int64())]))),
     ])
 
-    def batch_of(n_bits, ids, sizes, bits, n_docs=0, n_terms=0, asked=()):
-        values = [n_bits, ids, sizes, bits, n_docs, n_terms, [{"term": t, "docs": n} for t, n in asked]]
+    def batch_of(n_bits, ids, sizes, bits, texts, n_docs=0, n_terms=0, asked=()):
+        values = [n_bits, ids, sizes, bits, texts, n_docs, n_terms, [{"term": t, "docs": n} for t, n in asked]]
         return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(values, schema)], schema=schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         open_blocks: dict[int, _Block] = {}
         n_docs = n_terms = 0
         df = np.zeros(len(query.terms), np.int64)
+        packer = zstandard.ZstdCompressor(level=1)
         for batch in slices(batches, 500):
             t = terms_of(batch.column(1))
             owner, number = query.occurrences(t)
@@ -213,12 +218,13 @@ def _index_rows(query: Query, block_bytes: int, block_docs: int):
                 block.ids.append(doc_id)
                 block.sizes.append(int(sizes[doc]))
                 block.bits.append(positions(entries, level, n_bits).astype(np.int32).ravel())
+                block.texts.append(packer.compress(batch.column(1)[doc].as_buffer()))
                 if len(block.ids) == block.room:
                     yield batch_of(*open_blocks.pop(n_bits).row())
         for block in open_blocks.values():
             yield batch_of(*block.row())
         asked = [(int(i), int(df[i])) for i in np.flatnonzero(df)]
-        yield batch_of(0, [], [], b"", n_docs, n_terms, asked)
+        yield batch_of(0, [], [], b"", [], n_docs, n_terms, asked)
         open_blocks.clear()
         give_back()
 
@@ -241,113 +247,142 @@ class Statistics:
     weights: np.ndarray  # of the terms of the query
 
 
-def upper_bounds(query: Query, stats: Statistics, n_bits: int, sizes: np.ndarray, packed: bytes, chunk: int = 512) -> Iterator[tuple[int, np.ndarray]]:
-    """Item number and the bound of every document of a block, item by item."""
+def upper_bounds(query: Query, stats: Statistics, n_bits: int, sizes: np.ndarray, packed: bytes, chunk: int = 2048) -> Iterator[tuple[int, np.ndarray]]:
+    """The first of some items and the bounds of a block's documents for each of them, for all items.
+
+    Terms of several items, ``chunk`` at a time, go together; only documents
+    whose slices show a term are looked at further.
+    """
     bits = np.frombuffer(packed, np.uint8).reshape(n_bits, -1)
     n = len(sizes)
     m = lengths_factor(sizes, stats.n_docs, stats.n_terms)
     # a term at level i occurs less often than the next level asks for; no term occurs more often than all together
     most = np.minimum(np.append(LEVELS[1:] - 1, 1 << 40)[:, None], sizes[None, :])
     share = np.vstack([np.zeros(n, np.int64), shares(most, m[None, :])])
-    at = np.arange(n)
-    for item, terms in enumerate(query.of_item):
-        total = np.zeros(n, np.int64)
-        terms = terms[stats.weights[terms] > 0]
-        for first in range(0, len(terms), chunk):
-            some = terms[first : first + chunk]
-            hashes, weights = query.hashes[some], stats.weights[some]
-            level = np.zeros((len(some), n), np.uint8)
-            alive, there = np.arange(len(some)), None
-            for step in range(len(LEVELS)):
-                where = positions(hashes[alive], np.full(len(alive), step), n_bits)
-                found = np.bitwise_and.reduce(bits[where], axis=1)
-                there = found if there is None else there & found
-                level[alive] += np.unpackbits(there, axis=1, count=n)
-                left = there.any(axis=1)
-                alive, there = alive[left], there[left]
-                if not len(alive):
+    first = 0
+    while first < len(query.of_item):
+        last, held = first + 1, len(query.of_item[first])
+        while last < len(query.of_item) and held + len(query.of_item[last]) <= chunk:
+            held += len(query.of_item[last])
+            last += 1
+        terms = np.concatenate(query.of_item[first:last])
+        item = np.repeat(np.arange(last - first), [len(x) for x in query.of_item[first:last]])
+        weighing = stats.weights[terms] > 0
+        terms, item = terms[weighing], item[weighing]
+        total = np.zeros((last - first, n), np.int64)
+        for at in range(0, len(terms), chunk):
+            some = terms[at : at + chunk]
+            there = np.bitwise_and.reduce(bits[positions(query.hashes[some], np.zeros(len(some), np.int64), n_bits)], axis=1)
+            pair, doc = np.nonzero(np.unpackbits(there, axis=1, count=n))
+            level, left = np.ones(len(pair), np.int64), np.arange(len(pair))
+            for step in range(1, len(LEVELS)):
+                asked = np.unique(pair[left])
+                if not len(asked):
                     break
-            total += (share[level, at] * weights[:, None]).sum(axis=0)
-        yield item, total
-
-
-PAIRS = "item_id bigint, doc_id bigint, bound bigint"
+                found = np.bitwise_and.reduce(bits[positions(query.hashes[some[asked]], np.full(len(asked), step), n_bits)], axis=1)
+                row = np.searchsorted(asked, pair[left])
+                reached = found[row, doc[left] >> 3] >> (7 - (doc[left] & 7)).astype(np.uint8) & 1
+                left = left[reached == 1]
+                level[left] += 1
+            np.add.at(total, (item[at : at + chunk][pair], doc), share[level, doc] * stats.weights[some[pair]])
+        yield first, total
+        first = last
+
+
+class _Best:
+    """The k best (value, id) of each item so far, ties to the smaller id."""
+
+    def __init__(self, items: int, k: int):
+        self.k, self.kept = k, [(np.zeros(0, np.int64),) * 2 for _ in range(items)]
+
+    def offer(self, item: int, ids: np.ndarray, values: np.ndarray) -> None:
+        old_ids, old = self.kept[item]
+        ids, values = np.append(old_ids, ids), np.append(old, values)
+        top = np.lexsort((ids, -values))[: self.k]
+        self.kept[item] = ids[top], values[top]
+
+    def least(self, item: int) -> int:
+        """What a value must reach to matter."""
+        values = self.kept[item][1]
+        return int(values[-1]) if len(values) == self.k else 1
+
+    def batch(self, query: Query, name: str) -> pa.RecordBatch:
+        columns = [np.concatenate(c) for c in zip(*[(np.full(len(d), i), d, v) for i, (d, v) in zip(query.items, self.kept)])]
+        return pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in columns], ["item_id", "doc_id", name])
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    """n_bits, ids, sizes, slices and, if there, texts of each block."""
+    for batch in batches:
+        for row in range(batch.num_rows):
+            n_bits, ids, sizes, packed, *texts = (batch.column(i)[row] for i in range(batch.num_columns))
+            yield n_bits.as_py(), *(x.values.to_numpy().astype(np.int64) for x in (ids, sizes)), packed.as_buffer(), *texts
+        give_back()
 
 
-def _pairs(query: Query, stats: Statistics, k: int, cutoffs: np.ndarray | None):
-    """Pairs of items and documents: the k best bounds of a task, or all that reach the item's cutoff."""
+def _heads(query: Query, stats: Statistics, k: int):
+    """The k best bounds of a task for each item."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best: list[tuple[np.ndarray, np.ndarray]] = [(np.zeros(0, np.int64),) * 2 for _ in query.items]
-        for batch in batches:
-            for n_bits, ids, sizes, packed in zip(*(batch.column(i) for i in range(4))):
-                ids, sizes = (np.array(x.values.to_numpy(), np.int64) for x in (ids, sizes))
-                out: list[tuple] = []
-                for item, bounds in upper_bounds(query, stats, n_bits.as_py(), sizes, packed.as_buffer()):
-                    if cutoffs is not None:
-                        hit = np.flatnonzero(bounds >= cutoffs[item])
-                        out.append((np.full(len(hit), query.items[item]), ids[hit], bounds[hit]))
-                        continue
-                    hit = np.flatnonzero(bounds > (best[item][1][-1] if len(best[item][1]) == k else 0))
-                    d, b = np.append(best[item][0], ids[hit]), np.append(best[item][1], bounds[hit])
-                    top = np.lexsort((d, -b))[:k]
-                    best[item] = d[top], b[top]
-                if out:
-                    yield _pair_batch(out)
-        if cutoffs is None:
-            yield _pair_batch([(np.full(len(d), i), d, b) for i, (d, b) in zip(query.items, best)])
+        best = _Best(len(query.items), k)
+        for n_bits, ids, sizes, packed in _blocks(batches):
+            for first, bounds in upper_bounds(query, stats, n_bits, sizes, packed):
+                for item, row in enumerate(bounds, first):
+                    hit = np.flatnonzero(row >= best.least(item))
+                    if len(hit):
+                        best.offer(item, ids[hit], row[hit])
+        yield best.batch(query, "bound")
 
     return run
 
 
-def _pair_batch(parts: list[tuple]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [pa.array(np.concatenate([p[i] for p in parts]).astype(np.int64)) for i in range(3)], ["item_id", "doc_id", "bound"]
-    )
-
-
-def _exact(query: Query, stats: Statistics):
-    """Exact scores of the asked (doc, items) rows, from whole texts."""
-    number_of = {int(i): n for n, i in enumerate(query.items)}
+def _exact_scores(query: Query, stats: Statistics, docs: np.ndarray, texts: pa.ListScalar, asked: list[np.ndarray], best: _Best, ids: np.ndarray) -> None:
+    """Scores some documents of a block for their items, from whole texts."""
+    unpacker = zstandard.ZstdDecompressor()
+    for at in range(0, len(docs), 200):
+        some = docs[at : at + 200]
+        t = terms_of(pa.array([unpacker.decompress(texts[int(d)].as_buffer()) for d in some], pa.large_binary()))
+        sizes = np.bincount(t.owner, minlength=len(some)).astype(np.int64)
+        owner, number = query.occurrences(t)
+        order = np.argsort(owner, kind="stable")
+        number, borders = number[order], np.searchsorted(owner[order], np.arange(len(some) + 1))
+        m = lengths_factor(sizes, stats.n_docs, stats.n_terms)
+        for doc, items in enumerate(asked[at : at + 200]):
+            tf = np.bincount(number[borders[doc] : borders[doc + 1]], minlength=len(query.terms))
+            part = np.zeros(len(tf), np.int64)
+            seen = np.flatnonzero(tf)
+            part[seen] = stats.weights[seen] * shares(tf[seen], m[doc])
+            for item in items.tolist():
+                score = int(part[query.of_item[item]].sum())
+                if score >= best.least(item):
+                    best.offer(item, ids[some[doc] : some[doc] + 1], np.array([score]))
+
+
+def _resolved(query: Query, stats: Statistics, k: int, cutoffs: np.ndarray | None, heads: tuple[np.ndarray, np.ndarray] | None):
+    """The k best exact scores of a task: of the heads (sorted ids and item numbers), or of all whose bound reaches the item's cutoff."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, 200):
-            t = terms_of(batch.column(1))
-            sizes = np.bincount(t.owner, minlength=batch.num_rows).astype(np.int64)
-            owner, number = query.occurrences(t)
-            order = np.argsort(owner, kind="stable")
-            number, borders = number[order], np.searchsorted(owner[order], np.arange(batch.num_rows + 1))
-            m = lengths_factor(sizes, stats.n_docs, max(1, stats.n_terms))
-            rows: list[tuple[int, int, int]] = []
-            for doc, (doc_id, items) in enumerate(zip(batch.column(0).to_pylist(), batch.column(2).to_pylist())):
-                tf = np.bincount(number[borders[doc] : borders[doc + 1]], minlength=len(query.terms))
-                for item in items:
-                    terms = query.of_item[number_of[item]]
-                    score = int((stats.weights[terms] * shares(tf[terms], m[doc])).sum())
-                    if score > 0:
-                        rows.append((item, doc_id, score))
-            columns = list(zip(*rows)) if rows else [[], [], []]
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["item_id", "doc_id", "score"])
+        best = _Best(len(query.items), k)
+        for block in _blocks(batches):
+            n_bits, ids, sizes, packed, texts = block
+            if heads is not None:
+                low, high = (np.searchsorted(heads[0], ids, side) for side in ("left", "right"))
+                docs = np.flatnonzero(high > low)
+                asked = [heads[1][low[d] : high[d]] for d in docs]
+            else:
+                hit = np.concatenate([bounds >= cutoffs[first : first + len(bounds), None] for first, bounds in upper_bounds(query, stats, n_bits, sizes, packed)])
+                doc, item = np.nonzero(hit.T)
+                docs, begins = np.unique(doc, return_index=True)
+                asked = np.split(item, begins[1:]) if len(docs) else []
+            _exact_scores(query, stats, docs, texts, asked, best, ids)
+        yield best.batch(query, "score")
 
     return run
 
 
-def _ranked(scores: DataFrame, k: int) -> DataFrame:
-    order = Window.partitionBy("item_id").orderBy(F.desc("score"), "doc_id")
-    return scores.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
-
-
-#: Ids of candidates, 8 bytes each with their items, are handed to every executor up to this number of pairs.
-BROADCAST_PAIRS = 1 << 19
-
-
-def _scored(rows: DataFrame, pairs: DataFrame, query: Query, stats: Statistics) -> DataFrame:
-    """Exact scores of (item_id, doc_id) pairs; each document's text is read where it lies unless there are very many pairs."""
-    asked = pairs.select("item_id", "doc_id").distinct()
-    small = asked.count() <= BROADCAST_PAIRS
-    asked = asked.groupBy("doc_id").agg(F.collect_list("item_id").alias("items"))
-    found = rows.join(F.broadcast(asked) if small else asked, "doc_id").select("doc_id", "text", "items")
-    return found.mapInArrow(_exact(query, stats), "item_id bigint, doc_id bigint, score bigint")
+def _ranked(found: DataFrame, k: int, value: str = "score") -> DataFrame:
+    order = Window.partitionBy("item_id").orderBy(F.desc(value), "doc_id")
+    return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
 
 
 def _search(rows: DataFrame, query: Query, k: int, block_bytes: int, block_docs: int) -> DataFrame:
@@ -359,24 +394,28 @@ def _search(rows: DataFrame, query: Query, k: int, block_bytes: int, block_docs:
     for row in index.select(F.inline("asked")).groupBy("term").agg(F.sum("docs").alias("docs")).collect():  # the terms of the group
         df[row["term"]] = row["docs"]
     if not n_terms or not len(df):
-        return spark.createDataFrame([], "item_id bigint, rank int, doc_id bigint, score bigint")
-    weights = [math.floor(1000 * math.log((2 * n_docs + 2) / (2 * d + 1))) for d in df.tolist()]
+        return spark.createDataFrame([], RESULT)
+    # a term without documents adds to no score, nor to a bound
+    weights = [math.floor(1000 * math.log((2 * n_docs + 2) / (2 * d + 1))) if d else 0 for d in df.tolist()]
     stats = Statistics(n_docs, n_terms, np.array(weights, np.int64))
-    blocks = index.filter("n_bits > 0").select("n_bits", "ids", "sizes", "slices")
-    heads = blocks.mapInArrow(_pairs(query, stats, k, None), PAIRS)
-    order = Window.partitionBy("item_id").orderBy(F.desc("bound"), "doc_id")
-    heads = heads.withColumn("r", F.row_number().over(order)).filter(F.col("r") <= k)
-    first = _ranked(_scored(rows, written(heads, "search-heads"), query, stats), k)
+    blocks = index.filter("n_bits > 0").select("n_bits", "ids", "sizes", "slices", "texts")
+    scores = "item_id bigint, doc_id bigint, score bigint"
+    heads = blocks.drop("texts").mapInArrow(_heads(query, stats, k), "item_id bigint, doc_id bigint, bound bigint")
+    best = _ranked(heads, k, "bound").select("doc_id", "item_id").collect()  # k for each item of the group
+    ids, numbers = np.array([r["doc_id"] for r in best], np.int64), np.searchsorted(query.items, np.array([r["item_id"] for r in best], np.int64))
+    order = np.argsort(ids, kind="stable")
+    first = _ranked(blocks.mapInArrow(_resolved(query, stats, k, None, (ids[order], numbers[order])), scores), k)
     cutoffs = np.ones(len(query.items), np.int64)
-    reached = first.filter(F.col("rank") == k).select("item_id", "score").collect()  # one row for each item of the group
-    for row in reached:
+    for row in first.filter(F.col("rank") == k).select("item_id", "score").collect():  # one row for each item of the group
         cutoffs[np.searchsorted(query.items, row["item_id"])] = row["score"]
-    kept = written(blocks.mapInArrow(_pairs(query, stats, k, cutoffs), PAIRS), "search-candidates")
-    return _ranked(_scored(rows, kept, query, stats), k).select("item_id", "rank", "doc_id", "score")
+    return _ranked(blocks.mapInArrow(_resolved(query, stats, k, cutoffs, None), scores), k).select("item_id", "rank", "doc_id", "score")
+
+
+RESULT = "item_id bigint, rank int, doc_id bigint, score bigint"
 
 
 def lexical_search(
-    docs: DataFrame, items: DataFrame, k: int = 50, group_bytes: int = 4 << 20, block_bytes: int = 4 << 20, block_docs: int = 2048,
+    docs: DataFrame, items: DataFrame, k: int = 50, group_bytes: int = 1 << 20, block_bytes: int = 4 << 20, block_docs: int = 2048,
     id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text",
 ) -> DataFrame:
     """item_id, rank, doc_id, score: the ``k`` best documents with a score above 0 for each item, ties to the smaller id.
@@ -399,4 +438,4 @@ def lexical_search(
         if some:
             part = _search(rows, Query([(r["item_id"], r["texts"]) for r in some]), k, block_bytes, block_docs)
             found = part if found is None else found.unionByName(part)
-    return found if found is not None else docs.sparkSession.createDataFrame([], "item_id bigint, rank int, doc_id bigint, score bigint")
+    return found if found is not None else docs.sparkSession.createDataFrame([], RESULT)
