@@ -104,12 +104,11 @@ def _ratio(arithmetic: Column) -> Column:
     return F.when(arithmetic.rlike(RATIO), F.try_divide(part(1), part(2)))
 
 
-def with_equality(df: DataFrame, given: Column, gold: Column, out: str) -> DataFrame:
-    """Adds whether two answers are the same text, lower-cased and stripped, or
-    the same number.
+def with_equalities(df: DataFrame, compared: dict[str, tuple[Column, Column]]) -> DataFrame:
+    """Adds a column per entry: whether two answers are the same text, lower-cased and stripped, or the same number.
 
     Plain numbers and quotients compare natively; only other texts that look
-    like arithmetic reach the Arrow evaluator.
+    like arithmetic reach the Arrow evaluator, once for all columns.
     """
     def prepare(p: Column) -> Column:
         number = lambda x: F.coalesce(_plain_number(x), _ratio(_latex_to_arithmetic(x)))
@@ -122,9 +121,13 @@ def with_equality(df: DataFrame, given: Column, gold: Column, out: str) -> DataF
         ask = ~same & ~known & x.rlike(ARITHMETIC) & y.rlike(ARITHMETIC)
         return F.struct(same.alias("same"), F.when(ask, x).alias("x"), F.when(ask, y).alias("y"))
 
-    lowered = F.struct(F.lower(strip(given)).alias("a"), F.lower(strip(gold)).alias("b"))
-    prepared = df.withColumn("_eq", let(lowered, prepare))
-    computed = L.same_value(F.col("_eq.x"), F.col("_eq.y"))
-    return prepared.withColumn("_computed", computed).withColumn(
-        out, F.coalesce(F.col("_eq.same"), F.lit(False)) | F.coalesce("_computed", F.lit(False))
-    ).drop("_eq", "_computed")
+    lowered = lambda pair: F.struct(*[F.lower(strip(v)).alias(n) for n, v in zip("ab", pair)])
+    prepared = df.withColumns({f"_eq_{out}": let(lowered(pair), prepare) for out, pair in compared.items()})
+    computed = prepared.withColumns({f"_computed_{out}": L.same_value(F.col(f"_eq_{out}.x"), F.col(f"_eq_{out}.y")) for out in compared})
+    return computed.withColumns({
+        out: F.coalesce(F.col(f"_eq_{out}.same"), F.lit(False)) | F.coalesce(f"_computed_{out}", F.lit(False)) for out in compared
+    }).drop(*[f"{n}_{out}" for out in compared for n in ("_eq", "_computed")])
+
+
+def with_equality(df: DataFrame, given: Column, gold: Column, out: str) -> DataFrame:
+    return with_equalities(df, {out: (given, gold)})

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..functions import literals as L
 from ..functions import messages as M
 from ..functions.json import strict_json
-from ..functions.text import WHITESPACE, let, word_count
+from ..functions.text import WHITESPACE, word_count
 from ..functions.uris import base_name
 
 # Fixed values of the log conversion.
@@ -67,20 +67,15 @@ def convert_logs(
     # whole numbers only; anything else is counted from the messages
     written = F.regexp_extract(F.col("total_tokens"), WHOLE_NUMBER, 1)
     given = F.when(written != "", written.try_cast("bigint"))
-    # The turns are built below the join: each record once, whatever is asked above.
-    built = let(F.col("parsed"), lambda m: F.struct(
-        (F.size(m) > 0).alias("any"),
-        F.when(wanted.isNotNull(), M.training_turns(m)).alias("turns"),
-        (F.when(given.isNull(), counter(m)).otherwise(given) + IMAGE_TOKENS).alias("num_tokens")))
+    # Below the join, each on its own: who only asks for the status builds no turns and moves none.
+    said = lambda *roles: F.exists("parsed", lambda m: m["role"].isin(*roles))
     parsed = parse_messages(rows).select(
         row_id,
         F.coalesce(wanted, F.concat(F.lit("\x00"), F.col(row_id).cast("string"))).alias("image_id"),
-        wanted.isNotNull().alias("_has_id"),
-        built.alias("built"))
-    # Single columns below the join: who only asks for the status moves no turns through it.
-    parsed = parsed.select(
-        row_id, "image_id", "_has_id", F.col("built.any").alias("_any"), F.col("built.turns").isNotNull().alias("_has_turns"),
-        F.col("built.turns").alias("conversations"), F.col("built.num_tokens").alias("num_tokens"))
+        wanted.isNotNull().alias("_has_id"), (F.size("parsed") > 0).alias("_any"),
+        (said("user") | (said("assistant") & ~said("system"))).alias("_has_turns"),
+        F.when(wanted.isNotNull(), M.training_turns(F.col("parsed"))).alias("conversations"),
+        (F.when(given.isNull(), counter(F.col("parsed"))).otherwise(given) + IMAGE_TOKENS).alias("num_tokens"))
     turns = parsed.join(images, "image_id", "left")
     status = (
         F.when(~F.col("_any"), "no_messages")

@@ -129,7 +129,8 @@ def overlap(ax: Column, ay: Column, aw: Column, ah: Column, bx: Column, by: Colu
 
 
 def _level(width: Column) -> Column:
-    return F.floor(F.log2(width) + 1e-9).cast("int")
+    """The power of four of a width."""
+    return F.floor(F.log2(width) / 2 + 1e-9).cast("int")
 
 
 def _cell(value: Column, level: Column) -> Column:
@@ -158,28 +159,30 @@ def candidate_pairs(ranked: DataFrame, truth: DataFrame) -> DataFrame:
     """Detection and truth pairs of one image and class that overlap by half.
 
     Half overlap bounds both the ratio of the widths (2) and the shift (half the
-    wider one), so truth is keyed by the power of two of its width and a cell of
-    four times that size, and a detection looks into the few cells it can reach.
+    wider one), so truth is keyed by the power of four of its width and a cell
+    16 times that size, and a detection looks into the few cells it can reach.
     Crowd regions know no such bound and have cells of their own.
     """
     det = ranked.where((F.col("w") > 0) & (F.col("h") > 0)).select(*GROUP, "rank", *[F.col(c).alias(f"d{c}") for c in "xywh"])
     gt = truth.select(*GROUP, "gt_id", "area", F.col("iscrowd").cast("boolean").alias("crowd"),
                       *[F.col(c).alias(f"g{c}") for c in "xywh"])
     half = overlap(*[F.col(f"d{c}") for c in "xywh"], *[F.col(f"g{c}") for c in "xywh"], F.col("crowd"))
-    place = lambda level, cell: F.struct(level.cast("int").alias("level"), cell.cast("bigint").alias("cell"))
+    size = lambda level: F.pow(F.lit(4.0), level + 2)
+
+    # shifted by half a cell, so that boxes at an image's edge are not at a cell's
+    cell = lambda x, level: F.floor(x / size(level) + 0.5).cast("bigint")
 
     def reach(level: Column) -> Column:
-        size = F.pow(F.lit(2.0), level + 2)
-        shift = F.greatest(size / 2, F.col("dw")) * 0.51
-        cells = F.sequence(F.floor((F.col("dx") - shift) / size), F.floor((F.col("dx") + shift) / size))
-        return F.transform(cells, lambda c: place(level, c))
-
-    probes = F.flatten(F.transform(F.array(*[F.lit(d) for d in (-1, 0, 1)]), lambda d: reach(_level(F.col("dw")) + d)))
-    keyed_det = det.select(*det.columns, F.inline(probes))
-    home = place(_level(F.col("gw")), F.floor(F.col("gx") / F.pow(F.lit(2.0), _level(F.col("gw")) + 2)))
-    keyed_gt = gt.where(~F.col("crowd") & (F.col("gw") > 0) & (F.col("gh") > 0)).select(
-        *gt.columns, home["level"].alias("level"), home["cell"].alias("cell"))
-    plain = keyed_det.join(keyed_gt, [*GROUP, "level", "cell"])
+        shift = F.greatest(size(level) / 4, F.col("dw")) * 0.51
+        cells = F.sequence(cell(F.col("dx") - shift, level), cell(F.col("dx") + shift, level))
+        return F.transform(cells, lambda c: F.struct(level.cast("int").alias("level"), c.alias("cell")))
+
+    levels = F.sequence(_level(F.col("dw") * 0.49), _level(F.col("dw") * 2.05))
+    keyed_det = det.select(*det.columns, F.inline(F.flatten(F.transform(levels, reach))))
+    keyed_gt = gt.where(~F.col("crowd") & (F.col("gw") > 0) & (F.col("gh") > 0)).withColumn("level", _level(F.col("gw"))).withColumn(
+        "cell", cell(F.col("gx"), F.col("level")))
+    # neither side is small; estimates of exploded rows are too low to be left to decide
+    plain = keyed_det.hint("merge").join(keyed_gt, [*GROUP, "level", "cell"])
     shown = [*GROUP, "rank", "gt_id", "area", "crowd", half.alias("iou")]
     return plain.select(*shown).unionByName(_crowd_pairs(det, gt.where("crowd")).select(*shown)).where(F.col("iou") >= THRESHOLDS[0])
 
@@ -224,26 +227,6 @@ def with_bits(pairs: DataFrame) -> DataFrame:
     return pairs.withColumn("reached", ones).withColumn("hidden", hidden)
 
 
-def settled(pairs: DataFrame) -> DataFrame:
-    """Adds ``contested``: whether one of the detection's boxes has another taker in this image and class.
-
-    Boxes of uncontested detections have no other taker, and all takers of a
-    contested box are contested, so the two kinds never meet.
-    """
-    takers = F.count(F.when(~F.col("crowd"), 1)).over(Window.partitionBy(*GROUP, "gt_id"))
-    counted = pairs.withColumn("_takers", F.when(F.col("crowd"), 1).otherwise(takers))
-    return counted.withColumn("contested", F.max("_takers").over(Window.partitionBy(*GROUP, "rank")) > 1).drop("_takers")
-
-
-def _own_choice(pairs: DataFrame) -> DataFrame:
-    """Masks of uncontested detections: any counting box that is reached, or else an ignored one."""
-    reached, hidden = F.col("reached"), F.col("hidden")
-    free = pairs.groupBy(*GROUP, "rank").agg(
-        F.bit_or(reached.bitwiseAND(F.bitwise_not(hidden))).alias("_counting"), F.bit_or(reached.bitwiseAND(hidden)).alias("_other"))
-    ignored = F.col("_other").bitwiseAND(F.bitwise_not("_counting"))
-    return free.select(*GROUP, "rank", F.col("_counting").bitwiseOR(F.col("_other")).alias("matched"), ignored.alias("ignored"))
-
-
 def greedy(group: np.ndarray, rank: np.ndarray, gt: np.ndarray, iou: np.ndarray, crowd: np.ndarray, reached: np.ndarray,
            hidden: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """First row, matched bits and ignored bits of each detection of many groups.
@@ -340,13 +323,10 @@ def _match_stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 def match(ranked: DataFrame, truth: DataFrame, limit: int = MAX_DETECTIONS) -> DataFrame:
     """Detections with the bit masks ``matched`` and ``ignored``; ``limit`` is that of the ranking.
 
-    Detections whose boxes nobody else could take are settled natively, the
-    others go through arrays. Detections without a match are ignored where their
-    own size is out of range.
+    Detections without a match are ignored where their own size is out of range.
     """
-    pairs = settled(with_bits(bounded_pairs(candidate_pairs(ranked, truth), limit)))
-    contest = pairs.where("contested").select(*CONTEST).repartition(*GROUP).sortWithinPartitions(*GROUP)
-    found = _own_choice(pairs.where("not contested")).unionByName(contest.mapInArrow(_match_stream, MATCHES))
+    pairs = with_bits(bounded_pairs(candidate_pairs(ranked, truth), limit))
+    found = pairs.select(*CONTEST).repartition(*GROUP).sortWithinPartitions(*GROUP).mapInArrow(_match_stream, MATCHES)
     area = F.col("w") * F.col("h")
     outside = _area_bits(lambda low, high: area.between(low, high))
     none = F.lit(0).cast("bigint")

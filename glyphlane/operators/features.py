@@ -17,29 +17,40 @@ SEGMENT_BUCKET = 4096
 TEMPORAL_PATCH = 2
 
 
-# Signs that stand for tokens while answers are looked for.
-MARK, END, OTHER = "M", "E", "."
-ANSWER = f"{MARK}[{MARK}{END}{OTHER}][^{END}]*{END}"
+# Signs of the events of a sequence: a mark, a turn end right behind a mark, any other turn end.
+MARK, NEXT, END = "M", "n", "E"
+ANSWER = f"{MARK}{NEXT}?+[^{NEXT}{END}]*[{NEXT}{END}]"
 
 
 def answer_spans(ids: Column) -> Column:
     """[first, last] label positions of every closed answer.
 
     An answer starts two places after its mark and ends one place after the
-    first turn end; marks inside an answer do not count. Tokens become signs, so
-    one pattern finds all answers in one pass; their places are running sums of
-    the lengths of answers and of what lies between them.
+    first turn end; marks inside an answer do not count. Marks and turn ends
+    become a text of signs, in which one pattern finds all answers in one pass;
+    their places are running sums of the lengths of answers and of what lies
+    between them.
     """
-    signs = F.array_join(F.transform(ids, lambda x: F.when(x == ANSWER_MARK, MARK).when(x == TURN_END, END).otherwise(OTHER)), "")
-    closed = F.regexp_replace(signs, f"[^{END}]+$", "")  # an answer without an end is none
-
-    def places(text: Column) -> Column:
-        found = F.transform(F.regexp_extract_all(text, F.lit(ANSWER), F.lit(0)), F.length)
-        between = F.slice(F.transform(F.split(text, ANSWER, -1), F.length), F.lit(1), F.size(found))
-        upto = prefix_sums(F.zip_with(between, found, lambda a, b: a + b))
-        return F.zip_with(upto, found, lambda end, size: F.struct((end - size + 2).cast("int").alias("first"), end.cast("int").alias("last")))
-
-    return let(closed, places)
+    def events(tokens: Column) -> Column:
+        before = lambda i: F.get(tokens, i - 1) == ANSWER_MARK
+        found = F.transform(tokens, lambda x, i: F.when(x == ANSWER_MARK, F.struct(i.alias("at"), F.lit(MARK).alias("sign"))).when(
+            x == TURN_END, F.struct(i.alias("at"), F.when(before(i), NEXT).otherwise(END).alias("sign"))))
+        return F.filter(found, lambda e: e.isNotNull())
+
+    def spans(found: Column) -> Column:
+        signs = F.array_join(F.transform(found, lambda e: e["sign"]), "")
+        closed = F.regexp_replace(signs, f"[^{NEXT}{END}]+$", "")  # an answer without an end is none
+
+        def places(text: Column) -> Column:
+            answers = F.transform(F.regexp_extract_all(text, F.lit(ANSWER), F.lit(0)), F.length)
+            between = F.slice(F.transform(F.split(text, ANSWER, -1), F.length), F.lit(1), F.size(answers))
+            upto = prefix_sums(F.zip_with(between, answers, lambda a, b: a + b))
+            at = lambda i: F.get(found, i.cast("int"))["at"]
+            return F.zip_with(upto, answers, lambda end, size: F.struct((at(end - size) + 2).alias("first"), (at(end - 1) + 1).alias("last")))
+
+        return let(closed, places)
+
+    return let(ids, lambda tokens: let(events(tokens), spans))
 
 
 def label_mask(ids: Column) -> Column:

@@ -134,38 +134,44 @@ def summary_json(accuracy_rows: DataFrame) -> DataFrame:
 
 # --- value answers -------------------------------------------------------------------------
 
-def _with_read(rows: DataFrame, response: str) -> DataFrame:
-    """Adds ``_read``: the option a response names, or the response itself."""
-    has_options = F.size("choices") > 0
-    return rows.withColumn("_read", F.when(has_options, C.infer_option(
-        F.col(response), C.options_from_list(F.col("choices")))).otherwise(F.col(response)))
+def _read(response: Column) -> Column:
+    """The option a response names, or the response itself."""
+    return F.when(F.size("choices") > 0, C.infer_option(response, C.options_from_list(F.col("choices")))).otherwise(response)
 
 
-def extract_values(questions: DataFrame, judge: DataFrame, question_id: str, attempts: int = VALUE_ATTEMPTS) -> DataFrame:
-    """Adds res, extract_model, extract_flag and prefetched for value questions.
+def value_outcomes(questions: DataFrame, judge: DataFrame, question_id: str, attempts: int = VALUE_ATTEMPTS) -> DataFrame:
+    """Adds res, extract_model, extract_flag, prefetched and hit for value questions.
 
     A question with options is fetched early whenever the rules read an option,
     right or wrong; one without only when the answer is right. The others take
-    the judge's first answer that is no failure.
+    the judge's first answer that is no failure. What is fetched early without
+    options is right, so both comparisons are known before it is decided.
     """
-    compared = C.with_equality(_with_read(questions, "prediction"), F.col("_read"), F.col("answer"), "_right")
-    early = F.when((F.size("choices") > 0) | F.col("_right"), F.col("_read"))
-    fetched = compared.withColumn("_early", F.nullif(early, F.lit(""))).drop("_read", "_right")
     told = judge.where((F.col("attempt") < attempts) & ~F.col("text").contains(C.API_FAILURE)).groupBy(
         question_id).agg(F.min_by("text", "attempt").alias("_judged"))
-    joined = fetched.join(told, question_id, "left")
+    has_options = F.size("choices") > 0
+    joined = questions.join(told, question_id, "left").withColumn("_read", _read(F.col("prediction")))
+    later = F.when(has_options, F.coalesce(_read(F.coalesce(F.nullif("_read", F.lit("")), "_judged", F.lit(""))), F.lit("False"))).otherwise(
+        F.coalesce("_judged", F.lit("")))
+    compared = C.with_equalities(joined, {"_right": (F.col("_read"), F.col("answer")), "_later": (later, F.col("answer"))})
+    early = F.nullif(F.when(has_options | F.col("_right"), F.col("_read")), F.lit(""))
+    fetched = compared.withColumn("_early", early)
     is_early = F.col("_early").isNotNull()
-    return joined.withColumn("prefetched", is_early) \
-        .withColumn("res", F.coalesce("_early", "_judged", F.lit(""))) \
-        .withColumn("extract_model", F.when(is_early, "rule").otherwise("judge")) \
-        .withColumn("extract_flag", F.when(is_early, F.col("_early") != C.REFUSED).otherwise(F.col("_judged").isNotNull())) \
-        .drop("_early", "_judged")
+    return fetched.withColumns({
+        "prefetched": is_early, "res": F.coalesce("_early", "_judged", F.lit("")),
+        "extract_model": F.when(is_early, "rule").otherwise("judge"),
+        "extract_flag": F.when(is_early, F.col("_early") != C.REFUSED).otherwise(F.col("_judged").isNotNull()),
+        "hit": F.col("_later") | (is_early & ~has_options)}).drop("_early", "_judged", "_read", "_right", "_later")
+
+
+def extract_values(questions: DataFrame, judge: DataFrame, question_id: str, attempts: int = VALUE_ATTEMPTS) -> DataFrame:
+    """The outcomes without ``hit``."""
+    return value_outcomes(questions, judge, question_id, attempts).drop("hit")
 
 
 def score_values(extracted: DataFrame) -> DataFrame:
-    """Adds ``hit``: whether the extracted answer is right."""
-    read = F.coalesce("_read", F.lit("False"))
-    return C.with_equality(_with_read(extracted, "res"), read, F.col("answer"), "hit").drop("_read")
+    """Adds ``hit`` to answers that were extracted elsewhere: whether ``res`` is right."""
+    return C.with_equality(extracted, F.coalesce(_read(F.col("res")), F.lit("False")), F.col("answer"), "hit")
 
 
 def category_scores(rows: DataFrame, extractors: list[str], category: str = "category") -> DataFrame:

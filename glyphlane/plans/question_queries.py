@@ -274,7 +274,7 @@ v3 AS (SELECT *, {same_sql("coalesce(CASE WHEN opt THEN coalesce(CASE WHEN list_
 
 
 def _values(t: Tables) -> DataFrame:
-    return Q.score_values(Q.extract_values(value_questions(t), value_judge(t), "index"))
+    return Q.value_outcomes(value_questions(t), value_judge(t), "index")
 
 
 @query("value_answers", "H17 H21 H22 H23", f"""
