@@ -2,6 +2,13 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
+#: Whole licences as published, one file each, named by their ids.
+FOLDER = Path(__file__).parent / "licenses"
+#: What follows this line of a licence tells how to apply it and may be left out.
+END_OF_TERMS = "END OF TERMS AND CONDITIONS"
+
 _PERMISSION = (
     "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted"
 )
@@ -93,6 +100,10 @@ OPENINGS = ["Licensed under", "Released under", "This work is licensed under", "
 def known_texts() -> list[tuple[str, str]]:
     """Licence id and text: whole licences, one-sentence notices, identifier tags."""
     whole = [(i, body) for i, _, body in TEXTS] + [(i, f"{title}\n\n{body}") for i, title, body in TEXTS]
+    for path in sorted(FOLDER.glob("*.txt")):
+        text = path.read_text(encoding="utf-8")
+        terms, mark, _ = text.partition(END_OF_TERMS)
+        whole += [(path.stem, text), *([(path.stem, terms), (path.stem, terms + mark)] if mark else [])]
     notices = [(i, f"{opening} {name}.") for i, name in NAMES for opening in OPENINGS]
-    tags = [(i, f"SPDX-License-Identifier: {i}") for i in sorted({i for i, *_ in (*TEXTS, *NAMES)})]
+    tags = [(i, f"SPDX-License-Identifier: {i}") for i in sorted({i for i, _ in whole} | {i for i, _ in NAMES})]
     return [*whole, *notices, *tags, ("LicenseRef-all-rights-reserved", "All rights reserved.")]
