@@ -52,14 +52,14 @@ def op1(spark, sf_dir):
 
 @query("op3_exact_topk", """
     WITH v AS (
-      SELECT vec_id, [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) for x in embedding] AS e
+      SELECT row_number() OVER () AS row, vec_id, [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) for x in embedding] AS e
       FROM embeddings
       WHERE embedding IS NOT NULL
         AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0),
     s AS (
-      SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.e::DOUBLE[], c.e::DOUBLE[]) AS BIGINT) AS score
-      FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id),
-    r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+      SELECT q.row, q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.e::DOUBLE[], c.e::DOUBLE[]) AS BIGINT) AS score
+      FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.row <> c.row),
+    r AS (SELECT *, CAST(row_number() OVER (PARTITION BY row ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
     SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5""")
 def op3(spark, sf_dir):
     return exact_topk(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
