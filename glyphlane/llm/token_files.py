@@ -1,10 +1,10 @@
 """Token ids in Arrow files of fixed-size lists, written in id order and read back.
 
 A file is an Arrow IPC file. Each row is one sequence of ``seq_len`` ids, its
-mask (true for ids, false for the filling of the file's last row), and the
-documents that begin in it: id, place in the row, number of ids. Batches hold
-``batch_rows`` rows, so row r lies in batch r // batch_rows, and a mapped file
-gives ids and masks of any row without a copy. Ids are 16 bits wide if the
+mask (a byte each: 1 for ids, 0 for the filling of the file's last row), and the
+documents that begin in it: id, place in the row, number of ids. Batches hold a
+number of rows that the file states, so the batch of a row is known, and a mapped
+file gives ids and masks of any row without a copy. Ids are 16 bits wide if the
 vocabulary allows it, else 32.
 
 Documents are dealt by id ranges to sorted tasks; a task writes its files one
@@ -31,15 +31,17 @@ from .common import shared_folder, slices, written
 from .word_ids import definition_of, encoder
 
 STARTING = pa.list_(pa.struct([("doc_id", pa.int64()), ("place", pa.int32()), ("n_tokens", pa.int64())]))
+#: Files that one task reads, one after the other, where there are very many.
+FILES_PER_TASK = 16
 MANIFEST = "path string, part int, number int, n_docs bigint, n_tokens bigint"
 
 
-def file_schema(dtype: np.dtype, seq_len: int) -> pa.Schema:
+def file_schema(dtype: np.dtype, seq_len: int, batch_rows: int) -> pa.Schema:
     return pa.schema([
         pa.field("ids", pa.list_(pa.from_numpy_dtype(dtype), seq_len)),
-        pa.field("mask", pa.list_(pa.bool_(), seq_len)),
+        pa.field("mask", pa.list_(pa.uint8(), seq_len)),
         pa.field("starting", STARTING),
-    ])
+    ], {"batch_rows": str(batch_rows)})
 
 
 class _File:
@@ -50,7 +52,7 @@ class _File:
         filesystem, inner = pafs.FileSystem.from_uri(path)
         filesystem.create_dir(inner.rpartition("/")[0], recursive=True)
         self.sink = filesystem.open_output_stream(inner)
-        self.schema = file_schema(dtype, seq_len)
+        self.schema = file_schema(dtype, seq_len, batch_rows)
         self.out = pa.ipc.new_file(self.sink, self.schema)
         self.parts: list[np.ndarray] = []
         self.docs: list[tuple[int | None, int, int]] = []
@@ -73,7 +75,7 @@ class _File:
         rows = -(-len(now) // self.seq_len)
         flat = np.zeros(rows * self.seq_len, self.dtype)
         flat[: len(now)] = now
-        mask = np.arange(len(flat)) < len(now)
+        mask = (np.arange(len(flat)) < len(now)).astype(np.uint8)
         begun: list[list[dict]] = [[] for _ in range(rows)]
         for doc_id, at, size in self.docs:
             if at < n:
@@ -145,11 +147,13 @@ def _open(path: str) -> pa.ipc.RecordBatchFileReader:
     return pa.ipc.open_file(filesystem.open_input_file(inner))
 
 
-def sequence(path: str, row: int, batch_rows: int = 256) -> tuple[np.ndarray, np.ndarray]:
-    """Ids and mask of one row; the ids of a mapped file are not copied."""
-    batch = _open(path).get_batch(row // batch_rows)
-    ids, mask = batch.column(0)[row % batch_rows].values, batch.column(1)[row % batch_rows].values
-    return ids.to_numpy(zero_copy_only=True), mask.to_numpy(zero_copy_only=False)
+def sequence(path: str, row: int) -> tuple[np.ndarray, np.ndarray]:
+    """Ids and mask (as truth values) of one row; of a mapped file neither is copied."""
+    reader = _open(path)
+    batch_rows = int(reader.schema.metadata[b"batch_rows"])
+    batch = reader.get_batch(row // batch_rows)
+    ids, mask = (batch.column(i)[row % batch_rows].values.to_numpy(zero_copy_only=True) for i in (0, 1))
+    return ids, mask.view(bool)
 
 
 def _documents(path: str) -> Iterator[tuple[int | None, int, np.ndarray]]:
@@ -196,8 +200,10 @@ def read_documents(manifest: DataFrame) -> DataFrame:
             [pa.array(c, pa.int64()) for c in zip(*rows)], ["doc_id", "start", "n_tokens", "ids_crc32"]
         )
 
-    # a task for every file: Spark would put thousands of such short rows into one
-    return manifest.select("path", "first_token").repartition(max(1, manifest.count())).mapInArrow(
+    # Spark would put thousands of such short rows into one task
+    files = manifest.count()
+    tasks = max(1, min(files, max(manifest.sparkSession.sparkContext.defaultParallelism * 4, files // FILES_PER_TASK)))
+    return manifest.select("path", "first_token").repartition(tasks).mapInArrow(
         run, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint"
     )
 
