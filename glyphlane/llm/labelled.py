@@ -75,7 +75,11 @@ def scored(docs: DataFrame, score: Callable[[pa.Array], np.ndarray], threshold:
 
 
 def rows_scoring(docs: DataFrame, score: Callable[[pa.Array], np.ndarray], accept: Callable[[np.ndarray], np.ndarray], text_col: str) -> DataFrame:
-    """The rows, with all their columns, whose score is accepted; nothing is shuffled."""
+    """The rows, with all their columns, whose score is accepted; nothing is shuffled.
+
+    Only the text decides: null counts as empty, ids are not read, repeated rows
+    stay or go together. An empty table gives no rows.
+    """
     at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -245,6 +245,9 @@ def quality(
 def of_quality(
     docs: DataFrame, labels: DataFrame, threshold: float = 0.3, per_class: int = 2500, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """The rows that score ``threshold`` or more, with all their columns."""
+    """The rows that score ``threshold`` or more, with all their columns.
+
+    Null ids and texts, repeated rows and empty tables are as in ``quality``.
+    """
     score = scorer(docs, fit_quality(docs, labels, per_class, id_col, text_col))
     return rows_scoring(docs, score, lambda scores: scores >= threshold, text_col)

@@ -241,6 +241,9 @@ def toxicity(
 def without_toxic(
     docs: DataFrame, labels: DataFrame, threshold: float = 0.5, per_class: int = 4096, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """The rows that score below ``threshold``, with all their columns."""
+    """The rows that score below ``threshold``, with all their columns.
+
+    Null ids and texts, repeated rows and empty tables are as in ``toxicity``.
+    """
     score = scorer(fit_toxicity(docs, labels, per_class, id_col, text_col))
     return rows_scoring(docs, score, lambda scores: scores < threshold, text_col)

@@ -1,6 +1,7 @@
 """Each operator against a plain restatement, on odd rows: nulls, blanks, repeats, ties, long texts, clashing names."""
 
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -8,6 +9,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -158,13 +160,14 @@ def test_topk(spark, slices):  # noqa: F811
     rows = [(i, v, "x") for i, v in vectors.items()] + [(5, vectors[5], "y"), (None, vectors[5], "z")]
     table = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, score string").repartition(3)
     got = topk.exact_topk(table, F.col("vec_id") % 5 == 0, k=4, slices=slices, block_rows=16).collect()
-    whole = {i: np.floor(256 * np.array(v + [0.0] * (6 - len(v)))) for i, v in vectors.items() if v is not None and all(x is not None and np.isfinite(x) for x in v)}
-    want = set()
-    for q in whole:
+    whole = [(i, np.floor(256 * np.array(v + [0.0] * (6 - len(v))))) for i, v, _ in rows
+             if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)]
+    want = Counter()
+    for n, (q, v) in enumerate(whole):  # the rows of a repeated id are queries and candidates of their own
         if q % 5 == 0:
-            scores = sorted(((-int(whole[q] @ whole[x]), x) for x in whole if x != q))[:4]
-            want |= {(q, k, x, -s) for k, (s, x) in enumerate(scores, 1)}
-    assert {tuple(r) for r in got} == want and len(got) == len(want)
+            scores = sorted((-int(v @ w), x) for m, (x, w) in enumerate(whole) if m != n)[:4]
+            want.update((q, k, x, -s) for k, (s, x) in enumerate(scores, 1))
+    assert Counter(tuple(r) for r in got) == want
     assert topk.exact_topk(table.filter("vec_id = 10"), F.lit(True)).count() == 0
     assert topk.exact_topk(table.limit(0), F.lit(True)).count() == 0
     few = topk.exact_topk(table.filter("vec_id in (10, 11, 12)"), F.lit(True)).collect()
@@ -179,6 +182,34 @@ def test_topk_beyond_doubles(spark):  # noqa: F811
     assert [(r.vec_id, r.score) for r in sorted(got, key=lambda r: r.rank)] == [(x, -s) for s, x in scores]
 
 
+def test_topk_stays_exact_up_to_64_bits(spark):  # noqa: F811
+    rows = [(1, [5e6]), (2, [1.28e9 / 256]), (3, [-5e6]), (4, [1e300]), (5, [4.0])]
+    table = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    got = {(r.query_id, r.vec_id): r.score for r in topk.exact_topk(table, F.col("vec_id") <= 2, k=9).collect()}
+    assert got[1, 2] == 1_280_000_000 * 1_280_000_000 == 1638400000000000000 and got[1, 3] == -1638400000000000000
+    assert got[2, 4] == 2**63 - 1 and got[2, 5] == 1_280_000_000 * 1024
+    assert len(got) == 8
+
+
+def test_topk_multiplies_less_than_all():
+    """Norms and what the first slices tell leave most pairs unmultiplied, and lose none that reaches the cutoff."""
+    rng = np.random.default_rng(3)
+    q = np.floor(rng.normal(0, 100, (40, 64)))
+    x = np.floor(rng.normal(0, 100, (900, 64)) * np.linspace(2, 0.05, 900)[:, None])
+    edges = [(0, 16), (16, 32), (32, 48), (48, 64)]
+    scores = (q @ x.T).astype(np.int64)
+    cutoffs = np.sort(scores, axis=1)[:, -5]
+    counted = []
+    rows, cols, found = topk.reaching(q, x, edges, cutoffs, counted)
+    assert sorted(zip(rows.tolist(), cols.tolist(), found.tolist())) == [
+        (i, j, scores[i, j]) for i in range(40) for j in range(900) if scores[i, j] >= cutoffs[i]]
+    assert counted[0] == q.shape[0] * x.shape[0] and sum(counted) < 0.8 * 4 * counted[0] and counted == sorted(counted, reverse=True)
+    counted = []
+    assert len(topk.reaching(q, x[800:], edges, cutoffs, counted)[0]) == 0 and sum(counted) == 0
+    none = np.full(40, topk.NO_CUTOFF)
+    assert len(topk.reaching(q, x, edges, none)[0]) == scores.size
+
+
 def test_line_dedup(odd, none):
     texts = odd_texts()
     blank = " \t\n\x0b\x0c\r"
@@ -220,6 +251,37 @@ def test_license_scan(spark, none):  # noqa: F811
     }
     assert license_scan.license_scan(none).count() == 0
     assert license_scan.license_scan(frame(spark, ["x"]), known=[]).first().license_id is None
+    # repeated and null ids are one document each; a very long text is read to its end
+    long = "word " * 300_000 + "\nLicensed under the MIT License."
+    rows = license_scan.license_scan(frame(spark, [mit, "SPDX-License-Identifier: Zlib", None, "all rights reserved", long], [1, 1, None, None, 2])).collect()
+    assert {r.doc_id: (r.license_id, r.notice_ids, r.n_notices) for r in rows if r.doc_id != 1} == {
+        None: ("LicenseRef-all-rights-reserved", "LicenseRef-all-rights-reserved", 1), 2: (None, "MIT", 1)}
+    one = next(r for r in rows if r.doc_id == 1)
+    assert one.license_id == "MIT" and "Zlib" in one.notice_ids
+
+
+def test_whole_licences_are_known(spark):  # noqa: F811
+    """Each file, re-wrapped, in other case and punctuation and with copyright lines, is its licence."""
+    ids = sorted(p.stem for p in license_texts.FOLDER.glob("*.txt"))
+    assert {"Apache-2.0", "GPL-2.0-only", "GPL-3.0-only", "LGPL-2.1-only", "LGPL-3.0-only", "MPL-2.0", "CC0-1.0"} <= set(ids)
+    texts = []
+    for i in ids:
+        text = (license_texts.FOLDER / f"{i}.txt").read_text()
+        kept = [x for x in text.split("\n") if "opyright" not in x and "(c)" not in x.lower() and "©" not in x]
+        texts += [text, "Copyright 2020 Someone\n" + text.upper().replace(" ", "  "), text.replace('"', "“").replace("-", "—")]
+        assert kept
+    got = {r.doc_id: r.license_id for r in license_scan.license_scan(frame(spark, texts)).collect()}
+    assert got == {n: ids[n // 3] for n in range(len(texts))}
+
+
+def test_units_equal_each_canonical_form(spark):  # noqa: F811
+    rng = random.Random(9)
+    pieces = ["a", "Sub", "License", "licenc", "\n", "\n\n", " ", "-", "Copyright (c) 2020 x", "(c) 1999", "© y", "per", "cent", "https:", "\t", "é", "'"]
+    texts = ["".join(rng.choice(pieces) for _ in range(rng.randrange(0, 14))) for _ in range(400)]
+    rows = frame(spark, texts).select("doc_id", license_scan._units(F.col("text")).alias("u"), license_scan.canonical(F.col("text")).alias("w"),
+                                      F.transform(F.split("text", "\n"), license_scan.canonical).alias("l")).collect()
+    for r in rows:
+        assert r.u[0] == r.w and Counter(x for x in r.u[1:] if x) == Counter(x for x in r.l if x), texts[r.doc_id]
 
 
 def test_bpe_automaton_equals_the_library(odd, none, spark):  # noqa: F811
@@ -277,7 +339,8 @@ def test_token_files(spark, odd, none, tmp_path):  # noqa: F811
     flat = [x for ids in library_ids(odd_texts(), 2) for x in ids]
     for r in manifest.collect():
         for row in {0, (r.n_tokens - 1) // 16}:
-            ids, mask = token_files.sequence(r.path, row, 4)
+            ids, mask = token_files.sequence(r.path, row)
+            assert not ids.flags.owndata and not mask.flags.owndata and mask.dtype == bool
             here = flat[r.first_token + row * 16 : min(r.first_token + r.n_tokens, r.first_token + row * 16 + 16)]
             assert ids[mask].tolist() == here and len(ids) == 16
     empty = token_files.write_token_files(none, f"file://{tmp_path}/b", WORD_BPE)
@@ -403,3 +466,59 @@ def test_repeated_ids_do_not_crowd_the_sample(spark):  # noqa: F811
     assert Counter(r.label for r in rows) == {0: 10, 1: 10} and len({r.text for r in rows}) == 20
     rows = labelled.labelled_sample(docs, known, "toxic", 100).collect()
     assert sorted((r.text, r.label) for r in rows) == sorted((f"text {i}", i % 2) for i in ids)
+
+
+def test_machine_scores_by_a_double_loop_over_pairs(spark):  # noqa: F811
+    """The margin, restated: bias, weights of the known terms, and the product of factors of every pair."""
+    rng = np.random.default_rng(4)
+    words = [f"w{i}" for i in range(40)]
+    texts = ["", "unknown words", " ".join(words), *(" ".join(rng.choice(words, 9)) for _ in range(30)), "w1 " * 5000, None]
+    raw = pa.array([w for w in words if w != "w7"], pa.string())
+    known = np.unique(np.concatenate([toxicity.terms(data, offsets)[1] for _, _, data, offsets in toxicity.chunks(raw)]))
+    machine = toxicity.Machine(known, -0.3, rng.normal(0, 0.5, len(known)), rng.normal(0, 0.5, (len(known), 3)))
+    got = machine.scores(pa.array(texts, pa.string()))
+    for n, text in enumerate(texts):
+        one = pa.array([text], pa.string())
+        mine = sorted({int(np.searchsorted(known, h)) for _, _, data, offsets in toxicity.chunks(one) for h in toxicity.terms(data, offsets)[1] if h in known})
+        margin = machine.bias + sum(machine.weights[i] for i in mine)
+        for a in range(len(mine)):
+            for b in range(a + 1, len(mine)):
+                margin += float(machine.factors[mine[a]] @ machine.factors[mine[b]])
+        assert got[n] == pytest.approx(1 / (1 + math.exp(-margin)), abs=1e-9)
+
+
+def test_votes_by_a_plain_loop_over_all_neighbours():
+    """Cosines with every labelled vector, the nearest 15 and their votes, one text at a time."""
+    rng = random.Random(6)
+    texts = [" ".join(f"{'good' if i % 3 else 'bad'}{rng.randrange(30)}" for _ in range(rng.randrange(3, 40))) for i in range(200)]
+    label = np.array([float(i % 3 > 0) for i in range(200)])
+    model = quality.fit_neighbours(pa.array(texts), label, prior=0.9)
+    asked = [*texts[:20], "good1 bad2 good3", "nothing of these", "", None, "good4 " * 3000]
+    got = model.scores(pa.array(asked, pa.string()), block=7)
+    prior, _, nearest, power, w0, w1 = model.numbers
+    for n, text in enumerate(asked):
+        mine = model.latent(pa.array([text], pa.string()))[0].astype(float)
+        near = sorted(((float(mine @ v), i) for i, v in enumerate(model.vectors.astype(float))), reverse=True)
+        votes = [(max(c, 0) ** power * (w1 if label[i] else w0), label[i]) for c, i in near[: int(nearest)]]
+        total = sum(v for v, _ in votes)
+        # neighbours at the border may be as near as others
+        border = near[int(nearest)][0]
+        ties = sum(abs(c - near[int(nearest) - 1][0]) < 1e-5 for c, _ in near)
+        if ties == 1 or abs(border - near[int(nearest) - 1][0]) > 1e-5:
+            assert got[n] == pytest.approx(sum(v * y for v, y in votes) / total if total > 1e-9 else prior, abs=1e-4)
+
+
+@pytest.mark.parametrize("decide", [lambda d, x: toxicity.without_toxic(d, x), lambda d, x: quality.of_quality(d, x)])
+def test_filters_take_any_rows(spark, decide):  # noqa: F811
+    """Null ids and texts, repeated rows, very long texts and clashing names stay or go by their text alone; empty tables give none."""
+    texts = [f"fine words number {i}" for i in range(60)] + [None, "", "long " * 200_000, "fine words number 3", "fine words number 3"]
+    ids = [*range(60), None, 7, 8, 3, 3]
+    docs = frame(spark, texts, ids, **CLASH)
+    labels = spark.createDataFrame([(i, i % 2, i % 2) for i in range(40)] + [(None, 1, 1), (5, None, None)], "doc_id bigint, toxic int, quality int")
+    kept = decide(docs, labels)
+    assert kept.columns == docs.columns
+    rows = kept.collect()
+    assert {r.text for r in rows} <= set(texts) and len([r for r in rows if r.text == "fine words number 3"]) in (0, 3)
+    assert decide(docs.limit(0), labels).collect() == []
+    # without usable labels every row scores the same
+    assert decide(docs, labels.limit(0)).count() in (0, len(texts))

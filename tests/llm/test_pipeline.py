@@ -1,6 +1,7 @@
 """The pipeline's stages on the small tables, each against a restatement of what it must do."""
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -61,3 +62,36 @@ def test_line_dedup_keeps_columns_named_as_its_counts(spark):  # noqa: F811
     got = corpus_pipeline.drop_repeated_lines(spark, docs, FOLDER)
     assert got.columns == docs.columns
     assert sorted(map(tuple, got.collect())) == [(i, f"{line}\n{i}" if i == 3 else str(i), "x", i * 7) for i in range(4)]
+
+
+def odd_documents(spark):  # noqa: F811
+    """Nulls in every column, repeated rows and ids, ties, blanks, a very long text, and columns named as what the stages add."""
+    shared = "a line of more than twenty signs that many hold"
+    texts = [f"{shared}\nown words of text {i} " + " ".join(f"w{i}x{k}" for k in range(20)) for i in range(12)]
+    texts += [None, "", " \n ", "long " * 100_000, texts[0], texts[0], "five words are here now", "five words are here now"]
+    ids = [*range(12), 20, 21, 22, 23, 0, 30, 31, None]
+    rows = [(i, t, None if n % 3 else "en", None, None if t is None else len(t), "a", n, 0.5) for n, (i, t) in enumerate(zip(ids, texts))]
+    return spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint, n_dropped string, key bigint, score double")
+
+
+@pytest.mark.parametrize("name,stage", corpus_pipeline.STAGES)
+def test_stages_take_any_rows(spark, name, stage):  # noqa: F811
+    docs = odd_documents(spark)
+    before = docs.collect()
+    rows = stage(spark, docs, FOLDER)
+    got = rows.collect()
+    assert stage(spark, docs.limit(0), FOLDER).collect() == []
+    if name == "best-fit packing":
+        want = library_ids([r.text for r in before], 1)
+        assert sum(r.length for r in got) == sum(map(len, want))
+        return
+    assert rows.columns == docs.columns
+    if name == "line dedup":
+        assert len(got) == len(before)
+        assert sum("more than twenty" in (r.text or "") for r in got) >= 1
+        assert {(r.doc_id, r.key, r.n_dropped) for r in got} == {(r.doc_id, r.key, r.n_dropped) for r in before}
+    else:
+        assert {tuple(r) for r in got} <= {tuple(r) for r in before}
+    if name == "near dedup":
+        assert {r.key for r in got if r.doc_id is None} == {19}  # rows without an id stay
+        assert len({r.doc_id for r in got if r.text == before[0].text}) == 1
