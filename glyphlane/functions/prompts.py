@@ -57,6 +57,12 @@ OUTPUT_LINES = (
 
 OUTPUT_EXAMPLE_KEYS = ("evaluation_previous_goal", "memory", "next_goal", "tool_call")
 
+# Patterns of whole parts: an example of an answer with one of the keys, the output section, the word for a call, the browser's state.
+OUTPUT_EXAMPLE = r'\{{[^}}]*"thinking"[^}}]*"{key}"[^}}]*\}}'
+OUTPUT_SECTION = r"(?s)<output>.*?</output>"
+ACTION_WORD = r"(?i)\baction\b(?=\s*(?:field|list|parameter|name))"
+BROWSER_STATE = r"(?is)<browser_state>.*?</browser_state>"
+
 NEW_OUTPUT_SECTION = """<output>
 You must ALWAYS respond in the following format using XML-like tags:
 
@@ -120,11 +126,11 @@ def rewrite_output_rules(text: Column) -> Column:
     for line in OUTPUT_LINES:
         section = F.regexp_replace(section, f"(?i){line}", "")
     for key in OUTPUT_EXAMPLE_KEYS:
-        section = F.regexp_replace(section, rf'\{{[^}}]*"thinking"[^}}]*"{key}"[^}}]*\}}', "")
-    section = F.regexp_replace(section, "(?s)<output>.*?</output>", NEW_OUTPUT_SECTION)
+        section = F.regexp_replace(section, OUTPUT_EXAMPLE.format(key=key), "")
+    section = F.regexp_replace(section, OUTPUT_SECTION, NEW_OUTPUT_SECTION)
     text = F.when(text.contains("<output>") & text.contains("</output>"), section).otherwise(text)
     text = _replace_all(text, WORDING)
-    return F.regexp_replace(text, r"(?i)\baction\b(?=\s*(?:field|list|parameter|name))", "tool_call")
+    return F.regexp_replace(text, ACTION_WORD, "tool_call")
 
 
 def system_prompt(text: Column, catalog: Column | None = None) -> Column:
@@ -136,7 +142,7 @@ def system_prompt(text: Column, catalog: Column | None = None) -> Column:
 
 
 def user_text(text: Column) -> Column:
-    return _collapse_blank_lines(F.regexp_replace(text, "(?is)<browser_state>.*?</browser_state>", ""))
+    return _collapse_blank_lines(F.regexp_replace(text, BROWSER_STATE, ""))
 
 
 def user_field_names(text: Column, answer: Column) -> Column:

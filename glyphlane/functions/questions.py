@@ -27,6 +27,10 @@ CHOICE_JUDGE_HEAD = (
     "Example 3: \n"
 )
 
+# What stands before question, options, answer and output.
+CHOICE_JUDGE_PARTS = ("Question: ", "?\nOptions: There are several options: \n", "\nAnswer: ", "\nYour output: ")
+VALUE_JUDGE_PARTS = ("\nModel response: ", "\nExtracted answer: ")
+
 VALUE_JUDGE_TASK = """
 Please read the following example.
 Then extract the answer from the model response and type it at the end of the prompt.\n
@@ -95,11 +99,10 @@ def request_items(images: Column, prompt: Column, min_pixels: int, max_pixels: i
 
 
 def choice_judge_prompt(question: Column, options: Column, prediction: Column) -> Column:
-    listed = F.concat(F.lit("There are several options: \n"), _option_lines(options))
-    return F.concat(F.lit(CHOICE_JUDGE_HEAD + "Question: "), question, F.lit("?\nOptions: "), listed,
-                    F.lit("\nAnswer: "), prediction, F.lit("\nYour output: "))
+    asked, offered, answered, wanted = CHOICE_JUDGE_PARTS
+    return F.concat(F.lit(CHOICE_JUDGE_HEAD + asked), question, F.lit(offered), _option_lines(options), F.lit(answered), prediction, F.lit(wanted))
 
 
 def value_judge_prompt(question: Column, prediction: Column) -> Column:
     head = VALUE_JUDGE_TASK + "".join(e + "\n" for e in VALUE_JUDGE_EXAMPLES)
-    return F.concat(F.lit(head), question, F.lit("\nModel response: "), prediction, F.lit("\nExtracted answer: "))
+    return F.concat(F.lit(head), question, F.lit(VALUE_JUDGE_PARTS[0]), prediction, F.lit(VALUE_JUDGE_PARTS[1]))

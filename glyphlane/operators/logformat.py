@@ -6,7 +6,57 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import literals as L
+from ..functions.json import kind, strict_json
 from ..functions.prompts import system_prompt, user_text
+from ..functions.text import let
+
+
+# JSON texts that print alike in Python: without escapes, fractions, exponents and negative zeros.
+OTHER_LEXEME = r"\\|\d[.eE]|-0"
+TOKEN = r'"[^"]*"|[{}\[\]:,]|[^\s{}\[\]:,"]+'
+
+
+def _python_json(raw: Column) -> Column:
+    """A JSON text without escapes as Python's printer spaces it."""
+    tokens = F.regexp_extract_all(raw, F.lit(TOKEN), F.lit(0))
+    return F.array_join(F.transform(tokens, lambda t: F.when(t.isin(":", ","), F.concat(t, F.lit(" "))).otherwise(t)), "")
+
+
+def plain_answer(cell: Column) -> Column:
+    """Reasoning and tool-call blocks of an answer that native functions read as Python does, NULL for any other.
+
+    Such an answer is an object of texts and whole numbers whose actions, if any,
+    are objects of named arguments.
+    """
+    def settle(v: Column) -> Column:
+        field = lambda key, type_: F.try_variant_get(v, f"$.{key}", type_)
+        sort = lambda key: F.coalesce(kind(field(key, "variant")), F.lit("ABSENT"))
+        actions = field("action", "array<map<string,variant>>")
+        named = F.forall(actions, lambda a: F.forall(F.map_values(a), lambda arguments: kind(arguments) == "OBJECT"))
+        plain = (
+            (kind(v) == "OBJECT") & ~cell.rlike(OTHER_LEXEME) & sort("thinking").isin("STRING", "ABSENT")
+            & ((sort("action") == "ABSENT") | F.coalesce(named, F.lit(False))))
+        for key, _ in L.ANSWER_TITLES:
+            plain = plain & sort(key).isin("STRING", "BIGINT", "ABSENT")
+        parts = [F.coalesce(field("thinking", "string"), F.lit(""))]
+        parts += [F.coalesce(F.concat(F.lit(f"\n\n{title}: "), field(key, "string")), F.lit("")) for key, title in L.ANSWER_TITLES]
+        reasons = F.concat(*parts)
+        raw = F.from_json(cell, "struct<action:array<map<string,string>>>")["action"]  # keeps order and spelling
+        calls = F.flatten(F.transform(raw, lambda a: F.transform(F.map_entries(a), lambda e: F.concat(
+            e["key"], F.lit("("), _python_json(e["value"]), F.lit(")")))))
+        blocks = F.array_compact(F.array(
+            F.when(reasons != "", F.concat(F.lit("<thinking>\n"), reasons, F.lit("\n</thinking>"))),
+            F.when(F.size(calls) > 0, F.concat(F.lit("<tool_call>\n"), F.array_join(calls, "\n"), F.lit("\n</tool_call>")))))
+        return F.when(plain, F.array_join(blocks, "\n\n"))
+
+    return let(strict_json(cell), settle)
+
+
+def tag_answers(rows: DataFrame, cell: str, out: str) -> DataFrame:
+    """Adds the tagged form of JSON answers: plain ones natively, the rest by Python's own rules."""
+    native = rows.withColumn("_plain", plain_answer(F.col(cell)))
+    rest = F.when(F.col("_plain").isNull(), F.col(cell))
+    return native.withColumn("_rest", L.tagged_answer(rest)).withColumn(out, F.coalesce("_plain", "_rest")).drop("_plain", "_rest")
 
 
 def convert_messages(parsed: Column, catalog: Column | None) -> Column:

@@ -5,9 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import literals as L
 from ..functions import prompts as P
-from ..operators.logformat import convert_cells
+from ..operators.logformat import convert_cells, tag_answers
 from .check_sql import SQL_SPACES
 from . import expected_texts as E
 from .registry import Tables, query
@@ -166,7 +165,7 @@ tagged AS (SELECT event_id, event_type, answer, CASE WHEN kind IN ('ARRAY', 'VAR
 
 @query("tagged_answers", "D14", f"WITH {ANSWERS_SQL}, {TAGGED_SQL} SELECT event_id, tagged FROM tagged")
 def tagged_answers(t: Tables) -> DataFrame:
-    return _answers(t).select("event_id", L.tagged_answer(F.col("answer")).alias("tagged"))
+    return tag_answers(_answers(t), "answer", "tagged").select("event_id", "tagged")
 
 
 @query("user_texts", "D18 D21", f"""

@@ -154,6 +154,12 @@ def foreign_predictions(t: Tables) -> DataFrame:
     return Q.foreign_predictions(Q.load_predictions(records(t)), benchmark(t)).select("index")
 
 
+def _task_and_rest(prompt, begin):
+    """The fixed task ahead of what a prompt asks, as the digest of its published text, and the prompt from there on."""
+    task = F.split_part(prompt, begin, F.lit(1))
+    return F.md5(task.cast("binary")).alias("judge_task"), F.substring(prompt, F.length(task) + 1, F.length(prompt)).alias("judge_prompt")
+
+
 @query("question_prompts", "H4 H5 H6 H7 H9 H16", f"""
 WITH {QA_SQL},
 p AS (SELECT *, list_filter([('A', CASE WHEN is_open THEN NULL ELSE A END), ('B', CASE WHEN is_open THEN NULL ELSE B END), ('C', C), ('D', D), ('E', E)], lambda o: o[2] IS NOT NULL) AS raw_opts,
@@ -162,7 +168,7 @@ l AS (SELECT *, coalesce(list_aggregate(list_transform(raw_opts, lambda o: o[1]
 m AS (SELECT *, CASE WHEN k % 6 = 0 THEN 'Hint: nation ' || c_nationkey || chr(10) ELSE '' END || 'Question: ' || question || chr(10)
    || CASE WHEN len(raw_opts) > 0 THEN 'Options:' || chr(10) || lines || 'Please select the correct answer from the options above. ' || chr(10) ELSE '' END AS prompt FROM l)
 SELECT index, prompt, 'image:file://' || index || '.jpg:1003520:4014080|text:' || rtrim(prompt, chr(10) || ' ') || ' Think.' AS items,
-  {sql_text(T.CHOICE_JUDGE_HEAD)} || 'Question: ' || question || '?' || chr(10) || 'Options: There are several options: ' || chr(10) || lines || chr(10) || 'Answer: ' || seg || chr(10) || 'Your output: ' AS judge_prompt
+  '074d3989b6b489fc94f68372687fa382' AS judge_task, 'Question: ' || question || '?' || chr(10) || 'Options: There are several options: ' || chr(10) || lines || chr(10) || 'Answer: ' || seg || chr(10) || 'Your output: ' AS judge_prompt
 FROM m""")
 def question_prompts(t: Tables) -> DataFrame:
     renamed = Q.unify_names(benchmark(t).withColumnRenamed("hint", "Hint").withColumnRenamed("index", "Index"))
@@ -177,7 +183,7 @@ def question_prompts(t: Tables) -> DataFrame:
         ":", e["type"], e["value"], e["min_pixels"].cast("string"), e["max_pixels"].cast("string"))), "|")
     return q.select(
         "index", T.choice_prompt(question, F.col("options"), hint, strip_tail=False).alias("prompt"),
-        shown.alias("items"), T.choice_judge_prompt(question, F.col("options"), F.col("c_mktsegment")).alias("judge_prompt"))
+        shown.alias("items"), *_task_and_rest(T.choice_judge_prompt(question, F.col("options"), F.col("c_mktsegment")), F.concat(F.lit("Question: "), question)))
 
 
 @query("benchmark_rows", "H1 H2 H3", """
@@ -297,12 +303,12 @@ def category_scores(t: Tables) -> DataFrame:
 
 
 @query("value_prompts", "H6 H16", f"""
-SELECT item_id, {sql_text(T.VALUE_JUDGE_TASK + ''.join(e + chr(10) for e in T.VALUE_JUDGE_EXAMPLES))} || text || chr(10) || 'Model response: ' || length(text) || chr(10) || 'Extracted answer: ' AS judge_prompt,
+SELECT item_id, 'b91aed04fff471cfe3998af1ab6451ec' AS judge_task, text || chr(10) || 'Model response: ' || length(text) || chr(10) || 'Extracted answer: ' AS judge_prompt,
   'image:q' || item_id || '.jpg|text:' || text AS items FROM benchmark""")
 def value_prompts(t: Tables) -> DataFrame:
     text = F.col("text")
     items = T.request_items(F.array(F.concat(F.lit("q"), F.col("item_id").cast("string"), F.lit(".jpg"))), text,
                             768 * 28 * 28, 5120 * 28 * 28)
     return t.benchmark.select(
-        "item_id", T.value_judge_prompt(text, F.length(text).cast("string")).alias("judge_prompt"),
+        "item_id", *_task_and_rest(T.value_judge_prompt(text, F.length(text).cast("string")), text),
         F.array_join(F.transform(items, lambda e: F.concat(e["type"], F.lit(":"), e["value"])), "|").alias("items"))

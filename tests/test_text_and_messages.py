@@ -10,7 +10,7 @@ from glyphlane.functions import text as X
 from glyphlane.functions.json import strict_json
 from glyphlane.operators import agentlog as A
 from glyphlane.operators import chat as C
-from glyphlane.operators.logformat import convert_cells
+from glyphlane.operators.logformat import convert_cells, plain_answer, tag_answers
 
 from .conftest import first
 
@@ -145,6 +145,27 @@ def test_tagged_answer_worked_example(spark):
     assert got[1] == "<thinking>\n{bad\n</thinking>" and got[2].startswith('<thinking>\n{"thinking": 3') and got[3] == ""
 
 
+def test_plain_answers_are_settled_natively(spark):
+    """Every native answer equals Python's, and plain ones don't go to Python."""
+    rnd = random.Random(3)
+    values = ['"x"', '""', "5", "-3", "0", "true", "null", "1.5", "1e3", "-0", '"a, b: c"', '"é"', '"\\n"', "[1, 2]", '{"b": 1, "a": [true, null, "k:v"]}', "12345678901234567890123"]
+    keys = ["thinking", "evaluation_previous_goal", "memory", "next_goal", "other"]
+    actions = ['[{"wait": {"seconds": 3}}]', '[ {"b":{"z" : 1,"a":[1,{"q":"r, s"}]}}, {"c": {}, "a": {"t": "ü"}} ]', "[]", '[{"done": "text"}]', '[5, {"a": {}}]', '"no"', "null", '{"a": {}}',
+               '[{"a": {"n": 1.0}}]']
+    cells = ["[]", '"abc"', "{bad", '{"a":1} x', '{"thinking": "a", "thinking": "b"}', "", " {} ", "5"]
+    for _ in range(400):
+        fields = [f'"{k}": {rnd.choice(values)}' for k in rnd.sample(keys, rnd.randint(0, 4))]
+        if rnd.random() < 0.7:
+            fields.append(f'"action": {rnd.choice(actions)}')
+        cells.append("{" + rnd.choice([", ", ",", " , "]).join(fields) + "}")
+    plain = [f'{{"thinking": "t{i}", "memory": "m", "next_goal": {i}, "action": [{{"click": {{"index": {i}, "text": "a: b"}}}}]}}' for i in range(100)]
+    rows = spark.createDataFrame([(c,) for c in cells + plain] + [(None,)], "s string")
+    for r in tag_answers(rows.select("s", plain_answer(F.col("s")).alias("n")), "s", "t").collect():
+        assert r.t == L._answer_text(r.s) and r.n in (None, r.t), r.s
+    native = rows.select(plain_answer(F.col("s")).alias("n"))
+    assert native.where("n is not null").count() >= len(plain) + 60
+
+
 def test_converted_cells_keep_unreadable_ones(spark):
     rows = spark.createDataFrame([(1, "[{'role': 'tool', 'content': 'x'}]"), (2, "oops"), (3, None)], "i int, messages string")
     got = {r.i: (r.messages, r.status) for r in convert_cells(rows).collect()}
