@@ -85,8 +85,8 @@ class Machine:
         return out
 
 
-def known_terms(owner: np.ndarray, found: np.ndarray, label: np.ndarray, most: int, least_z: float) -> np.ndarray:
-    """The terms whose share of texts differs most between the classes, in standard errors."""
+def known_terms(owner: np.ndarray, found: np.ndarray, label: np.ndarray, least_z: float) -> np.ndarray:
+    """The terms whose share of texts differs between the classes by ``least_z`` standard errors."""
     pos, neg = max(1, int(label.sum())), max(1, int((1 - label).sum()))
     each, count = np.unique(found, return_counts=True)
     hit, hit_count = np.unique(found[(label == 1)[owner]], return_counts=True)
@@ -94,8 +94,7 @@ def known_terms(owner: np.ndarray, found: np.ndarray, label: np.ndarray, most: i
     hits[np.searchsorted(each, hit)] = hit_count
     share = count / (pos + neg)
     z = (hits / pos - (count - hits) / neg) / np.sqrt(np.maximum(share * (1 - share), 1e-9) * (1 / pos + 1 / neg))
-    picked = np.flatnonzero((np.abs(z) >= least_z) & (count >= 2))
-    return np.sort(each[picked[np.argsort(-np.abs(z[picked]), kind="stable")[:most]]])
+    return each[(np.abs(z) >= least_z) & (count >= 2)]
 
 
 def paired_terms(
@@ -158,7 +157,7 @@ def paired_terms(
 
 
 def fit_machine(
-    texts: pa.Array, label: np.ndarray, prior: float, most_terms: int = 1 << 16, least_z: float = 4.0, rank: int = RANK,
+    texts: pa.Array, label: np.ndarray, prior: float, least_z: float = 4.0, rank: int = RANK,
     epochs: int = 30, rate: float = 0.05, decay: float = 1e-4, seed: int = 7, most_paired: int = 1 << 14, least_pair_z: float = 7.0,
 ) -> Machine:
     """Logistic loss by stochastic steps; classes weigh as ``prior``, the share of label 1 among all labels."""
@@ -172,7 +171,7 @@ def fit_machine(
         bias = float(np.log((share + 1e-3) / (1 - share + 1e-3)))
         return Machine(np.zeros(0, np.uint64), bias, np.zeros(0), np.zeros((0, rank)))
     owner, found = np.concatenate(owners), np.concatenate(hashes)
-    known = known_terms(owner, found, label, most_terms, least_z)
+    known = known_terms(owner, found, label, least_z)
     known = np.union1d(known, paired_terms(owner, found, label, known, most_paired, least_pair_z))
     place = np.searchsorted(known, found)
     right = np.append(known, 0)[place] == found
