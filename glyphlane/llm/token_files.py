@@ -1,7 +1,7 @@
 """Token ids in Arrow files of fixed-size lists, written in id order and read back.
 
 A file is an Arrow IPC file. Each row is one sequence of ``seq_len`` ids, its
-mask (a byte each: 1 for ids, 0 for the filling of the file's last row), and the
+mask (a bit each: 1 for ids, 0 for the filling of the file's last row), and the
 documents that begin in it: id, place in the row, number of ids. Batches hold a
 number of rows that the file states, so the batch of a row is known, and a mapped
 file gives ids and masks of any row without a copy. Ids are 16 bits wide if the
@@ -39,7 +39,7 @@ MANIFEST = "path string, part int, number int, n_docs bigint, n_tokens bigint"
 def file_schema(dtype: np.dtype, seq_len: int, batch_rows: int) -> pa.Schema:
     return pa.schema([
         pa.field("ids", pa.list_(pa.from_numpy_dtype(dtype), seq_len)),
-        pa.field("mask", pa.list_(pa.uint8(), seq_len)),
+        pa.field("mask", pa.list_(pa.bool_(), seq_len)),
         pa.field("starting", STARTING),
     ], {"batch_rows": str(batch_rows)})
 
@@ -75,7 +75,7 @@ class _File:
         rows = -(-len(now) // self.seq_len)
         flat = np.zeros(rows * self.seq_len, self.dtype)
         flat[: len(now)] = now
-        mask = (np.arange(len(flat)) < len(now)).astype(np.uint8)
+        mask = np.arange(len(flat)) < len(now)
         begun: list[list[dict]] = [[] for _ in range(rows)]
         for doc_id, at, size in self.docs:
             if at < n:
@@ -132,7 +132,9 @@ def write_token_files(
             )
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    ordered = rows.repartitionByRange(F.col("doc_id")).withColumn("tie", F.xxhash64("text")).sortWithinPartitions("doc_id", "tie")
+    # an id that very many rows repeat is cut too: by a hash of the text, and equal rows by their place, which changes nothing
+    tied = rows.withColumn("tie", F.xxhash64("text")).withColumn("place", F.monotonically_increasing_id())
+    ordered = tied.repartitionByRange("doc_id", "tie", "place").sortWithinPartitions("doc_id", "tie", "place")
     manifest = written(ordered.select("doc_id", "text").mapInArrow(run, MANIFEST), "token-manifest")
     before = Window.orderBy("part", "number").rowsBetween(Window.unboundedPreceding, -1)
     return manifest.select(
@@ -147,13 +149,13 @@ def _open(path: str) -> pa.ipc.RecordBatchFileReader:
     return pa.ipc.open_file(filesystem.open_input_file(inner))
 
 
-def sequence(path: str, row: int) -> tuple[np.ndarray, np.ndarray]:
-    """Ids and mask (as truth values) of one row; of a mapped file neither is copied."""
+def sequence(path: str, row: int) -> tuple[np.ndarray, pa.BooleanArray]:
+    """Ids and mask of one row; of a mapped file neither is copied, the mask's bits stay as they lie."""
     reader = _open(path)
     batch_rows = int(reader.schema.metadata[b"batch_rows"])
     batch = reader.get_batch(row // batch_rows)
-    ids, mask = (batch.column(i)[row % batch_rows].values.to_numpy(zero_copy_only=True) for i in (0, 1))
-    return ids, mask.view(bool)
+    ids, mask = (batch.column(i)[row % batch_rows].values for i in (0, 1))
+    return ids.to_numpy(zero_copy_only=True), mask
 
 
 def _documents(path: str) -> Iterator[tuple[int | None, int, np.ndarray]]:
