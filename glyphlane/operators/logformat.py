@@ -72,16 +72,65 @@ def convert_messages(parsed: Column, catalog: Column | None) -> Column:
     return F.transform(parsed, rewritten)
 
 
+# A list of role and content in single quotes: its strings, and what is left of it when each string is an "S".
+QUOTED = "'[^']*'"
+PLAIN_LIST = r"^\[(?:\{S: ?S, ?S: ?S\}, ?)*\{S: ?S, ?S: ?S\}\]$"
+# Signs that Python's printer leaves as they are, all but the quotes and line ends treated apart.
+PRINTED = r"^[\n\r\t\x20-\x5B\x5D-\x7E\x{A1}-\x{AC}\x{AE}-\x{24F}\x{400}-\x{481}\x{4E00}-\x{9FA5}]*$"
+
+
+def plain_messages(cell: Column) -> Column:
+    """Messages of a cell that native functions read as Python does, NULL for any other.
+
+    Such a cell is a list of dicts of role and content, all texts in single
+    quotes without escapes or line ends, whose answers are plain.
+    """
+    strings = F.transform(F.regexp_extract_all(cell, F.lit(QUOTED), F.lit(0)), lambda t: F.substring(t, F.lit(2), F.length(t) - 2))
+
+    def message(texts: Column, i: Column) -> Column:
+        role, content = F.get(texts, i * 4 + 1), F.get(texts, i * 4 + 3)
+        content = F.when(role == "assistant", plain_answer(content)).otherwise(content)
+        return F.struct(role.alias("role"), content.alias("content"), F.lit(None).cast("string").alias("as_is"))
+
+    def settle(texts: Column) -> Column:
+        places = F.sequence(F.lit(0), (F.size(texts) / 4).cast("int") - 1)
+        named = F.forall(places, lambda i: (F.get(texts, i * 4) == "role") & (F.get(texts, i * 4 + 2) == "content") & F.get(texts, i * 4 + 1).isin(*L.ROLES))
+        read = F.transform(places, lambda i: message(texts, i))
+        return F.when(named, let(read, lambda m: F.when(F.forall(m, lambda e: e["content"].isNotNull()), m)))
+
+    structured = ~cell.rlike(r"[\\\r\n\x00]") & F.regexp_replace(cell, QUOTED, "S").rlike(PLAIN_LIST)
+    return F.when(structured, let(strings, settle))
+
+
+def printed_messages(messages: Column) -> Column:
+    """Python text of a message list if all of it prints without escapes but for line ends, tabs and quotes, else NULL."""
+    def printed(text: Column) -> Column:
+        for sign, shown in (("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t")):
+            text = F.replace(text, F.lit(sign), F.lit(shown))
+        single, double = text.contains("'"), text.contains('"')
+        quoted = lambda t, q: F.concat(F.lit(q), t, F.lit(q))
+        return F.when(single & ~double, quoted(text, '"')).when(single, quoted(F.replace(text, F.lit("'"), F.lit("\\'")), "'")).otherwise(quoted(text, "'"))
+
+    each = F.transform(messages, lambda m: F.concat(F.lit("{'role': "), printed(m["role"]), F.lit(", 'content': "), printed(m["content"]), F.lit("}")))
+    simple = F.forall(messages, lambda m: m["as_is"].isNull() & m["role"].rlike(PRINTED) & m["content"].rlike(PRINTED))
+    return F.when(simple, F.concat(F.lit("["), F.array_join(each, ", "), F.lit("]")))
+
+
 def convert_cells(rows: DataFrame, catalog: Column | None = None, cell: str = "messages") -> DataFrame:
     """Replaces the cell by its converted literal text; unreadable cells stay.
 
+    Plain cells are read and printed natively; only the others reach Python.
     Contents that are no text and messages of other roles pass through as they
     are. ``status`` tells converted cells from kept ones.
     """
-    parsed = rows.withColumn("_parsed", L.messages_as_written(F.col(cell)))
-    built = parsed.withColumn("_out", L.messages_to_literal(F.when(
-        F.col("_parsed").isNotNull(), convert_messages(F.col("_parsed"), catalog))))
-    return built.select(
+    native = rows.withColumn("_plain", plain_messages(F.col(cell)))
+    parsed = native.withColumn("_read", L.messages_as_written(F.when(F.col("_plain").isNull(), F.col(cell))))
+    read = F.coalesce("_plain", "_read")
+    built = parsed.withColumn("_built", F.when(read.isNotNull(), convert_messages(read, catalog)))
+    shown = built.withColumn("_shown", printed_messages(F.col("_built")))
+    out = shown.withColumn("_rest", L.messages_to_literal(F.when(F.col("_shown").isNull(), F.col("_built")))).withColumn(
+        "_out", F.coalesce("_shown", "_rest"))
+    return out.select(
         *[c for c in rows.columns if c != cell],
         F.coalesce("_out", cell, F.lit("[]")).alias(cell),
         F.when(F.col("_out").isNotNull(), "converted").otherwise("kept").alias("status"))

@@ -19,7 +19,8 @@ SEED = 7
 
 def _mix(t: Tables, *columns) -> DataFrame:
     """Samples as narrow rows: what is needed of a text is computed before anything is shuffled."""
-    return t.documents.select("doc_id", F.col("source").alias("dataset"), *columns)
+    rows = t.spread("documents", "doc_id", "source", "text") if columns else t.documents
+    return rows.select("doc_id", F.col("source").alias("dataset"), *columns)
 
 
 def _requests(t: Tables) -> DataFrame:

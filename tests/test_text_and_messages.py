@@ -10,7 +10,7 @@ from glyphlane.functions import text as X
 from glyphlane.functions.json import strict_json
 from glyphlane.operators import agentlog as A
 from glyphlane.operators import chat as C
-from glyphlane.operators.logformat import convert_cells, plain_answer, tag_answers
+from glyphlane.operators.logformat import convert_cells, plain_answer, plain_messages, printed_messages, tag_answers
 
 from .conftest import first
 
@@ -166,6 +166,30 @@ def test_plain_answers_are_settled_natively(spark):
     assert native.where("n is not null").count() >= len(plain) + 60
 
 
+def test_plain_cells_are_settled_natively(spark):
+    """Cells read and printed natively equal Python's own reading and printing."""
+    rnd = random.Random(8)
+    contents = ["look", "a \"b\" c", "é 中", "<browser_state>x</browser_state> y", "", "it\u2019s", "tab\tinside", '{"thinking": "t", "action": [{"wait": {"s": 3}}]}', "{}", "\x7f", "\xa0"]
+    cells = ["[]", "[{'role': 'user'}]", "[{'role': 'user', 'content': 5}]", "[{'content': 'a', 'role': 'user'}]", "oops", "[{'role': 'tool', 'content': 'x'}]",
+             "[{'role': 'user', 'content': 'a' 'b'}]", "[{'role': 'user', 'content': 'a'},]", "[ {'role': 'user', 'content': 'a'}]", "[{'role': 'user', 'content': \"it's\"}]",
+             "[{'role': 'user', 'content': 'a\\\\n'}]", "{'role': 'user', 'content': 'a'}", "[{'role': 'user', 'content': 'a'}, {'role': 'user', 'content': 'b}, {'}]"]
+    for _ in range(200):
+        said = [(rnd.choice(["user", "assistant", "system"]), rnd.choice(contents)) for _ in range(rnd.randint(1, 4))]
+        cells.append("[" + rnd.choice([", ", ","]).join(f"{{'role': '{r}', 'content': '{c}'}}" for r, c in said) + "]")
+    rows = spark.createDataFrame(list(enumerate(cells)), "i int, c string")
+    plain = {r.i: r.p for r in rows.select("i", plain_messages(F.col("c")).alias("p")).collect()}
+    for i, cell in enumerate(cells):
+        if plain[i] is not None:
+            assert [(m.role, m.content) for m in plain[i]] == [(m["role"], m["content"]) for m in L._written(cell)], cell
+    assert sum(p is not None for p in plain.values()) > 80
+    lists = [[(rnd.choice(["user", "it's"]), "".join(rnd.choice(["a", "'", '"', "\n", "\t", "\r", "é", "中", "\\", "\u200b", " "]) for _ in range(rnd.randint(0, 6))))] for _ in range(300)]
+    frame = spark.createDataFrame([(i, [(r, c, None) for r, c in m]) for i, m in enumerate(lists)], "i int, m array<struct<role:string,content:string,as_is:string>>")
+    shown = {r.i: r.s for r in frame.select("i", printed_messages(F.col("m")).alias("s")).collect()}
+    for i, m in enumerate(lists):
+        assert shown[i] in (None, repr([{"role": r, "content": c} for r, c in m]))
+    assert sum(s is not None for s in shown.values()) > 80
+
+
 def test_converted_cells_keep_unreadable_ones(spark):
     rows = spark.createDataFrame([(1, "[{'role': 'tool', 'content': 'x'}]"), (2, "oops"), (3, None)], "i int, messages string")
     got = {r.i: (r.messages, r.status) for r in convert_cells(rows).collect()}
