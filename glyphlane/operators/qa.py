@@ -136,7 +136,7 @@ def summary_json(accuracy_rows: DataFrame) -> DataFrame:
 
 def _read(response: Column) -> Column:
     """The option a response names, or the response itself."""
-    return F.when(F.size("choices") > 0, C.infer_option(response, C.options_from_list(F.col("choices")))).otherwise(response)
+    return F.when(F.size("choices") > 0, C.infer_listed(response, F.col("choices"))).otherwise(response)
 
 
 def value_outcomes(questions: DataFrame, judge: DataFrame, question_id: str, attempts: int = VALUE_ATTEMPTS) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from glyphlane.functions import actions as X
 from glyphlane.functions import answers as A
 from glyphlane.functions import choices as C
+from glyphlane.functions import literals as L
 from glyphlane.operators import codejudge as J
 from glyphlane.operators import detection as D
 from glyphlane.operators import frames as R
@@ -267,3 +268,38 @@ def test_tally_and_parsers(spark):
                                       A.last_code_block(F.lit("none")).alias("c"),
                                       A.without_box_tags(F.lit("a<box>1\n2</box>b<box>3")).alias("b")))
     assert one.a == "B" and one.c is None and one.b == "a<box>1\n2</box>b"
+
+
+def test_repeated_arithmetic_is_read_once_a_batch(monkeypatch):
+    """Sums that repeat in a batch are parsed once, blanks not at all."""
+    import pyarrow as pa
+    read = []
+    plain = L._value
+    monkeypatch.setattr(L, "_value", lambda tree: read.append(tree) or plain(tree))
+    left = pa.array(["1+1", None, "2+2", "1+1", "x+1", None] * 50, pa.string())
+    right = pa.array(["2", "2", "2", "2", "2", None] * 50, pa.string())
+    assert L.same_value.func(left, right).to_pylist() == [True, None, False, True, None, None] * 50
+    assert len(read) == 4  # 1+1, 2+2, x+1 and 2
+
+
+def test_value_comparison_is_compiled(spark):
+    """Numbers are compared by projections, which Spark compiles, not by functions on arrays."""
+    df = spark.range(3).select(F.col("id").cast("string").alias("a"), F.lit("1.0").alias("b"))
+    plan = C.with_equality(df, F.col("a"), F.col("b"), "got")._jdf.queryExecution().optimizedPlan().toString()
+    assert "lambda" not in plan
+
+
+def test_listed_options_read_like_mapped_ones(spark):
+    """Letters by position, also beyond Z and beyond the signs at hand."""
+    cases = [("B", ["x", "y"]), ("C", ["x", "y"]), ("it is y", ["x", "y"]), ("it is x y", ["x", "y"]), ("", ["x"]), (None, ["x"]),
+             ("(A) or so", ["x", "y"]), ("Cannot determine the answer", ["x"]), ("Z", ["x"]), ("Z", [str(i) for i in range(30)]),
+             ("Á", [f"<{i}>" for i in range(300)]), ("is <299>", [f"<{i}>" for i in range(300)]), ("say u", ["u", None]), ("x", [])]
+    rows = spark.createDataFrame(cases, "answer string, choices array<string>").select(
+        C.infer_listed(F.col("answer"), F.col("choices")).alias("listed"),
+        F.when(F.size("choices") < 100, C.infer_option(F.col("answer"), F.map_from_arrays(F.transform("choices", lambda c, i: F.chr(i + 65)), "choices"))).alias("mapped"),
+        F.array_join(C.list_letters(F.col("choices")), "").alias("letters"), F.size("choices").alias("n")).collect()
+    for r in rows:
+        assert r.letters == "".join(chr(65 + i) for i in range(r.n))
+        if r.n < 100:  # chr() of Spark knows 256 signs
+            assert r.listed == r.mapped
+    assert [r.listed for r in rows] == ["B", None, "B", None, None, None, "A", "Z", "Z", "Z", "Á", chr(65 + 299), "A", None]
