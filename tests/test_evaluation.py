@@ -303,3 +303,16 @@ def test_listed_options_read_like_mapped_ones(spark):
         if r.n < 100:  # chr() of Spark knows 256 signs
             assert r.listed == r.mapped
     assert [r.listed for r in rows] == ["B", None, "B", None, None, None, "A", "Z", "Z", "Z", "Á", chr(65 + 299), "A", None]
+
+
+@pytest.mark.parametrize("few", [0, 3, 64])
+def test_frame_times_against_plain_search(spark, few):
+    """Groups of few and of many time texts, frames without answers, blank texts."""
+    rnd = random.Random(few)
+    frames = [(g, f, rnd.choice([None, "", f"<{rnd.randint(0, 40)}.0 seconds>"])) for g in range(6) for f in range(30)]
+    answers = [(g, rnd.choice([None, "", str(rnd.randint(0, 40)), f"{rnd.randint(0, 9)}.0", "s>"]), rnd.randint(0, 99))
+               for g in range(1, 6) for _ in range(2 ** g)]
+    got = R.match_times(spark.createDataFrame(frames, "g int, f int, t string"), spark.createDataFrame(answers, "g int, time string, o int"),
+                        ["g"], "f", "t", "time", "o", few).collect()
+    want = {(g, f): max([o for h, a, o in answers if h == g and a and t is not None and a in t], default=None) for g, f, t in frames}
+    assert len(got) == len(frames) and {(r.g, r.f): r.answer_order for r in got} == want
