@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .text import let
+
 # Fixed values of the media rules.
 MAX_SIDE_RATIO = 200
 IMAGE_MIN_TOKENS = 4
@@ -334,21 +336,24 @@ def project_box3d(box: Column, camera: Column, angle_scale: float = 1.0) -> Colu
     The eight corners run over the signs of the half sizes, z fastest; corners
     behind the camera are left out, so only eight-corner results are drawable.
     """
-    centre = [box[i] for i in range(3)]
-    half = [box[i] / 2 for i in range(3, 6)]
-    pitch, yaw, roll = (F.radians(box[i] * angle_scale) for i in range(6, 9))
-    corners = []
-    for sx in (1, -1):
-        for sy in (1, -1):
-            for sz in (1, -1):
-                x, y, z = half[0] * sx, half[1] * sy, half[2] * sz
-                y, z = y * F.cos(pitch) - z * F.sin(pitch), y * F.sin(pitch) + z * F.cos(pitch)
-                x, z = x * F.cos(yaw) + z * F.sin(yaw), z * F.cos(yaw) - x * F.sin(yaw)
-                x, y = x * F.cos(roll) - y * F.sin(roll), x * F.sin(roll) + y * F.cos(roll)
-                corners.append(F.struct(
-                    (x + centre[0]).alias("x"), (y + centre[1]).alias("y"),
-                    (z + centre[2]).alias("z")))
-    visible = F.filter(F.array(*corners), lambda p: p["z"] > 0)
+    angles = [F.radians(box[i] * angle_scale) for i in range(6, 9)]
+    known = F.struct(
+        *[(box[i] / 2).alias(n) for i, n in zip(range(3, 6), ("hx", "hy", "hz"))],
+        *[f(a).alias(n + m) for a, n in zip(angles, ("pitch_", "yaw_", "roll_")) for f, m in ((F.cos, "c"), (F.sin, "s"))])
+    signs = F.array(*[F.struct(F.lit(sx).alias("x"), F.lit(sy).alias("y"), F.lit(sz).alias("z"))
+                      for sx in (1.0, -1.0) for sy in (1.0, -1.0) for sz in (1.0, -1.0)])
+    point = lambda x, y, z: F.struct(x.alias("x"), y.alias("y"), z.alias("z"))
+
+    def corners(k: Column) -> Column:
+        sized = F.transform(signs, lambda p: point(k["hx"] * p["x"], k["hy"] * p["y"], k["hz"] * p["z"]))
+        pitched = F.transform(sized, lambda p: point(
+            p["x"], p["y"] * k["pitch_c"] - p["z"] * k["pitch_s"], p["y"] * k["pitch_s"] + p["z"] * k["pitch_c"]))
+        yawed = F.transform(pitched, lambda p: point(
+            p["x"] * k["yaw_c"] + p["z"] * k["yaw_s"], p["y"], p["z"] * k["yaw_c"] - p["x"] * k["yaw_s"]))
+        return F.transform(yawed, lambda p: point(
+            p["x"] * k["roll_c"] - p["y"] * k["roll_s"] + box[0], p["x"] * k["roll_s"] + p["y"] * k["roll_c"] + box[1], p["z"] + box[2]))
+
+    visible = F.filter(let(known, corners), lambda p: p["z"] > 0)
     return F.transform(visible, lambda p: F.array(
         camera["fx"] * (p["x"] / p["z"]) + camera["cx"],
         camera["fy"] * (p["y"] / p["z"]) + camera["cy"]))

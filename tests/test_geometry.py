@@ -103,3 +103,11 @@ def test_box_projection(spark):
             if p[2] > 0:
                 want += [500 * p[0] / p[2] + 320, 510 * p[1] / p[2] + 240]
         assert [v for q in r.p for v in q] == pytest.approx(want)
+
+
+def test_projection_turns_a_box_once(spark):
+    """The sines of a box's angles are taken once, not for each of its corners."""
+    cam = G.pseudo_camera(F.lit(640), F.lit(480))
+    rows = spark.createDataFrame([([0.0, 0.0, 5.0, 1.0, 1.0, 1.0, 10.0, 20.0, 30.0],)], "b array<double>")
+    plan = rows.select(G.project_box3d(F.col("b"), cam).alias("p"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.upper().count("SIN(") <= 3 and plan.upper().count("COS(") <= 3
