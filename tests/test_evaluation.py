@@ -316,3 +316,13 @@ def test_frame_times_against_plain_search(spark, few):
                         ["g"], "f", "t", "time", "o", few).collect()
     want = {(g, f): max([o for h, a, o in answers if h == g and a and t is not None and a in t], default=None) for g, f, t in frames}
     assert len(got) == len(frames) and {(r.g, r.f): r.answer_order for r in got} == want
+
+
+def test_overlap_is_evaluated_once(spark):
+    """The sides of the common area occur once in the expression, so that a join's condition stays small."""
+    sides = [F.col(f"{s}{c}") for s in "dg" for c in "xywh"]
+    rows = spark.createDataFrame([(0.0, 0.0, 2.0, 2.0, 1.0, 0.0, 2.0, 2.0)], ", ".join(f"{s}{c} double" for s in "dg" for c in "xywh"))
+    shown = rows.select(D.overlap(*sides, F.lit(False)).alias("iou"))
+    assert first(shown).iou == 2.0 / 6.0
+    assert rows.select(D.overlap(*sides, F.col("dx") > 1).alias("iou"))._jdf.queryExecution().optimizedPlan().toString().count("least(") <= 4
+    assert D.BY_GROUP[0] == "image_id" and sorted(D.BY_GROUP) == sorted(D.GROUP)
