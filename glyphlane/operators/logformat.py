@@ -107,9 +107,12 @@ def printed_messages(messages: Column) -> Column:
     def printed(text: Column) -> Column:
         for sign, shown in (("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t")):
             text = F.replace(text, F.lit(sign), F.lit(shown))
+        return let(text, quoted)
+
+    def quoted(text: Column) -> Column:
         single, double = text.contains("'"), text.contains('"')
-        quoted = lambda t, q: F.concat(F.lit(q), t, F.lit(q))
-        return F.when(single & ~double, quoted(text, '"')).when(single, quoted(F.replace(text, F.lit("'"), F.lit("\\'")), "'")).otherwise(quoted(text, "'"))
+        within = lambda t, q: F.concat(F.lit(q), t, F.lit(q))
+        return F.when(single & ~double, within(text, '"')).when(single, within(F.replace(text, F.lit("'"), F.lit("\\'")), "'")).otherwise(within(text, "'"))
 
     each = F.transform(messages, lambda m: F.concat(F.lit("{'role': "), printed(m["role"]), F.lit(", 'content': "), printed(m["content"]), F.lit("}")))
     simple = F.forall(messages, lambda m: m["as_is"].isNull() & m["role"].rlike(PRINTED) & m["content"].rlike(PRINTED))

@@ -146,7 +146,7 @@ def _answers(t: Tables) -> DataFrame:
         F.lit("]"), F.when(k % 17 == 0, "").otherwise("}"))
     body = F.when(k % 31 == 0, '{"thinking": 5}').when(k % 31 == 1, '{"thinking": null}').when(k % 31 == 2, "[]").when(
         k % 31 == 3, '"abc"').otherwise(body)
-    return t.spread("events", "event_id", "user_id", "event_type", "props").select(k, "event_type", body.alias("answer"))
+    return t.dealt("events", "event_id", "user_id", "event_type", "props").select(k, "event_type", body.alias("answer"))
 
 
 TAGGED_SQL = """

@@ -201,3 +201,11 @@ def test_media_marks(spark):
     core = "<|vision_start|><|{}_pad|><|vision_end|>"
     assert r.n == "Picture 1: " + core.format("image") + "Picture 2: " + core.format("image") + "Video 1: " + core.format("video")
     assert r.p == core.format("image")
+
+
+def test_heavy_cells_use_all_cores(spark):
+    """A file of one split is dealt out before its answers are read."""
+    from glyphlane.plans import load_queries
+    from glyphlane.plans.registry import Tables
+    built = load_queries()["converted_cells"].build(Tables(spark, "/root/testdata/sf0.001"))
+    assert "RoundRobinPartitioning(" in built._jdf.queryExecution().executedPlan().toString()
